@@ -20,7 +20,9 @@ def wide_to_long(wide: DataFrame, ids: list[str], values: list[str] | None = Non
     a filter on ``name`` afterwards would not keep the others from being read.
     """
     values = [c for c in wide.columns if c not in ids] if values is None else values
-    return wide.unpivot(ids, values, name, value)
+    # The same rows as `unpivot`, but parsing the cells behind an Expand defeats code generation.
+    cells = F.array(*[F.struct(F.lit(c).alias(name), F.col(f"`{c}`").alias(value)) for c in values])
+    return wide.select(*ids, F.inline(cells))
 
 
 def long_to_wide(long: DataFrame, ids: list[str], name: str, values: list[str], cell: Column) -> DataFrame:
@@ -55,10 +57,12 @@ def wide_to_typed(wide: DataFrame, ids: list[str], period: str, kind: str, level
 
     ``kind`` (M, Q, Y) is that of the table's first period.
     """
-    long = label_keys_to_columns(wide_to_long(wide, [*ids, period], values), levels)
-    labels = [f"Label{i + 1}" for i in range(levels)]
+    values = [c for c in wide.columns if c not in [*ids, period]] if values is None else values
+    # Once per wide row, not once per cell.
+    dated = wide.select(*ids, period_date(F.col(period), F.lit(kind)).alias("Period"), *values)
+    long = label_keys_to_columns(wide_to_long(dated, [*ids, "Period"], values), levels)
     return long.select(
-        *ids, period_date(F.col(period), F.lit(kind)).alias("Period"), *labels,
+        *ids, "Period", *[f"Label{i + 1}" for i in range(levels)],
         cell_value(F.col("cell")).alias("Value"), cell_status(F.col("cell")).alias("Status"),
     )
 

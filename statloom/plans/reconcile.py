@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.operators.compare import row_differences, verdicts
@@ -38,11 +38,20 @@ def reconcile(manifest: DataFrame, api: DataFrame, grid: DataFrame) -> DataFrame
     return manifest.join(result.select(F.col("dataset").alias("name"), "equivalent"), "name", "left")
 
 
-def reconcile_files(spark: SparkSession, manifest: DataFrame, api_path: str, grid_path: str,
-                    published_only: bool = False) -> DataFrame:
-    """Verdicts for files on disk; file names in the manifest are without folder and ending."""
-    api = read_long_mixed(spark, api_path)
-    grid = long_from_cells(read_grids(spark, grid_path), published_only=published_only)
+def reconcile_files(
+    spark: SparkSession,
+    manifest: DataFrame,
+    api_path: str | list[str],
+    grid_path: str | list[str],
+    published_only: bool = False,
+    api_dataset: Column | None = None,
+    grid_dataset: Column | None = None,
+) -> DataFrame:
+    """Verdicts for files on disk. The manifest names files without folder and ending, or whatever
+    ``api_dataset`` and ``grid_dataset`` make of their ``_metadata``.
+    """
+    api = read_long_mixed(spark, api_path, api_dataset)
+    grid = long_from_cells(read_grids(spark, grid_path, grid_dataset), published_only=published_only)
     return reconcile(manifest, api, grid)
 
 

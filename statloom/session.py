@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,3 +63,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="statloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame, label: str) -> DataFrame:
+    """The table, written to the shared folder and read back, for results that several steps use.
+
+    The steps read the columns they need instead of computing the table again, and a lost executor
+    costs a read.
+    """
+    path = scratch_path(table.sparkSession, label)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

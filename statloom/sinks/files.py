@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.fixed_values import CELLS_PER_REQUEST, LABEL_SEPARATOR, MISSING_CELL
+from statloom.fixed_values import CELLS_PER_REQUEST, MISSING_CELL
 from statloom.operators.chunks import assign_chunks
 from statloom.operators.keys import attach
+from statloom.session import written
 
 
 def csv_cell(text: Column) -> Column:
@@ -29,43 +30,52 @@ def grid_lines(
     it stays within ``cells_per_chunk``. A missing combination becomes the missing cell.
 
     What meets in one task is one line, which is one row of a file anyway. ``order`` and ``block``
-    are expressions over ``period``; ``block`` is a coarser step of the same order.
+    are expressions over ``period``; ``block`` is a coarser step of the same order. The grouped lines
+    are written to the shared folder once; headers and chunks are found from their narrow columns.
     """
-    key = F.array_join("labels", LABEL_SEPARATOR, "")
-    heads = long.groupBy("dataset").agg(F.array_sort(F.collect_set("labels")).alias("heads"))
-    rows = long.groupBy("dataset", "period").agg(
-        F.map_from_entries(F.collect_list(F.struct(key.alias("key"), "cell"))).alias("cells")
+    cell = F.struct("labels", F.coalesce("cell", F.lit(MISSING_CELL)).alias("cell"))
+    rows = written(
+        long.groupBy("dataset", "period").agg(F.collect_list(cell).alias("cells"))
+        .withColumn("place", order).withColumn("step", block),
+        "grid-lines",
     )
-    periods = long.select("dataset", "period").distinct().withColumn("place", order).withColumn("step", block)
-    width = heads.select("dataset", "heads", F.size("heads").alias("width"))
-    totals = periods.groupBy("dataset").agg(F.count(F.lit(1)).alias("total"))
-    budget = totals.join(width.drop("heads"), "dataset").select(
-        "dataset", F.ceil(F.col("total") * F.col("width") / cells_per_chunk).cast("bigint").alias("chunks")
+    heads = (
+        rows.select("dataset", F.explode("cells.labels").alias("labels"))
+        .groupBy("dataset").agg(F.array_sort(F.collect_set("labels")).alias("heads"))
     )
-    placed = assign_chunks(periods, budget, "place", F.col("step"))
-
-    def joined(cells):
-        return F.array_join(cells, ",", "")
-
-    body = attach(
-        rows.join(placed, ["dataset", "period"]), width, ["dataset"], ["period"]
-    ).select(
-        "dataset", "chunk", F.lit(1).alias("section"), F.col("place").cast("bigint").alias("place"),
-        F.concat_ws(
-            ",", csv_cell(F.col("period")),
-            joined(F.transform("heads", lambda head: csv_cell(F.coalesce(
-                F.try_element_at("cells", F.array_join(head, LABEL_SEPARATOR, "")), F.lit(MISSING_CELL)
-            )))),
-        ).alias("line"),
+    periods = rows.select("dataset", "place", "step")
+    budget = (
+        periods.groupBy("dataset").agg(F.count(F.lit(1)).alias("total"))
+        .join(heads.select("dataset", F.size("heads").alias("width")), "dataset")
+        .select("dataset", F.ceil(F.col("total") * F.col("width") / cells_per_chunk).cast("bigint").alias("chunks"))
     )
-    levels = F.sequence(F.lit(0), F.size(F.get("heads", F.lit(0))) - 1)
-    label_lines = F.transform(levels, lambda i: F.concat(
-        F.lit(","), joined(F.transform("heads", lambda head: csv_cell(F.coalesce(F.get(head, i), F.lit("")))))
+    placed = assign_chunks(periods, budget, "place", F.col("step")).select("dataset", "place", "chunk")
+
+    # Every head, followed by the line's cell of the same labels if it has one.
+    marked = F.array_sort(F.concat(
+        F.transform("heads", lambda h: F.struct(h.alias("labels"), F.lit(1).alias("rank"), F.lit(MISSING_CELL).alias("cell"))),
+        F.transform("cells", lambda c: F.struct(c["labels"].alias("labels"), F.lit(2).alias("rank"), c["cell"].alias("cell"))),
     ))
+    own = F.transform("marked", lambda x, i: F.when(x["rank"] == 1, F.when(
+        F.get("marked", i + 1)["rank"] == 2, F.get("marked", i + 1)["cell"]
+    ).otherwise(x["cell"])))
+    body = (
+        attach(rows.select("dataset", "period", "place", "cells"), heads, ["dataset"], ["period"])
+        .select("dataset", "period", "place", marked.alias("marked"))
+        .select("dataset", "period", "place", F.filter(own, lambda c: c.isNotNull()).alias("texts"))
+        .join(placed, ["dataset", "place"])
+        .select(
+            "dataset", "chunk", F.lit(1).alias("section"), F.col("place").cast("bigint").alias("place"),
+            F.concat_ws(",", csv_cell(F.col("period")), F.array_join(F.transform("texts", csv_cell), ",")).alias("line"),
+        )
+    )
+    levels = F.sequence(F.lit(0), F.size(F.get("heads", F.lit(0))) - 1)
+    label_lines = F.transform(levels, lambda i: F.concat(F.lit(","), F.array_join(
+        F.transform("heads", lambda head: csv_cell(F.coalesce(F.get(head, i), F.lit("")))), ","
+    )))
     if separator_line:
-        label_lines = F.concat(label_lines, F.array(F.repeat(F.lit(","), F.col("width"))))
-    chunk_ids = placed.select("dataset", "chunk").distinct()
-    top = chunk_ids.join(width, "dataset").select(
+        label_lines = F.concat(label_lines, F.array(F.repeat(F.lit(","), F.size("heads"))))
+    top = placed.select("dataset", "chunk").distinct().join(heads, "dataset").select(
         "dataset", "chunk", F.lit(0).alias("section"), F.posexplode(label_lines).alias("place", "line")
     ).withColumn("place", F.col("place").cast("bigint"))
     return top.unionByName(body)

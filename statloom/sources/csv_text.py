@@ -48,7 +48,7 @@ def _file_columns(dataset: Column | None) -> list[Column]:
 
 def _whole_files(spark, paths, is_body, facts, limit, dataset) -> DataFrame:
     text = (
-        spark.read.option("wholetext", True).text(paths)
+        spark.read.text(paths, wholetext=True)
         .where(F.col("_metadata.file_size") <= limit)
         .select(*_file_columns(dataset), F.split(F.regexp_replace("value", r"^\uFEFF", ""), "\r?\n").alias("lines"))
         .withColumn("lines", F.filter("lines", lambda line: line != ""))

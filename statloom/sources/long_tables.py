@@ -25,7 +25,7 @@ def read_long(spark: SparkSession, path: str | list[str]) -> DataFrame:
     schema = ", ".join(f"{name} {API_COLUMN_TYPES[name]}" for name in row.names)
     table = (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=False, nullValue="NA", mode="FAILFAST",
+        .options(header=True, enforceSchema=False, nullValue="NA", mode="FAILFAST", escape='"',
                  ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
         .csv(path)
     )
