@@ -18,9 +18,15 @@ from statloom.functions.times import epoch_minutes, local_date, rollover_days, s
 RELEASED, ERROR, ROLLED = "RELEASED", "ERROR", "ROLLED"
 
 
-def slot(ts: Column, minutes: int) -> Column:
-    """Number of the run of ``minutes`` that a time lies in."""
-    return F.floor(epoch_minutes(ts) / minutes).cast("bigint")
+def slot(ts: Column, slot_minutes: int) -> Column:
+    """Number of the run of ``slot_minutes`` that a time lies in."""
+    return F.floor(epoch_minutes(ts) / slot_minutes).cast("bigint")
+
+
+def watched_slots(ts: Column, minutes: int, slot_minutes: int) -> Column:
+    """Slots of all releases that a check at this time can concern: those of the ``minutes`` before it."""
+    first = F.floor((epoch_minutes(ts) - minutes) / slot_minutes).cast("bigint")
+    return F.sequence(first, slot(ts, slot_minutes))
 
 
 def deciding_checks(checks: DataFrame) -> DataFrame:
@@ -29,26 +35,27 @@ def deciding_checks(checks: DataFrame) -> DataFrame:
 
 
 def release_watch(releases: DataFrame, checks: DataFrame, minutes: int = WATCH_MINUTES,
-                  zone: str = DEFAULT_ZONE) -> DataFrame:
+                  zone: str = DEFAULT_ZONE, slot_minutes: int | None = None) -> DataFrame:
     """``release_id, outcome, at, next_date`` of every release.
 
     ``releases``: ``release_id, key, release_dt, due_date``; ``checks``: ``key, check_id, ts, updated``
     (nullable). The first deciding check within ``minutes`` gives RELEASED or ERROR, else ROLLED, with
     the date moved. At equal times the lower ``check_id`` comes first.
 
-    A deciding check can only concern releases of its own run of ``minutes`` or of the one before, so
-    it is put into both and the window runs per key and run of minutes: no release-check pairs are
-    made, and a key with many rows is spread over time.
+    Time is cut into slots. A deciding check is put into every slot whose releases it can concern,
+    and one pass per key and slot finds the next check of each release: no release-check pairs are
+    made, and a key with many rows is spread over time. Shorter slots spread it more, longer ones
+    copy fewer checks.
     """
+    slot_minutes = 4 * minutes if slot_minutes is None else slot_minutes
     starts = releases.select(
-        "key", slot(F.col("release_dt"), minutes).alias("_slot"), F.col("release_dt").alias("ts"),
+        "key", slot(F.col("release_dt"), slot_minutes).alias("_slot"), F.col("release_dt").alias("ts"),
         F.lit(None).cast("bigint").alias("check_id"), F.lit(None).cast("boolean").alias("updated"),
         "release_id", "due_date",
     )
-    own = slot(F.col("ts"), minutes)
     marks = deciding_checks(checks).select(
-        "key", F.explode(F.array(own, own - 1)).alias("_slot"), "ts", "check_id", "updated",
-        F.lit(None).cast(releases.schema["release_id"].dataType).alias("release_id"),
+        "key", F.explode(watched_slots(F.col("ts"), minutes, slot_minutes)).alias("_slot"), "ts", "check_id",
+        "updated", F.lit(None).cast(releases.schema["release_id"].dataType).alias("release_id"),
         F.lit(None).cast("date").alias("due_date"),
     )
     # Backwards in time, the last check seen is the next one. At equal times checks go before

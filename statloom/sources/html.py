@@ -181,13 +181,13 @@ def html_tables(pages: DataFrame, key: str, html: str, class_name: str | None =
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = []
             for page, text in zip(batch[key], batch[html]):
                 parser = _Tables(class_name)
                 parser.feed(text or "")
                 parser.close()
-                found = [(page, *cell) for cell in parser.cells if cell[0] is not None]
-                if found:
-                    yield pd.DataFrame(found, columns=[key, "table_no", "row", "col", "text"])
+                found.extend((page, *cell) for cell in parser.cells if cell[0] is not None)
+            yield pd.DataFrame(found, columns=[key, "table_no", "row", "col", "text"])
 
     return pages.select(key, html).mapInPandas(
         cells, f"`{key}` {key_type}, table_no int, row int, col int, text string"

@@ -1,8 +1,8 @@
 """Release watch as a stream.
 
 Releases and page checks arrive as one stream of tagged rows, so that a release no check ever came
-for still ends. State is kept per key and run of minutes: a key with many rows is spread over time,
-and each state ends with its timer.
+for still ends. Keys are hashed into shards and time is cut into slots; state is kept per shard and
+slot, grows by appending whole batches, and ends with its timer.
 """
 
 from __future__ import annotations
@@ -10,88 +10,100 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from statloom.fixed_values import DEFAULT_ZONE, WATCH_MINUTES
-from statloom.functions.times import epoch_minutes
-from statloom.plans.watch import decided
+from statloom.plans.watch import decided, slot, watched_slots
 
 RELEASE, CHECK, CLOCK = "release", "check", "clock"
 TAGGED = "kind string, key string, id bigint, ts timestamp, updated boolean, due_date date"
 
-_RELEASES = "id bigint, ts timestamp, due_date date"
-_CHECKS = "ts timestamp, id bigint, updated boolean"
 _DECIDED = "release_id bigint, release_dt timestamp, due_date date, found timestamp, updated boolean"
+_BATCH = pa.schema([
+    ("kind", pa.string()), ("key", pa.string()), ("id", pa.int64()), ("ts", pa.timestamp("us")),
+    ("updated", pa.bool_()), ("due_date", pa.date32()),
+])
+
+
+def _packed(batch: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(batch[_BATCH.names], schema=_BATCH, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _BATCH) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(parts: Iterator[tuple]) -> pd.DataFrame:
+    tables = [pa.ipc.open_stream(part[0]).read_all() for part in parts]
+    return pa.concat_tables(tables or [_BATCH.empty_table()]).to_pandas()
+
+
+def next_checks(rows: pd.DataFrame) -> pd.DataFrame:
+    """The next deciding check of every release in a batch of tagged rows, by key."""
+    rows = rows.sort_values(["ts", "id"], kind="stable")
+    starts = rows.loc[rows["kind"] == RELEASE, ["id", "key", "ts", "due_date"]]
+    marks = rows.loc[rows["kind"] == CHECK, ["key", "ts", "updated"]].drop_duplicates(["key", "ts"])
+    marks = marks.assign(found=marks["ts"])
+    joined = pd.merge_asof(starts, marks, on="ts", by="key", direction="forward")
+    return joined.rename(columns={"id": "release_id", "ts": "release_dt"})[
+        ["release_id", "release_dt", "due_date", "found", "updated"]
+    ]
 
 
 class _Watch(StatefulProcessor):
-    """Holds the releases and deciding checks of one key and run; answers when the run is over."""
+    """Holds the rows of one shard and slot; answers when no further check can concern them."""
 
-    def __init__(self, minutes: int):
+    def __init__(self, minutes: int, slot_minutes: int):
         self.minutes = minutes
+        self.slot_minutes = slot_minutes
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.releases = handle.getListState("releases", _RELEASES)
-        self.checks = handle.getListState("checks", _CHECKS)
+        self.rows = handle.getListState("rows", "batch binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            is_release = batch["kind"] == RELEASE
-            starts, marks = batch[is_release], batch[~is_release]
-            if len(starts):
-                self.releases.appendList([
-                    (int(i), at.to_pydatetime(), due)
-                    for i, at, due in zip(starts["id"], starts["ts"], starts["due_date"])
-                ])
-            if len(marks):
-                self.checks.appendList([
-                    (at.to_pydatetime(), int(i), None if pd.isna(updated) else bool(updated))
-                    for at, i, updated in zip(marks["ts"], marks["id"], marks["updated"])
-                ])
-        # A release at the very end of the run still waits its full time.
-        self.handle.registerTimer((key[1] + 2) * self.minutes * 60_000)
+        self.rows.appendList([(_packed(batch),) for batch in rows])
+        self.handle.registerTimer(((key[1] + 1) * self.slot_minutes + self.minutes) * 60_000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.releases.exists():
-            checks = sorted(self.checks.get(), key=lambda c: (c[0], c[1])) if self.checks.exists() else []
-            out, place = [], 0
-            for ident, at, due in sorted(self.releases.get(), key=lambda r: (r[1], r[0])):
-                while place < len(checks) and checks[place][0] < at:
-                    place += 1
-                found, _, updated = checks[place] if place < len(checks) else (None, None, None)
-                out.append((ident, at, due, found, updated))
-            frame = pd.DataFrame(out, columns=["release_id", "release_dt", "due_date", "found", "updated"])
-            frame["found"] = pd.to_datetime(frame["found"])
-            frame["updated"] = frame["updated"].astype("boolean")
-            self.releases.clear()
-            self.checks.clear()
-            yield frame
-        else:
-            self.checks.clear()
+        found = next_checks(_unpacked(self.rows.get()))
+        self.rows.clear()
+        if len(found):
+            yield found
 
     def close(self) -> None:
         pass
 
 
 def watch_stream(tagged: DataFrame, lateness: str = "0 minutes", minutes: int = WATCH_MINUTES,
-                 zone: str = DEFAULT_ZONE) -> DataFrame:
+                 zone: str = DEFAULT_ZONE, slot_minutes: int | None = None, shards: int | None = None) -> DataFrame:
     """``release_id, outcome, at, next_date`` per release, once it is decided and its time is over.
 
     ``tagged`` is a stream of ``kind, key, id, ts, updated, due_date`` (see ``TAGGED``). A ``clock``
     row only carries time forward. The answer depends on event times alone, not on how the rows were
     batched; each release is answered once, so an alert is sent once. Needs the RocksDB state store.
+
+    Answers come when the slot of the release and the watch behind it are over. Shorter slots answer
+    earlier and spread a key with many rows further; longer ones hold fewer, larger states. ``shards``
+    is the number of hash groups of keys (by default the number of shuffle partitions).
     """
-    own = F.floor(epoch_minutes(F.col("ts")) / minutes).cast("bigint")
+    slot_minutes = minutes if slot_minutes is None else slot_minutes
+    shards = int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions")) if shards is None else shards
+    ts = F.col("ts").cast("timestamp_ntz")
     deciding = (F.col("kind") == CHECK) & (F.col("updated").isNull() | F.col("updated"))
-    slots = F.when(deciding, F.array(own, own - 1)).when(F.col("kind") == RELEASE, F.array(own))
-    placed = tagged.withWatermark("ts", lateness).withColumn("slot", F.explode(slots))
+    slots = F.when(deciding, watched_slots(ts, minutes, slot_minutes)).when(
+        F.col("kind") == RELEASE, F.array(slot(ts, slot_minutes))
+    )
+    placed = tagged.withWatermark("ts", lateness).select(
+        F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), F.explode(slots).alias("slot"), *_BATCH.names
+    )
     return (
-        placed.groupBy("key", "slot")
-        .transformWithStateInPandas(_Watch(minutes), _DECIDED, "Append", "EventTime")
+        placed.groupBy("shard", "slot")
+        .transformWithStateInPandas(_Watch(minutes, slot_minutes), _DECIDED, "Append", "EventTime")
         .select("release_id", F.col("release_dt").cast("timestamp_ntz").alias("release_dt"), "due_date",
                 F.when(F.col("found").isNotNull(), F.struct(F.col("found").cast("timestamp_ntz").alias("ts"), "updated"))
                 .alias("_first"))
@@ -112,9 +124,9 @@ def tag_rows(releases: DataFrame, checks: DataFrame) -> DataFrame:
     return starts.unionByName(marks)
 
 
-def clock_row(tagged: DataFrame, minutes: int = WATCH_MINUTES) -> DataFrame:
-    """A row late enough to end every watch of the table."""
-    end = F.max("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(3 * minutes))
+def clock_row(tagged: DataFrame, minutes: int) -> DataFrame:
+    """A row ``minutes`` behind the last one of the table, to end what is still open."""
+    end = F.max("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     return tagged.agg(end.alias("ts")).select(
         F.lit(CLOCK).alias("kind"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("bigint").alias("id"),
         "ts", F.lit(None).cast("boolean").alias("updated"), F.lit(None).cast("date").alias("due_date"),
