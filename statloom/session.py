@@ -23,6 +23,9 @@ _SETTINGS = {
 }
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on, and send this package to the executors."""
     for key, value in _SETTINGS.items():
@@ -58,10 +61,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="statloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="statloom-")
+        shared = _local_scratch[context.applicationId]
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
