@@ -9,6 +9,7 @@ from statloom.fixed_values import DEFAULT_ZONE
 from statloom.functions.checks import template_check
 from statloom.functions.events import body_files, body_script, body_url
 from statloom.functions.times import iso_local, local_date, off_schedule
+from statloom.operators.keys import spread_small
 from statloom.sources.html import css_path, element_text, has_element, page_xml
 
 MAX_SELECTORS = 1000
@@ -67,7 +68,8 @@ def check_pages(rules: DataFrame, pages: DataFrame, selectors: list[tuple[str, s
     selectors = _distinct_selectors(rules) if selectors is None else selectors
     asked = ["url", "selector_kind", "selector"]
     wanted = rules.select(asked).where(F.col("selector_kind").isin("xpath", "css")).distinct()
-    watched = pages.join(wanted.select("url"), "url", "left_semi").select("url", page_xml("html").alias("_xml"))
+    watched = spread_small(pages.select("url", "html")).join(wanted.select("url"), "url", "left_semi")
+    watched = watched.select("url", page_xml("html").alias("_xml"))
     found, text = F.lit(False), F.lit(None).cast("string")
     for kind, selector in selectors:
         path = css_path(selector) if kind == "css" else selector

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from statloom.operators.keys import spread_small
+
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # An element that may stay open, and the tags that end it.
 _BLOCKS = frozenset("address article aside blockquote div dl footer form h1 h2 h3 h4 h5 h6 header hr main "
@@ -189,6 +191,6 @@ def html_tables(pages: DataFrame, key: str, html: str, class_name: str | None =
                 found.extend((page, *cell) for cell in parser.cells if cell[0] is not None)
             yield pd.DataFrame(found, columns=[key, "table_no", "row", "col", "text"])
 
-    return pages.select(key, html).mapInPandas(
+    return spread_small(pages.select(key, html)).mapInPandas(
         cells, f"`{key}` {key_type}, table_no int, row int, col int, text string"
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.fixed_values import DEFAULT_ZONE
 from statloom.functions import periods, text, times, values
+from statloom.operators.keys import spread_small
 from statloom.operators.reshape import with_period_dates
 from statloom.operators.selection import expand_points, parse_selection
 from statloom.plans.watch import probe_alerts
@@ -338,7 +339,8 @@ def page_links(spark, folder):
     FROM pages
 """)
 def page_elements(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", page_xml("html").alias("xml"))
+    pages = spread_small(table(spark, folder, "pages").select("page_id", "html"))
+    pages = pages.select("page_id", page_xml("html").alias("xml"))
     xml = F.col("xml")
     return pages.select(
         "page_id", element_text(xml, "//title").alias("title"), element_text(xml, "//article/h1").alias("heading"),

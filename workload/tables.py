@@ -181,10 +181,12 @@ def suppressed_filter(spark, folder):
 # --- grids: one dataset per supplier, months by flag and status -------------------------------------
 
 def _quantities(spark, folder):
-    return table(spark, folder, "lineitem").groupBy(
-        F.col("l_suppkey").alias("dataset"), F.date_format("l_shipdate", "yyyy'M'MM").alias("period"),
-        "l_returnflag", "l_linestatus",
+    sums = table(spark, folder, "lineitem").groupBy(
+        F.col("l_suppkey").alias("dataset"), F.trunc("l_shipdate", "month").alias("month"), "l_returnflag", "l_linestatus",
     ).agg(F.sum("l_quantity").alias("quantity"))
+    return sums.select(
+        "dataset", F.date_format("month", "yyyy'M'MM").alias("period"), "l_returnflag", "l_linestatus", "quantity"
+    )
 
 
 def _quantity_cells(spark, folder):
@@ -395,10 +397,10 @@ _MONEY = "decimal(18,2)"
 """)
 def series_merge(spark, folder):
     def monthly(name, date, value):
-        month = reformat_month(F.date_format(date, "yyyy'M'MM"))
-        return table(spark, folder, name).groupBy(month.alias("Month")).agg(
+        sums = table(spark, folder, name).groupBy(F.trunc(date, "month").alias("month")).agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast(_MONEY)).cast("double").alias("value")
         )
+        return sums.select(reformat_month(F.date_format("month", "yyyy'M'MM")).alias("Month"), "n", "value")
 
     return series.merge_series({
         "Exports": monthly("orders", "o_orderdate", "o_totalprice"),
@@ -410,12 +412,12 @@ def _merged_ports(spark, folder):
     nation = table(spark, folder, "nation")
 
     def monthly(rows, nation_key, date, value):
-        month = reformat_month(F.date_format(date, "yyyy'M'MM"))
-        sums = rows.groupBy(month.alias("Month"), F.col(nation_key).alias("n_nationkey")).agg(
+        sums = rows.groupBy(F.trunc(date, "month").alias("month"), F.col(nation_key).alias("n_nationkey")).agg(
             F.sum(F.col(value).cast(_MONEY)).cast("double").alias("value")
         )
         return sums.join(nation, "n_nationkey").select(
-            "Month", F.concat("n_name", F.lit(" (sea)")).alias("Port"), "value"
+            reformat_month(F.date_format("month", "yyyy'M'MM")).alias("Month"),
+            F.concat("n_name", F.lit(" (sea)")).alias("Port"), "value",
         )
 
     orders = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("c_custkey") == F.col("o_custkey"))
