@@ -11,19 +11,17 @@ from statloom.fixed_values import DEFAULT_STATUS, MISSING_CELL, SUPPRESSED_STATU
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def _token(text: Column, position: int) -> Column:
-    return F.get(F.split(F.trim(text), " "), F.lit(position))
-
-
 def cell_value(text: Column) -> Column:
     """Number in front of the first space, commas taken out; NULL if it is not one."""
-    token = F.replace(_token(text, 0), F.lit(","), F.lit(""))
+    token = F.replace(F.substring_index(F.trim(text), " ", 1), F.lit(","), F.lit(""))
     return F.when(token.rlike(_NUMBER), token.try_cast("double"))
 
 
 def cell_status(text: Column) -> Column:
     """Second word of the cell, ``F`` when there is none."""
-    return F.coalesce(_token(text, 1), F.lit(DEFAULT_STATUS))
+    cell = F.trim(text)
+    behind = F.substring(cell, F.instr(cell, " ") + 1, F.length(cell))
+    return F.when(F.instr(cell, " ") > 0, F.substring_index(behind, " ", 1)).otherwise(DEFAULT_STATUS)
 
 
 def cell_value_text(text: Column) -> Column:

@@ -31,14 +31,12 @@ def assign_chunks(periods: DataFrame, budget: DataFrame, order: str, block: Colu
     """
     if block is None:
         block = F.floor(F.col(order) / POSITIONS_PER_BLOCK)
-    totals = periods.groupBy("dataset").agg(F.count(F.lit(1)).alias("_total"))
-    size = F.ceil(F.col("_total") / F.greatest(F.col("chunks"), F.lit(1)))
-    sizes = totals.join(budget, "dataset").select("dataset", size.alias("_chunk_size"))
-    placed = numbered(periods, ["dataset"], F.col(order), block, "_place")
+    placed = numbered(periods, ["dataset"], F.col(order), block, "_place", "_total")
+    size = F.ceil(F.col("_total") / F.greatest(F.col("_chunks"), F.lit(1)))
     return (
-        attach(placed, sizes, ["dataset"], [order])
-        .withColumn("chunk", F.floor(F.col("_place") / F.col("_chunk_size")).cast("bigint"))
-        .drop("_place", "_chunk_size")
+        attach(placed, budget.select("dataset", F.col("chunks").alias("_chunks")), ["dataset"], [order])
+        .withColumn("chunk", F.floor(F.col("_place") / size).cast("bigint"))
+        .drop("_place", "_total", "_chunks")
     )
 
 

@@ -40,9 +40,12 @@ def spread_small(table: DataFrame) -> DataFrame:
     return table.repartition(2 * cores) if estimated_bytes(table) <= cores * SMALL_BYTES_PER_CORE else table
 
 
-def numbered(rows: DataFrame, keys: list[str], order: Column, block: Column, name: str) -> DataFrame:
+def numbered(rows: DataFrame, keys: list[str], order: Column, block: Column, name: str,
+             total: str | None = None) -> DataFrame:
     """Number the rows of each key from 0 in ``order``, which must be unique within the key.
 
+    ``total`` names a column for the number of rows of the key.
+
     ``block`` is a coarser step of the same order (a year of a date, a thousand of a position). Rows
     are numbered inside their block, and blocks are offset by the sizes of the ones before them: no
     task holds more than a block of a key, or one row per block of a key.
@@ -50,7 +53,10 @@ def numbered(rows: DataFrame, keys: list[str], order: Column, block: Column, nam
     rows = rows.withColumn("_block", block)
     sizes = rows.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    totals = [] if total is None else [F.sum("_size").over(Window.partitionBy(*keys)).alias(total)]
+    offsets = sizes.select(
+        *keys, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"), *totals
+    )
     in_block = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(order)) - 1
     return (
         rows.withColumn("_in_block", in_block)

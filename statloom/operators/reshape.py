@@ -40,7 +40,11 @@ def label_keys_to_columns(long: DataFrame, levels: int, name: str = "label") ->
 
 def period_kinds(cells: DataFrame, keys: list[str], period: str = "period", position: str = "row_pos") -> DataFrame:
     """Kind of period of each key, decided by its first row."""
-    return cells.groupBy(*keys).agg(F.min_by(period_kind(F.col(period)), F.col(position)).alias("period_kind"))
+    kind = period_kind(F.col(period))
+    # As a number, so that a simple position allows a hash aggregation.
+    number = sum((F.when(kind == name, i).otherwise(0) for i, name in enumerate("MQY", 1)), F.lit(0))
+    first = cells.groupBy(*keys).agg(F.min_by(F.when(kind.isNotNull(), number), F.col(position)).alias("_kind"))
+    return first.select(*keys, F.get(F.array(*map(F.lit, "MQY")), F.col("_kind") - 1).alias("period_kind"))
 
 
 def with_period_dates(cells: DataFrame, keys: list[str], anchor: str = "end", period: str = "period",

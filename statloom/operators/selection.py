@@ -120,29 +120,31 @@ def catalogue(categories: DataFrame, groups: DataFrame, datasets: DataFrame) ->
 
     Inputs: ``category_id, category, category_pos``; ``group_id, category_id, group, group_pos``;
     ``group_id, dataset, dataset_pos``. A category with no group, or a group with no dataset, is kept.
+    Datasets that stand directly under a category have no ``group_id`` but a ``category_id``, and get
+    NULL for the group.
     """
-    return (
+    columns = ["category", "group", "dataset", "category_pos", "group_pos", "dataset_pos"]
+    entries = (
         categories.join(groups, "category_id", "left")
-        .join(datasets, "group_id", "left")
-        .select("category", "group", "dataset", "category_pos", "group_pos", "dataset_pos")
+        .join(datasets.drop("category_id"), "group_id", "left").select(columns)
     )
+    if "category_id" not in datasets.columns:
+        return entries
+    direct = datasets.where(F.col("group_id").isNull()).drop("group_id").join(categories, "category_id")
+    return entries.unionByName(direct.select([c for c in columns if not c.startswith("group")]), allowMissingColumns=True)
 
 
 def find_in_catalogue(entries: DataFrame, category: str, group: str, dataset: str) -> DataFrame:
     """The first category, then its first group, then its first dataset that contains the given text.
 
-    One row, or none when a level has no hit.
+    One row, or none when a level has no hit. The three levels are one order, so one pass finds it.
     """
-    def first_hit(rows, name, text, parents):
-        hits = rows.where(F.contains(name, F.lit(text)))
-        top = hits.agg(F.min_by(F.struct(*parents, name), F.col(f"{name}_pos")).alias("hit"))
-        return top.where(F.col("hit").isNotNull()).select("hit.*")
-
-    top = first_hit(entries, "category", category, [])
-    middle = first_hit(entries.join(top, "category", "left_semi"), "group", group, ["category"])
-    return first_hit(
-        entries.join(middle, ["category", "group"], "left_semi"), "dataset", dataset, ["category", "group"]
-    )
+    group_hit = F.coalesce(F.contains("group", F.lit(group)), F.lit(False))
+    dataset_hit = F.coalesce(F.contains("dataset", F.lit(dataset)), F.lit(False))
+    order = F.struct("category_pos", ~group_hit, "group_pos", ~dataset_hit, "dataset_pos")
+    found = F.struct("category", "group", "dataset", (group_hit & dataset_hit).alias("hit"))
+    best = entries.where(F.contains("category", F.lit(category))).agg(F.min_by(found, order).alias("best"))
+    return best.where(F.col("best.hit")).select("best.category", "best.group", "best.dataset")
 
 
 def skip_names(rows: DataFrame, column: str, names: list[str]) -> DataFrame:

@@ -95,6 +95,21 @@ def write_grids(lines: DataFrame, path: str) -> None:
     )
 
 
+def table_lines(cells: DataFrame, key: str) -> DataFrame:
+    """CSV lines of page tables: ``key, row, line`` from ``key, row, col, text``."""
+    rows = cells.groupBy(key, "row").agg(F.array_sort(F.collect_list(F.struct("col", "text"))).alias("cells"))
+    texts = F.transform("cells", lambda c: csv_cell(F.coalesce(c["text"], F.lit(""))))
+    return rows.select(key, "row", F.array_join(texts, ",").alias("line"))
+
+
+def write_tables(lines: DataFrame, key: str, path: str) -> None:
+    """One file per page table, lines in row order. A table is part of a page, so it fits a task."""
+    (
+        lines.repartition(key).sortWithinPartitions(key, "row")
+        .select(key, "line").write.partitionBy(key).text(path)
+    )
+
+
 def write_by_key(table: DataFrame, key: str, path: str, fmt: str = "csv") -> None:
     """One folder per key, in one pass. A key with many rows is split over several tasks and files."""
     balanced = table.hint("rebalance", key)

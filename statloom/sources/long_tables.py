@@ -58,10 +58,14 @@ def read_long_mixed(
 def labels_array(table: DataFrame, levels: int = MAX_LABEL_LEVELS) -> Column:
     """Labels of an API table as one array, without the levels a row leaves empty at the end."""
     present = [F.col(f"Label{i}") for i in range(1, levels + 1) if f"Label{i}" in table.columns]
-    return trim_labels(F.array(*present).cast("array<string>"))
+    used = F.lit(0)
+    for count, label in enumerate(present, 1):
+        used = F.when(label.isNotNull(), count).otherwise(used)
+    return F.slice(F.array(*present).cast("array<string>"), F.lit(1), used)
 
 
 def trim_labels(labels: Column) -> Column:
     """Drop missing labels at the end, so that tables with unused levels compare equal."""
     used = F.array_max(F.transform(labels, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(0)))
-    return F.slice(labels, F.lit(1), F.coalesce(used, F.lit(0)))
+    cut = F.slice(labels, F.lit(1), F.coalesce(used, F.lit(0)))
+    return F.when(F.try_element_at(labels, F.lit(-1)).isNotNull(), labels).otherwise(cut)

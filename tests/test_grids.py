@@ -124,6 +124,23 @@ def test_unknown_column(spark, tmp_path):
         read_long(spark, str(tmp_path))
 
 
+def test_page_table_to_grid(spark, tmp_path):
+    """From a page to typed cells: the first table is data, the second the footnote."""
+    html = ('<table class="px"><tr><th><th colspan=2>Male<th>Female</tr><tr><th><th>"Trade", retail<th>Mining<th>Mining</tr>'
+            "<tr><th>2021Q1<td>1,234 P<td>..<td>7</tr></table><table class='px'><tr><td class=\"footnote\">Note<br>x</td></table>")
+    pages = spark.createDataFrame([("p1", html), ("p2", html.replace("1,234", "5"))], "dataset string, html string")
+    data, notes = merge.extract_tables(pages, "dataset", "html", "px")
+    files.write_tables(files.table_lines(data, "dataset"), "dataset", str(tmp_path / "out"))
+    long = label_columns(long_from_cells(read_grids(spark, str(tmp_path / "out"), merge.chunk_dataset())), 2)
+    day = dt.date(2021, 3, 31)
+    assert set(map(tuple, long.where("dataset = 'p1'").drop("dataset").collect())) == {
+        (day, "Male", '"Trade", retail', 1234.0, "P"), (day, "Male", "Mining", None, "F"),
+        (day, "Female", "Mining", 7.0, "F"),
+    }
+    assert long.count() == 6
+    assert {r.footnote for r in notes.collect()} == {"Note\nx\n"}
+
+
 def verdict_of(spark, tmp_path, api, grid):
     for name, content in (("api", api), ("grid", grid)):
         (tmp_path / name).mkdir(exist_ok=True)

@@ -126,6 +126,15 @@ def test_catalogue(spark):
     assert counts == {("Work", "Survey W"): 0, ("Tourism", "Survey T"): 2, ("Tourism", "Skipped"): 1, ("Empty", None): 0}
 
 
+def test_dataset_without_a_group(spark):
+    categories = spark.createDataFrame([(1, "Work", 0)], "category_id int, category string, category_pos int")
+    groups = spark.createDataFrame([(1, 1, "G", 0)], "group_id int, category_id int, `group` string, group_pos int")
+    datasets = spark.createDataFrame([(1, 1, "in", 0), (None, 1, "direct", 1)],
+                                     "group_id int, category_id int, dataset string, dataset_pos int")
+    entries = selection.catalogue(categories, groups, datasets).select("category", "group", "dataset")
+    assert set(map(tuple, entries.collect())) == {("Work", "G", "in"), ("Work", None, "direct")}
+
+
 def test_points(spark):
     points = F.create_map(*[x for point, meters in POINT_METERS.items()
                             for x in (F.lit(point), F.array(*map(F.lit, meters)))])
