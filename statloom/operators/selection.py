@@ -57,15 +57,15 @@ def select_options(options: DataFrame, spec: DataFrame, formats: list[str]) -> D
         return date
 
     chosen = chosen.withColumn("_date", read("option"))
-    plain = chosen.where(
+    newest = chosen.where(F.col("kind") == LATEST).groupBy("dataset", "title").agg(F.max("_date").alias("_date"))
+    chosen = chosen.join(newest.withColumn("_newest", F.lit(True)), ["dataset", "title", "_date"], "left")
+    taken = (
         (F.col("kind") == ALL)
         | ((F.col("kind") == LIST) & F.array_contains("items", F.col("option")))
         | ((F.col("kind") == FROM) & (F.col("_date") >= read("start")))
+        | F.col("_newest")
     )
-    dated = chosen.where((F.col("kind") == LATEST) & F.col("_date").isNotNull())
-    newest = dated.groupBy("dataset", "title").agg(F.max("_date").alias("_date"))
-    latest = dated.join(newest, ["dataset", "title", "_date"], "left_semi")
-    return plain.unionByName(latest.select(plain.columns)).select(options.columns)
+    return chosen.where(taken).select(options.columns)
 
 
 def select_cells(cells: DataFrame, selection: str | dict, titles: dict[str, str],
@@ -124,14 +124,17 @@ def catalogue(categories: DataFrame, groups: DataFrame, datasets: DataFrame) ->
     NULL for the group.
     """
     columns = ["category", "group", "dataset", "category_pos", "group_pos", "dataset_pos"]
-    entries = (
-        categories.join(groups, "category_id", "left")
-        .join(datasets.drop("category_id"), "group_id", "left").select(columns)
-    )
-    if "category_id" not in datasets.columns:
-        return entries
-    direct = datasets.where(F.col("group_id").isNull()).drop("group_id").join(categories, "category_id")
-    return entries.unionByName(direct.select([c for c in columns if not c.startswith("group")]), allowMissingColumns=True)
+    parents = categories.join(groups, "category_id", "left")
+    listed = datasets.drop("category_id")
+    # Inner join and empty parents apart: an outer join could not split a group with many datasets.
+    entries = attach(listed, parents.where(F.col("group_id").isNotNull()), ["group_id"], ["dataset"]).select(columns)
+    empty = parents.join(listed.select("group_id").distinct(), "group_id", "left_anti")
+    entries = entries.unionByName(empty.select([c for c in columns if c in empty.columns]), allowMissingColumns=True)
+    if "category_id" in datasets.columns:
+        direct = datasets.where(F.col("group_id").isNull()).drop("group_id")
+        direct = attach(direct, categories, ["category_id"], ["dataset"])
+        entries = entries.unionByName(direct.select([c for c in columns if c in direct.columns]), allowMissingColumns=True)
+    return entries
 
 
 def find_in_catalogue(entries: DataFrame, category: str, group: str, dataset: str) -> DataFrame:

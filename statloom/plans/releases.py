@@ -9,7 +9,7 @@ from statloom.fixed_values import DEFAULT_ZONE
 from statloom.functions.checks import template_check
 from statloom.functions.events import body_files, body_script, body_url
 from statloom.functions.times import iso_local, local_date, off_schedule
-from statloom.operators.keys import spread_small
+from statloom.operators.keys import attach, spread_small
 from statloom.sources.html import css_path, element_text, has_element, page_xml
 
 MAX_SELECTORS = 1000
@@ -45,7 +45,8 @@ def due_releases(events: DataFrame, services: DataFrame, today: Column, zone: st
 
     ``events``: ``uid, name, begin`` (UTC); ``services``: ``name``.
     """
-    due = events.where(local_date(F.col("begin"), zone) == today).join(services.select("name"), "name", "left_semi")
+    today_events = events.where(local_date(F.col("begin"), zone) == today)
+    due = attach(today_events, services.select("name"), ["name"], ["uid"], "left_semi")
     return due.select("uid", "name", "begin", off_schedule(F.col("begin"), zone).alias("off_schedule"))
 
 

@@ -91,12 +91,27 @@ def test_numbered_with_a_hot_key(spark):
     }
 
 
-def test_attach_spreads_a_hot_key(spark):
+@pytest.mark.parametrize("threshold, salted", [("10MB", False), ("-1", True)])
+def test_attach_with_a_hot_key(spark, threshold, salted):
+    """Small facts are joined as they are; others are salted. The rows are the same."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_attach(spark, salted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def check_attach(spark, salted):
     rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     facts = rows.select("k").distinct().withColumn("fact", F.length("k"))
     joined = attach(rows, facts, ["k"], ["id"])
+    assert ("_salt" in joined._jdf.queryExecution().analyzed().toString()) == salted
     assert joined.count() == 20_000
     assert joined.where(F.col("fact") != F.length("k")).count() == 0
+    if salted:
+        hot = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(hot) > 1
 
 
 def test_first_difference(spark):
