@@ -14,7 +14,8 @@ _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 def cell_value(text: Column) -> Column:
     """Number in front of the first space, commas taken out; NULL if it is not one."""
     token = F.replace(F.substring_index(F.trim(text), " ", 1), F.lit(","), F.lit(""))
-    return F.when(token.rlike(_NUMBER), token.try_cast("double"))
+    # Missing cells are many and need no pattern.
+    return F.when(text == MISSING_CELL, None).when(token.rlike(_NUMBER), token.try_cast("double"))
 
 
 def cell_status(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html import escape
+from html import escape, unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -116,65 +116,97 @@ def links(html: Column) -> Column:
     )
 
 
-class _Tables(HTMLParser):
-    """Collects the cells of every table of a page; a spanned cell is repeated over its span."""
+# Comments and scripts are passed over; the star is possessive, so that an open tag costs one look.
+_ATTRIBUTES = r"""(?:[^>"'=]++|=\s*(?>"[^"]*"|'[^']*')|["'=])*+"""
+_TOKEN = re.compile(
+    rf"""<!--.*?-->|<(?P<raw>script|style)\b.*?</(?P=raw)\s*>
+    |<(?P<end>/?)(?P<tag>table|tr|td|th|br)\b(?P<attrs>{_ATTRIBUTES})>
+    |</?[a-z!?]{_ATTRIBUTES}>|(?P<text>[^<]+|<)""",
+    re.S | re.I | re.X,
+)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|rowspan|colspan)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
-    def __init__(self, class_name: str | None):
-        super().__init__(convert_charrefs=True)
-        self.class_name = class_name
-        self.tables = 0
-        self.stack: list[dict] = []
+
+class _Table:
+    """A table that is being read; a spanned cell is repeated over its span."""
+
+    def __init__(self, number: int | None):
+        self.number = number
+        self.row = -1
+        self.text: list[str] | None = None
+        self.span = (1, 1)
+        self.taken: set[tuple[int, int]] = set()
         self.cells: list[tuple[int, int, int, str]] = []
 
-    def _end_cell(self, table):
-        if table["cell"] is None:
+    def open_cell(self, attributes: dict[str, str]) -> None:
+        self.end_cell()
+        self.row = max(self.row, 0)
+        self.text = []
+        down, right = (attributes.get(name, "") for name in ("rowspan", "colspan"))
+        self.span = tuple(max(int(size), 1) if size.isdecimal() else 1 for size in (down, right))
+
+    def end_cell(self) -> None:
+        if self.text is None:
             return
-        text = " ".join("".join(table["cell"]).split())
-        table["cell"] = None
-        filled = table["filled"]
+        text = " ".join(unescape("".join(self.text)).split())
+        self.text = None
         column = 0
-        while (table["row"], column) in filled:
+        while (self.row, column) in self.taken:
             column += 1
-        for down in range(table["span"][0]):
-            for right in range(table["span"][1]):
-                place = (table["row"] + down, column + right)
-                if place not in filled:
-                    filled.add(place)
-                    self.cells.append((table["no"], *place, text))
-
-    def handle_starttag(self, tag, attrs):
-        attrs = dict(attrs)
-        if tag == "table":
-            wanted = self.class_name is None or self.class_name == attrs.get("class")
-            number = self.tables if wanted else None
-            self.tables += wanted
-            self.stack.append({"no": number, "row": -1, "cell": None, "filled": set(), "span": (1, 1)})
-        elif self.stack:
-            table = self.stack[-1]
-            if tag == "tr":
-                self._end_cell(table)
-                table["row"] += 1
-            elif tag in ("td", "th"):
-                self._end_cell(table)
-                table["row"] = max(table["row"], 0)
-                table["span"] = tuple(
-                    int(attrs[name]) if (attrs.get(name) or "").isdigit() and int(attrs[name]) else 1
-                    for name in ("rowspan", "colspan")
-                )
-                table["cell"] = []
-            elif tag == "br" and table["cell"] is not None:
-                table["cell"].append(" ")
+        for row in range(self.row, self.row + self.span[0]):
+            for col in range(column, column + self.span[1]):
+                if (row, col) not in self.taken:
+                    self.taken.add((row, col))
+                    self.cells.append((self.number, row, col, text))
+
+
+def _table_cells(html: str, class_name: str | None) -> list[tuple[int, int, int, str]]:
+    """``table_no, row, col, text`` of all tables of a class, numbered in page order."""
+    count, stack, cells = 0, [], []
+
+    def end_table():
+        table = stack.pop()
+        table.end_cell()
+        if table.number is not None:
+            cells.extend(table.cells)
+
+    for token in _TOKEN.finditer(html):
+        tag, text = token["tag"], token["text"]
+        if text is not None:
+            if stack and stack[-1].text is not None:
+                stack[-1].text.append(text)
+            continue
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if tag == "table" and not token["end"]:
+            attributes = _attributes(token["attrs"])
+            wanted = class_name is None or attributes.get("class") == class_name
+            stack.append(_Table(count if wanted else None))
+            count += wanted
+        elif not stack:
+            continue
+        elif tag == "table":
+            end_table()
+        elif tag == "br":
+            if stack[-1].text is not None:
+                stack[-1].text.append(" ")
+        elif token["end"]:
+            stack[-1].end_cell()
+        elif tag == "tr":
+            stack[-1].end_cell()
+            stack[-1].row += 1
+        else:
+            stack[-1].open_cell(_attributes(token["attrs"]))
+    while stack:
+        end_table()
+    return cells
 
-    def handle_endtag(self, tag):
-        if self.stack and tag in ("td", "th", "tr", "table"):
-            self._end_cell(self.stack[-1])
-            if tag == "table":
-                self.stack.pop()
 
-    def handle_data(self, data):
-        for table in self.stack[-1:]:
-            if table["cell"] is not None:
-                table["cell"].append(data)
+def _attributes(text: str) -> dict[str, str]:
+    if not text or "=" not in text:
+        return {}
+    return {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(text)}
 
 
 def html_tables(pages: DataFrame, key: str, html: str, class_name: str | None = None) -> DataFrame:
@@ -185,10 +217,7 @@ def html_tables(pages: DataFrame, key: str, html: str, class_name: str | None =
         for batch in batches:
             found = []
             for page, text in zip(batch[key], batch[html]):
-                parser = _Tables(class_name)
-                parser.feed(text or "")
-                parser.close()
-                found.extend((page, *cell) for cell in parser.cells if cell[0] is not None)
+                found.extend((page, *cell) for cell in _table_cells(text or "", class_name))
             yield pd.DataFrame(found, columns=[key, "table_no", "row", "col", "text"])
 
     return spread_small(pages.select(key, html)).mapInPandas(

@@ -67,7 +67,8 @@ def test_css():
 
 
 def test_tables(spark):
-    html = ('<table class="t"><tr><th rowspan="2">A<th colspan=2>B &amp; C<tr><td>1<td> 2\n 2 </table>'
+    html = ('<!-- <table class="t"><tr><td>no --><script>"<table class=t>"</script><b title="<table class=t>">'
+            '<table class="t"><tr><th data-class="x" rowspan="2">A<th title=5" colspan=2>B &amp; C<tr><td>1<td> 2\n 2 </table>'
             '<table><tr><td>x</table><table class="t"><td>in<table class="t"><tr><td>inner</table></table>')
     frame = spark.createDataFrame([(7, html), (8, None)], "id int, html string")
     cells = {(r.table_no, r.row, r.col): r.text for r in html_tables(frame, "id", "html", "t").collect()}

@@ -451,7 +451,8 @@ def distinct_labels(spark, folder):
 
 
 @query("split_by_key", """
-    SELECT o_orderpriority || '.csv' AS file, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS value
+    SELECT o_orderpriority || '.csv' AS file, count(*) AS orders,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS value
     FROM orders GROUP BY ALL
 """)
 def split_by_key(spark, folder):
@@ -460,7 +461,7 @@ def split_by_key(spark, folder):
     files.write_by_key(orders.select("file", "o_orderkey", "o_totalprice"), "file", path)
     back = spark.read.option("header", True).schema("o_orderkey bigint, o_totalprice double, file string").csv(path)
     return back.groupBy("file").agg(
-        F.count("o_orderkey").alias("orders"), F.sum(F.col("o_totalprice").cast(_MONEY)).alias("value")
+        F.count("o_orderkey").alias("orders"), F.sum(F.col("o_totalprice").cast(_MONEY)).cast("double").alias("value")
     )
 
 
