@@ -35,41 +35,48 @@ def deciding_checks(checks: DataFrame) -> DataFrame:
 
 
 def release_watch(releases: DataFrame, checks: DataFrame, minutes: int = WATCH_MINUTES,
-                  zone: str = DEFAULT_ZONE, slot_minutes: int | None = None) -> DataFrame:
+                  zone: str = DEFAULT_ZONE, slot_minutes: int = 1) -> DataFrame:
     """``release_id, outcome, at, next_date`` of every release.
 
     ``releases``: ``release_id, key, release_dt, due_date``; ``checks``: ``key, check_id, ts, updated``
     (nullable). The first deciding check within ``minutes`` gives RELEASED or ERROR, else ROLLED, with
     the date moved. At equal times the lower ``check_id`` comes first.
 
-    Time is cut into slots. A deciding check is put into every slot whose releases it can concern,
-    and one pass per key and slot finds the next check of each release: no release-check pairs are
-    made, and a key with many rows is spread over time. Shorter slots spread it more, longer ones
-    copy fewer checks.
+    Time is cut into slots. The next check of a release lies in its own slot, or is the first of the
+    next slot of its key that has any. The one is found in an ordered pass per key and slot, the other
+    from one row per key and slot. No release-check pairs are made, no check is copied, and a key
+    with many rows is spread over time.
     """
-    slot_minutes = 4 * minutes if slot_minutes is None else slot_minutes
     starts = releases.select(
         "key", slot(F.col("release_dt"), slot_minutes).alias("_slot"), F.col("release_dt").alias("ts"),
         F.lit(None).cast("bigint").alias("check_id"), F.lit(None).cast("boolean").alias("updated"),
         "release_id", "due_date",
     )
     marks = deciding_checks(checks).select(
-        "key", F.explode(watched_slots(F.col("ts"), minutes, slot_minutes)).alias("_slot"), "ts", "check_id",
-        "updated", F.lit(None).cast(releases.schema["release_id"].dataType).alias("release_id"),
+        "key", slot(F.col("ts"), slot_minutes).alias("_slot"), "ts", "check_id", "updated",
+        F.lit(None).cast(releases.schema["release_id"].dataType).alias("release_id"),
         F.lit(None).cast("date").alias("due_date"),
     )
+    rows = starts.unionByName(marks)
+    mark = F.when(F.col("check_id").isNotNull(), F.struct("ts", "check_id", "updated"))
     # Backwards in time, the last check seen is the next one. At equal times checks go before
     # releases, so that a check at the release time counts.
     later = Window.partitionBy("key", "_slot").orderBy(
         F.desc("ts"), F.desc_nulls_last("check_id")
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    mark = F.when(F.col("check_id").isNotNull(), F.struct("ts", "updated"))
+    later_slots = Window.partitionBy("key").orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    per_slot = rows.groupBy("key", "_slot").agg(
+        F.min(mark).alias("_mark"), F.max(F.col("check_id").isNull()).alias("_has_release")
+    )
+    behind = per_slot.withColumn("_behind", F.last("_mark", ignorenulls=True).over(later_slots))
+    behind = behind.where("_has_release").select("key", "_slot", "_behind")
     return (
-        starts.unionByName(marks)
-        .withColumn("_first", F.last(mark, ignorenulls=True).over(later))
+        rows.withColumn("_inside", F.last(mark, ignorenulls=True).over(later))
         .where(F.col("check_id").isNull())
-        .select("release_id", F.col("ts").alias("release_dt"), "due_date", "_first")
-        .transform(lambda rows: decided(rows, minutes, zone))
+        .join(behind, ["key", "_slot"])
+        .select("release_id", F.col("ts").alias("release_dt"), "due_date",
+                F.coalesce("_inside", "_behind").alias("_first"))
+        .transform(lambda found: decided(found, minutes, zone))
     )
 
 

@@ -18,7 +18,7 @@ def minute(m):
     return START + dt.timedelta(minutes=m)
 
 
-@pytest.mark.parametrize("slot_minutes", [None, 7, 30])
+@pytest.mark.parametrize("slot_minutes", [1, 7, 60])
 @pytest.mark.parametrize("checks, outcome, at, next_date", [
     ([(5, False), (10, True), (15, True)], "RELEASED", 10, None),
     ([(5, None), (10, True)], "ERROR", 5, None),
@@ -59,7 +59,7 @@ def brute_force(releases, checks):
     return out
 
 
-@pytest.mark.parametrize("slot_minutes", [None, 13])
+@pytest.mark.parametrize("slot_minutes", [1, 13, 10_000])
 def test_batch_against_brute_force(spark, slot_minutes):
     releases, checks = random_log(3)
     found = watch.release_watch(
