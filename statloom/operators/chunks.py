@@ -17,8 +17,7 @@ def cell_budget(options: DataFrame, limit: int = CELLS_PER_REQUEST) -> DataFrame
     return (
         per_title.groupBy("dataset")
         .agg(F.product("n").alias("cells"))
-        .select("dataset", F.col("cells").cast("bigint").alias("cells"),
-                F.ceil(F.col("cells") / limit).cast("bigint").alias("chunks"))
+        .select("dataset", "cells", F.ceil(F.col("cells") / limit).cast("bigint").alias("chunks"))
     )
 
 

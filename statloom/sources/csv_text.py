@@ -46,7 +46,11 @@ def _file_columns(dataset: Column | None) -> list[Column]:
     return [F.col("_metadata.file_path").alias("file"), name.alias("dataset")]
 
 
-def _whole_files(spark, paths, is_body, facts, limit, dataset) -> DataFrame:
+def _no_body(file: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("no body line behind the header lines of "), file))
+
+
+def _whole_files(spark, paths, is_body, facts, limit, dataset, body_required) -> DataFrame:
     text = (
         spark.read.text(paths, wholetext=True)
         .where(F.col("_metadata.file_size") <= limit)
@@ -54,8 +58,11 @@ def _whole_files(spark, paths, is_body, facts, limit, dataset) -> DataFrame:
         .withColumn("lines", F.filter("lines", lambda line: line != ""))
     )
     first = F.array_position(F.transform("lines", is_body), F.lit(True))
+    none = F.size("lines") + 1
+    if body_required:
+        none = F.when(F.size("lines") == 0, 1).otherwise(_no_body(F.col("file")).cast("int"))
     return (
-        text.withColumn("first", F.when(first > 0, first).otherwise(F.size("lines") + 1).cast("int"))
+        text.withColumn("first", F.when(first > 0, first).otherwise(none).cast("int"))
         .withColumn("header", F.filter(F.slice("lines", F.lit(1), F.col("first") - 1),
                                        lambda line: ~line.rlike(_BLANK_LINE)))
         .withColumn("first_line", F.get("lines", F.col("first") - 1))
@@ -68,7 +75,7 @@ def _whole_files(spark, paths, is_body, facts, limit, dataset) -> DataFrame:
     )
 
 
-def _split_files(spark, paths, is_body, facts, limit, dataset) -> DataFrame:
+def _split_files(spark, paths, is_body, facts, limit, dataset, body_required) -> DataFrame:
     lines = (
         spark.read.text(paths)
         .where(F.col("_metadata.file_size") > limit)
@@ -92,14 +99,11 @@ def _split_files(spark, paths, is_body, facts, limit, dataset) -> DataFrame:
             F.array_sort(F.collect_list(F.when(top, F.struct("row_pos", "line")))).alias("top"),
             F.min(F.when(body, F.struct("row_pos", "line"))).alias("first"),
         )
-        .where(
-            F.when(F.col("first.row_pos.block") == 0, True).otherwise(
-                F.raise_error(F.concat(F.lit("no body line in the first block of "), F.col("file")))
-            )
-        )
         .select(
             "file",
-            F.col("first.row_pos").alias("first_pos"),
+            F.when(F.col("first.row_pos.block") == 0, F.col("first.row_pos"))
+            .when(F.col("first").isNull() & F.lit(not body_required), None)
+            .otherwise(_no_body(F.col("file"))).alias("first_pos"),
             F.col("first.line").alias("first_line"),
             F.transform(
                 F.filter("top", lambda x: x["row_pos"] < F.col("first.row_pos")), lambda x: x["line"]
@@ -121,12 +125,15 @@ def read_csv_lines(
     facts: dict[str, Column],
     dataset: Column | None = None,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    body_required: bool = False,
 ) -> DataFrame:
     """``file, dataset, <facts>, row_pos struct<block, line>, line`` for every body line.
 
     ``is_body`` tells body lines from header lines; everything behind a file's first body line
     belongs to the body. ``facts`` are computed once per file from ``header`` (array of lines) and
-    ``first_line``. ``dataset`` is computed from ``_metadata`` (the file name by default).
+    ``first_line``. ``dataset`` is computed from ``_metadata`` (the file name by default). A file with
+    lines but no body line is an error if ``body_required``; header lines have to lie in the first
+    split of their file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     # Reads the file listing only: no file is opened.
@@ -135,7 +142,7 @@ def read_csv_lines(
     any_small = not any_large or not sizes.where(F.col("length") <= whole_file_bytes).isEmpty()
     parts = []
     if any_small:
-        parts.append(_whole_files(spark, paths, is_body, facts, whole_file_bytes, dataset))
+        parts.append(_whole_files(spark, paths, is_body, facts, whole_file_bytes, dataset, body_required))
     if any_large:
-        parts.append(_split_files(spark, paths, is_body, facts, whole_file_bytes, dataset))
+        parts.append(_split_files(spark, paths, is_body, facts, whole_file_bytes, dataset, body_required))
     return reduce(DataFrame.unionByName, parts)

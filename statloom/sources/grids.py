@@ -34,7 +34,7 @@ def read_grids(
         "column_labels": F.transform(columns, lambda i: F.transform(header, lambda line: F.get(line, i))),
         "period_kind": period_kind(F.get(csv_fields(F.col("first_line")), F.lit(0))),
     }
-    lines = read_csv_lines(spark, paths, _is_period_line, facts, dataset, whole_file_bytes)
+    lines = read_csv_lines(spark, paths, _is_period_line, facts, dataset, whole_file_bytes, body_required=True)
     body = lines.withColumn("fields", csv_fields(F.col("line")))
     cells = F.arrays_zip(
         F.col("column_labels").alias("labels"),

@@ -44,7 +44,13 @@ def read_long_mixed(
 ) -> DataFrame:
     """Files with different subsets of the columns in one job: ``dataset``, then every known column."""
     head = r"^\s*\"?(" + "|".join(API_COLUMN_TYPES) + r")\"?\s*(,|$)"
-    facts = {"names": csv_fields(F.get("header", F.lit(0)))}
+    names = csv_fields(F.get("header", F.lit(0)))
+    known = F.array(*map(F.lit, API_COLUMN_TYPES))
+    checked = F.when((F.size("header") == 1) & (F.size(F.array_except(names, known)) == 0), names).otherwise(
+        F.raise_error(F.concat(F.lit("not one header line of known columns: "), F.coalesce(
+            F.array_join("header", " | "), F.lit("")), F.lit(" before "), F.substring("first_line", 1, 80)))
+    )
+    facts = {"names": checked}
     lines = read_csv_lines(spark, paths, lambda line: ~line.rlike(head), facts, dataset, whole_file_bytes)
     fields = lines.select("dataset", "names", csv_fields(F.col("line")).alias("fields"))
 

@@ -7,34 +7,38 @@ from statloom.functions import events, periods, text, times, values
 from statloom.operators.selection import parse_selection
 
 
-def one(spark, value, function, kind="string"):
-    frame = spark.createDataFrame([(value,)], f"x {kind}")
-    return frame.select(function(F.col("x")).alias("y")).first().y
-
-
-@pytest.mark.parametrize("period, function, expected", [
-    ("2021M06", periods.month_end, dt.date(2021, 6, 30)),
-    ("2020M02", periods.month_end, dt.date(2020, 2, 29)),
-    ("2021M6", periods.month_end, dt.date(2021, 6, 30)),
-    ("2021M13", periods.month_end, None),
-    ("2021M06", periods.month_start, dt.date(2021, 6, 1)),
-    ("2021Q2", periods.quarter_end, dt.date(2021, 6, 30)),
-    ("2021Q2", periods.quarter_start, dt.date(2021, 4, 1)),
-    ("2021Q5", periods.quarter_end, None),
-    ("2021", periods.year_end, dt.date(2021, 12, 31)),
-    ("2021M06", periods.year_end, None),
-    (None, periods.month_end, None),
-    ("2021M06", periods.reformat_month, "01/06/2021"),
-])
-def test_periods(spark, period, function, expected):
-    assert one(spark, period, function) == expected
+def each(spark, values, function, kind="string"):
+    """The function of every value, in one job."""
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+    rows = frame.select("i", function(F.col("x")).alias("y")).collect()
+    return [r.y for r in sorted(rows, key=lambda r: r.i)]
 
 
-@pytest.mark.parametrize("period, kind", [
-    ("2021M06", "M"), ("2021Q2", "Q"), ("2021", "Y"), ("x2021M06 y", "M"), ("total", None), ("2021M6", "Y"),
+def one(spark, value, function, kind="string"):
+    return each(spark, [value], function, kind)[0]
+
+
+def columns_of(cases):
+    return [list(column) for column in zip(*cases)]
+
+
+@pytest.mark.parametrize("function, cases", [
+    (periods.month_end, [
+        ("2021M06", dt.date(2021, 6, 30)), ("2020M02", dt.date(2020, 2, 29)), ("2021M6", dt.date(2021, 6, 30)),
+        ("2021M13", None), (None, None),
+    ]),
+    (periods.month_start, [("2021M06", dt.date(2021, 6, 1))]),
+    (periods.quarter_end, [("2021Q2", dt.date(2021, 6, 30)), ("2021Q5", None)]),
+    (periods.quarter_start, [("2021Q2", dt.date(2021, 4, 1))]),
+    (periods.year_end, [("2021", dt.date(2021, 12, 31)), ("2021M06", None)]),
+    (periods.reformat_month, [("2021M06", "01/06/2021")]),
+    (periods.period_kind, [
+        ("2021M06", "M"), ("2021Q2", "Q"), ("2021", "Y"), ("x2021M06 y", "M"), ("total", None), ("2021M6", "Y"),
+    ]),
 ])
-def test_period_kind(spark, period, kind):
-    assert one(spark, period, periods.period_kind) == kind
+def test_periods(spark, function, cases):
+    given, expected = columns_of(cases)
+    assert each(spark, given, function) == expected
 
 
 def test_formats():
@@ -48,43 +52,31 @@ def test_yesterday_month(spark):
     assert one(spark, dt.date(2021, 9, 1), periods.yesterday_month, "date") == "Aug 2021"
 
 
-@pytest.mark.parametrize("cell, value, status", [
-    ("1,234 P", 1234.0, "P"),
-    ("..", None, "F"),
-    (None, None, "F"),
-    ("1d", None, "F"),
-    ("NaN", None, "F"),
-    ("Inf", None, "F"),
-    ("0x1F", None, "F"),
-    ("-1.5e3 C", -1500.0, "C"),
-    (".5", 0.5, "F"),
-    ("7 ", 7.0, "F"),
-    (" 7 P", 7.0, "P"),
-    ("5 P R", 5.0, "P"),
-    ("7  P", 7.0, ""),
-])
-def test_cells(spark, cell, value, status):
-    assert one(spark, cell, values.cell_value) == value
-    assert one(spark, cell, values.cell_status) == status
+def test_cells(spark):
+    cells, numbers, statuses = columns_of([
+        ("1,234 P", 1234.0, "P"), ("..", None, "F"), (None, None, "F"), ("1d", None, "F"), ("NaN", None, "F"),
+        ("Inf", None, "F"), ("0x1F", None, "F"), ("-1.5e3 C", -1500.0, "C"), (".5", 0.5, "F"), ("7 ", 7.0, "F"),
+        (" 7 P", 7.0, "P"), ("5 P R", 5.0, "P"), ("7  P", 7.0, ""), ("", None, "F"), (".. C", None, "C"),
+    ])
+    assert each(spark, cells, values.cell_value) == numbers
+    assert each(spark, cells, values.cell_status) == statuses
 
 
-@pytest.mark.parametrize("cell, value, status", [
-    ("5 P R", "5", "P R"), ("5", "5", None), ("..", None, None), ("1,234 P", "1,234", "P"), (None, None, None),
-])
-def test_cells_split_once(spark, cell, value, status):
-    assert one(spark, cell, values.cell_value_text) == value
-    assert one(spark, cell, values.cell_status_rest) == status
+def test_cells_split_once(spark):
+    cells, texts, statuses = columns_of([
+        ("5 P R", "5", "P R"), ("5", "5", None), ("..", None, None), ("1,234 P", "1,234", "P"), (None, None, None),
+    ])
+    assert each(spark, cells, values.cell_value_text) == texts
+    assert each(spark, cells, values.cell_status_rest) == statuses
 
 
-@pytest.mark.parametrize("spec, kind, fmt, start", [
-    ("ALL", "ALL", None, None),
-    ("USE_LATEST_DATETIME<%YM%m>", "LATEST", "%YM%m", None),
-    ("<2013M01>UNTIL_LATEST_DATETIME<%YM%m>", "FROM", "%YM%m", "2013M01"),
-    ("2013M01", None, None, None),
-    ("x USE_LATEST_DATETIME<%YM%m>", None, None, None),
-])
-def test_selection_texts(spark, spec, kind, fmt, start):
-    assert tuple(one(spark, spec, parse_selection)) == (kind, fmt, start)
+def test_selection_texts(spark):
+    given, *expected = columns_of([
+        ("ALL", "ALL", None, None), ("USE_LATEST_DATETIME<%YM%m>", "LATEST", "%YM%m", None),
+        ("<2013M01>UNTIL_LATEST_DATETIME<%YM%m>", "FROM", "%YM%m", "2013M01"), ("2013M01", None, None, None),
+        ("x USE_LATEST_DATETIME<%YM%m>", None, None, None),
+    ])
+    assert list(map(tuple, each(spark, given, parse_selection))) == list(zip(*expected))
 
 
 def test_labels(spark):
@@ -115,24 +107,20 @@ def test_message(spark):
 BODY = 'files: a.csv\nFILES: b.csv\nurl: <a href="https://example.org/x">x</a>\nscript: <b>run.py</b>\n'
 
 
-@pytest.mark.parametrize("body, files, url, script", [
-    (BODY, ["a.csv", "b.csv"], "https://example.org/x", "run.py"),
-    ("nothing here", [], None, None),
-    ("url: no link\nscript:\n", [], None, ""),
-    ("files: no line end", [], None, None),
-])
-def test_event_bodies(spark, body, files, url, script):
-    assert one(spark, body, events.body_files) == files
-    assert one(spark, body, events.body_url) == url
-    assert one(spark, body, events.body_script) == script
+def test_event_bodies(spark):
+    bodies, files, urls, scripts = columns_of([
+        (BODY, ["a.csv", "b.csv"], "https://example.org/x", "run.py"), ("nothing here", [], None, None),
+        ("url: no link\nscript:\n", [], None, ""), ("files: no line end", [], None, None),
+    ])
+    assert each(spark, bodies, events.body_files) == files
+    assert each(spark, bodies, events.body_url) == urls
+    assert each(spark, bodies, events.body_script) == scripts
 
 
-@pytest.mark.parametrize("day, days, weekdays", [
-    (dt.date(2021, 9, 17), 3, 3), (dt.date(2021, 9, 18), 1, 2), (dt.date(2021, 9, 19), 1, 1), (dt.date(2021, 9, 20), 1, 1),
-])
-def test_rollover(spark, day, days, weekdays):
-    assert one(spark, day, times.rollover_days, "date") == days
-    assert one(spark, day, lambda c: times.rollover_days(c, skip_weekend=True), "date") == weekdays
+def test_rollover(spark):
+    days = [dt.date(2021, 9, day) for day in (17, 18, 19, 20)]  # Friday to Monday
+    assert each(spark, days, times.rollover_days, "date") == [3, 1, 1, 1]
+    assert each(spark, days, lambda c: times.rollover_days(c, skip_weekend=True), "date") == [3, 2, 1, 1]
 
 
 @pytest.mark.parametrize("ts, zone, expected", [

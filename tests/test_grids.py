@@ -74,6 +74,24 @@ def test_open_quote_is_an_error(spark, tmp_path, whole_file_bytes):
         read_grids(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).collect()
 
 
+@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
+def test_file_without_periods_is_an_error(spark, tmp_path, whole_file_bytes):
+    (tmp_path / "a.csv").write_text(",a\n,b\nTotal,1\n")
+    with pytest.raises(PySparkException, match="no body line"):
+        read_grids(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).collect()
+
+
+@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
+def test_long_files_without_rows_or_names(spark, tmp_path, whole_file_bytes):
+    (tmp_path / "a.csv").write_text("id,Value\n")
+    (tmp_path / "b.csv").write_text("")
+    assert read_long_mixed(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).count() == 0
+    for content in ("id,Nope\n1,2\n", "Nope,id\n1,2\n"):
+        (tmp_path / "c.csv").write_text(content)
+        with pytest.raises(PySparkException, match="known columns"):
+            read_long_mixed(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).collect()
+
+
 def test_published_only(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",a,b,c\n2021,1,..,.. C\n")
     long = long_from_cells(read_grids(spark, str(tmp_path)), published_only=True)

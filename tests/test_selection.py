@@ -96,10 +96,12 @@ def test_attach_with_a_hot_key(spark, threshold, salted):
     """Small facts are joined as they are; others are salted. The rows are the same."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         check_attach(spark, salted)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def check_attach(spark, salted):

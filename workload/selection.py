@@ -112,7 +112,7 @@ def label_options(spark, folder):
 
 _BUDGET_SQL = f"""
     WITH options AS ({_OPTIONS_SQL}), counts AS (SELECT dataset, title, count(*) AS n FROM options GROUP BY ALL)
-    SELECT dataset, CAST(product(n) AS BIGINT) AS cells, CAST(ceil(product(n) / 100) AS BIGINT) AS chunks
+    SELECT dataset, product(n) AS cells, CAST(ceil(product(n) / 100) AS BIGINT) AS chunks
     FROM counts GROUP BY dataset
 """
 
