@@ -23,12 +23,6 @@ def slot(ts: Column, slot_minutes: int) -> Column:
     return F.floor(epoch_minutes(ts) / slot_minutes).cast("bigint")
 
 
-def watched_slots(ts: Column, minutes: int, slot_minutes: int) -> Column:
-    """Slots of all releases that a check at this time can concern: those of the ``minutes`` before it."""
-    first = F.floor((epoch_minutes(ts) - minutes) / slot_minutes).cast("bigint")
-    return F.sequence(first, slot(ts, slot_minutes))
-
-
 def deciding_checks(checks: DataFrame) -> DataFrame:
     """Checks that end a watch: a hit, or a failed check. One that found the old date goes on."""
     return checks.where(F.col("updated").isNull() | F.col("updated"))

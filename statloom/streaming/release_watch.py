@@ -1,8 +1,8 @@
 """Release watch as a stream.
 
 Releases and page checks arrive as one stream of tagged rows, so that a release no check ever came
-for still ends. Keys are hashed into shards and time is cut into slots; state is kept per shard and
-slot, grows by appending whole batches, and ends with its timer.
+for still ends. Keys are hashed into shards. A shard's state holds the releases that are open and the
+checks that may still be overtaken by a late one, and nothing else.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from statloom.fixed_values import DEFAULT_ZONE, WATCH_MINUTES
-from statloom.plans.watch import decided, slot, watched_slots
+from statloom.plans.watch import decided
 
 RELEASE, CHECK, CLOCK = "release", "check", "clock"
 TAGGED = "kind string, key string, id bigint, ts timestamp, updated boolean, due_date date"
@@ -36,13 +36,12 @@ def _packed(batch: pd.DataFrame) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(parts: Iterator[tuple]) -> pd.DataFrame:
-    tables = [pa.ipc.open_stream(part[0]).read_all() for part in parts]
-    return pa.concat_tables(tables or [_BATCH.empty_table()]).to_pandas()
+def _unpacked(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_all().to_pandas()
 
 
 def next_checks(rows: pd.DataFrame) -> pd.DataFrame:
-    """The next deciding check of every release in a batch of tagged rows, by key."""
+    """The next deciding check of every release in a table of tagged rows, by key."""
     rows = rows.sort_values(["ts", "id"], kind="stable")
     starts = rows.loc[rows["kind"] == RELEASE, ["id", "key", "ts", "due_date"]]
     marks = rows.loc[rows["kind"] == CHECK, ["key", "ts", "updated"]].drop_duplicates(["key", "ts"])
@@ -53,57 +52,78 @@ def next_checks(rows: pd.DataFrame) -> pd.DataFrame:
     ]
 
 
-class _Watch(StatefulProcessor):
-    """Holds the rows of one shard and slot; answers when no further check can concern them."""
+def settle(rows: pd.DataFrame, now: pd.Timestamp, window: pd.Timedelta):
+    """What is decided when nothing before ``now`` can arrive any more: ``decided, kept, wake``.
+
+    A release is decided once its first deciding check, or the end of its window, lies before
+    ``now``. Older checks then matter to no release, open or to come. ``wake`` is when to look again.
+    """
+    found = next_checks(rows)
+    ends = found["release_dt"] + window
+    over = (ends <= now) | (found["found"] < now)
+    is_open = rows["id"].isin(found.loc[~over, "release_id"])
+    kept = rows[((rows["kind"] == RELEASE) & is_open) | ((rows["kind"] == CHECK) & (rows["ts"] >= now))]
+    if not len(kept):
+        return found[over], kept, None
+    tick = pd.Timedelta(milliseconds=1)
+    first = pd.concat([ends[~over], found.loc[~over, "found"] + tick]).min()
+    return found[over], kept, kept["ts"].max() + tick if pd.isna(first) else first
 
-    def __init__(self, minutes: int, slot_minutes: int):
-        self.minutes = minutes
-        self.slot_minutes = slot_minutes
+
+class _Watch(StatefulProcessor):
+    def __init__(self, minutes: int):
+        self.window = pd.Timedelta(minutes=minutes)
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "batch binary")
+        self.rows = handle.getValueState("rows", "batch binary")
+
+    def _step(self, parts: list[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        if self.rows.exists():
+            parts.append(_unpacked(self.rows.get()[0]))
+        now = pd.Timestamp(timer_values.getCurrentWatermarkInMs(), unit="ms")
+        decided_rows, kept, wake = settle(pd.concat(parts, ignore_index=True), now, self.window)
+        if wake is None:
+            self.rows.clear()
+        else:
+            self.rows.update((_packed(kept),))
+            self.handle.registerTimer(-(-wake.value // 1_000_000))
+        if len(decided_rows):
+            yield decided_rows
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        self.rows.appendList([(_packed(batch),) for batch in rows])
-        self.handle.registerTimer(((key[1] + 1) * self.slot_minutes + self.minutes) * 60_000)
-        return iter(())
+        now = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")
+        return self._step([batch.loc[batch["ts"] >= now, _BATCH.names] for batch in rows], timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        found = next_checks(_unpacked(self.rows.get()))
-        self.rows.clear()
-        if len(found):
-            yield found
+        return self._step([], timerValues) if self.rows.exists() else iter(())
 
     def close(self) -> None:
         pass
 
 
 def watch_stream(tagged: DataFrame, lateness: str = "0 minutes", minutes: int = WATCH_MINUTES,
-                 zone: str = DEFAULT_ZONE, slot_minutes: int | None = None, shards: int | None = None) -> DataFrame:
-    """``release_id, outcome, at, next_date`` per release, once it is decided and its time is over.
+                 zone: str = DEFAULT_ZONE, shards: int | None = None) -> DataFrame:
+    """``release_id, outcome, at, next_date`` per release, as soon as it is decided.
 
     ``tagged`` is a stream of ``kind, key, id, ts, updated, due_date`` (see ``TAGGED``). A ``clock``
-    row only carries time forward. The answer depends on event times alone, not on how the rows were
-    batched; each release is answered once, so an alert is sent once. Needs the RocksDB state store.
+    row only carries time forward. A release is answered when the watermark has passed its first
+    deciding check or the end of its window, and answered once, so an alert is sent once. The answer
+    depends on event times alone, not on how the rows were batched. Rows later than ``lateness`` are
+    left out. Needs the RocksDB state store.
 
-    Answers come when the slot of the release and the watch behind it are over. Shorter slots answer
-    earlier and spread a key with many rows further; longer ones hold fewer, larger states. ``shards``
-    is the number of hash groups of keys (by default the number of shuffle partitions).
+    A batch of a shard is worked off in one task: bound batches at the source. ``shards`` is the number
+    of hash groups of keys (by default the number of shuffle partitions).
     """
-    slot_minutes = minutes if slot_minutes is None else slot_minutes
     shards = int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions")) if shards is None else shards
-    ts = F.col("ts").cast("timestamp_ntz")
-    deciding = (F.col("kind") == CHECK) & (F.col("updated").isNull() | F.col("updated"))
-    slots = F.when(deciding, watched_slots(ts, minutes, slot_minutes)).when(
-        F.col("kind") == RELEASE, F.array(slot(ts, slot_minutes))
-    )
-    placed = tagged.withWatermark("ts", lateness).select(
-        F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), F.explode(slots).alias("slot"), *_BATCH.names
+    of_use = (F.col("kind") == RELEASE) | ((F.col("kind") == CHECK) & (F.col("updated").isNull() | F.col("updated")))
+    # Asked about the event time, the filter stays behind the watermark, which needs the clock rows.
+    placed = tagged.withWatermark("ts", lateness).where(F.when(F.col("ts").isNotNull(), of_use)).withColumn(
+        "shard", F.pmod(F.xxhash64("key"), F.lit(shards))
     )
     return (
-        placed.groupBy("shard", "slot")
-        .transformWithStateInPandas(_Watch(minutes, slot_minutes), _DECIDED, "Append", "EventTime")
+        placed.groupBy("shard")
+        .transformWithStateInPandas(_Watch(minutes), _DECIDED, "Append", "EventTime")
         .select("release_id", F.col("release_dt").cast("timestamp_ntz").alias("release_dt"), "due_date",
                 F.when(F.col("found").isNotNull(), F.struct(F.col("found").cast("timestamp_ntz").alias("ts"), "updated"))
                 .alias("_first"))

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,29 +69,54 @@ def test_batch_against_brute_force(spark, slot_minutes):
     assert len(found) == len(releases) and set(map(tuple, found)) == brute_force(releases, checks)
 
 
-@pytest.mark.parametrize("slot_minutes", [30, 100])
-def test_stream_against_brute_force(spark, tmp_path, slot_minutes):
-    """Fed in several batches; what a batch holds does not change the answer."""
+def test_stream_against_brute_force(spark, tmp_path):
+    """Fed in several batches, out of order within the lateness; the answer is that of the whole log."""
     releases, checks = random_log(4, size=150)
+    releases.append((150, "quiet", minute(3095), dt.date(2021, 9, 17)))  # only the clock ends it
     tagged = release_watch.tag_rows(spark.createDataFrame(releases, RELEASES), spark.createDataFrame(checks, CHECKS))
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     tagged.limit(0).write.parquet(source)
     stream = spark.readStream.schema(release_watch.TAGGED).parquet(source)
     query = (
-        release_watch.watch_stream(stream, "20 minutes", slot_minutes=slot_minutes, shards=3)
+        release_watch.watch_stream(stream, "20 minutes", shards=3)
         .writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "log")).start()
     )
+    expected = brute_force(releases, checks)
+    # Releases of a batch may come up to 15 minutes after checks of the next.
+    at = F.when(F.col("kind") == "release", F.col("ts") - F.expr("interval 15 minutes")).otherwise(F.col("ts"))
+    early = None
     try:
-        for first in range(0, 3200, 1100):
-            part = tagged.where((F.col("ts") >= F.lit(minute(first))) & (F.col("ts") < F.lit(minute(first + 1100))))
+        for first in range(-100, 3200, 1100):
+            part = tagged.where((at >= F.lit(minute(first))) & (at < F.lit(minute(first + 1100))))
             part.coalesce(1).write.mode("append").parquet(source)
             query.processAllAvailable()
-        release_watch.clock_row(tagged, 30 + slot_minutes + 20).write.mode("append").parquet(source)
+            if first == 1000:
+                early = set(map(tuple, spark.read.parquet(out).collect()))
+        assert spark.read.parquet(out).count() < len(releases)
+        release_watch.clock_row(tagged, 30 + 21).write.mode("append").parquet(source)
         query.processAllAvailable()
     finally:
         query.stop()
+    assert early and early < expected  # answers come as soon as they are certain
     found = spark.read.parquet(out).collect()
-    assert len(found) == len(releases) and set(map(tuple, found)) == brute_force(releases, checks)
+    assert len(found) == len(releases) and set(map(tuple, found)) == expected
+
+
+def test_settle():
+    def rows(*given):
+        return pd.DataFrame([(kind, "u", i, pd.Timestamp(minute(m)), updated, None)
+                             for i, (kind, m, updated) in enumerate(given)],
+                            columns=["kind", "key", "id", "ts", "updated", "due_date"])
+
+    window = pd.Timedelta(minutes=30)
+    log = rows(("release", 0, None), ("check", 5, True), ("release", 6, None), ("check", 12, None))
+    done, kept, wake = release_watch.settle(log, pd.Timestamp(minute(10)), window)
+    assert list(done["release_id"]) == [0] and list(kept["id"]) == [2, 3]
+    assert wake == pd.Timestamp(minute(12)) + pd.Timedelta(milliseconds=1)
+    done, kept, wake = release_watch.settle(log[:3], pd.Timestamp(minute(35)), window)
+    assert list(done["release_id"]) == [0] and list(kept["id"]) == [2] and wake == pd.Timestamp(minute(36))
+    done, kept, wake = release_watch.settle(kept, pd.Timestamp(minute(36)), window)
+    assert list(done["release_id"]) == [2] and not len(kept) and wake is None
 
 
 def test_alerts(spark):

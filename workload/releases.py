@@ -282,15 +282,14 @@ def release_watch_day(spark, folder):
     return watch.release_watch(_releases(spark, folder), _checks(spark, folder), 1440)
 
 
-def _watched(spark, folder, minutes=30, slot_minutes=360):
+def _watched(spark, folder, minutes=30):
     """The watch as a stream over tagged files that Spark writes from events."""
     path = scratch_path(spark, "tagged")
     tagged = release_watch.tag_rows(_releases(spark, folder), _checks(spark, folder))
     tagged.write.parquet(path)
-    release_watch.clock_row(tagged, minutes + slot_minutes).write.mode("append").parquet(path)
+    release_watch.clock_row(tagged, minutes + 1).write.mode("append").parquet(path)
     stream = spark.readStream.schema(release_watch.TAGGED).parquet(path)
-    found = release_watch.watch_stream(stream, minutes=minutes, slot_minutes=slot_minutes)
-    return runs.run_available(spark, found, "watch")
+    return runs.run_available(spark, release_watch.watch_stream(stream, minutes=minutes), "watch")
 
 
 @query("release_watch_stream", _watch_sql(30))
@@ -313,7 +312,7 @@ def alert_once(spark, folder):
         F.date_format("ts", "MMM yyyy").alias("date_str"), F.concat(F.lit("/"), "user_id").alias("url"),
         F.col("props").alias("info"),
     )
-    return watch.watch_alerts(_watched(spark, folder, 1440, 1440), details)
+    return watch.watch_alerts(_watched(spark, folder, 1440), details)
 
 
 @query("check_cadence", """
