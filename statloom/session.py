@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,30 +25,19 @@ _local_scratch: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on, and send this package to the executors."""
+    """Apply the settings the operators rely on to a session made elsewhere."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
-    _send_package(spark)
     return spark
 
 
-def _send_package(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if getattr(context, "_statloom_sent", False):
-        return
-    package = Path(__file__).resolve().parent
-    base = Path(tempfile.mkdtemp(prefix="statloom-package-")) / package.name
-    context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
-    context._statloom_sent = True
-
-
 def build_session(app: str = "statloom", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return configure(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
