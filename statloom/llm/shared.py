@@ -92,6 +92,12 @@ def write_file(folder: str, name: str, parts) -> str:
     return path
 
 
+def by_path(files: DataFrame) -> DataFrame:
+    """A list of files over as many tasks as a shuffle has: few rows stand for much work, so the number is
+    given, lest adaptive execution put them into one task."""
+    return files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+
+
 def sample_of(rows: DataFrame, key: Column, most: int, count: int | None = None) -> DataFrame:
     """About ``most`` rows, chosen by a hash of ``key``: the same rows in every run, without a sort.
 

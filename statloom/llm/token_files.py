@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import bpe
-from statloom.llm.shared import map_pieces, open_folder, shared_folder, write_file, written
+from statloom.llm.shared import by_path, map_pieces, open_folder, shared_folder, write_file, written
 
 #: The longest code; ids of one block; blocks of one segment.
 MAX_BITS, BLOCK, BLOCKS = 18, 512, 1024
@@ -276,7 +276,7 @@ def read(files: DataFrame) -> DataFrame:
                 if names:
                     yield _batch(names, starts, blobs)
 
-    spread = files.select("path", "start").repartition(F.col("path"))
+    spread = by_path(files.select("path", "start"))
     return spread.mapInArrow(run, "doc_id long, start long, ids array<int>")
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.shared import map_pieces, open_folder, sample_of, shared_folder, write_file, written
+from statloom.llm.shared import by_path, map_pieces, open_folder, sample_of, shared_folder, write_file, written
 
 #: Records the dictionary is built from, its size, and the level of compression.
 SAMPLE_RECORDS, DICTIONARY, LEVEL = 2_000, 64 * 1024, 3
@@ -198,4 +198,4 @@ def read(archives: DataFrame) -> DataFrame:
 
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long, payload binary")
-    return archives.select("path").repartition(F.col("path")).mapInArrow(run, schema)
+    return by_path(archives.select("path")).mapInArrow(run, schema)
