@@ -162,7 +162,7 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                    F.when(F.col("earlier").isNotNull(), F.struct(F.col("earlier").alias("to"), F.lit(True).alias("tail"))))
     dealt = (rows.join(firsts, "key", "left").select("id", "key", "text", F.explode(F.array_compact(sent)).alias("sent"))
              .select("sent.to", "sent.tail", "key", "id", "text")
-             .repartition(parts, "to").sortWithinPartitions("to", "tail", "key", "text"))
+             .repartitionById(parts, F.col("to").cast("int")).sortWithinPartitions("to", "tail", "key", "text"))
     made = dealt.mapInArrow(_fingerprinted, "id long, n_chars long, edited string, fingerprint string, "
                                             "edited_fingerprint string, near_edited double, near_next double")
     return made.withColumnRenamed("id", id_col)
