@@ -46,6 +46,23 @@ WATCH_MINUTES = 30
 USUAL_RELEASE_TIME = "10:45:00"
 DATE_PLACEHOLDER = "<date_str>"
 
+# Zone names that calendar programs write, and their regions.
+CALENDAR_ZONES = {
+    "New Zealand Standard Time": "Pacific/Auckland",
+    "AUS Eastern Standard Time": "Australia/Sydney",
+    "GMT Standard Time": "Europe/London",
+    "W. Europe Standard Time": "Europe/Berlin",
+    "Romance Standard Time": "Europe/Paris",
+    "Eastern Standard Time": "America/New_York",
+    "Central Standard Time": "America/Chicago",
+    "Mountain Standard Time": "America/Denver",
+    "Pacific Standard Time": "America/Los_Angeles",
+    "Tokyo Standard Time": "Asia/Tokyo",
+    "Singapore Standard Time": "Asia/Singapore",
+    "India Standard Time": "Asia/Kolkata",
+    "Greenwich Standard Time": "Atlantic/Reykjavik",
+}
+
 # Messages of a page check that could not be made.
 TEMPLATE_ERROR = "text_template must contain exactly one '<date_str>' substring"
 SELECTOR_ERROR = "Exactly one of xpath or css must be specified"
@@ -53,7 +70,7 @@ NOT_FOUND_ERROR = "Could not find HTML element according to "
 TEMPLATE_MISMATCH_ERROR = "text_template is not valid for the HTML element"
 
 # Alert subjects.
-SUBJECT_PREFIX = "Alert!! from automation"
+SUBJECT_PREFIX = "Alert"
 RELEASED_SUBJECT = "Data Release Detected"
 RELEASE_ERROR_SUBJECT = "Data Release Error"
 

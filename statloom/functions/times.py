@@ -21,6 +21,11 @@ def local_date(ts: Column, zone: str = DEFAULT_ZONE) -> Column:
     return local_time(ts, zone).cast("date")
 
 
+def local_midnight(date: Column, zone: str = DEFAULT_ZONE) -> Column:
+    """The UTC time at which a local day begins; constant for a constant date, so it reaches the scan."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), date.cast("timestamp_ntz"))
+
+
 def iso_local(ts: Column, zone: str = DEFAULT_ZONE) -> Column:
     """ISO text with offset, with the fraction only when there is one."""
     local = local_time(ts, zone)

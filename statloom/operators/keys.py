@@ -5,39 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 32
-# Input that Python should not work off in a few tasks, per core.
-SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
 
-
-def estimated_bytes(table: DataFrame) -> int:
-    """Spark's own upper estimate of a table's size, as its join planning uses it. Runs no job."""
-    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def shuffle_partitions(table: DataFrame) -> int:
+    return int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: list[str],
-           how: str = "inner", salts: int = SALTS) -> DataFrame:
+           how: str = "inner", salts: int | None = None) -> DataFrame:
     """Join ``facts`` (few rows per key) to ``rows``, where one key may hold most of the rows.
 
-    Facts that measure below the broadcast threshold are joined as they are. Otherwise the rows of a
-    key are spread over ``salts`` partitions by the columns in ``spread``, and the facts are repeated
-    that often.
+    The rows of a key are spread over ``salts`` partitions (a quarter of a shuffle's, else) by the
+    columns in ``spread``, and the facts are repeated that often. Facts that Spark finds small are
+    broadcast all the same.
     """
-    session = rows.sparkSession._jsparkSession.sessionState().conf()
-    if estimated_bytes(facts) <= session.autoBroadcastJoinThreshold():
-        return rows.join(facts, keys, how)
+    salts = salts or max(2, shuffle_partitions(rows) // 4)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(salted, keys + ["_salt"], how).drop("_salt")
 
 
-def spread_small(table: DataFrame) -> DataFrame:
-    """Spread a small table over all cores, for Python work that would else run in one or two tasks.
-
-    A table that is larger than a few splits per core has enough tasks, and is left alone.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(2 * cores) if estimated_bytes(table) <= cores * SMALL_BYTES_PER_CORE else table
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table over all tasks of a shuffle by its key, for Python work on rows that are large: a
+    file of one row group would be worked off by one task."""
+    tasks = max(shuffle_partitions(table), 2 * table.sparkSession.sparkContext.defaultParallelism)
+    return table.repartition(tasks, *keys)
 
 
 def numbered(rows: DataFrame, keys: list[str], order: Column, block: Column, name: str,

@@ -26,8 +26,13 @@ def wide_to_long(wide: DataFrame, ids: list[str], values: list[str] | None = Non
 
 
 def long_to_wide(long: DataFrame, ids: list[str], name: str, values: list[str], cell: Column) -> DataFrame:
-    """One column per entry of ``values``; naming them saves a job that looks for them."""
-    return long.groupBy(*ids).pivot(name, values).agg(cell)
+    """One column per entry of ``values``; naming them saves a job that looks for them.
+
+    A row whose name is not listed ends the job: it would have no column to go to.
+    """
+    unknown = F.raise_error(F.concat(F.lit(f"{name} is not listed: "), F.coalesce(F.col(name).cast("string"), F.lit("NULL"))))
+    listed = F.when(F.col(name).isin(*values), F.col(name)).otherwise(unknown)
+    return long.withColumn(name, listed).groupBy(*ids).pivot(name, values).agg(cell)
 
 
 def label_keys_to_columns(long: DataFrame, levels: int, name: str = "label") -> DataFrame:

@@ -82,7 +82,7 @@ def select_cells(cells: DataFrame, selection: str | dict, titles: dict[str, str]
     """
     if selection == ALL:
         return cells
-    latest = None
+    every, latest = cells, []
     for title, column in titles.items():
         wanted = selection[title]
         if isinstance(wanted, (list, tuple)):
@@ -93,17 +93,18 @@ def select_cells(cells: DataFrame, selection: str | dict, titles: dict[str, str]
                 start_date = parse_period(F.lit(start), fmt)
                 cells = cells.where(parse_period(F.col(column), fmt) >= start_date)
             else:
-                latest = (column, fmt)
-    return cells if latest is None else latest_period(cells, keys or [], *latest)
+                latest.append((column, fmt))
+    # The latest period is that of the dataset, whatever else is selected.
+    for column, fmt in latest:
+        cells = latest_period(cells, keys or [], column, fmt, every)
+    return cells
 
 
-def latest_period(cells: DataFrame, keys: list[str], column: str, fmt: str) -> DataFrame:
-    """Rows of each dataset's latest period."""
+def latest_period(cells: DataFrame, keys: list[str], column: str, fmt: str, every: DataFrame | None = None) -> DataFrame:
+    """Rows of each dataset's latest period among the rows of ``every`` (else of ``cells``)."""
     dated = cells.withColumn("_date", parse_period(F.col(column), fmt))
-    if keys:
-        newest = dated.groupBy(*keys).agg(F.max("_date").alias("_date"))
-    else:
-        newest = dated.agg(F.max("_date").alias("_date"))
+    among = (cells if every is None else every).select(*keys, parse_period(F.col(column), fmt).alias("_date"))
+    newest = among.groupBy(*keys).agg(F.max("_date").alias("_date"))
     return dated.join(newest, [*keys, "_date"], "left_semi").select(cells.columns)
 
 
@@ -151,7 +152,8 @@ def find_in_catalogue(entries: DataFrame, category: str, group: str, dataset: st
 
 
 def skip_names(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
-    return rows.where(~F.col(column).isin(*names))
+    """Rows whose name is none of ``names``; rows without a name stay."""
+    return rows.where(F.coalesce(~F.col(column).isin(*names), F.lit(True)))
 
 
 def catalogue_counts(entries: DataFrame) -> DataFrame:

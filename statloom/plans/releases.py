@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.fixed_values import DEFAULT_ZONE
 from statloom.functions.checks import template_check
 from statloom.functions.events import body_files, body_script, body_url
-from statloom.functions.times import iso_local, local_date, off_schedule
-from statloom.operators.keys import attach, spread_small
+from statloom.functions.times import iso_local, local_midnight, off_schedule
+from statloom.operators.keys import attach, spread
 from statloom.sources.html import css_path, element_text, has_element, page_xml
 
-MAX_SELECTORS = 1000
+# Selectors of one expression: a nested choice among more of them takes long to plan.
+SELECTORS_AT_ONCE = 16
 
 
-def event_window(events: DataFrame, today: Column, days: int, start: str = "start_dt", end: str = "end_dt") -> DataFrame:
+def event_window(events: DataFrame, today: Column, days: int, start: str = "start_dt", end: str = "end_dt",
+                 zone: str = DEFAULT_ZONE) -> DataFrame:
     """Events that start after yesterday and end before the day behind the next ``days``.
 
-    ``today`` is a date; both comparisons are strict and on the midnight of their day.
+    ``today`` is a local date, times are in UTC; both comparisons are strict and on the local midnight
+    of their day.
     """
     if not isinstance(days, int) or isinstance(days, bool) or days < 1:
         raise ValueError(f"{days} should be positive integer")
     return events.where(
-        (F.col(start) > F.date_sub(today, 1).cast("timestamp_ntz"))
-        & (F.col(end) < F.date_add(today, days + 1).cast("timestamp_ntz"))
+        (F.col(start) > local_midnight(F.date_sub(today, 1), zone))
+        & (F.col(end) < local_midnight(F.date_add(today, days + 1), zone))
     )
 
 
@@ -33,7 +38,7 @@ def next_releases(events: DataFrame, today: Column, days: int, zone: str = DEFAU
 
     ``events``: ``ical_uid, title, start_dt, end_dt, body``, times in UTC.
     """
-    return event_window(events, today, days).orderBy("start_dt", "ical_uid").select(
+    return event_window(events, today, days, zone=zone).orderBy("start_dt", "ical_uid").select(
         "ical_uid", "title", iso_local(F.col("start_dt"), zone).alias("release_dt"),
         body_files(F.col("body")).alias("files"), body_url(F.col("body")).alias("url"),
         body_script(F.col("body")).alias("script"),
@@ -45,19 +50,35 @@ def due_releases(events: DataFrame, services: DataFrame, today: Column, zone: st
 
     ``events``: ``uid, name, begin`` (UTC); ``services``: ``name``.
     """
-    today_events = events.where(local_date(F.col("begin"), zone) == today)
+    tomorrow = local_midnight(F.date_add(today, 1), zone)
+    today_events = events.where((F.col("begin") >= local_midnight(today, zone)) & (F.col("begin") < tomorrow))
     due = attach(today_events, services.select("name"), ["name"], ["uid"], "left_semi")
     return due.select("uid", "name", "begin", off_schedule(F.col("begin"), zone).alias("off_schedule"))
 
 
 def _distinct_selectors(rules: DataFrame) -> list[tuple[str, str]]:
     used = rules.where(F.col("selector_kind").isin("xpath", "css") & (F.length("selector") > 0))
-    found = used.select("selector_kind", "selector").distinct().limit(MAX_SELECTORS + 1).collect()
-    if len(found) > MAX_SELECTORS:
-        raise ValueError(f"more than {MAX_SELECTORS} different selectors: check the rules in parts")
+    found = used.select("selector_kind", "selector").distinct().orderBy("selector_kind", "selector").collect()
     return [(row.selector_kind, row.selector) for row in found]
 
 
+def _elements(wanted: DataFrame, pages: DataFrame, selectors: list[tuple[str, str]]) -> DataFrame:
+    """``url, selector_kind, selector`` with whether the element is there, and its text."""
+    found, text, asked = F.lit(False), F.lit(None).cast("string"), F.lit(False)
+    for kind, selector in selectors:
+        path = css_path(selector) if kind == "css" else selector
+        mine = (F.col("selector_kind") == kind) & (F.col("selector") == selector)
+        asked = asked | mine
+        found = F.when(mine, has_element(F.col("_xml"), path)).otherwise(found)
+        text = F.when(mine, element_text(F.col("_xml"), path)).otherwise(text)
+    own = wanted.where(asked)
+    # Pages nobody asks for go before the others are spread over the tasks.
+    watched = spread(pages.select("url", "html").join(own.select("url"), "url", "left_semi"), "url")
+    watched = watched.select("url", page_xml("html").alias("_xml"))
+    return watched.join(own, "url").select(
+        "url", "selector_kind", "selector", found.alias("_found"), F.trim(text).alias("_text"))
+
+
 def check_pages(rules: DataFrame, pages: DataFrame, selectors: list[tuple[str, str]] | None = None,
                 raw_regex: bool = False) -> DataFrame:
     """``rule_id, updated, info`` of every rule.
@@ -69,16 +90,9 @@ def check_pages(rules: DataFrame, pages: DataFrame, selectors: list[tuple[str, s
     selectors = _distinct_selectors(rules) if selectors is None else selectors
     asked = ["url", "selector_kind", "selector"]
     wanted = rules.select(asked).where(F.col("selector_kind").isin("xpath", "css")).distinct()
-    watched = spread_small(pages.select("url", "html")).join(wanted.select("url"), "url", "left_semi")
-    watched = watched.select("url", page_xml("html").alias("_xml"))
-    found, text = F.lit(False), F.lit(None).cast("string")
-    for kind, selector in selectors:
-        path = css_path(selector) if kind == "css" else selector
-        mine = (F.col("selector_kind") == kind) & (F.col("selector") == selector)
-        found = F.when(mine, has_element(F.col("_xml"), path)).otherwise(found)
-        text = F.when(mine, element_text(F.col("_xml"), path)).otherwise(text)
+    blocks = [selectors[k:k + SELECTORS_AT_ONCE] for k in range(0, len(selectors), SELECTORS_AT_ONCE)] or [[]]
     # Each element is looked up once, however many rules ask for it; rules never carry a page along.
-    elements = watched.join(wanted, "url").select(*asked, found.alias("_found"), F.trim(text).alias("_text"))
+    elements = reduce(DataFrame.unionByName, (_elements(wanted, pages, block) for block in blocks))
     seen = rules.join(elements, asked, "left")
     result = template_check(
         F.col("text_template"), F.col("date_str"), F.col("selector_kind"), F.col("selector"),

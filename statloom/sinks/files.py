@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.functions.times import iso_local
 from statloom.fixed_values import CELLS_PER_REQUEST, MISSING_CELL
 from statloom.operators.chunks import assign_chunks
 from statloom.operators.keys import attach
@@ -140,15 +141,21 @@ def tree_documents(entries: DataFrame, per_document: int = 1000) -> DataFrame:
     """Catalogue as JSON: ``category, group, part, json``, where ``json`` is ``{category: {group: [datasets]}}``.
 
     The datasets of a group are listed in document order, by parts of ``per_document`` places, so
-    that no document grows with its group.
+    that no document grows with its group. A group without datasets has an empty list, a category
+    without groups an empty object; datasets directly under a category stand in no document.
     """
-    part = F.floor(F.col("dataset_pos") / per_document).cast("bigint")
-    listed = entries.where(F.col("dataset").isNotNull()).groupBy("category", "group", part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("dataset_pos", "dataset"))).alias("datasets")
+    part = F.coalesce(F.floor(F.col("dataset_pos") / per_document).cast("bigint"), F.lit(0).cast("bigint"))
+    place = F.when(F.col("dataset").isNotNull(), F.struct("dataset_pos", "dataset"))
+    listed = entries.where(F.col("group").isNotNull()).groupBy("category", "group", part.alias("part")).agg(
+        F.array_sort(F.collect_list(place)).alias("datasets")
     )
     names = F.transform("datasets", lambda x: x["dataset"])
     tree = F.create_map(F.col("category"), F.create_map(F.col("group"), names))
-    return listed.select("category", "group", "part", F.to_json(tree).alias("json"))
+    bare = entries.groupBy("category").agg(F.count("group").alias("groups")).where("groups = 0").select(
+        "category", F.lit(None).cast("string").alias("group"), F.lit(0).cast("bigint").alias("part"),
+        F.to_json(F.create_map(F.col("category"), F.create_map().cast("map<string,string>"))).alias("json"),
+    )
+    return listed.select("category", "group", "part", F.to_json(tree).alias("json")).unionByName(bare)
 
 
 def verdict_documents(verdicts: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -161,10 +168,20 @@ def verdict_documents(verdicts: DataFrame, manifest: DataFrame) -> DataFrame:
 def next_day_document(events: DataFrame, calendar_id: str, zone: str) -> DataFrame:
     """The summary of a day's releases: the first event and the common fields. One row.
 
-    The events themselves are written as rows beside it.
+    ``release_dt`` is in UTC, ``next_dt`` local with its offset. The events themselves are written as
+    rows beside it, see ``next_day_events``.
     """
-    first = events.agg(F.min("release_dt").alias("next_dt"))
+    first = events.agg(F.min("release_dt").alias("next_dt")).select(iso_local(F.col("next_dt"), zone).alias("next_dt"))
     return first.select(F.to_json(F.struct(
         "next_dt", F.lit(calendar_id).alias("calendar_id"),
         F.lit(f'Gives datetimes according to "{zone}" timezone.').alias("meta"),
     ), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def next_day_events(events: DataFrame) -> DataFrame:
+    """The full information of a day's releases, a JSON line per event: ``ical_uid, json``.
+
+    ``events``: ``ical_uid, title, release_dt, files, url, script``, as ``next_releases`` gives them.
+    """
+    info = F.struct("ical_uid", "title", "release_dt", "files", "url", "script")
+    return events.select("ical_uid", F.to_json(info, {"ignoreNullFields": "false"}).alias("json"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zoneinfo
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.fixed_values import DEFAULT_ZONE
+from statloom.fixed_values import CALENDAR_ZONES, DEFAULT_ZONE
 
 
 def _property(name: str) -> Column:
@@ -13,16 +15,24 @@ def _property(name: str) -> Column:
 
 
 def _plain(text: Column) -> Column:
-    """Undo the escapes of ICS text values."""
-    for escaped, char in ((r"\n", "\n"), (r"\,", ","), (r"\;", ";"), ("\\\\", "\\")):
+    """Undo the escapes of ICS text values, from left to right: an escaped backslash escapes nothing."""
+    held = "\ue000"  # stands for an escaped backslash until the others are undone
+    for escaped, char in (("\\\\", held), (r"\n", "\n"), (r"\N", "\n"), (r"\,", ","), (r"\;", ";"), (held, "\\")):
         text = F.replace(text, F.lit(escaped), F.lit(char))
     return F.trim(text)
 
 
+def _region(name: Column) -> Column:
+    """A zone's region name; NULL for a name that is neither a region nor known here."""
+    known = F.create_map(*(F.lit(x) for pair in CALENDAR_ZONES.items() for x in pair))
+    return F.when(name.isin(*sorted(zoneinfo.available_timezones())), name).otherwise(known[name])
+
+
 def read_ics(spark: SparkSession, paths: str | list[str], zone: str = DEFAULT_ZONE) -> DataFrame:
-    """``uid, name, begin`` per event, ``begin`` as ``timestamp_ntz`` in UTC.
+    """``uid, name, begin, error`` per event, ``begin`` as ``timestamp_ntz`` in UTC.
 
-    A time with no zone of its own is taken to be in ``zone``; a date stands for its midnight.
+    A time with no zone of its own is taken to be in ``zone``; a date stands for its midnight. Where the
+    time or its zone cannot be read, ``begin`` is NULL and ``error`` tells what stands there.
     """
     records = spark.read.option("lineSep", "BEGIN:VEVENT").text(paths)
     event = F.regexp_extract("value", "(?s)^(.*?)END:VEVENT", 1)
@@ -32,9 +42,13 @@ def read_ics(spark: SparkSession, paths: str | list[str], zone: str = DEFAULT_ZO
     own_zone = F.nullif(F.regexp_extract("event", r'(?md)^DTSTART[^:\n]*;TZID="?([^:;"\n]+)"?', 1), F.lit(""))
     pattern = F.when(stamp.rlike(r"^\d{8}$"), "yyyyMMdd").otherwise("yyyyMMdd'T'HHmmss")
     local = F.call_function("try_to_timestamp", F.rtrim(stamp, F.lit("Z")), pattern).cast("timestamp_ntz")
-    local_zone = F.when(F.endswith(stamp, F.lit("Z")), "UTC").otherwise(F.coalesce(own_zone, F.lit(zone)))
+    named = F.when(own_zone.isNull(), F.lit(zone)).otherwise(_region(own_zone))
+    local_zone = F.when(F.endswith(stamp, F.lit("Z")), "UTC").otherwise(named)
+    error = F.when(local_zone.isNull(), F.concat(F.lit("unknown zone: "), own_zone)).when(
+        local.isNull(), F.concat(F.lit("not a time: "), stamp))
     return events.select(
         _plain(_property("UID")).alias("uid"),
         _plain(_property("SUMMARY")).alias("name"),
         F.convert_timezone(local_zone, F.lit("UTC"), local).alias("begin"),
+        error.alias("error"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from statloom.operators.keys import spread_small
+from statloom.operators.keys import spread
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # An element that may stay open, and the tags that end it.
@@ -220,6 +220,6 @@ def html_tables(pages: DataFrame, key: str, html: str, class_name: str | None =
                 found.extend((page, *cell) for cell in _table_cells(text or "", class_name))
             yield pd.DataFrame(found, columns=[key, "table_no", "row", "col", "text"])
 
-    return spread_small(pages.select(key, html)).mapInPandas(
+    return spread(pages.select(key, html), key).mapInPandas(
         cells, f"`{key}` {key_type}, table_no int, row int, col int, text string"
     )

@@ -79,8 +79,13 @@ def test_merge_series(spark):
 def test_documents(spark):
     entries = spark.createDataFrame([("c", 'g"', f"d{i}", i) for i in range(5)] + [("c", "empty", None, None)],
                                     "category string, `group` string, dataset string, dataset_pos int")
-    found = {r.part: r.json for r in files.tree_documents(entries, 3).collect()}
-    assert found == {0: '{"c":{"g\\"":["d0","d1","d2"]}}', 1: '{"c":{"g\\"":["d3","d4"]}}'}
+    entries = entries.union(entries.sparkSession.createDataFrame(
+        [("bare", None, None, None), ("direct", None, "d", 0)], entries.schema))
+    found = {(r.category, r.group, r.part): r.json for r in files.tree_documents(entries, 3).collect()}
+    assert found == {
+        ("c", 'g"', 0): '{"c":{"g\\"":["d0","d1","d2"]}}', ("c", 'g"', 1): '{"c":{"g\\"":["d3","d4"]}}',
+        ("c", "empty", 0): '{"c":{"empty":[]}}', ("bare", None, 0): '{"bare":{}}', ("direct", None, 0): '{"direct":{}}',
+    }
 
 
 def test_one_folder_per_key(spark, tmp_path):
@@ -92,3 +97,9 @@ def test_one_folder_per_key(spark, tmp_path):
     texts = spark.createDataFrame([("a", "one"), ("b", "two")], "k string, t string")
     files.write_text(texts, "t", str(tmp_path / "text"), "k")
     assert spark.read.text(str(tmp_path / "text")).where("k = 'a'").first().value == "one"
+
+
+def test_unlisted_labels_are_an_error(spark):
+    long = spark.createDataFrame([("d", "a", "1"), ("d", "b", "2")], "dataset string, label string, cell string")
+    with pytest.raises(Exception, match="label is not listed: b"):
+        reshape.long_to_wide(long, ["dataset"], "label", ["a"], F.first("cell")).collect()

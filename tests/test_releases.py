@@ -108,7 +108,7 @@ def test_event_window(spark):
     rows = [(i, day + dt.timedelta(days=d, seconds=s), day + dt.timedelta(days=e))
             for i, (d, s, e) in enumerate([(-1, 0, 0), (-1, 1, 0), (0, 0, 1), (1, 0, 1.9), (1, 0, 2), (0, 0, 3)])]
     events = spark.createDataFrame(rows, "id int, start_dt timestamp_ntz, end_dt timestamp_ntz")
-    kept = releases.event_window(events, F.lit("2021-09-15").cast("date"), 1).collect()
+    kept = releases.event_window(events, F.lit("2021-09-15").cast("date"), 1, zone="UTC").collect()
     assert [r.id for r in kept] == [1, 2, 3]
     for days in (0, -1, 1.5, True, "1"):
         with pytest.raises(ValueError):
@@ -125,3 +125,30 @@ def test_next_releases_are_sorted_by_time(spark):
     assert [(r.ical_uid, r.release_dt, r.files) for r in rows] == [
         ("a", "2021-09-26T00:00:00+12:00", []), ("b", "2021-09-26T03:00:00+13:00", ["x"]),
     ]
+
+
+def test_local_midnights_bound_the_window(spark):
+    day = dt.datetime(2021, 9, 13, 12)  # midnight of the 14th in Auckland
+    rows = [(i, day + dt.timedelta(minutes=m)) for i, m in enumerate((0, 1, 60, 3 * 1440 - 61, 3 * 1440 - 60))]
+    events = spark.createDataFrame(rows, "id int, start_dt timestamp_ntz").withColumn("end_dt", F.col("start_dt") + F.expr("interval 1 hour"))
+    kept = releases.event_window(events, F.lit("2021-09-15").cast("date"), 1)
+    assert sorted(r.id for r in kept.collect()) == [1, 2, 3]
+
+
+def test_calendar_escapes_and_zones(spark, tmp_path):
+    (tmp_path / "a.ics").write_text("".join(
+        f"BEGIN:VEVENT\r\nUID:{uid}\r\nSUMMARY:{name}\r\nDTSTART{start}\r\nEND:VEVENT\r\n" for uid, name, start in [
+            ("1", "C:\\\\new\\Nline\\, end", ";TZID=New Zealand Standard Time:20210915T104500"),
+            ("2", "x", ";TZID=Nowhere Time:20210915T104500"), ("3", "y", ":2021")]))
+    rows = {r.uid: r for r in read_ics(spark, str(tmp_path)).collect()}
+    assert rows["1"].name == "C:\\new\nline, end" and rows["1"].begin == dt.datetime(2021, 9, 14, 22, 45) and rows["1"].error is None
+    assert rows["2"].begin is None and rows["2"].error == "unknown zone: Nowhere Time"
+    assert rows["3"].begin is None and rows["3"].error == "not a time: 2021"
+
+
+def test_many_selectors(spark):
+    rules = spark.createDataFrame([(f"r{k}", "u", "<date_str>", f"t{k}", "css", f"#e{k}") for k in range(60)],
+                                  "rule_id string, url string, text_template string, date_str string, selector_kind string, selector string")
+    page = "".join(f"<p id='e{k}'>t{k}</p>" for k in range(60))
+    found = releases.check_pages(rules, spark.createDataFrame([("u", page)], "url string, html string")).collect()
+    assert len(found) == 60 and all(r.updated for r in found)

@@ -91,29 +91,36 @@ def test_numbered_with_a_hot_key(spark):
     }
 
 
-@pytest.mark.parametrize("threshold, salted", [("10MB", False), ("-1", True)])
-def test_attach_with_a_hot_key(spark, threshold, salted):
-    """Small facts are joined as they are; others are salted. The rows are the same."""
+def test_attach_with_a_hot_key(spark):
+    """The rows of a hot key go to several tasks."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        check_attach(spark, salted)
+        rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+        facts = rows.select("k").distinct().withColumn("fact", F.length("k"))
+        joined = attach(rows, facts, ["k"], ["id"], salts=8)
+        assert joined.count() == 20_000
+        assert joined.where(F.col("fact") != F.length("k")).count() == 0
+        hot = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(hot) > 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def check_attach(spark, salted):
-    rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    facts = rows.select("k").distinct().withColumn("fact", F.length("k"))
-    joined = attach(rows, facts, ["k"], ["id"])
-    assert ("_salt" in joined._jdf.queryExecution().analyzed().toString()) == salted
-    assert joined.count() == 20_000
-    assert joined.where(F.col("fact") != F.length("k")).count() == 0
-    if salted:
-        hot = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-        assert len(hot) > 1
+def test_latest_period_of_the_whole_dataset(spark):
+    cells = spark.createDataFrame([("F", "2020M01", "2020M01"), ("O", "2020M02", "2020M01"), ("F", "2020M02", "2019M12")], "s string, t string, u string")
+    titles, latest = {"Status": "s", "Time": "t", "Seen": "u"}, "USE_LATEST_DATETIME<%YM%m>"
+    kept = selection.select_cells(cells, {"Status": ["F"], "Time": latest, "Seen": "ALL"}, titles)
+    assert [tuple(r) for r in kept.collect()] == [("F", "2020M02", "2019M12")]
+    kept = selection.select_cells(cells, {"Status": "ALL", "Time": latest, "Seen": latest}, titles)
+    assert [tuple(r) for r in kept.collect()] == [("O", "2020M02", "2020M01")]
+
+
+def test_names_that_are_null_are_not_skipped(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "n string")
+    assert [r.n for r in selection.skip_names(rows, "n", ["a"]).collect()] == [None]
 
 
 def test_first_difference(spark):

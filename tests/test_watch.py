@@ -127,7 +127,7 @@ def test_alerts(spark):
     )
     found = {r.release_id: (r.subject, r.message) for r in watch.watch_alerts(outcomes, details).collect()}
     assert set(found) == {1, 2}
-    assert found[1] == ("Alert!! from automation- Data Release Detected", 'New data for "t1", date "Aug 2021". Download: /u')
+    assert found[1] == ("Alert- Data Release Detected", 'New data for "t1", date "Aug 2021". Download: /u')
     assert "boom" in found[2][1]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.fixed_values import DEFAULT_ZONE
 from statloom.functions import periods, text, times, values
-from statloom.operators.keys import spread_small
+from statloom.operators.keys import spread
 from statloom.operators.reshape import with_period_dates
 from statloom.operators.selection import expand_points, parse_selection
 from statloom.plans.watch import probe_alerts
@@ -294,7 +294,7 @@ def yesterday_month(spark, folder):
 
 @query("alert_rows", """
     SELECT event_id AS probe_id, CASE event_type WHEN 'error' THEN 'exception' ELSE 'unsuccessful' END AS outcome,
-           'Alert!! from automation- ' || CASE event_type WHEN 'error' THEN 'Site check BROKEN'
+           'Alert- ' || CASE event_type WHEN 'error' THEN 'Site check BROKEN'
                                           ELSE 'Site NOT WORKING?' END AS subject,
            CASE event_type WHEN 'error' THEN 'The check of site-' || user_id || ' ended with: ' || props
                 ELSE 'The download failed, please look at site-' || user_id END AS message
@@ -339,7 +339,7 @@ def page_links(spark, folder):
     FROM pages
 """)
 def page_elements(spark, folder):
-    pages = spread_small(table(spark, folder, "pages").select("page_id", "html"))
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
     pages = pages.select("page_id", page_xml("html").alias("xml"))
     xml = F.col("xml")
     return pages.select(

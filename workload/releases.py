@@ -11,7 +11,7 @@ from statloom.functions.times import off_schedule as is_off_schedule
 from statloom.plans import releases, watch
 from statloom.plans.merge import extract_tables
 from statloom.session import scratch_path
-from statloom.sinks.files import next_day_document
+from statloom.sinks.files import next_day_document, next_day_events
 from statloom.sources.calendar import read_ics
 from statloom.sources.html import html_tables
 from statloom.streaming import cadence, release_watch, runs, snapshots
@@ -61,23 +61,44 @@ def event_body_fields(spark, folder):
            || lpad(CAST(date_diff('hour', o_orderdate, o_orderdate AT TIME ZONE 'UTC' AT TIME ZONE '{DEFAULT_ZONE}')
                         AS VARCHAR), 2, '0') || ':00' AS release_dt, {_FIELDS_SQL}
     FROM orders
-    WHERE o_orderdate > TIMESTAMP '1998-03-01' AND o_orderdate + INTERVAL 1 HOUR < TIMESTAMP '1998-06-01'
+    WHERE o_orderdate > TIMESTAMP '1998-03-01' AT TIME ZONE '{DEFAULT_ZONE}' AT TIME ZONE 'UTC'
+      AND o_orderdate + INTERVAL 1 HOUR < TIMESTAMP '1998-06-01' AT TIME ZONE '{DEFAULT_ZONE}' AT TIME ZONE 'UTC'
 """)
 def next_releases(spark, folder):
     found = releases.next_releases(_bodies(spark, folder), F.lit("1998-03-02").cast("date"), 90)
     return found.withColumn("files", F.array_join("files", "|"))
 
 
+_NEXT_DAY_SQL = f"""
+    SELECT *, strftime(o_orderdate AT TIME ZONE 'UTC' AT TIME ZONE '{DEFAULT_ZONE}', '%Y-%m-%dT%H:%M:%S') || '+'
+              || lpad(CAST(date_diff('hour', o_orderdate, o_orderdate AT TIME ZONE 'UTC' AT TIME ZONE '{DEFAULT_ZONE}')
+                           AS VARCHAR), 2, '0') || ':00' AS local
+    FROM orders
+    WHERE o_orderdate > TIMESTAMP '1998-03-01' AT TIME ZONE '{DEFAULT_ZONE}' AT TIME ZONE 'UTC'
+      AND o_orderdate + INTERVAL 1 HOUR < TIMESTAMP '1998-03-04' AT TIME ZONE '{DEFAULT_ZONE}' AT TIME ZONE 'UTC'
+"""
+
+
 @query("next_day_document", f"""
-    SELECT '{{"next_dt":"' || strftime(min(o_orderdate), '%Y-%m-%dT%H:%M:%S') || '.000","calendar_id":"orders","meta":"Gives datetimes '
+    SELECT '{{"next_dt":"' || min(local) || '","calendar_id":"orders","meta":"Gives datetimes '
            || 'according to \\"{DEFAULT_ZONE}\\" timezone."}}' AS json
-    FROM orders WHERE o_orderdate > TIMESTAMP '1998-03-01'
+    FROM ({_NEXT_DAY_SQL})
 """)
 def next_day(spark, folder):
-    later = _bodies(spark, folder).where(F.col("start_dt") > F.lit("1998-03-01").cast("timestamp_ntz"))
+    later = releases.event_window(_bodies(spark, folder), F.lit("1998-03-02").cast("date"), 1)
     return next_day_document(later.withColumnRenamed("start_dt", "release_dt"), "orders", DEFAULT_ZONE)
 
 
+@query("next_day_events", f"""
+    SELECT ical_uid, CAST(to_json({{'ical_uid': ical_uid, 'title': title, 'release_dt': local,
+                                    'files': CASE WHEN files = '' THEN [] ELSE string_split(files, '|') END,
+                                    'url': url, 'script': script}}) AS VARCHAR) AS json
+    FROM (SELECT o_orderkey AS ical_uid, 'Release ' || o_orderkey AS title, local, {_FIELDS_SQL} FROM ({_NEXT_DAY_SQL}))
+""")
+def next_day_rows(spark, folder):
+    return next_day_events(releases.next_releases(_bodies(spark, folder), F.lit("1998-03-02").cast("date"), 1))
+
+
 _HOURS = "o_orderdate + to_hours(CAST(o_custkey % 24 AS INT))"
 
 
@@ -109,7 +130,7 @@ def ics_events(spark, folder):
     )
     path = scratch_path(spark, "ics")
     table(spark, folder, "orders").select(event.alias("value")).write.text(path)
-    return read_ics(spark, path)
+    return read_ics(spark, path).select("uid", "name", "begin")
 
 
 _DUE_DAY = "2024-01-17"
@@ -299,7 +320,7 @@ def release_watch_stream(spark, folder):
 
 @query("alert_once", f"""
     WITH outcomes AS ({_watch_sql(1440)})
-    SELECT release_id, 'Alert!! from automation- ' || CASE outcome WHEN 'RELEASED' THEN 'Data Release Detected'
+    SELECT release_id, 'Alert- ' || CASE outcome WHEN 'RELEASED' THEN 'Data Release Detected'
                                                       ELSE 'Data Release Error' END AS subject,
            CASE outcome WHEN 'RELEASED'
                 THEN 'New data for "user ' || user_id || '", date "' || strftime(ts, '%b %Y') || '". Download: /' || user_id

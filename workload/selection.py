@@ -42,6 +42,19 @@ def select_latest(spark, folder):
     return selection.select_cells(_cells(spark, folder), wanted, _TITLES, ["o_custkey"])
 
 
+# The latest month is that of all of a customer's orders, not of the listed ones.
+@query("select_latest_listed", """
+    WITH dated AS (
+        SELECT *, date_trunc('month', o_orderdate) AS m, max(date_trunc('month', o_orderdate)) OVER (PARTITION BY o_custkey) AS newest
+        FROM orders)
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, strftime(o_orderdate, '%YM%m') AS period
+    FROM dated WHERE m = newest AND o_orderstatus IN ('F', 'P')
+""")
+def select_latest_listed(spark, folder):
+    wanted = {"Status": ["F", "P"], "Priority": "ALL", "Time": f"USE_LATEST_DATETIME<{_FMT}>"}
+    return selection.select_cells(_cells(spark, folder), wanted, _TITLES, ["o_custkey"])
+
+
 @query("select_until", _CELLS_SQL + "WHERE o_orderstatus = 'O' AND o_orderdate >= DATE '1998-03-01'")
 def select_until(spark, folder):
     wanted = {"Status": ["O"], "Priority": "ALL", "Time": f"<1998M03>UNTIL_LATEST_DATETIME<{_FMT}>"}
@@ -193,7 +206,7 @@ def catalogue_lookup(spark, folder):
 
 @query("skip_list", f"""
     WITH entries AS ({_CATALOGUE_SQL})
-    SELECT category, "group", dataset FROM entries WHERE "group" NOT IN ('NATION_3', 'NATION_7')
+    SELECT category, "group", dataset FROM entries WHERE "group" IS NULL OR "group" NOT IN ('NATION_3', 'NATION_7')
 """)
 def skip_list(spark, folder):
     kept = selection.skip_names(_catalogue(spark, folder), "group", ["NATION_3", "NATION_7"])
@@ -210,7 +223,8 @@ def catalogue_counts(spark, folder):
 
 @query("event_window", """
     SELECT event_id, ts AS start_dt, ts + INTERVAL 1 HOUR AS end_dt FROM events
-    WHERE ts > TIMESTAMP '2024-01-09' AND ts + INTERVAL 1 HOUR < TIMESTAMP '2024-01-18'
+    WHERE ts > TIMESTAMP '2024-01-09' AT TIME ZONE 'Pacific/Auckland' AT TIME ZONE 'UTC'
+      AND ts + INTERVAL 1 HOUR < TIMESTAMP '2024-01-18' AT TIME ZONE 'Pacific/Auckland' AT TIME ZONE 'UTC'
 """)
 def event_window(spark, folder):
     events = table(spark, folder, "events").select(

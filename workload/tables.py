@@ -476,10 +476,11 @@ def catalogue_file(spark, folder):
 
 @query("tree_json", f"""
     WITH entries AS ({_CATALOGUE_SQL})
-    SELECT category, "group", CAST(dataset_pos // 1000 AS BIGINT) AS part,
-           '{{"' || category || '":{{"' || "group" || '":["' || string_agg(dataset, '","' ORDER BY dataset_pos)
-           || '"]}}}}' AS json
-    FROM entries WHERE dataset IS NOT NULL GROUP BY category, "group", dataset_pos // 1000
+    SELECT category, "group", CAST(coalesce(dataset_pos // 1000, 0) AS BIGINT) AS part,
+           '{{"' || category || '":{{"' || "group" || '":['
+           || coalesce(string_agg('"' || dataset || '"', ',' ORDER BY dataset_pos), '') || ']}}}}' AS json
+    FROM entries WHERE "group" IS NOT NULL GROUP BY category, "group", coalesce(dataset_pos // 1000, 0)
+    UNION ALL SELECT category, NULL, 0, '{{"' || category || '":{{}}}}' FROM entries GROUP BY category HAVING count("group") = 0
 """)
 def tree_json(spark, folder):
     return files.tree_documents(_catalogue(spark, folder))
