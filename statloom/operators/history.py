@@ -50,12 +50,16 @@ def next_release(events: DataFrame, time: str, tie: str, now: Column) -> DataFra
     return events.where(F.col(time) > now).orderBy(time, tie).limit(1)
 
 
-def single_occurrence(events: DataFrame, uid: str, day: Column, keep: str) -> DataFrame:
-    """What to do with a recurring event on each day: cancel its one occurrence, or report several."""
-    return events.groupBy(uid, day.alias("day")).agg(
-        F.count(F.lit(1)).alias("occurrences"), F.min(keep).alias(keep)
-    ).select(
+def single_occurrence(events: DataFrame, uid: str, day: Column, keep: str, wanted: DataFrame | None = None) -> DataFrame:
+    """What to do with a recurring event on each day: cancel its one occurrence, or report several.
+
+    ``wanted`` (``uid, day``) lists what is asked for; an event that has no occurrence then is ``none``.
+    """
+    found = events.groupBy(uid, day.alias("day")).agg(F.count(F.lit(1)).alias("occurrences"), F.min(keep).alias(keep))
+    if wanted is not None:
+        found = wanted.select(uid, "day").distinct().join(found, [uid, "day"], "left").fillna(0, ["occurrences"])
+    return found.select(
         uid, "day", "occurrences",
-        F.when(F.col("occurrences") == 1, "cancel").otherwise("ambiguous").alias("action"),
+        F.when(F.col("occurrences") == 1, "cancel").when(F.col("occurrences") == 0, "none").otherwise("ambiguous").alias("action"),
         F.when(F.col("occurrences") == 1, F.col(keep)).alias(keep),
     )

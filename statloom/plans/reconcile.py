@@ -25,11 +25,12 @@ def grid_side(long: DataFrame) -> DataFrame:
 def reconcile(manifest: DataFrame, api: DataFrame, grid: DataFrame) -> DataFrame:
     """``name, api_fname, grid_fname, equivalent`` for every entry of the manifest, in one job.
 
-    ``api`` and ``grid`` are the two long tables with ``dataset`` = file name. A file named by the
-    manifest that has no rows on either side gives NULL.
+    ``api`` and ``grid`` are the two long tables with ``dataset`` = file name without ending; the
+    manifest may name files with or without it. A file named by the manifest that has no rows on either
+    side gives NULL.
     """
     def named(rows, fname):
-        names = manifest.select("name", F.col(fname).alias("dataset"))
+        names = manifest.select("name", F.regexp_replace(fname, r"\.(csv|txt)$", "").alias("dataset"))
         return attach(rows, names, ["dataset"], ["Period", "labels"]).select(
             F.col("name").alias("dataset"), *COLUMNS[1:]
         )
@@ -47,7 +48,7 @@ def reconcile_files(
     api_dataset: Column | None = None,
     grid_dataset: Column | None = None,
 ) -> DataFrame:
-    """Verdicts for files on disk. The manifest names files without folder and ending, or whatever
+    """Verdicts for files on disk. The manifest names files without folder, or whatever
     ``api_dataset`` and ``grid_dataset`` make of their ``_metadata``.
     """
     api = read_long_mixed(spark, api_path, api_dataset)

@@ -54,7 +54,7 @@ def _whole_files(spark, paths, is_body, facts, limit, dataset, body_required) ->
     text = (
         spark.read.text(paths, wholetext=True)
         .where(F.col("_metadata.file_size") <= limit)
-        .select(*_file_columns(dataset), F.split(F.regexp_replace("value", r"^\uFEFF", ""), "\r?\n").alias("lines"))
+        .select(*_file_columns(dataset), F.split(F.regexp_replace("value", r"^\uFEFF", ""), "\r\n|\n|\r").alias("lines"))
         .withColumn("lines", F.filter("lines", lambda line: line != ""))
     )
     first = F.array_position(F.transform("lines", is_body), F.lit(True))

@@ -1,10 +1,12 @@
+import datetime as dt
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from statloom.operators import compare, reshape, series
+from statloom.operators import compare, history, reshape, series
+from statloom.plans import reconcile
 from statloom.sinks import files
 
 SCHEMA = "dataset string, label string, value double"
@@ -103,3 +105,19 @@ def test_unlisted_labels_are_an_error(spark):
     long = spark.createDataFrame([("d", "a", "1"), ("d", "b", "2")], "dataset string, label string, cell string")
     with pytest.raises(Exception, match="label is not listed: b"):
         reshape.long_to_wide(long, ["dataset"], "label", ["a"], F.first("cell")).collect()
+
+
+def test_manifest_names_with_ending(spark):
+    schema = "dataset string, Period date, Value double, Status string, Label1 string"
+    rows = spark.createDataFrame([("a1", dt.date(2020, 1, 31), 1.0, "F", "x")], schema)
+    grid = rows.select("dataset", "Period", F.array("Label1").alias("labels"), "Value", "Status")
+    manifest = spark.createDataFrame([("n", "a1.csv", "a1.csv"), ("m", "a1", "b.csv")], "name string, api_fname string, grid_fname string")
+    found = {r.name: r.equivalent for r in reconcile.reconcile(manifest, rows, grid).collect()}
+    assert found["n"] is True and found["m"] is not True
+
+
+def test_occurrences(spark):
+    events = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("b", 1, "z")], "uid string, d int, iid string")
+    wanted = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "uid string, day int")
+    found = history.single_occurrence(events, "uid", F.col("d"), "iid", wanted).collect()
+    assert {(r.uid, r.action, r.iid) for r in found} == {("a", "cancel", "x"), ("b", "ambiguous", None), ("c", "none", None)}

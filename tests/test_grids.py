@@ -8,6 +8,7 @@ from statloom.plans import merge, reconcile
 from statloom.sinks import files
 from statloom.sources.grids import label_columns, long_from_cells, read_grids
 from statloom.sources.long_tables import read_long, read_long_mixed
+from statloom.sources.csv_text import read_csv_lines
 
 GRID = ',Male,Male,Female\n,"Trade, retail",Mining,Mining\n,,,\n2021M05,"1,234 P",..,7\n2021M06,"1,300",12 C,\n'
 MAY, JUNE = dt.date(2021, 5, 31), dt.date(2021, 6, 30)
@@ -187,3 +188,11 @@ def test_reconcile(spark, tmp_path):
     rows = reconcile.reconcile_differences(api, grid).collect()
     assert {(r.side, r.copies) for r in rows} == {("left", 1), ("right", 1)}
     assert verdict_of(spark, tmp_path, API, GRID.replace(",Male,Male,Female\n", "")) is False
+
+
+def test_lone_carriage_returns_end_lines_at_every_size(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b",x,y\r2021M01,1,2\r2021M02,3,4\r")
+    read = [sorted((r.line_no if "line_no" in r else 0, r.line) for r in read_csv_lines(
+        spark, str(tmp_path), lambda line: line.rlike("^2"), {"header": F.col("header")}, whole_file_bytes=n).select("line").collect())
+        for n in (1 << 20, 0)]
+    assert read[0] == read[1] and len(read[0]) == 2
