@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,6 +24,8 @@ SAMPLE_ROWS = 20_000
 WORDS, GRAMS, ORDERS = 40_000, 20_000, (4, 3, 2, 1)
 #: Each step back to shorter n-grams weighs so much.
 BACKOFF = 0.7
+#: Unknown words whose scores a task keeps.
+KEPT = 100_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -34,8 +36,18 @@ class Model:
     word_logs: np.ndarray
     grams: dict[int, dict[str, int]]
     gram_logs: dict[int, np.ndarray]
+    met: dict[str, np.ndarray] = field(default_factory=dict)
 
     def unseen(self, word: str) -> np.ndarray:
+        """What a word says that the model does not know; kept, within bounds, for when it comes again."""
+        logs = self.met.get(word)
+        if logs is None:
+            if len(self.met) >= KEPT:
+                self.met.clear()
+            logs = self.met[word] = self._backed_off(word)
+        return logs
+
+    def _backed_off(self, word: str) -> np.ndarray:
         padded, weight = f"^{word}$", 1.0
         for order in ORDERS:
             known = self.grams[order]
