@@ -11,13 +11,18 @@ from statloom.operators.keys import attach, numbered
 POSITIONS_PER_BLOCK = 100_000
 
 
-def cell_budget(options: DataFrame, limit: int = CELLS_PER_REQUEST) -> DataFrame:
-    """Cells and number of chunks per dataset, from its distinct ``dataset, title, option`` rows."""
+def cell_budget(options: DataFrame, limit: int = CELLS_PER_REQUEST, title: str = CHUNK_TITLE) -> DataFrame:
+    """Cells and number of chunks per dataset, from its distinct ``dataset, title, option`` rows.
+
+    A dataset that needs several chunks and has no options under ``title``, which is split, ends the job.
+    """
     per_title = options.groupBy("dataset", "title").agg(F.count(F.lit(1)).alias("n"))
+    chunks = F.ceil(F.col("cells") / limit).cast("bigint")
+    missing = F.raise_error(F.concat(F.lit(f"no title {title} in dataset "), F.col("dataset").cast("string")))
     return (
         per_title.groupBy("dataset")
-        .agg(F.product("n").alias("cells"))
-        .select("dataset", "cells", F.ceil(F.col("cells") / limit).cast("bigint").alias("chunks"))
+        .agg(F.product("n").alias("cells"), F.max(F.col("title") == title).alias("_has"))
+        .select("dataset", "cells", F.when((chunks > 1) & ~F.col("_has"), missing).otherwise(chunks).alias("chunks"))
     )
 
 
@@ -39,25 +44,18 @@ def assign_chunks(periods: DataFrame, budget: DataFrame, order: str, block: Colu
     )
 
 
-def require_title(options: DataFrame, title: str = CHUNK_TITLE) -> DataFrame:
-    """Fail for a dataset that has no options under the title that is split."""
-    has = options.groupBy("dataset").agg(F.max(F.col("title") == title).alias("_has"))
-    return has.select(
-        F.when(F.col("_has"), F.col("dataset")).otherwise(
-            F.raise_error(F.concat(F.lit(f"no title {title} in dataset "), F.col("dataset")))
-        ).alias("dataset")
-    )
-
+def first_difference(left: DataFrame, right: DataFrame, keys: list[str], position: str, line: str,
+                     required: bool = False) -> DataFrame:
+    """First position, per key, at which two copies of the lines differ.
 
-def first_difference(left: DataFrame, right: DataFrame, keys: list[str], position: str, line: str) -> DataFrame:
-    """First position, per key, at which two copies of the lines differ; none for equal copies.
-
-    Only positions that both copies have are compared.
+    Only positions that both copies have are compared. Equal copies give no row, or end the job if a
+    difference is ``required``, as between two chunks of a dataset.
     """
     other = right.select(*keys, position, F.col(line).alias("_other"))
-    return (
-        left.join(other, [*keys, position])
-        .where(~F.col(line).eqNullSafe(F.col("_other")))
-        .groupBy(*keys)
-        .agg(F.min(position).alias(position))
-    )
+    both = left.join(other, [*keys, position])
+    differs = ~F.col(line).eqNullSafe(F.col("_other"))
+    if not required:
+        return both.where(differs).groupBy(*keys).agg(F.min(position).alias(position))
+    equal = F.raise_error(F.concat(F.lit("two copies are identical: "), F.concat_ws(", ", *keys)))
+    found = both.groupBy(*keys).agg(F.min(F.when(differs, F.col(position))).alias(position))
+    return found.withColumn(position, F.when(F.col(position).isNull(), equal).otherwise(F.col(position)))

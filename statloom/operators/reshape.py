@@ -25,14 +25,21 @@ def wide_to_long(wide: DataFrame, ids: list[str], values: list[str] | None = Non
     return wide.select(*ids, F.inline(cells))
 
 
-def long_to_wide(long: DataFrame, ids: list[str], name: str, values: list[str], cell: Column) -> DataFrame:
-    """One column per entry of ``values``; naming them saves a job that looks for them.
+def long_to_wide(long: DataFrame, ids: list[str], name: str, values: list[str], cell: str) -> DataFrame:
+    """One column per entry of ``values``, in one aggregation; naming them saves a job that looks for them.
 
-    A row whose name is not listed ends the job: it would have no column to go to.
+    A row whose name is not listed ends the job: it would have no column to go to. So does a second
+    cell of the same ids and name, since only one could stay.
     """
     unknown = F.raise_error(F.concat(F.lit(f"{name} is not listed: "), F.coalesce(F.col(name).cast("string"), F.lit("NULL"))))
     listed = F.when(F.col(name).isin(*values), F.col(name)).otherwise(unknown)
-    return long.withColumn(name, listed).groupBy(*ids).pivot(name, values).agg(cell)
+
+    def column(value: str) -> Column:
+        own = F.when(F.col(name) == value, F.col(cell))
+        twice = F.raise_error(F.lit(f"more than one cell for {name} {value}"))
+        return F.when(F.count(own) > 1, twice).otherwise(F.max(own)).alias(value)
+
+    return long.withColumn(name, listed).groupBy(*ids).agg(*[column(value) for value in values])
 
 
 def label_keys_to_columns(long: DataFrame, levels: int, name: str = "label") -> DataFrame:
@@ -81,7 +88,7 @@ def stack_level(long: DataFrame, ids: list[str], level: str, columns: str, value
 
     Rows without a value in any column are dropped.
     """
-    wide = long_to_wide(long, [*ids, level], columns, values, F.first(cell, ignorenulls=True))
+    wide = long_to_wide(long, [*ids, level], columns, values, cell)
     return wide.where(reduce(Column.__or__, [F.col(f"`{name}`").isNotNull() for name in values]))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from statloom.functions.times import iso_local
 from statloom.fixed_values import CELLS_PER_REQUEST, MISSING_CELL
 from statloom.operators.chunks import assign_chunks
-from statloom.operators.keys import attach
+from statloom.operators.keys import attach, numbered
 from statloom.session import written
 
 
@@ -17,6 +17,56 @@ def csv_cell(text: Column) -> Column:
     return F.when(text.rlike('[",]'), quoted).otherwise(text)
 
 
+#: Lines of one file of a merged table.
+LINES_PER_FILE = 100_000
+
+
+def _heads(rows: DataFrame) -> DataFrame:
+    """The labels of all columns of a dataset: ``dataset, heads``. Bounded by the width of its grid."""
+    return (
+        rows.select("dataset", F.explode("cells.labels").alias("labels"))
+        .groupBy("dataset").agg(F.array_sort(F.collect_set("labels")).alias("heads"))
+    )
+
+
+def _body_lines(rows: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``line`` of rows with ``period, heads, cells``: for every head the row's cell of the same labels,
+
+    if it has one. Two cells of the same labels end the job.
+    """
+    repeated = F.raise_error(F.concat(F.lit("two cells of the same labels in "), F.col("dataset"), F.lit(", "), F.col("period")))
+    cells = F.when(F.size(F.array_distinct("cells.labels")) < F.size("cells"), repeated).otherwise(F.col("cells"))
+    marked = F.array_sort(F.concat(
+        F.transform("heads", lambda h: F.struct(h.alias("labels"), F.lit(1).alias("rank"), F.lit(MISSING_CELL).alias("cell"))),
+        F.transform(cells, lambda c: F.struct(c["labels"].alias("labels"), F.lit(2).alias("rank"), c["cell"].alias("cell"))),
+    ))
+    own = F.transform("marked", lambda x, i: F.when(x["rank"] == 1, F.when(
+        F.get("marked", i + 1)["rank"] == 2, F.get("marked", i + 1)["cell"]
+    ).otherwise(x["cell"])))
+    texts = rows.select(*keep, "period", marked.alias("marked")).select(
+        *keep, "period", F.filter(own, lambda c: c.isNotNull()).alias("texts"))
+    return texts.select(*keep, F.concat_ws(
+        ",", csv_cell(F.coalesce("period", F.lit(""))), F.array_join(F.transform("texts", csv_cell), ",")).alias("line"))
+
+
+def _label_lines(separator_line: bool) -> Column:
+    """The label lines of ``heads``, as an array."""
+    depth = F.array_max(F.transform("heads", F.size))
+    lines = F.transform(F.sequence(F.lit(0), depth - 1), lambda i: F.concat(F.lit(","), F.array_join(
+        F.transform("heads", lambda head: csv_cell(F.coalesce(F.get(head, i), F.lit("")))), ","
+    )))
+    return F.concat(lines, F.array(F.repeat(F.lit(","), F.size("heads")))) if separator_line else lines
+
+
+def _with_top(body: DataFrame, chunks: DataFrame, heads: DataFrame, separator_line: bool) -> DataFrame:
+    """The lines of ``body`` (``dataset, chunk, place, line``) and the label lines of every chunk."""
+    top = chunks.join(heads, "dataset").select(
+        "dataset", "chunk", F.lit(0).alias("section"), F.posexplode(_label_lines(separator_line)).alias("place", "line")
+    ).withColumn("place", F.col("place").cast("bigint"))
+    return top.unionByName(body.select(
+        "dataset", "chunk", F.lit(1).alias("section"), F.col("place").cast("bigint").alias("place"), "line"))
+
+
 def grid_lines(
     long: DataFrame,
     order: Column,
@@ -40,10 +90,7 @@ def grid_lines(
         .withColumn("place", order).withColumn("step", block),
         "grid-lines",
     )
-    heads = (
-        rows.select("dataset", F.explode("cells.labels").alias("labels"))
-        .groupBy("dataset").agg(F.array_sort(F.collect_set("labels")).alias("heads"))
-    )
+    heads = _heads(rows)
     periods = rows.select("dataset", "place", "step")
     budget = (
         periods.groupBy("dataset").agg(F.count(F.lit(1)).alias("total"))
@@ -52,34 +99,32 @@ def grid_lines(
     )
     placed = assign_chunks(periods, budget, "place", F.col("step")).select("dataset", "place", "chunk")
 
-    # Every head, followed by the line's cell of the same labels if it has one.
-    marked = F.array_sort(F.concat(
-        F.transform("heads", lambda h: F.struct(h.alias("labels"), F.lit(1).alias("rank"), F.lit(MISSING_CELL).alias("cell"))),
-        F.transform("cells", lambda c: F.struct(c["labels"].alias("labels"), F.lit(2).alias("rank"), c["cell"].alias("cell"))),
-    ))
-    own = F.transform("marked", lambda x, i: F.when(x["rank"] == 1, F.when(
-        F.get("marked", i + 1)["rank"] == 2, F.get("marked", i + 1)["cell"]
-    ).otherwise(x["cell"])))
-    body = (
-        attach(rows.select("dataset", "period", "place", "cells"), heads, ["dataset"], ["period"])
-        .select("dataset", "period", "place", marked.alias("marked"))
-        .select("dataset", "period", "place", F.filter(own, lambda c: c.isNotNull()).alias("texts"))
-        .join(placed, ["dataset", "place"])
-        .select(
-            "dataset", "chunk", F.lit(1).alias("section"), F.col("place").cast("bigint").alias("place"),
-            F.concat_ws(",", csv_cell(F.col("period")), F.array_join(F.transform("texts", csv_cell), ",")).alias("line"),
-        )
-    )
-    levels = F.sequence(F.lit(0), F.size(F.get("heads", F.lit(0))) - 1)
-    label_lines = F.transform(levels, lambda i: F.concat(F.lit(","), F.array_join(
-        F.transform("heads", lambda head: csv_cell(F.coalesce(F.get(head, i), F.lit("")))), ","
-    )))
-    if separator_line:
-        label_lines = F.concat(label_lines, F.array(F.repeat(F.lit(","), F.size("heads"))))
-    top = placed.select("dataset", "chunk").distinct().join(heads, "dataset").select(
-        "dataset", "chunk", F.lit(0).alias("section"), F.posexplode(label_lines).alias("place", "line")
-    ).withColumn("place", F.col("place").cast("bigint"))
-    return top.unionByName(body)
+    wide = attach(rows.select("dataset", "period", "place", "cells"), heads, ["dataset"], ["period"])
+    body = _body_lines(wide, "dataset", "place").join(placed, ["dataset", "place"])
+    return _with_top(body, placed.select("dataset", "chunk").distinct(), heads, separator_line)
+
+
+def merged_lines(cells: DataFrame, lines_per_file: int = LINES_PER_FILE, separator_line: bool = False) -> DataFrame:
+    """CSV lines of merged tables, latest period text first, as ``write_grids`` takes them.
+
+    ``cells`` are those of ``plans.merge.merge_chunks``. Each dataset has the labels of all its chunks.
+    A line of a chunk stays a line, also when its period stands in another chunk too; what it has no
+    cell for is the missing cell. A dataset of more than ``lines_per_file`` lines is cut into several
+    files, each with the label lines, so that no task holds more than one file.
+    """
+    line = ["dataset", "file", "row_pos", "period"]
+    cell = F.struct("labels", F.coalesce("cell", F.lit(MISSING_CELL)).alias("cell"))
+    rows = written(cells.groupBy(*line).agg(F.collect_list(cell).alias("cells")), "merged-lines")
+    heads = _heads(rows)
+    chunks = rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("total")).select("dataset", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("total") - 1) / lines_per_file).cast("bigint"))).alias("chunk"))
+    year = F.coalesce(F.substring("period", 1, 4), F.lit(""))
+    order = F.struct(F.coalesce("period", F.lit("")), "file", "row_pos")
+    placed = numbered(rows, ["dataset"], order, year, "_number", "_total")
+    placed = placed.withColumn("place", F.col("_total") - 1 - F.col("_number"))
+    wide = attach(placed.select(*line, "place", "cells"), heads, ["dataset"], ["file", "row_pos"])
+    body = _body_lines(wide, "dataset", "place").withColumn("chunk", F.floor(F.col("place") / lines_per_file).cast("bigint"))
+    return _with_top(body, chunks, heads, separator_line)
 
 
 def write_grids(lines: DataFrame, path: str) -> None:

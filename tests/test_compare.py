@@ -56,7 +56,7 @@ def test_null_columns(spark):
 def test_wide_and_back(spark):
     rows = [(d, p, k, f"{d}{p}{k}") for d in "ab" for p in "12" for k in ("x__y", "x__z") if (d, p, k) != ("a", "1", "x__z")]
     long = spark.createDataFrame(rows, "dataset string, period string, label string, cell string")
-    wide = reshape.long_to_wide(long, ["dataset", "period"], "label", ["x__y", "x__z"], F.first("cell"))
+    wide = reshape.long_to_wide(long, ["dataset", "period"], "label", ["x__y", "x__z"], "cell")
     back = reshape.wide_to_long(wide, ["dataset", "period"])
     assert sorted(tuple(r) for r in back.where("cell is not null").collect()) == sorted(rows)
     assert back.count() == 8  # the missing one is kept as NULL
@@ -104,7 +104,7 @@ def test_one_folder_per_key(spark, tmp_path):
 def test_unlisted_labels_are_an_error(spark):
     long = spark.createDataFrame([("d", "a", "1"), ("d", "b", "2")], "dataset string, label string, cell string")
     with pytest.raises(Exception, match="label is not listed: b"):
-        reshape.long_to_wide(long, ["dataset"], "label", ["a"], F.first("cell")).collect()
+        reshape.long_to_wide(long, ["dataset"], "label", ["a"], "cell").collect()
 
 
 def test_manifest_names_with_ending(spark):

@@ -123,6 +123,22 @@ def test_long_to_grids_and_back(spark, tmp_path, separator_line):
     assert sum(r.dataset == "wide" for r in per_file) > 1
 
 
+def test_merged_lines_keep_all(spark, tmp_path):
+    """A period in two chunks, datasets with labels of their own, and files of few lines."""
+    rows = [("a", f, f"20{year}", ["x", label], f"{f}{year}{label}") for f, years in (("1", (19, 20, 21)), ("2", (21, 22)))
+            for year in years for label in ("p", "q")[:int(f)]] + [("b", "1", "2020", ["z", "r"], "only")]
+    cells = spark.createDataFrame(rows, "dataset string, file string, period string, labels array<string>, cell string")
+    cells = cells.withColumn("row_pos", F.struct(F.lit(0).cast("bigint").alias("block"), F.col("period").cast("bigint").alias("line")))
+    lines = [tuple(r) for r in files.merged_lines(cells, 3).orderBy("dataset", "chunk", "section", "place").collect()]
+    top = [("a", c, 0, i, line) for c in (0, 1) for i, line in enumerate((",x,x", ",p,q"))]
+    body = ["2022,222p,222q", "2021,221p,221q", "2021,121p,..", "2020,120p,..", "2019,119p,.."]
+    assert lines == sorted([*top, *[("a", i // 3, 1, i, line) for i, line in enumerate(body)],
+                            ("b", 0, 0, 0, ",z"), ("b", 0, 0, 1, ",r"), ("b", 0, 1, 0, "2020,only")])
+    twice = cells.unionByName(cells.where("dataset = 'b'"))
+    with pytest.raises(PySparkException, match="same labels in b, 2020"):
+        files.merged_lines(twice, 3).collect()
+
+
 API = "id,Period,Value,Unit,Status,Label1,Label2,Label3\n" + "".join(
     f'{i},{p},{"NA" if v is None else v},,{s},{a},"{b}",NA\n'
     for i, (p, a, b, v, s) in enumerate(sorted(LONG, key=str))

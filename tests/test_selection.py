@@ -71,9 +71,11 @@ def test_trailing_chunks_stay_empty(spark):
 
 
 def test_split_title_is_required(spark):
-    options = spark.createDataFrame([("x", "Time"), ("y", "A")], "dataset string, title string")
+    options = spark.createDataFrame([("x", "Time", "1"), ("y", "A", "1"), ("y", "A", "2")],
+                                    "dataset string, title string, option string")
+    assert taken(chunks.cell_budget(options)) == [("x", 1, 1), ("y", 2, 1)]
     with pytest.raises(PySparkException, match="no title Time in dataset y"):
-        chunks.require_title(options).collect()
+        chunks.cell_budget(options, 1).collect()
 
 
 def test_numbered_with_a_hot_key(spark):
@@ -129,6 +131,8 @@ def test_first_difference(spark):
     right = left.withColumn("line", F.when(F.col("pos") >= 3, "2019,3").otherwise(F.col("line")))
     assert taken(chunks.first_difference(left, right, ["file"], "pos", "line")) == [("f", 3)]
     assert taken(chunks.first_difference(left, left, ["file"], "pos", "line")) == []
+    with pytest.raises(PySparkException, match="identical: f"):
+        chunks.first_difference(left, left, ["file"], "pos", "line", required=True).collect()
 
 
 def test_catalogue(spark):

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from statloom.fixed_values import DEFAULT_ZONE
 from statloom.functions.events import body_files, body_script, body_url
+from statloom.functions.text import dataset_slug
 from statloom.functions.times import local_time
 from statloom.functions.times import off_schedule as is_off_schedule
 from statloom.plans import releases, watch
-from statloom.plans.merge import extract_tables
+from statloom.plans.merge import extract_files, extract_tables
 from statloom.session import scratch_path
 from statloom.sinks.files import next_day_document, next_day_events
 from statloom.sources.calendar import read_ics
@@ -255,6 +256,45 @@ def extract(spark, folder):
     return lines.select("o_orderkey", text.alias("cells")).join(notes, "o_orderkey")
 
 
+@query("extract_files", """
+    WITH refs AS (
+        SELECT r_name || '__' || n_name || ' ' || n_nationkey || '__' || s_name AS name, *
+        FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+    )
+    SELECT 'catalogue' AS kind, name, n_name || '/' || n_nationkey AS line FROM refs
+    UNION ALL SELECT 'grid', name, 'Supplier,Balance' FROM refs
+    UNION ALL SELECT 'grid', name, s_name || ',' || CASE WHEN abs(s_acctbal) >= 999.995
+        THEN '"' || format('{:,.2f}', s_acctbal) || '"' ELSE format('{:,.2f}', s_acctbal) END FROM refs
+    UNION ALL SELECT 'note', name || '__meta', unnest(['Source:', ' ', 'phone ' || s_nationkey, 'End']) FROM refs
+""")
+def bulk_extraction(spark, folder):
+    """A page per supplier: its balance, and a footnote."""
+    refs = (
+        table(spark, folder, "supplier")
+        .join(table(spark, folder, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+        .join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    )
+    page = F.concat(
+        F.lit('<html><body><table class="pxtable"><tr><th>Supplier<th>Balance</tr><tr><td>'), "s_name", F.lit("<td>"),
+        F.format_number("s_acctbal", 2),
+        F.lit('</tr></table><table class="pxtable"><tr><td class="footnote"><b>Source:</b> <br/>phone '), "s_nationkey",
+        F.lit("<br>\n\nEnd</td></tr></table>"),
+    )
+    datasets = refs.select("s_suppkey", F.col("r_name").alias("category"),
+                           F.concat_ws("/", "n_name", F.col("n_nationkey").cast("string")).alias("group"),
+                           F.col("s_name").alias("dataset"))
+    path = scratch_path(spark, "extracted")
+    extract_files(datasets, refs.select("s_suppkey", page.alias("html")), "s_suppkey", "html", "pxtable", path)
+    listed = spark.read.csv(f"{path}/catalogue", header=True, schema="category string, group string, dataset string")
+    listed = listed.select(F.lit("catalogue").alias("kind"),
+                           dataset_slug(F.col("category"), F.col("group"), F.col("dataset")).alias("name"),
+                           F.col("group").alias("line"))
+    for kind, part in (("grid", "grids"), ("note", "notes")):
+        lines = spark.read.schema("value string, name string").text(f"{path}/{part}")
+        listed = listed.unionByName(lines.select(F.lit(kind).alias("kind"), "name", F.col("value").alias("line")))
+    return listed
+
+
 # --- release watch: signups are releases; a later purchase of the same user is a hit, an error a failed
 # check, anything else a check that found the old date ---------------------------------------------
 

@@ -51,7 +51,7 @@ def _grid_copy(spark, folder):
         F.concat_ws("__", "o_orderstatus", "o_orderpriority").alias("key"), cell.alias("cell"),
     )
     keys = [f"{status}__{priority}" for status in STATUSES for priority in PRIORITIES]
-    wide = reshape.long_to_wide(cells, ["dataset", "period"], "key", keys, F.first("cell"))
+    wide = reshape.long_to_wide(cells, ["dataset", "period"], "key", keys, "cell")
     wide = wide.fillna("..", keys)
     long = reshape.wide_to_typed(wide, ["dataset"], "period", "Y", 2)
     long = long.where(is_published(F.col("Value"), F.col("Status")))
@@ -222,7 +222,7 @@ _LONG_SQL = """
 
 def _wide(spark, folder):
     cells = _quantity_cells(spark, folder).withColumn("key", F.concat_ws("__", "l_returnflag", "l_linestatus"))
-    return reshape.long_to_wide(cells, ["dataset", "period"], "key", LINE_KEYS, F.first("cell"))
+    return reshape.long_to_wide(cells, ["dataset", "period"], "key", LINE_KEYS, "cell")
 
 
 @query("grid_to_long", f"WITH {_QUANTITY_SQL} {_LONG_SQL.format('every')}")
@@ -238,7 +238,7 @@ def grid_to_long(spark, folder):
 """)
 def long_to_grid(spark, folder):
     long = _quantities(spark, folder).withColumn("key", F.concat_ws("__", "l_returnflag", "l_linestatus"))
-    return reshape.long_to_wide(long, ["dataset", "period"], "key", LINE_KEYS, F.first("quantity"))
+    return reshape.long_to_wide(long, ["dataset", "period"], "key", LINE_KEYS, "quantity")
 
 
 @query("stack_level", """
@@ -259,14 +259,14 @@ def stack_level(spark, folder):
     return reshape.stack_level(long, ["dataset", "period"], "port", "l_returnflag", FLAGS, "cell")
 
 
-def _write_grids(spark, folder, cells_per_chunk=300):
-    """Grid files of all suppliers, in chunks, written by Spark from lineitem."""
+def _write_grids(spark, folder, cells_per_chunk=300, month="%"):
+    """Grid files of all suppliers, in chunks, written by Spark from lineitem; of some months, if given."""
     path = scratch_path(spark, "grids")
     long = _quantity_cells(spark, folder).select(
         "dataset", "period", F.array("l_returnflag", "l_linestatus").alias("labels"), "cell"
-    )
-    year, month = F.substring("period", 1, 4).cast("bigint"), F.substring("period", 6, 2).cast("bigint")
-    lines = files.grid_lines(long, year * 12 + month, year, cells_per_chunk, separator_line=True)
+    ).where(F.col("period").like(month))
+    year, number = F.substring("period", 1, 4).cast("bigint"), F.substring("period", 6, 2).cast("bigint")
+    lines = files.grid_lines(long, year * 12 + number, year, cells_per_chunk, separator_line=True)
     files.write_grids(lines, path)
     return path
 
@@ -293,6 +293,20 @@ def merge_chunks(spark, folder):
     return merge.merged_table(cells, LINE_KEYS)
 
 
+# The month of June stands in two chunks of each dataset, and in the merged file twice.
+@query("merged_file", f"""
+    WITH {_QUANTITY_SQL} {_LONG_SQL.format('dense')}
+    UNION ALL {_LONG_SQL.format("(SELECT * FROM dense WHERE strftime(month, '%m') = '06')")}
+""")
+def merged_file(spark, folder):
+    chunks = [_write_grids(spark, folder), _write_grids(spark, folder, month="%M06")]
+    whole, june = (merge.merge_chunks(spark, path) for path in chunks)
+    path = scratch_path(spark, "merged")
+    files.write_grids(files.merged_lines(whole.unionByName(june), 40), path)
+    cells = read_grids(spark, path, merge.chunk_dataset())
+    return label_columns(long_from_cells(cells), 2)
+
+
 @query("grid_roundtrip", f"WITH {_QUANTITY_SQL} {_LONG_SQL.format('dense')}")
 def grid_roundtrip(spark, folder):
     long = grid_read(spark, folder)
