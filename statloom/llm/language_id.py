@@ -59,7 +59,8 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = Counter(_LETTERS.findall((text or "").lower()))
-        if not found or not self.langs:
+        # The pattern also takes numerals such as a half: they are no letters.
+        if not self.langs or not any(c.isalpha() for word in found for c in word):
             return UNKNOWN, 0.0
         at, times, total = [], [], np.zeros(len(self.langs))
         for word, n in found.items():

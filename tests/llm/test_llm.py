@@ -235,6 +235,7 @@ def test_language(spark, odd):
     assert set(model.langs) == {"de", "en", "es", "fr"}
     found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(odd, model).collect()}
     assert [found[k] for k in (2, 3, 4)] == ["und"] * 3 and found[9] in model.langs
+    assert [model.predict(t)[0] for t in ("½ ² Ⅻ 12_", "½")] == ["und"] * 2 and model.predict("½ x")[0] in model.langs
     assert language_id.keep_known(odd, model).where("text is null or text = '' or doc_id = 4").count() == 0
     nothing = language_id.learn(odd.limit(0))
     assert {r["lang_pred"] for r in language_id.predict(odd, nothing).collect()} == {"und"}
