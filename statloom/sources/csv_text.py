@@ -1,21 +1,16 @@
 """CSV files of any width, several in one job, read as lines that know their file's header lines.
 
-A file up to ``whole_file_bytes`` is read as one value: header and body meet inside one task, with no
-shuffle. Larger files are read in splits; their header lines come from a second, filtered scan.
+Files of every size are read in splits, by one path: a first scan finds the header lines of each file and
+the place where its body begins, a second one reads the body, and the two are joined by file.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statloom.operators.keys import attach
-
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
-
 # One field behind its comma. Possessive, so that a long quoted cell needs no backtracking stack.
 _FIELD = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 _BLANK_LINE = r'^[\s,"]*$'
@@ -24,9 +19,8 @@ _BLANK_LINE = r'^[\s,"]*$'
 def csv_fields(line: Column) -> Column:
     """Fields of one CSV line, trimmed; blank and ``NA`` are NULL. A line with an open quote is an error."""
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    checked = F.when(quotes % 2 == 0, line).otherwise(
-        F.raise_error(F.concat(F.lit("quote not closed within the line: "), F.substring(line, 1, 80)))
-    )
+    checked = F.when(quotes % 2 != 0, F.raise_error(
+        F.concat(F.lit("quote not closed within the line: "), F.substring(line, 1, 80)))).otherwise(line)
     raw = F.regexp_extract_all(F.concat(F.lit(","), checked), F.lit(_FIELD), F.lit(1))
 
     unquoted = F.transform(raw, _unquoted)
@@ -50,72 +44,27 @@ def _no_body(file: Column) -> Column:
     return F.raise_error(F.concat(F.lit("no body line behind the header lines of "), file))
 
 
-def _whole_files(spark, paths, is_body, facts, limit, dataset, body_required) -> DataFrame:
-    text = (
-        spark.read.text(paths, wholetext=True)
-        .where(F.col("_metadata.file_size") <= limit)
-        .select(*_file_columns(dataset), F.split(F.regexp_replace("value", r"^\uFEFF", ""), "\r\n|\n|\r").alias("lines"))
-        .withColumn("lines", F.filter("lines", lambda line: line != ""))
-    )
-    first = F.array_position(F.transform("lines", is_body), F.lit(True))
-    none = F.size("lines") + 1
-    if body_required:
-        none = F.when(F.size("lines") == 0, 1).otherwise(_no_body(F.col("file")).cast("int"))
-    return (
-        text.withColumn("first", F.when(first > 0, first).otherwise(none).cast("int"))
-        .withColumn("header", F.filter(F.slice("lines", F.lit(1), F.col("first") - 1),
-                                       lambda line: ~line.rlike(_BLANK_LINE)))
-        .withColumn("first_line", F.get("lines", F.col("first") - 1))
-        .withColumn("body", F.slice("lines", F.col("first"), F.size("lines")))
-        .select("file", "dataset", "body", *[value.alias(name) for name, value in facts.items()])
-        .select("file", "dataset", *facts, F.posexplode("body").alias("line_no", "line"))
-        .select("file", "dataset", *facts,
-                F.struct(F.lit(0).cast("bigint").alias("block"), F.col("line_no").cast("bigint").alias("line"))
-                .alias("row_pos"), "line")
-    )
-
+def _file_facts(lines: DataFrame, is_body, facts: dict[str, Column], body_required: bool) -> DataFrame:
+    """``file, first_pos, <facts>``: where the body of each file begins, and what its header lines say.
 
-def _split_files(spark, paths, is_body, facts, limit, dataset, body_required) -> DataFrame:
-    lines = (
-        spark.read.text(paths)
-        .where(F.col("_metadata.file_size") > limit)
-        .select(
-            *_file_columns(dataset),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("row_pos"),
-            F.regexp_replace("value", r"^\uFEFF|\r$", "").alias("line"),
-        )
-        .where(F.col("line") != "")
-    )
-    body = is_body(F.col("line"))
-    # Header lines stand in the first block, in front of the first body line.
-    top = ~body & (F.col("row_pos.block") == 0) & ~F.col("line").rlike(_BLANK_LINE)
-    per_file = (
-        lines.where(body | top)
-        .groupBy("file")
-        .agg(
-            F.array_sort(F.collect_list(F.when(top, F.struct("row_pos", "line")))).alias("top"),
-            F.min(F.when(body, F.struct("row_pos", "line"))).alias("first"),
-        )
-        .select(
-            "file",
-            F.when(F.col("first.row_pos.block") == 0, F.col("first.row_pos"))
-            .when(F.col("first").isNull() & F.lit(not body_required), None)
-            .otherwise(_no_body(F.col("file"))).alias("first_pos"),
-            F.col("first.line").alias("first_line"),
-            F.transform(
-                F.filter("top", lambda x: x["row_pos"] < F.col("first.row_pos")), lambda x: x["line"]
-            ).alias("header"),
-        )
-        .select("file", "first_pos", *[value.alias(name) for name, value in facts.items()])
-    )
-    return (
-        attach(lines, per_file, ["file"], ["line"])
-        .where(F.col("row_pos") >= F.col("first_pos"))
-        .select("file", "dataset", *facts, "row_pos", "line")
-    )
+    Every split gives its first body line and its other lines; only splits up to the first body line of
+    their file are looked at, so a header may be longer than a split.
+    """
+    seen, body = F.struct("row_pos", "line"), is_body(F.col("line"))
+    top = ~body & ~F.col("line").rlike(_BLANK_LINE)
+    splits = lines.groupBy("file", F.col("row_pos.block").alias("block")).agg(
+        F.min(F.when(body, seen)).alias("own"), F.collect_list(F.when(top, seen)).alias("top"))
+    # One row per split of a file.
+    splits = splits.withColumn("first", F.min("own").over(Window.partitionBy("file")))
+    heads = splits.where(F.col("first").isNull() | (F.col("block") <= F.col("first.row_pos.block")))
+    heads = heads.groupBy("file").agg(
+        F.min("first").alias("first"), F.flatten(F.collect_list(F.when(F.col("first").isNotNull(), F.col("top")))).alias("top"))
+    before = F.filter(F.array_sort("top"), lambda x: x["row_pos"] < F.col("first.row_pos"))
+    none = _no_body(F.col("file")) if body_required else F.lit(None)
+    return heads.select(
+        "file", F.when(F.col("first").isNotNull(), F.col("first.row_pos")).otherwise(none).alias("first_pos"),
+        F.col("first.line").alias("first_line"), F.transform(before, lambda x: x["line"]).alias("header"),
+    ).select("file", "first_pos", *[value.alias(name) for name, value in facts.items()])
 
 
 def read_csv_lines(
@@ -124,7 +73,6 @@ def read_csv_lines(
     is_body: Callable[[Column], Column],
     facts: dict[str, Column],
     dataset: Column | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
     body_required: bool = False,
 ) -> DataFrame:
     """``file, dataset, <facts>, row_pos struct<block, line>, line`` for every body line.
@@ -132,17 +80,21 @@ def read_csv_lines(
     ``is_body`` tells body lines from header lines; everything behind a file's first body line
     belongs to the body. ``facts`` are computed once per file from ``header`` (array of lines) and
     ``first_line``. ``dataset`` is computed from ``_metadata`` (the file name by default). A file with
-    lines but no body line is an error if ``body_required``; header lines have to lie in the first
-    split of their file.
+    lines but no body line is an error if ``body_required``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    # Reads the file listing only: no file is opened.
-    sizes = spark.read.format("binaryFile").load(paths).select("length")
-    any_large = not sizes.where(F.col("length") > whole_file_bytes).isEmpty()
-    any_small = not any_large or not sizes.where(F.col("length") <= whole_file_bytes).isEmpty()
-    parts = []
-    if any_small:
-        parts.append(_whole_files(spark, paths, is_body, facts, whole_file_bytes, dataset, body_required))
-    if any_large:
-        parts.append(_split_files(spark, paths, is_body, facts, whole_file_bytes, dataset, body_required))
-    return reduce(DataFrame.unionByName, parts)
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # Both scans have to cut the files alike, also when executors come or go between them.
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(paths).select(
+        *_file_columns(dataset), place.alias("row_pos"), F.regexp_replace("value", "^\uFEFF|\r$", "").alias("line"))
+    lines = lines.where(F.col("line") != "")
+    # A file with most of the lines is split by adaptive execution; facts that are small are broadcast.
+    in_body = F.col("row_pos") >= F.col("first_pos")
+    return (
+        lines.join(_file_facts(lines, is_body, facts, body_required), "file")
+        # Header lines are NULL before they go: what is asked of the cells later may be asked in the join.
+        .withColumn("line", F.when(in_body, F.col("line"))).where(in_body)
+        .select("file", "dataset", *facts, "row_pos", "line")
+    )

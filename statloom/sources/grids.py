@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.periods import period_date, period_kind
 from statloom.functions.values import cell_status, cell_value, is_published
-from statloom.sources.csv_text import WHOLE_FILE_BYTES, csv_fields, read_csv_lines
+from statloom.sources.csv_text import csv_fields, read_csv_lines
 
 _PERIOD_LINE = r'^\s*"?\s*\d{4}(M\d{1,2}|Q[1-4])?\s*"?\s*(,|$)'
 
@@ -20,7 +20,6 @@ def read_grids(
     spark: SparkSession,
     paths: str | list[str],
     dataset: Column | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """One row per cell: ``dataset, file, row_pos, period, period_kind, col_pos, labels, cell``.
 
@@ -34,7 +33,7 @@ def read_grids(
         "column_labels": F.transform(columns, lambda i: F.transform(header, lambda line: F.get(line, i))),
         "period_kind": period_kind(F.get(csv_fields(F.col("first_line")), F.lit(0))),
     }
-    lines = read_csv_lines(spark, paths, _is_period_line, facts, dataset, whole_file_bytes, body_required=True)
+    lines = read_csv_lines(spark, paths, _is_period_line, facts, dataset, body_required=True)
     body = lines.withColumn("fields", csv_fields(F.col("line")))
     cells = F.arrays_zip(
         F.col("column_labels").alias("labels"),

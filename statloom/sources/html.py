@@ -94,17 +94,70 @@ def element_text(xml: Column, path: str) -> Column:
     return F.xpath_string(xml, F.lit(path))
 
 
+_CSS_PART = re.compile(r"""
+    (?P<kind>[#.])(?P<name>[\w-]+)
+    | \[\s*(?P<key>[\w-]+)\s*(?:(?P<how>[~|^$*]?=)\s*(?P<value>"[^"]*"|'[^']*'|[\w-]+)\s*)?\]
+    | :(?P<place>first-child|last-child|nth-child\(\s*(?P<nth>\d+)\s*\))
+""", re.X)
+_CSS_TAG = re.compile(r"[A-Za-z][\w-]*|\*")
+_CSS_STEP = re.compile(r"\s*(?P<step>[>+~,])\s*|\s+")
+_CSS_AXES = {None: "//", ">": "/", "~": "/following-sibling::", "+": "/following-sibling::*[1]/self::"}
+
+
+def _listed(key: str, word: str) -> str:
+    return f"contains(concat(' ', normalize-space(@{key}), ' '), {word})"
+
+
+def _css_test(part: re.Match) -> str:
+    """The XPath predicate of one part of a compound selector."""
+    if part["kind"] == "#":
+        return f"[@id='{part['name']}']"
+    if part["kind"] == ".":
+        return f"[{_listed('class', repr(' ' + part['name'] + ' '))}]"
+    if part["place"]:
+        if part["place"] == "last-child":
+            return "[not(following-sibling::*)]"
+        return f"[count(preceding-sibling::*)={int(part['nth'] or 1) - 1}]"
+    key = part["key"].lower()
+    if not part["how"]:
+        return f"[@{key}]"
+    value = part["value"] if part["value"][0] in "\"'" else f"'{part['value']}'"
+    plain = value[1:-1]
+    if part["how"] == "=":
+        return f"[@{key}={value}]"
+    if part["how"] == "|=":
+        return f"[@{key}={value} or starts-with(@{key}, {value[0]}{plain}-{value[0]})]"
+    if not plain or part["how"] == "~=" and " " in plain:
+        return "[false()]"  # by the rules of CSS such a test holds nowhere
+    return {
+        "~=": f"[{_listed(key, f'{value[0]} {plain} {value[0]}')}]",
+        "^=": f"[starts-with(@{key}, {value})]",
+        "*=": f"[contains(@{key}, {value})]",
+        "$=": f"[substring(@{key}, string-length(@{key}) - {len(plain) - 1})={value}]",
+    }[part["how"]]
+
+
 def css_path(selector: str) -> str:
-    """XPath of a plain selector: ``tag``, ``#id``, ``.class`` or a tag with one of them."""
-    match = re.fullmatch(r"([A-Za-z][\w-]*)?(?:([#.])([\w-]+))?", selector)
-    if not selector or not match:
-        raise ValueError(f"only tag, #id and .class selectors are supported: {selector}")
-    tag, kind, name = match.groups()
-    test = {
-        "#": f"[@id='{name}']",
-        ".": f"[contains(concat(' ', normalize-space(@class), ' '), ' {name} ')]",
-    }.get(kind, "")
-    return f"//{tag or '*'}{test}"
+    """XPath of a CSS selector: tags, ``#id``, ``.class``, attribute tests, first, last and nth child,
+    joined by blanks, ``>``, ``+``, ``~`` and commas. Anything else is an error."""
+    paths, axis, at, text = [""], "//", 0, selector.strip()
+    while True:
+        tag = _CSS_TAG.match(text, at)
+        begin, at = at, tag.end() if tag else at
+        tests = []
+        while part := _CSS_PART.match(text, at):
+            tests.append(_css_test(part))
+            at = part.end()
+        step = _CSS_STEP.match(text, at)
+        if at == begin or not step and at < len(text):
+            raise ValueError(f"not a supported CSS selector: {selector}")
+        paths[-1] += axis + (tag[0].lower() if tag else "*") + "".join(tests)
+        if not step:
+            return " | ".join(paths)
+        at = step.end()
+        if step["step"] == ",":
+            paths.append("")
+        axis = "//" if step["step"] == "," else _CSS_AXES[step["step"]]
 
 
 def links(html: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.fixed_values import API_COLUMN_TYPES, MAX_LABEL_LEVELS
-from statloom.sources.csv_text import WHOLE_FILE_BYTES, csv_fields, read_csv_lines
+from statloom.sources.csv_text import csv_fields, read_csv_lines
 
 
 def read_long(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -40,7 +40,6 @@ def read_long_mixed(
     spark: SparkSession,
     paths: str | list[str],
     dataset: Column | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Files with different subsets of the columns in one job: ``dataset``, then every known column."""
     head = r"^\s*\"?(" + "|".join(API_COLUMN_TYPES) + r")\"?\s*(,|$)"
@@ -51,7 +50,7 @@ def read_long_mixed(
             F.array_join("header", " | "), F.lit("")), F.lit(" before "), F.substring("first_line", 1, 80)))
     )
     facts = {"names": checked}
-    lines = read_csv_lines(spark, paths, lambda line: ~line.rlike(head), facts, dataset, whole_file_bytes)
+    lines = read_csv_lines(spark, paths, lambda line: ~line.rlike(head), facts, dataset)
     fields = lines.select("dataset", "names", csv_fields(F.col("line")).alias("fields"))
 
     def named(name):

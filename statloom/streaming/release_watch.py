@@ -1,8 +1,10 @@
 """Release watch as a stream.
 
 Releases and page checks arrive as one stream of tagged rows, so that a release no check ever came
-for still ends. Keys are hashed into shards. A shard's state holds the releases that are open and the
-checks that may still be overtaken by a late one, and nothing else.
+for still ends. Keys are hashed into shards, and time is cut into spans. A release belongs to the span it
+starts in; a check goes to every span from which a release may still wait for it, so all that decides a
+release meets in one group of shard and span, and a key with most of the rows is split by time. A group's
+state holds the releases that are open and the checks that may still be overtaken by a late one.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -102,8 +104,12 @@ class _Watch(StatefulProcessor):
         pass
 
 
+def _span(ts: Column, span_minutes: int) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(span_minutes * 60_000_000))
+
+
 def watch_stream(tagged: DataFrame, lateness: str = "0 minutes", minutes: int = WATCH_MINUTES,
-                 zone: str = DEFAULT_ZONE, shards: int | None = None) -> DataFrame:
+                 zone: str = DEFAULT_ZONE, shards: int | None = None, span_minutes: int = 1440) -> DataFrame:
     """``release_id, outcome, at, next_date`` per release, as soon as it is decided.
 
     ``tagged`` is a stream of ``kind, key, id, ts, updated, due_date`` (see ``TAGGED``). A ``clock``
@@ -112,17 +118,22 @@ def watch_stream(tagged: DataFrame, lateness: str = "0 minutes", minutes: int =
     depends on event times alone, not on how the rows were batched. Rows later than ``lateness`` are
     left out. Needs the RocksDB state store.
 
-    A batch of a shard is worked off in one task: bound batches at the source. ``shards`` is the number
-    of hash groups of keys (by default the number of shuffle partitions).
+    ``shards`` is the number of hash groups of keys (by default the number of shuffle partitions). What one
+    task holds at a time are the rows of a shard in ``span_minutes`` and the ``minutes`` behind them: with
+    more rows, take more shards or shorter spans.
     """
     shards = int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions")) if shards is None else shards
     of_use = (F.col("kind") == RELEASE) | ((F.col("kind") == CHECK) & (F.col("updated").isNull() | F.col("updated")))
     # Asked about the event time, the filter stays behind the watermark, which needs the clock rows.
-    placed = tagged.withWatermark("ts", lateness).where(F.when(F.col("ts").isNotNull(), of_use)).withColumn(
-        "shard", F.pmod(F.xxhash64("key"), F.lit(shards))
+    own = _span(F.col("ts"), span_minutes)
+    first = _span(F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)), span_minutes)
+    placed = (
+        tagged.withWatermark("ts", lateness).where(F.when(F.col("ts").isNotNull(), of_use))
+        .withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+        .withColumn("span", F.explode(F.when(F.col("kind") == CHECK, F.sequence(first, own)).otherwise(F.array(own))))
     )
     return (
-        placed.groupBy("shard")
+        placed.groupBy("shard", "span")
         .transformWithStateInPandas(_Watch(minutes), _DECIDED, "Append", "EventTime")
         .select("release_id", F.col("release_dt").cast("timestamp_ntz").alias("release_dt"), "due_date",
                 F.when(F.col("found").isNotNull(), F.struct(F.col("found").cast("timestamp_ntz").alias("ts"), "updated"))

@@ -25,21 +25,29 @@ def long_of(spark, path, levels=2, **options):
     return set(map(tuple, rows))
 
 
-# 0 bytes sends every file through the reader for large files.
-@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
+# Splits of a few bytes cut every file, its header too.
+@pytest.fixture
+def split_bytes(request, spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
 @pytest.mark.parametrize("content", [
     GRID, GRID.replace(",,,\n", ""), GRID.replace("\n", "\r\n"), "\ufeff" + GRID, GRID.rstrip("\n"),
 ])
-def test_long_form(spark, tmp_path, content, whole_file_bytes):
+def test_long_form(spark, tmp_path, content, split_bytes):
     (tmp_path / "a.csv").write_text(content, newline="", encoding="utf-8")
-    assert long_of(spark, tmp_path, whole_file_bytes=whole_file_bytes) == LONG
+    assert long_of(spark, tmp_path) == LONG
 
 
-@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
-def test_files_of_different_shape(spark, tmp_path, whole_file_bytes):
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+def test_files_of_different_shape(spark, tmp_path, split_bytes):
     (tmp_path / "a.csv").write_text(GRID)
     (tmp_path / "b.csv").write_text(',"say ""x"""\n2020Q1,1\n2020Q2,2\n2020,3\n')
-    cells = read_grids(spark, str(tmp_path), whole_file_bytes=whole_file_bytes)
+    cells = read_grids(spark, str(tmp_path))
     long = long_from_cells(cells).where("dataset = 'b'").select("Period", "labels", "Value").collect()
     assert {(r.Period, *r.labels, r.Value) for r in long} == {
         (dt.date(2020, 3, 31), 'say "x"', 1.0), (dt.date(2020, 6, 30), 'say "x"', 2.0), (None, 'say "x"', 3.0),
@@ -54,7 +62,7 @@ def test_file_in_many_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
     try:
-        cells = read_grids(spark, str(tmp_path), whole_file_bytes=1000)
+        cells = read_grids(spark, str(tmp_path))
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
         found = label_columns(long_from_cells(cells, anchor="start"), 2)
         assert found.count() == found.distinct().count() == 2 * 12 * len(years)
@@ -68,29 +76,29 @@ def test_file_in_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
-def test_open_quote_is_an_error(spark, tmp_path, whole_file_bytes):
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+def test_open_quote_is_an_error(spark, tmp_path, split_bytes):
     (tmp_path / "a.csv").write_text(',a\n2021,"1\n')
     with pytest.raises(PySparkException, match="quote not closed"):
-        read_grids(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).collect()
+        read_grids(spark, str(tmp_path)).collect()
 
 
-@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
-def test_file_without_periods_is_an_error(spark, tmp_path, whole_file_bytes):
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+def test_file_without_periods_is_an_error(spark, tmp_path, split_bytes):
     (tmp_path / "a.csv").write_text(",a\n,b\nTotal,1\n")
     with pytest.raises(PySparkException, match="no body line"):
-        read_grids(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).collect()
+        read_grids(spark, str(tmp_path)).collect()
 
 
-@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
-def test_long_files_without_rows_or_names(spark, tmp_path, whole_file_bytes):
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+def test_long_files_without_rows_or_names(spark, tmp_path, split_bytes):
     (tmp_path / "a.csv").write_text("id,Value\n")
     (tmp_path / "b.csv").write_text("")
-    assert read_long_mixed(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).count() == 0
+    assert read_long_mixed(spark, str(tmp_path)).count() == 0
     for content in ("id,Nope\n1,2\n", "Nope,id\n1,2\n"):
         (tmp_path / "c.csv").write_text(content)
         with pytest.raises(PySparkException, match="known columns"):
-            read_long_mixed(spark, str(tmp_path), whole_file_bytes=whole_file_bytes).collect()
+            read_long_mixed(spark, str(tmp_path)).collect()
 
 
 def test_published_only(spark, tmp_path):
@@ -147,8 +155,7 @@ API = "id,Period,Value,Unit,Status,Label1,Label2,Label3\n" + "".join(
 
 def test_typed_read(spark, tmp_path):
     (tmp_path / "a.csv").write_text(API)
-    for rows in (read_long(spark, str(tmp_path)), read_long_mixed(spark, str(tmp_path)),
-                 read_long_mixed(spark, str(tmp_path), whole_file_bytes=0)):
+    for rows in (read_long(spark, str(tmp_path)), read_long_mixed(spark, str(tmp_path))):
         assert set(map(tuple, rows.select("Period", "Label1", "Label2", "Value", "Status").collect())) == LONG
         assert rows.where("Unit is not null or Label3 is not null").count() == 0
 
@@ -206,9 +213,13 @@ def test_reconcile(spark, tmp_path):
     assert verdict_of(spark, tmp_path, API, GRID.replace(",Male,Male,Female\n", "")) is False
 
 
-def test_lone_carriage_returns_end_lines_at_every_size(spark, tmp_path):
-    (tmp_path / "a.csv").write_bytes(b",x,y\r2021M01,1,2\r2021M02,3,4\r")
-    read = [sorted((r.line_no if "line_no" in r else 0, r.line) for r in read_csv_lines(
-        spark, str(tmp_path), lambda line: line.rlike("^2"), {"header": F.col("header")}, whole_file_bytes=n).select("line").collect())
-        for n in (1 << 20, 0)]
-    assert read[0] == read[1] and len(read[0]) == 2
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+@pytest.mark.parametrize("end", ["\r", "\n", "\r\n"])
+def test_lines_end_alike_at_every_size(spark, tmp_path, split_bytes, end):
+    for k in (1, 2):
+        (tmp_path / f"{k}.csv").write_bytes(end.join(
+            [f",x{k},y", "", *[f",{i} long label {i}" for i in range(9)], "2021M01,1,2", "note", "2021M02,3,4", ""]).encode())
+    found = read_csv_lines(spark, str(tmp_path), lambda line: line.rlike("^2"), {"header": F.col("header")})
+    rows = sorted(tuple(r) for r in found.orderBy("file", "row_pos").select("dataset", "header", "line").collect())
+    heads = {str(k): [f",x{k},y", *[f",{i} long label {i}" for i in range(9)]] for k in (1, 2)}
+    assert rows == sorted((k, heads[k], line) for k in heads for line in ("2021M01,1,2", "note", "2021M02,3,4"))

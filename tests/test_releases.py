@@ -61,11 +61,27 @@ def test_pages_are_closed(spark):
 
 def test_css():
     assert css_path("h1") == "//h1" and css_path("#a") == "//*[@id='a']"
-    for selector in ("", "a > b", "a b", "[x]"):
+    for selector in ("", "a >", "> a", "a,,b", "a:hover", "[x", "a!", "p::before"):
         with pytest.raises(ValueError):
             css_path(selector)
 
 
+@pytest.mark.parametrize("selector, text", [
+    ("div p", "one"), ("div > p", "two"), ("UL LI:last-child", "c"), ("li:nth-child(2)", "b"), ("li:first-child", "a"),
+    ("h1 + p", None), ("h1 ~ p", "three"), ("h1 + div > p", "two"), ("li + li + li", "c"), ("[data-x]", "two"),
+    ("p[data-x='y z']", "two"), ('[data-x~="z"]', "two"), ("[data-x^=y]", "two"), ('p[data-x$=" z"]', "two"),
+    ("[data-x*=z]", "two"), ("[lang|=en]", "three"), ("[data-x^='']", None), ("#l > .k.m", "b"), ("b, h1", "title"),
+    ("p.nope, li", "a"), ("*", "titleonetwoabcthree"),
+])
+def test_css_finds(spark, selector, text):
+    page = ("<h1>title</h1><div><section><p>one</p></section><p data-x='y z'>two</p>"
+            "<ul id=l><li>a</li><li class='k m'>b</li><li>c</li></ul></div><p lang=en-NZ>three</p>")
+    xml = page_xml(F.lit(page))
+    path = css_path(selector)
+    found = spark.range(1).select(has_element(xml, path).alias("has"), element_text(xml, path).alias("text")).first()
+    assert (found.has, found.text or None) == (text is not None, text)
+
+
 def test_tables(spark):
     html = ('<!-- <table class="t"><tr><td>no --><script>"<table class=t>"</script><b title="<table class=t>">'
             '<table class="t"><tr><th data-class="x" rowspan="2">A<th title=5" colspan=2>B &amp; C<tr><td>1<td> 2\n 2 </table>'

@@ -78,7 +78,7 @@ def test_stream_against_brute_force(spark, tmp_path):
     tagged.limit(0).write.parquet(source)
     stream = spark.readStream.schema(release_watch.TAGGED).parquet(source)
     query = (
-        release_watch.watch_stream(stream, "20 minutes", shards=3)
+        release_watch.watch_stream(stream, "20 minutes", shards=3, span_minutes=700)
         .writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "log")).start()
     )
     expected = brute_force(releases, checks)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from statloom.fixed_values import DEFAULT_ZONE
@@ -343,14 +345,25 @@ def release_watch_day(spark, folder):
     return watch.release_watch(_releases(spark, folder), _checks(spark, folder), 1440)
 
 
-def _watched(spark, folder, minutes=30):
-    """The watch as a stream over tagged files that Spark writes from events."""
+def _watched(spark, folder, minutes=30, days=8):
+    """The watch as a stream over tagged files that Spark writes from events, so many days at a time."""
     path = scratch_path(spark, "tagged")
     tagged = release_watch.tag_rows(_releases(spark, folder), _checks(spark, folder))
-    tagged.write.parquet(path)
-    release_watch.clock_row(tagged, minutes + 1).write.mode("append").parquet(path)
+    tagged.limit(0).write.parquet(path)
+    step = days * 86_400_000_000
+    start, end = tagged.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+
+    def arrive(since):
+        late = F.col("ts") >= F.timestamp_micros(F.lit(since))
+        tagged.where(late & (F.col("ts") < F.timestamp_micros(F.lit(since + step)))).write.mode("append").parquet(path)
+
+    def finish():
+        release_watch.clock_row(tagged, minutes + 1).write.mode("append").parquet(path)
+
+    arrivals = [] if start is None else [partial(arrive, since) for since in range(start, end + 1, step)]
     stream = spark.readStream.schema(release_watch.TAGGED).parquet(path)
-    return runs.run_available(spark, release_watch.watch_stream(stream, minutes=minutes), "watch")
+    watched = release_watch.watch_stream(stream, minutes=minutes)
+    return runs.run_batches(spark, watched, [*arrivals, finish], "watch")
 
 
 @query("release_watch_stream", _watch_sql(30))
