@@ -4,6 +4,10 @@ A page is read into blocks of text. A classifier gives each block a cost for eit
 of its edge to the source (content) or the sink (boilerplate). Blocks that follow each other, and blocks
 that share a parent, are tied by edges that cost more the closer the blocks are in the page's tree. The
 cut of least cost labels all blocks of a page at once.
+
+What stands around a block is known when the page is read: a form, or an element whose class or id has a
+word of boilerplate ("has-sidebar"), says nothing when it is a wrapper, that is when it holds the page's
+root. Elsewhere such words weigh little enough for the ties of a block to outweigh them.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ ENDS_P = BREAKS - frozenset("caption td th tr tbody thead tfoot body html".split
 #: What the name of an element around a block says for content (+) or boilerplate (-), in log odds.
 ELEMENT_ODDS = {"article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0,
                 "dialog": -9.0, "fieldset": -6.0, "search": -9.0}
+#: Of these, the ones that may stand around a whole page.
+FORMS = frozenset(("form", "fieldset"))
 #: Words in a class, id or role that say so.
 BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav "
                       "navigation navbar menu sidebar footer foot masthead topbar header comment comments reply replies "
@@ -38,6 +44,8 @@ BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sp
                       "breadcrumb breadcrumbs pagination pager toolbar widget widgets tags toc copyright legal "
                       "disclaimer complementary contentinfo skip".split())
 GOOD_WORDS = frozenset("article content main post entry story body text".split())
+#: What a bad or a good word says: a bad one no more than the length of a block and its ties can outweigh.
+BAD_ODDS, GOOD_ODDS = -3.0, 2.0
 #: Elements open at once; what is nested deeper counts as part of the last one, as browsers do.
 DEEPEST = 512
 #: Weight of the ties between blocks.
@@ -62,36 +70,100 @@ class Element:
     name: str
     parent: int
     depth: int
-    odds: float
     hidden: bool
+    words: frozenset[str] = frozenset()  # of class, id and role
+    role: frozenset[str] = frozenset()
+    odds: float = 0.0
+    size: int = 0  # characters of its own text
 
 
 def _element(name: str, attributes: str, parent: int, elements: list[Element]) -> Element:
     above = elements[parent]
-    odds = ELEMENT_ODDS.get(name, 0.0)
-    inside = above.odds > 0
-    if name == "header":
-        odds = 0.0 if inside else -9.0  # the header of an article holds its title
+    made = Element(name, parent, above.depth + 1, above.hidden or name in UNSEEN)
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
-            words = set(_NAME.findall(value.lower()))
-            if name in ("body", "html", "article", "main"):
-                continue
-            if words & BAD_WORDS and not (inside and words & {"header", "body"}):
-                odds = min(odds, -9.0)
-            elif words & GOOD_WORDS and key != "role" or "main" in words:
-                odds = odds or 2.0
-        if re.search(r"\shidden(?=[\s=]|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes, re.I):
-            return Element(name, parent, above.depth + 1, odds, True)
-    # The nearest element that says anything counts, but nothing inside boilerplate becomes content again.
-    carried = above.odds if above.odds < -1 or odds == 0.0 else odds
-    return Element(name, parent, above.depth + 1, carried, above.hidden or name in UNSEEN)
+            words = frozenset(_NAME.findall(value.lower()))
+            if key.lower() == "role":
+                made.role |= words
+            else:
+                made.words |= words
+        made.hidden |= bool(re.search(r"\shidden(?=[\s=]|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes, re.I))
+    return made
+
+
+def _bad(element: Element) -> bool:
+    return element.name not in ("body", "html", "article", "main") and not BAD_WORDS.isdisjoint(element.words | element.role)
+
+
+def _wrappers(elements: list[Element]) -> set[int]:
+    """Forms, and elements with bad words, that hold the page's root and so say nothing about it.
+
+    Roots are the <main> and the outermost <article> with most text; without these, the element with most
+    text of those named by a good word. Without any, and for forms always, an element is a wrapper that
+    holds more than half of the text. Text in elements of boilerplate does not count. What has the name and
+    the words of a wrapper, such as the next post of a list, is one too.
+    """
+    soft = [k for k, e in enumerate(elements) if e.name in FORMS or _bad(e)]
+    if not soft:
+        return set()
+    aside, inner, size = [False], [False], [e.size for e in elements]
+    for e in elements[1:]:
+        aside.append(aside[e.parent] or e.name not in FORMS and ELEMENT_ODDS.get(e.name, 0.0) < 0)
+        inner.append(inner[e.parent] or elements[e.parent].name == "article")
+    for k in range(len(elements) - 1, 0, -1):
+        if aside[k] and not aside[elements[k].parent]:
+            size[k] = 0
+        size[elements[k].parent] += size[k]
+    roots: dict[str, int] = {}
+    for k, e in enumerate(elements):
+        if aside[k] or e.hidden or not size[k]:
+            continue
+        if e.name == "main" or "main" in e.role:
+            kind = "main"
+        elif e.name == "article":
+            kind = "article" if not inner[k] and BAD_WORDS.isdisjoint(e.words) else ""
+        else:
+            kind = "word" if e.name in BREAKS and not _bad(e) and not GOOD_WORDS.isdisjoint(e.words) else ""
+        if kind and size[k] > size[roots.get(kind, 0)] * (kind in roots):
+            roots[kind] = k
+    if len(roots) > 1:
+        roots.pop("word", None)
+    made, held = set(), set()
+    for k in roots.values():
+        while k > 0:
+            held.add(k)
+            k = elements[k].parent
+    for k in soft:
+        if k in held or (not roots or elements[k].name in FORMS) and not aside[k] and 2 * size[k] > size[0]:
+            made.add(k)
+    alike = {(elements[k].name, elements[k].words) for k in made if elements[k].words}
+    return made | {k for k in soft if (elements[k].name, elements[k].words) in alike}
+
+
+def weigh(elements: list[Element]) -> None:
+    """The odds of every element: the nearest one around it that says anything counts, but nothing inside
+    boilerplate becomes content again."""
+    wrappers = _wrappers(elements)
+    for k, e in enumerate(elements[1:], 1):
+        above = elements[e.parent]
+        odds, inside = ELEMENT_ODDS.get(e.name, 0.0), above.odds > 0
+        if e.name == "header":
+            odds = 0.0 if inside else -9.0  # the header of an article holds its title
+        if k in wrappers:
+            odds = max(odds, 0.0) if e.name in FORMS else odds
+        elif _bad(e) and not (inside and (e.words | e.role) & {"header", "body"}):
+            odds = min(odds, BAD_ODDS)
+        if e.name not in ("body", "html", "article", "main") and odds == 0.0 and (
+                not GOOD_WORDS.isdisjoint(e.words) and (k in wrappers or not _bad(e)) or "main" in e.role):
+            odds = GOOD_ODDS
+        e.odds = above.odds if above.odds < -1 or odds == 0.0 else odds
 
 
 def blocks(page: str) -> tuple[list[Block], list[Element]]:
     """The text blocks of a page in order, and its elements. Never recursive; one pass."""
-    elements = [Element("", -1, 0, 0.0, False)]
+    elements = [Element("", -1, 0, False)]
     made: list[Block] = []
+    around: list[int] = []  # the element that each block stands in
     stack, parts = [0], []  # parts: (text, is a link)
     links, breaks, pos = 0, 0, 0
 
@@ -104,7 +176,9 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
         if text:
             linked = sum(len(p.strip()) for p, a in parts if a)
             holder = next((k for k in reversed(stack) if elements[k].name in BREAKS or k == 0), 0)
-            made.append(Block(text, holder, elements[stack[-1]].odds, linked / max(1, len(text)), elements[holder].name))
+            made.append(Block(text, holder, 0.0, linked / max(1, len(text)), elements[holder].name))
+            around.append(stack[-1])
+            elements[stack[-1]].size += len(text)
         parts = []
 
     def say(text: str):
@@ -175,6 +249,9 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
             leave(len(stack) - 1)
             pos = end.end() if end else len(page)
     close_block()
+    weigh(elements)
+    for block, k in zip(made, around):
+        block.odds = elements[k].odds
     return made, elements
 
 

@@ -80,6 +80,35 @@ def test_odd_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+STORY = "".join(f"<p>Sentence number {k} of the story, which goes on for a good while.</p>" for k in range(3))
+TOLD = "\n".join(f"Sentence number {k} of the story, which goes on for a good while." for k in range(3))
+SIDE = "<nav><a href=/>Home</a></nav><div class=sidebar><article><h3>Next</h3><p>A teaser of another text, to be read later.</p></article></div>"
+REMARKS = "<ol id=comments><li class=comment><article class=comment-body><p>I read all of it with great pleasure.</p></article></ol>"
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<form id=aspnetForm><main>", "</main></form>"), ("<form><fieldset><div>", "</div></fieldset></form>"),
+    ("<div class='page has-sidebar'><main><article>", "</article></main></div>"),
+    ("<div class=content-sidebar-wrap><article>", "</article></div>"), ("<div class=with-nav><div id=content>", "</div></div>"),
+    ("<main><div class=has-sidebar><article>", "</article></div></main>"), ("<div class=cookie-ready>", "</div>"),
+    ("<form><div class=has-sidebar><main><article>", f"</article>{REMARKS}</main>{SIDE}</div></form>"),
+    ("<article>", f"</article>{REMARKS}{SIDE}"),
+])
+def test_wrappers_say_nothing(start, end):
+    assert html_text.main_text(f"<html><body>{start}{STORY}{end}<footer>All rights reserved.</footer></body></html>") == TOLD
+
+
+def test_posts_in_wrappers_of_one_kind():
+    posts = "".join(f"<div id=p-{k} class='post has-sidebar'><article>{STORY}</article></div>" for k in range(3))
+    assert html_text.main_text(f"<body>{posts}</body>") == "\n".join([TOLD] * 3)
+
+
+def test_ties_outweigh_a_word():
+    long = "This remark is a part of the story " * 6 + "to the end."
+    assert html_text.main_text(f"<article>{STORY}<p class=notice>{long}</p>{STORY}</article>") == f"{TOLD}\n{long}\n{TOLD}"
+    assert html_text.main_text(f"<article>{STORY}<p class=notice>Buy now.</p>{STORY}</article>") == f"{TOLD}\n{TOLD}"
+
+
 # ---- 2 near duplicates
 
 def test_bands_reach_the_recall():
