@@ -46,8 +46,8 @@ BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sp
 GOOD_WORDS = frozenset("article content main post entry story body text".split())
 #: What a bad or a good word says: a bad one no more than the length of a block and its ties can outweigh.
 BAD_ODDS, GOOD_ODDS = -3.0, 2.0
-#: Elements open at once; what is nested deeper counts as part of the last one, as browsers do.
-DEEPEST = 512
+#: Elements that the end tag of an inline element outside of them does not close.
+BARRIERS = frozenset("td th article body".split())
 #: Weight of the ties between blocks.
 TIE_NEXT, TIE_PARENT = 1.2, 0.8
 
@@ -160,11 +160,17 @@ def weigh(elements: list[Element]) -> None:
 
 
 def blocks(page: str) -> tuple[list[Block], list[Element]]:
-    """The text blocks of a page in order, and its elements. Never recursive; one pass."""
+    """The text blocks of a page in order, and its elements. Never recursive; one pass.
+
+    Elements may be nested as deep as they like: where the open ones of a name, the open blocks and the
+    open barriers stand on the stack is kept, so that no tag searches it.
+    """
     elements = [Element("", -1, 0, False)]
     made: list[Block] = []
     around: list[int] = []  # the element that each block stands in
     stack, parts = [0], []  # parts: (text, is a link)
+    named: dict[str, list[int]] = {}
+    open_blocks, open_barriers = [], []
     links, breaks, pos = 0, 0, 0
 
     def close_block():
@@ -175,7 +181,7 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
             linked = sum(len(p.strip()) for p, a in parts if a)
-            holder = next((k for k in reversed(stack) if elements[k].name in BREAKS or k == 0), 0)
+            holder = stack[open_blocks[-1]] if open_blocks else 0
             made.append(Block(text, holder, 0.0, linked / max(1, len(text)), elements[holder].name))
             around.append(stack[-1])
             elements[stack[-1]].size += len(text)
@@ -193,7 +199,13 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
     def leave(until: int):
         nonlocal links
         while len(stack) > until:
-            links -= elements[stack.pop()].name == "a"
+            name = elements[stack.pop()].name
+            named[name].pop()
+            if name in BREAKS:
+                open_blocks.pop()
+            if name in BARRIERS:
+                open_barriers.pop()
+            links -= name == "a"
 
     while pos < len(page):
         match = _MARKUP.search(page, pos)
@@ -209,9 +221,9 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
                 say(match[0][9:].removesuffix("]]>"))
             continue
         if match[1]:
-            at = next((k for k in range(len(stack) - 1, 0, -1) if elements[stack[k]].name == name), 0)
-            if at and not (name not in BREAKS and any(elements[k].name in ("td", "th", "article", "body") for k in stack[at + 1:])):
-                if any(elements[k].name in BREAKS for k in stack[at:]):
+            at = named[name][-1] if named.get(name) else 0
+            if at and not (name not in BREAKS and open_barriers and open_barriers[-1] > at):
+                if open_blocks and open_blocks[-1] >= at:
                     close_block()
                 leave(at)
             continue
@@ -230,18 +242,21 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
         if name in BREAKS:
             close_block()
             if name in ENDS_P:  # an open paragraph ends here, with the inline elements in it
-                at = next((k for k in range(len(stack) - 1, 0, -1) if elements[stack[k]].name in BREAKS), 0)
+                at = open_blocks[-1] if open_blocks else 0
                 if at and elements[stack[at]].name == "p":
                     leave(at)
             if name in ("li", "dd", "dt", "tr", "td", "th", "option"):
-                at = next((k for k in range(len(stack) - 1, 0, -1) if elements[stack[k]].name in BREAKS), 0)
+                at = open_blocks[-1] if open_blocks else 0
                 if at and elements[stack[at]].name == name:
                     leave(at)
-        if len(stack) >= DEEPEST:
-            continue
         elements.append(_element(name, match[3], stack[-1], elements))
         if match[3].endswith("/") and name in ("svg", "math", "path"):
             continue
+        named.setdefault(name, []).append(len(stack))
+        if name in BREAKS:
+            open_blocks.append(len(stack))
+        if name in BARRIERS:
+            open_barriers.append(len(stack))
         stack.append(len(elements) - 1)
         links += name == "a"
         if name in RAW:

@@ -98,6 +98,13 @@ def test_wrappers_say_nothing(start, end):
     assert html_text.main_text(f"<html><body>{start}{STORY}{end}<footer>All rights reserved.</footer></body></html>") == TOLD
 
 
+@pytest.mark.parametrize("start", ["<font>" * 600, "<div>" * 600, "<b>" * 100_000])
+def test_deep_pages(start):
+    junk = f"<script>var a = 1;</script>{SIDE}<div hidden>Not to be seen by anyone who reads this page.</div>"
+    page = f"<body><div><article>{start}{junk}<div>{STORY}</div>{STORY}</article></div><footer>All rights reserved.</footer></body>"
+    assert html_text.main_text(page) == f"{TOLD}\n{TOLD}"
+
+
 def test_posts_in_wrappers_of_one_kind():
     posts = "".join(f"<div id=p-{k} class='post has-sidebar'><article>{STORY}</article></div>" for k in range(3))
     assert html_text.main_text(f"<body>{posts}</body>") == "\n".join([TOLD] * 3)
