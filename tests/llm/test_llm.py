@@ -428,6 +428,34 @@ def test_added_spans_leave_plain_text_alone(spark):
         assert pii.find(text, trees) == []
 
 
+def test_planted_variants_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judges = pii.learn(docs.where(~queries.held_out()))
+    rng, met, missed, wrong = random.Random(4), Counter(), [], []
+    plain = [t for _, t in pairs(docs.where(queries.held_out())) if not pii.candidates(t)]
+    known = {"email": "jo.doe{}@mail.example{}.org", "ip": "1{}.{}.2{}.17", "phone": "+1 (2{}) 555-01{}"}
+    for kind in pii.KINDS:
+        for k in range(40):
+            a, b = rng.randint(10, 49), rng.randint(10, 49)
+            span = known[kind].format(a, b, a) if kind in known else next(
+                d for c in range(10) if pii.luhn(d := f"4556{a}{b}7375{b}{a}5{c}"))
+            for form, cued in pii.variants(kind, span):
+                words = rng.choice(plain).split(" ")
+                before = " ".join(words[:20]) + (f" {pii.CUES[kind][0]} " if cued else " ")
+                text = before + form + rng.choice([" ", ". ", ", "]) + " ".join(words[20:40])
+                found = [(s[0], s[1], s[2]) for s in pii.find(text, judges) if not s[3]]
+                if (kind, len(before), len(before) + len(form)) in pii.candidates(text):
+                    met[kind] += 1
+                    if found != [(kind, len(before), len(before) + len(form))]:
+                        missed.append((kind, form, found))
+            for form in pii.misses(kind, span, rng):
+                if pii.find(f"{' '.join(words[:20])} {form} and more", judges) != [(*s, True) for s in pii.base_spans(f"{' '.join(words[:20])} {form} and more")]:
+                    wrong.append((kind, form))
+    lost = Counter(m[0] for m in missed)
+    assert all(met[kind] > 50 and lost[kind] <= 0.05 * met[kind] for kind in pii.KINDS), (met, lost, missed[:20])
+    assert len(wrong) <= 10, wrong
+
+
 def test_pii_query(spark, documents):
     texts = dict(pairs(documents))
     for r in queries.op9_pii(spark, FOLDER).collect():
