@@ -12,16 +12,20 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.shared import map_pieces, sample_of, written
+from statloom.llm.shared import map_pieces, written
 
 UNKNOWN = "und"
-#: Labelled rows the model learns from: at most about so many, chosen by a hash of the id.
+#: Labelled rows the model learns from: at most about so many, chosen by a hash of the id and the text.
 SAMPLE_ROWS = 20_000
-#: Words, and n-grams of each order, that the model keeps: the most frequent ones.
+#: Words, and n-grams of each order, that the model keeps of each language: its most frequent ones.
 WORDS, GRAMS, ORDERS = 40_000, 20_000, (4, 3, 2, 1)
+#: Numbers in a table of the model, terms by languages: with more than 20 languages each keeps fewer words.
+CELLS = 16_000_000
+#: Terms of one count go in so many groups, by a hash, where not all of them have room.
+GROUPS = 1024
 #: Each step back to shorter n-grams weighs so much.
 BACKOFF = 0.7
 #: Unknown words whose scores a task keeps.
@@ -76,6 +80,45 @@ class Model:
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
+def _looked_up(values: dict, key: Column, kind: str) -> Column:
+    """The value of a column's key in a small dictionary; null without one."""
+    if not values:
+        return F.lit(None).cast(kind)
+    return F.element_at(F.create_map(*(F.lit(x).cast(t) for k, v in values.items() for x, t in ((k, "string"), (v, kind)))), key)
+
+
+def _most_frequent(counted: DataFrame, most: dict[int, int]) -> Column:
+    """Which rows of (kind, term, lang, n) are among the ``most`` frequent of their language, by kind.
+
+    Counts of counts say from which one on a language's terms have room; of those that just have that count,
+    so many groups go in as fill it. No task sorts or holds the terms of a language, however many it has.
+    """
+    key = F.concat_ws(":", F.col("kind").cast("string"), "lang")
+    part = F.pmod(F.xxhash64("term"), F.lit(GROUPS))
+    each = counted.select(key.alias("key"), part.alias("part"), "n")
+
+    def filled(counts: DataFrame, room: dict[str, int], falling: bool) -> tuple[dict[str, int], dict[str, int]]:
+        # By key the value at which the room runs out, and what is left of the room there.
+        found: dict[str, list] = {}
+        for key, value, times in counts.collect():
+            found.setdefault(key, []).append((value, times))
+        ends, rest = {}, {}
+        for key, some in found.items():
+            left = room[key] if key in room else most[int(key.split(":")[0])]
+            for value, times in sorted(some, reverse=falling):
+                if times > left:
+                    ends[key], rest[key] = value, left
+                    break
+                left -= times
+        return ends, rest
+
+    least, room = filled(each.groupBy("key", "n").count(), {}, True)
+    tied = each.where(F.col("n") == _looked_up(least, F.col("key"), "long")).groupBy("key", "part").count()
+    last, _ = filled(tied, room, False) if least else ({}, {})
+    bound = F.coalesce(_looked_up(least, key, "long"), F.lit(0))
+    return (F.col("n") > bound) | ((F.col("n") == bound) & (part <= F.coalesce(_looked_up(last, key, "long"), F.lit(-1))))
+
+
 def _logs(rows: list, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Log frequencies, centred over the languages so that a rare word says no more than a common one."""
     place = {lang: k for k, lang in enumerate(langs)}
@@ -87,15 +130,36 @@ def _logs(rows: list, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
     return names, share - share.mean(axis=1, keepdims=True) if len(langs) else share
 
 
+def _quota(counts: dict[str, int], most: int) -> float:
+    """How many rows of a language may be taken, so that all together are ``most``: small ones give all."""
+    left, rest = most, sorted(counts.values())
+    while rest and rest[0] * len(rest) <= left:
+        left -= rest.pop(0)
+    return left / len(rest) if rest else float("inf")
+
+
+def _sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> DataFrame:
+    """About ``most`` rows, chosen by a hash: an equal part of each language, all rows of one that has fewer."""
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    quota = _quota(counts, most)
+    large = {lang: int((1 << 40) * quota / n) for lang, n in counts.items() if n > quota}
+    if not large:
+        return rows
+    bounds = F.create_map(*(F.lit(x) for pair in large.items() for x in pair))
+    bound = F.coalesce(F.element_at(bounds, F.col(lang_col)), F.lit(1 << 40))
+    return rows.where(F.pmod(F.xxhash64(F.struct(id_col, text_col), F.lit(7)), F.lit(1 << 40)) < bound)
+
+
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from rows whose text and language are not null; a bounded, documented sample of them.
+    """Learn from rows whose text and language are not null; a bounded sample of them, an equal part of
+    each language.
 
-    Counting is distributed; the driver gets the most frequent terms only, ``WORDS`` and ``GRAMS`` of
-    them (ties by the term). Without labelled rows the model knows no language.
+    Counting is distributed; the driver gets the most frequent terms only, ``WORDS`` and ``GRAMS`` of each
+    language (ties by a hash of the term). Without labelled rows the model knows no language.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    rows = sample_of(rows, F.struct(id_col, text_col), sample_rows)
+    rows = _sample(rows, id_col, text_col, lang_col, sample_rows)
     rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
 
     def count(columns: dict[str, list]) -> dict:
@@ -120,12 +184,15 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         .groupBy("kind", "term", "lang").agg(F.sum("n").alias("n")), "terms")
     # Each language gives its most frequent terms, so that a rare language keeps its own.
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    room = max(1, CELLS // max(1, len(langs)) ** 2)
+    often = counted.groupBy("kind", "term").agg(F.sum("n").alias("total")).where("total > 1").drop("total")
+    counted = written(counted.join(often, ["kind", "term"]), "terms")
+    chosen = _most_frequent(counted, {kind: min(room, GRAMS if kind else WORDS) for kind in (0, *ORDERS)})
     tables = {}
     for kind in (0, *ORDERS):
         own = counted.where(F.col("kind") == kind)
-        total = own.groupBy("term").agg(F.sum("n").alias("total"), F.count("n").alias("_langs"))
-        top = total.where("total > 1").orderBy(F.desc("total"), "term").limit(WORDS if kind == 0 else GRAMS)
-        tables[kind] = _logs(own.join(F.broadcast(top), "term").select("term", "lang", "n").collect(), langs)
+        top = own.where(chosen).select("term").distinct()
+        tables[kind] = _logs(own.join(top, "term").select("term", "lang", "n").collect(), langs)
     words, word_logs = tables.pop(0)
     return Model(langs, words, word_logs, {k: t[0] for k, t in tables.items()}, {k: t[1] for k, t in tables.items()})
 

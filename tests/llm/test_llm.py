@@ -278,6 +278,35 @@ def test_language(spark, odd):
     assert language_id.predict(odd.limit(0), model).collect() == []
 
 
+def made_up(rng, letters, n):
+    return ["".join(rng.choices(letters, k=rng.randint(4, 9))) for _ in range(n)]
+
+
+def test_rare_language_keeps_its_terms(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "WORDS", 210)
+    monkeypatch.setattr(language_id, "GRAMS", 300)
+    rng = random.Random(11)
+    # The languages share their letters, and most of their short n-grams.
+    words = {lang: made_up(rng, "abcdefghij", 200) for lang in ("xa", "xb", "xc")}
+    rows = [(k, " ".join(rng.choices(words["xa"], k=12)), "xa") for k in range(3960)]
+    rows += [(10_000 + k, " ".join(rng.choices(words[lang], k=12)), lang) for k in range(20) for lang in ("xb", "xc")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(frame, sample_rows=200)
+    assert model.langs == ["xa", "xb", "xc"]
+    for lang, known in words.items():
+        texts = [" ".join(rng.choices(known, k=12)) for _ in range(100)]
+        assert sum(model.predict(t)[0] == lang for t in texts) >= 97, lang
+    some = language_id._sample(frame, "doc_id", "text", "lang", 200).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in some if r["lang"] != "xa"} == {"xb": 20, "xc": 20}
+    assert 100 < next(r["count"] for r in some if r["lang"] == "xa") < 220
+
+
+def test_quota():
+    assert language_id._quota({"a": 5, "b": 3}, 8) == language_id._quota({}, 8) == float("inf")
+    assert language_id._quota({"a": 1000, "b": 3, "c": 500}, 103) == 50
+    assert language_id._quota({"a": 1000}, 100) == 100
+
+
 # ---- 7 token files
 
 def test_code_lengths():
