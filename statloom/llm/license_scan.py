@@ -117,10 +117,31 @@ class Index:
 
 def blocks(text: bytes, most: int = BLOCK_WORDS):
     """The words of each paragraph (blank lines part them); long ones in windows overlapping by half."""
+    for _, held in placed_blocks(text, most):
+        yield held
+
+
+def placed_blocks(text: bytes, most: int = BLOCK_WORDS):
+    """The same, each after the place of its first word in the text."""
+    start = 0
     for part in re.split(rb"\n[\x20\t\r]*\n", text):
         held = words(part)
         for at in range(0, max(1, len(held) - most // 2), most // 2):
-            yield held[at:at + most]
+            yield start + at, held[at:at + most]
+        start += len(held)
+
+
+def joined(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Blocks (template, first word, last word, share) by place; windows of one template that overlap are one,
+    with the best of their shares."""
+    made: list[tuple[str, int, int, float]] = []
+    for name, first, last, share in sorted(found):
+        if made and made[-1][0] == name and first <= made[-1][2]:
+            _, low, high, best = made[-1]
+            made[-1] = (name, low, max(high, last), max(best, share))
+        else:
+            made.append((name, first, last, share))
+    return sorted(made, key=lambda m: (m[1], m[2], m[0]))
 
 
 def phrase_places(held: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:
@@ -141,7 +162,8 @@ def phrase_places(held: list[bytes], phrases: dict[str, str]) -> list[tuple[int,
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
          phrases: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: n_words, places (first word and label of each phrase), matches (template and share held).
+    """Per row: n_words, places (first word and label of each phrase), matches (template and best share held),
+    blocks (template, first and last word and share held of every block that meets the threshold).
 
     Null and empty texts have no words and no finds. Texts are read whole, in one pass of one task;
     repeated rows are read each; templates of equal words are all found; other columns are left out.
@@ -153,7 +175,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     starts = {p.encode().split(b" ")[0] for p in phrases}
 
     def work(columns: dict[str, list]) -> dict:
-        n_words, places, matches = [], [], []
+        n_words, places, matches, found = [], [], [], []
         for text in columns["text"]:
             raw = (text or "").encode()
             held = words(raw)
@@ -161,15 +183,19 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             n_words.append(len(held))
             places.append([{"word": at, "label": label} for at, label in phrase_places(held, phrases)]
                           if own & starts else [])
-            best: dict[str, float] = {}
+            met: list[tuple[str, int, int, float]] = []
             if own & index.prefix and index.matches(own):
-                for block in blocks(raw):
-                    for name, share in index.matches(set(block)).items():
-                        best[name] = max(share, best.get(name, 0.0))
+                met = joined([(name, at, at + len(block) - 1, share) for at, block in placed_blocks(raw)
+                              for name, share in index.matches(set(block)).items()])
+            best: dict[str, float] = {}
+            for name, _, _, share in met:
+                best[name] = max(share, best.get(name, 0.0))
+            found.append([dict(zip(("label", "first", "last", "share"), m)) for m in met])
             matches.append([{"label": name, "share": share} for name, share in sorted(best.items())])
-        return {"id": columns["id"], "n_words": n_words, "places": places, "matches": matches}
+        return {"id": columns["id"], "n_words": n_words, "places": places, "matches": matches, "blocks": found}
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = (f"id {kind}, n_words long, places array<struct<word:long,label:string>>, "
-              "matches array<struct<label:string,share:double>>")
+              "matches array<struct<label:string,share:double>>, "
+              "blocks array<struct<label:string,first:long,last:long,share:double>>")
     return map_pieces(rows, schema, work).withColumnRenamed("id", id_col)

@@ -99,11 +99,11 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     base = F.array_distinct(F.transform("places", lambda p: p["label"]))
     starts = F.transform("places", lambda p: p["word"])
     score = F.when(F.size("places") > 0, 1.0).otherwise(
-        F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)))
+        F.coalesce(F.array_max(F.transform("blocks", lambda m: m["share"])), F.lit(0.0)))
     return found.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"), F.array_join(F.array_sort(base), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(base, F.transform("matches", lambda m: m["label"]))), ",").alias("labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.transform("blocks", lambda m: m["label"]))), ",").alias("labels"),
         score.alias("score"))
 
 

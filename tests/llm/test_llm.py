@@ -180,6 +180,20 @@ def test_licenses(spark, documents, odd):
     assert license_scan.scan(odd.limit(0)).collect() == []
 
 
+def test_every_block_of_a_template_is_told(spark):
+    bsd, n = license_scan.TEMPLATES["text-bsd"], len(brute.words(license_scan.TEMPLATES["text-bsd"]))
+    long = "x " * 1000 + bsd + " y" * 1000
+    rows = [(1, f"Intro here\n\n{bsd}\n\nbetween\n\n{bsd}\n\nend"), (2, long), (3, "nothing"), (4, None)]
+    found = {r["doc_id"]: [tuple(b) for b in r["blocks"]]
+             for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1] == [("text-bsd", 2, n + 1, 1.0), ("text-bsd", n + 3, 2 * n + 2, 1.0)]
+    (label, first, last, share), = found[2]
+    assert label == "text-bsd" and first <= 1000 and last >= 999 + n and share == 1.0 and last - first < 2000 + n
+    assert found[3] == found[4] == []
+    assert license_scan.joined([("a", 5, 9, 0.8), ("a", 0, 5, 0.9), ("b", 3, 4, 0.7), ("a", 10, 12, 0.8)]) == [
+        ("a", 0, 9, 0.9), ("b", 3, 4, 0.7), ("a", 10, 12, 0.8)]
+
+
 def test_license_query(spark):
     rows = queries.op3_license_scan(spark, FOLDER).collect()
     assert all(0 <= r["score"] <= 1 and (r["first_word"] is None) == (r["n_base"] == 0) for r in rows)
