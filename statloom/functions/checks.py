@@ -27,12 +27,15 @@ def template_check(
     found: Column,
     element_text: Column,
     raw_regex: bool = False,
+    problem: Column | None = None,
 ) -> Column:
     """``struct<updated boolean, info string>``; ``updated`` is NULL when the check could not be made.
 
     The tests run in a fixed order: template, selector, element, template on the text, date on the
     text. An empty selector counts as absent. The date is matched as a literal unless ``raw_regex``.
+    ``problem``, if not NULL, says why the selector could not be tried.
     """
+    problem = F.lit(None).cast("string") if problem is None else problem
     places = (F.length(template) - F.length(F.replace(template, F.lit(DATE_PLACEHOLDER), F.lit("")))) / len(
         DATE_PLACEHOLDER
     )
@@ -51,6 +54,7 @@ def template_check(
     return (
         F.when(F.coalesce(places != 1, F.lit(True)), failed(F.lit(TEMPLATE_ERROR)))
         .when(~one_selector, failed(F.lit(SELECTOR_ERROR)))
+        .when(problem.isNotNull(), failed(problem))
         .when(~F.coalesce(found, F.lit(False)), failed(F.concat(F.lit(NOT_FOUND_ERROR), selector_kind)))
         .when(~F.rlike(element_text, any_date), failed(F.lit(TEMPLATE_MISMATCH_ERROR)))
         .when(F.rlike(element_text, this_date), done(True))

@@ -151,6 +151,60 @@ def find_in_catalogue(entries: DataFrame, category: str, group: str, dataset: st
     return best.where(F.col("best.hit")).select("best.category", "best.group", "best.dataset")
 
 
+#: Letters of the longest parts of names that the lookup index holds.
+GRAM = 3
+
+
+def _grams(text: Column, sizes: list[int]) -> Column:
+    """The distinct parts of a text of these lengths."""
+    def parts(size):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))
+
+    return F.array_distinct(F.concat(*map(parts, sizes)))
+
+
+def first_hits(wanted: DataFrame, names: DataFrame, keys: list[str], position: str) -> DataFrame:
+    """``keys, text, <position>, name``: for every wanted text the first name of its keys that contains it.
+
+    ``wanted``: ``keys, text``; ``names``: ``keys, name, <position>``. Names are indexed by their parts of up to
+    ``GRAM`` letters, and a text is looked up by the rarest of its own, so a name meets a text only if they share
+    that part. An empty text is contained in every name, a missing one in none.
+    """
+    index = names.where(F.col("name").isNotNull()).select(
+        *keys, "name", position, F.explode(F.concat(F.array(F.lit("")), _grams(F.col("name"), list(range(1, GRAM + 1))))).alias("gram"))
+    spread_of = index.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("names"))
+    length = F.length("text")
+    own = F.when(length == 0, F.array(F.lit("")))
+    for n in range(1, GRAM + 1):
+        own = own.when(F.lit(n == GRAM) | (length == n), _grams(F.col("text"), [n]))
+    asked = wanted.where(F.col("text").isNotNull()).select(*keys, "text").distinct()
+    # A part that stands in no name has no row there: such a text is in no name either.
+    parts = asked.select(*keys, "text", F.explode(own).alias("gram")).join(spread_of, [*keys, "gram"], "left")
+    rarest = parts.groupBy(*keys, "text").agg(F.min(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram")).alias("rarest"))
+    looked = rarest.where("rarest.names > 0").select(*keys, "text", F.col("rarest.gram").alias("gram"))
+    hits = looked.join(index, [*keys, "gram"]).where(F.contains("name", F.col("text")))
+    best = hits.groupBy(*keys, "text").agg(F.min(F.struct(position, "name")).alias("best"))
+    return best.select(*keys, "text", f"best.{position}", "best.name")
+
+
+def find_all_in_catalogue(entries: DataFrame, references: DataFrame) -> DataFrame:
+    """``references`` with ``found_category, found_group, found_dataset`` for those that have a hit.
+
+    ``references`` has ``category, group, dataset``, texts: as ``find_in_catalogue`` for every row, in one job.
+    Each level is looked up once per different text, among the names below the hit of the level above.
+    """
+    levels = [("category", []), ("group", ["category_pos"]), ("dataset", ["category_pos", "group_pos"])]
+    found = references.select([F.col(level).alias(f"_{level}") for level, _ in levels]).distinct()
+    for level, keys in levels:
+        names = entries.select(*keys, F.col(level).alias("name"), f"{level}_pos").distinct()
+        hits = first_hits(found.select(*keys, F.col(f"_{level}").alias("text")), names, keys, f"{level}_pos")
+        hits = hits.select(*keys, F.col("text").alias(f"_{level}"), f"{level}_pos", F.col("name").alias(f"found_{level}"))
+        found = found.join(hits, [*keys, f"_{level}"])
+    names = [level for level, _ in levels]
+    found = found.select([F.col(f"_{n}").alias(n) for n in names] + [f"found_{n}" for n in names])
+    return references.join(found, names)
+
+
 def skip_names(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
     """Rows whose name is none of ``names``; rows without a name stay."""
     return rows.where(F.coalesce(~F.col(column).isin(*names), F.lit(True)))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.operators.compare import row_differences, verdicts
-from statloom.operators.keys import attach
+from statloom.operators.compare import fingerprints, row_differences, verdicts
+from statloom.session import written
 from statloom.sources.grids import long_from_cells, read_grids
 from statloom.sources.long_tables import labels_array, read_long_mixed, trim_labels
 
@@ -28,15 +28,36 @@ def reconcile(manifest: DataFrame, api: DataFrame, grid: DataFrame) -> DataFrame
     ``api`` and ``grid`` are the two long tables with ``dataset`` = file name without ending; the
     manifest may name files with or without it. A file named by the manifest that has no rows on either
     side gives NULL.
+
+    Each side gives a fingerprint per dataset, taken where its rows lie when this is called. Copies of equal
+    fingerprints are equivalent, copies of different size are not; only the rows of the datasets that are left
+    are brought together and compared.
     """
-    def named(rows, fname):
-        names = manifest.select("name", F.regexp_replace(fname, r"\.(csv|txt)$", "").alias("dataset"))
-        return attach(rows, names, ["dataset"], ["Period", "labels"]).select(
-            F.col("name").alias("dataset"), *COLUMNS[1:]
-        )
-
-    result = verdicts(named(api_side(api), "api_fname"), named(grid_side(grid), "grid_fname"))
-    return manifest.join(result.select(F.col("dataset").alias("name"), "equivalent"), "name", "left")
+    sides = {"api": api_side(api), "grid": grid_side(grid)}
+    pairs = manifest
+    for side, rows in sides.items():
+        prints = fingerprints(rows, ["dataset"], COLUMNS[1:])
+        known = prints.select(F.col("dataset").alias(f"_{side}"), F.struct("rows", "prints").alias(f"_{side}_print"))
+        pairs = pairs.withColumn(f"_{side}", F.regexp_replace(f"{side}_fname", r"\.(csv|txt)$", "")).join(known, f"_{side}", "left")
+    rows = {side: F.coalesce(F.col(f"_{side}_print.rows"), F.lit(0)) for side in sides}
+    settled = (
+        F.when(F.col("_api_print").isNull() & F.col("_grid_print").isNull(), F.lit("none"))
+        .when(rows["api"] != rows["grid"], F.lit("no"))
+        .when(F.col("_api_print") == F.col("_grid_print"), F.lit("yes")).otherwise(F.lit("open"))
+    )
+    pairs = written(pairs.select(*manifest.columns, "_api", "_grid", settled.alias("_settled")), "fingerprints")
+    verdict = F.when(F.col("_settled") != "none", F.col("_settled") == "yes")
+    unsettled = pairs.where("_settled = 'open'")
+    if unsettled.isEmpty():
+        return pairs.select(*manifest.columns, verdict.alias("equivalent"))
+
+    def named(side):
+        names = unsettled.select("name", F.col(f"_{side}").alias("dataset"))
+        return sides[side].join(names, "dataset").select(F.col("name").alias("dataset"), *COLUMNS[1:])
+
+    compared = verdicts(named("api"), named("grid")).select(F.col("dataset").alias("name"), F.col("equivalent").alias("_compared"))
+    return pairs.join(compared, "name", "left").select(
+        *manifest.columns, F.when(F.col("_settled") == "open", F.col("_compared")).otherwise(verdict).alias("equivalent"))
 
 
 def reconcile_files(

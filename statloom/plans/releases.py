@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +11,10 @@ from statloom.functions.checks import template_check
 from statloom.functions.events import body_files, body_script, body_url
 from statloom.functions.times import iso_local, local_midnight, off_schedule
 from statloom.operators.keys import attach, spread
-from statloom.sources.html import css_path, element_text, has_element, page_xml
+from statloom.sources.selectors import find_all
 
-# Selectors of one expression: a nested choice among more of them takes long to plan.
-SELECTORS_AT_ONCE = 16
+# Selectors that travel with one page; a page with more of them is read in as many parts.
+SELECTORS_AT_ONCE = 10_000
 
 
 def event_window(events: DataFrame, today: Column, days: int, start: str = "start_dt", end: str = "end_dt",
@@ -56,46 +55,50 @@ def due_releases(events: DataFrame, services: DataFrame, today: Column, zone: st
     return due.select("uid", "name", "begin", off_schedule(F.col("begin"), zone).alias("off_schedule"))
 
 
-def _distinct_selectors(rules: DataFrame) -> list[tuple[str, str]]:
-    used = rules.where(F.col("selector_kind").isin("xpath", "css") & (F.length("selector") > 0))
-    found = used.select("selector_kind", "selector").distinct().orderBy("selector_kind", "selector").collect()
-    return [(row.selector_kind, row.selector) for row in found]
+def _found(batches):
+    """Pages (url, html, asked) to the element each selector finds, page by page."""
+    kinds = pa.schema([("url", pa.string()), ("selector_kind", pa.string()), ("selector", pa.string()),
+                       ("_found", pa.bool_()), ("_text", pa.string())])
+    known = {}
+    for batch in batches:
+        for url, html, asked in zip(*batch.columns):
+            asked = [(s["selector_kind"], s["selector"]) for s in asked.as_py()]
+            rows = [(url.as_py(), *s, *f) for s, f in zip(asked, find_all(html.as_py(), asked, known))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows), kinds)], schema=kinds)
+
 
+def find_elements(wanted: DataFrame, pages: DataFrame) -> DataFrame:
+    """``url, selector_kind, selector, _found, _text`` of every selector that is asked for a page there is.
 
-def _elements(wanted: DataFrame, pages: DataFrame, selectors: list[tuple[str, str]]) -> DataFrame:
-    """``url, selector_kind, selector`` with whether the element is there, and its text."""
-    found, text, asked = F.lit(False), F.lit(None).cast("string"), F.lit(False)
-    for kind, selector in selectors:
-        path = css_path(selector) if kind == "css" else selector
-        mine = (F.col("selector_kind") == kind) & (F.col("selector") == selector)
-        asked = asked | mine
-        found = F.when(mine, has_element(F.col("_xml"), path)).otherwise(found)
-        text = F.when(mine, element_text(F.col("_xml"), path)).otherwise(text)
-    own = wanted.where(asked)
+    ``wanted``: ``url, selector_kind, selector``. A page is read once for all its selectors (once per
+    ``SELECTORS_AT_ONCE`` of them). ``_found`` is NULL for a selector that is not supported.
+    """
+    wanted = wanted.select("url", "selector_kind", "selector").distinct()
+    parts = wanted.groupBy("url").agg(F.ceil(F.count(F.lit(1)) / SELECTORS_AT_ONCE).alias("_parts"))
+    asked = wanted.join(parts, "url").withColumn("_part", F.pmod(F.xxhash64("selector_kind", "selector"), F.col("_parts")))
+    asked = asked.groupBy("url", "_part").agg(F.collect_list(F.struct("selector_kind", "selector")).alias("_asked"))
     # Pages nobody asks for go before the others are spread over the tasks.
-    watched = spread(pages.select("url", "html").join(own.select("url"), "url", "left_semi"), "url")
-    watched = watched.select("url", page_xml("html").alias("_xml"))
-    return watched.join(own, "url").select(
-        "url", "selector_kind", "selector", found.alias("_found"), F.trim(text).alias("_text"))
+    watched = pages.select("url", "html").join(asked.select("url", "_asked"), "url")
+    return spread(watched.select("url", "html", "_asked"), "url").mapInArrow(
+        _found, "url string, selector_kind string, selector string, _found boolean, _text string")
 
 
-def check_pages(rules: DataFrame, pages: DataFrame, selectors: list[tuple[str, str]] | None = None,
-                raw_regex: bool = False) -> DataFrame:
+def check_pages(rules: DataFrame, pages: DataFrame, raw_regex: bool = False) -> DataFrame:
     """``rule_id, updated, info`` of every rule.
 
     ``rules``: ``rule_id, url, text_template, date_str, selector_kind, selector``; ``pages``: ``url,
-    html``, one row per url. ``selectors`` lists the different (kind, selector) pairs of the rules;
-    without it they are looked up. A rule whose page is missing counts as element not found.
+    html``, one row per url. Selectors are data: any number of them changes nothing in the plan, and one
+    that is not supported (see ``sources.selectors``) costs its own rules only. A rule whose page is missing
+    counts as element not found.
     """
-    selectors = _distinct_selectors(rules) if selectors is None else selectors
     asked = ["url", "selector_kind", "selector"]
-    wanted = rules.select(asked).where(F.col("selector_kind").isin("xpath", "css")).distinct()
-    blocks = [selectors[k:k + SELECTORS_AT_ONCE] for k in range(0, len(selectors), SELECTORS_AT_ONCE)] or [[]]
+    wanted = rules.select(asked).where(F.col("selector_kind").isin("xpath", "css") & (F.length("selector") > 0))
     # Each element is looked up once, however many rules ask for it; rules never carry a page along.
-    elements = reduce(DataFrame.unionByName, (_elements(wanted, pages, block) for block in blocks))
-    seen = rules.join(elements, asked, "left")
+    seen = rules.join(find_elements(wanted, pages).withColumn("_read", F.lit(True)), asked, "left")
+    unsupported = F.when(F.col("_read") & F.col("_found").isNull(), F.concat(
+        F.lit("Not a supported "), F.col("selector_kind"), F.lit(" selector: "), F.col("selector")))
     result = template_check(
         F.col("text_template"), F.col("date_str"), F.col("selector_kind"), F.col("selector"),
-        F.col("_found"), F.col("_text"), raw_regex,
+        F.col("_found"), F.trim("_text"), raw_regex, unsupported,
     )
     return seen.select("rule_id", result.alias("result")).select("rule_id", "result.updated", "result.info")

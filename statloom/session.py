@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -20,14 +23,20 @@ _SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-
-_local_scratch: dict[str, str] = {}
+SHARED = "spark.checkpoint.dir"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on to a session made elsewhere."""
+    """Apply the settings the operators rely on to a session made elsewhere.
+
+    A local session without a shared folder, as in tests, gets one of its own, which goes when Python ends.
+    """
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.conf.get(SHARED, None) and re.match(r"local(\[|$)", spark.sparkContext.master):
+        folder = tempfile.mkdtemp(prefix="statloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.conf.set(SHARED, folder)
     return spark
 
 
@@ -37,23 +46,14 @@ def build_session(app: str = "statloom", master: str | None = None, **extra: str
         builder = builder.master(master)
     for key, value in {**_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
-
-    Without that setting a local session gets a temporary folder; a cluster session is refused,
-    since its executors do not share one.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path in the shared folder named by ``spark.checkpoint.dir``; an error without that setting."""
+    shared = spark.conf.get(SHARED, None)
     if not shared:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        if context.applicationId not in _local_scratch:
-            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="statloom-")
-        shared = _local_scratch[context.applicationId]
+        raise ValueError(f"set {SHARED} to a folder all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

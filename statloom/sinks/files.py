@@ -14,7 +14,7 @@ from statloom.session import written
 
 def csv_cell(text: Column) -> Column:
     quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.when(text.rlike('[",]'), quoted).otherwise(text)
+    return F.when(text.rlike(r'[",\r\n]'), quoted).otherwise(text)
 
 
 #: Lines of one file of a merged table.

@@ -31,7 +31,7 @@ def read_grids(
     columns = F.when(width > 1, F.sequence(F.lit(1), width - 1)).otherwise(F.array().cast("array<int>"))
     facts = {
         "column_labels": F.transform(columns, lambda i: F.transform(header, lambda line: F.get(line, i))),
-        "period_kind": period_kind(F.get(csv_fields(F.col("first_line")), F.lit(0))),
+        "period_kind": period_kind(F.regexp_extract("first_line", r'^\s*"?\s*([^",]*?)\s*(?:[",]|$)', 1)),
     }
     lines = read_csv_lines(spark, paths, _is_period_line, facts, dataset, body_required=True)
     body = lines.withColumn("fields", csv_fields(F.col("line")))

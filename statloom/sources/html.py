@@ -30,39 +30,67 @@ _NOT_XML = re.compile("[^\t\n\r\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")
 _NAME = re.compile(r"[A-Za-z_][\w.-]*\Z")
 
 
-class _Closer(HTMLParser):
-    """Collects a page as well-formed XML."""
+class PageReader(HTMLParser):
+    """Reads the tags of a page and closes what is left open: ``on_start``, ``on_end`` and ``on_text`` come in
+    well-formed order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
         self.open: list[str] = []
+        self.counts: dict[str, int] = {}
+
+    def on_start(self, tag: str, attributes: dict[str, str], void: bool) -> None:
+        raise NotImplementedError
+
+    def on_end(self, tag: str) -> None:
+        raise NotImplementedError
+
+    def on_text(self, data: str) -> None:
+        raise NotImplementedError
+
+    def _end_last(self):
+        tag = self.open.pop()
+        self.counts[tag] -= 1
+        self.on_end(tag)
 
     def handle_starttag(self, tag, attrs):
         if not _NAME.match(tag):
             return
         while self.open and tag in _CLOSED_BY.get(self.open[-1], ()):
-            self.out.append(f"</{self.open.pop()}>")
-        kept = {name: value or "" for name, value in reversed(attrs) if _NAME.match(name)}
-        text = "".join(f' {name}="{escape(value)}"' for name, value in kept.items())
-        if tag in _VOID:
-            self.out.append(f"<{tag}{text}/>")
-        else:
-            self.out.append(f"<{tag}{text}>")
+            self._end_last()
+        self.on_start(tag, {name: value or "" for name, value in reversed(attrs) if _NAME.match(name)}, tag in _VOID)
+        if tag not in _VOID:
             self.open.append(tag)
+            self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in self.open:
-            while True:
-                last = self.open.pop()
-                self.out.append(f"</{last}>")
-                if last == tag:
-                    break
+        if self.counts.get(tag):
+            while self.open[-1] != tag:
+                self._end_last()
+            self._end_last()
 
     def handle_data(self, data):
+        self.on_text(data)
+
+
+class _Closer(PageReader):
+    """Collects a page as well-formed XML."""
+
+    def __init__(self):
+        super().__init__()
+        self.out: list[str] = []
+
+    def on_start(self, tag, attributes, void):
+        text = "".join(f' {name}="{escape(value)}"' for name, value in attributes.items())
+        self.out.append(f"<{tag}{text}/>" if void else f"<{tag}{text}>")
+
+    def on_end(self, tag):
+        self.out.append(f"</{tag}>")
+
+    def on_text(self, data):
         self.out.append(escape(data, quote=False))
 
     def document(self) -> str:
@@ -144,14 +172,22 @@ def css_path(selector: str) -> str:
     while True:
         tag = _CSS_TAG.match(text, at)
         begin, at = at, tag.end() if tag else at
-        tests = []
+        tests, places = [], []
         while part := _CSS_PART.match(text, at):
-            tests.append(_css_test(part))
+            # Among the children of an element a place is a position, told without looking at the others.
+            if part["place"] and axis in ("//", "/"):
+                places.append("[last()]" if part["place"] == "last-child" else f"[{int(part['nth'] or 1)}]")
+            else:
+                tests.append(_css_test(part))
             at = part.end()
         step = _CSS_STEP.match(text, at)
         if at == begin or not step and at < len(text):
             raise ValueError(f"not a supported CSS selector: {selector}")
-        paths[-1] += axis + (tag[0].lower() if tag else "*") + "".join(tests)
+        name = tag[0].lower() if tag else "*"
+        if len(places) > 1:
+            tests += [_css_test(part) for part in _CSS_PART.finditer(text, begin, at) if part["place"]]
+            places = []
+        paths[-1] += axis + (f"*{places[0]}" + f"[self::{name}]" * (name != "*") if places else name) + "".join(tests)
         if not step:
             return " | ".join(paths)
         at = step.end()

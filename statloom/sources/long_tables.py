@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.fixed_values import API_COLUMN_TYPES, MAX_LABEL_LEVELS
-from statloom.sources.csv_text import csv_fields, read_csv_lines
+from statloom.sources.csv_text import csv_fields, has_line_breaks, read_csv_lines
 
 
 def read_long(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files that share one header: one CSV scan with an explicit schema.
 
     Only the first line is read to find the columns. A file whose header differs is an error
-    (``enforceSchema`` off), and a column with no known type is one too.
+    (``enforceSchema`` off), and a column with no known type is one too. Files with line breaks inside
+    quoted cells go the way of ``read_long_mixed``, so they are split like any other.
     """
     first = spark.read.text(path).where(F.trim("value") != "").limit(1)
     row = first.select(csv_fields(F.regexp_replace("value", r"^\uFEFF|\r$", "")).alias("names")).first()
@@ -22,6 +23,8 @@ def read_long(spark: SparkSession, path: str | list[str]) -> DataFrame:
     unknown = [name for name in row.names if name not in API_COLUMN_TYPES]
     if unknown:
         raise ValueError(f"columns without a known type: {unknown}")
+    if has_line_breaks(spark, path):
+        return read_long_mixed(spark, path).select(*row.names)
     schema = ", ".join(f"{name} {API_COLUMN_TYPES[name]}" for name in row.names)
     table = (
         spark.read.schema(schema)
@@ -49,13 +52,15 @@ def read_long_mixed(
         F.raise_error(F.concat(F.lit("not one header line of known columns: "), F.coalesce(
             F.array_join("header", " | "), F.lit("")), F.lit(" before "), F.substring("first_line", 1, 80)))
     )
-    facts = {"names": checked}
+    # Where a column stands is a fact of the file; NULL where it has no such column.
+    places = F.transform(F.array(checked), lambda names: F.struct(*(
+        F.nullif(F.array_position(names, F.lit(name)), F.lit(0)).cast("int").alias(name) for name in API_COLUMN_TYPES)))
+    facts = {"places": F.get(places, F.lit(0))}
     lines = read_csv_lines(spark, paths, lambda line: ~line.rlike(head), facts, dataset)
-    fields = lines.select("dataset", "names", csv_fields(F.col("line")).alias("fields"))
+    fields = lines.select("dataset", "places", csv_fields(F.col("line")).alias("fields"))
 
     def named(name):
-        place = F.array_position("names", F.lit(name)).cast("int")
-        return F.when(place > 0, F.get("fields", place - 1)).cast(API_COLUMN_TYPES[name]).alias(name)
+        return F.get("fields", F.col(f"places.{name}") - 1).cast(API_COLUMN_TYPES[name]).alias(name)
 
     return fields.select("dataset", *[named(name) for name in API_COLUMN_TYPES])
 

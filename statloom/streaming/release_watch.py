@@ -3,8 +3,12 @@
 Releases and page checks arrive as one stream of tagged rows, so that a release no check ever came
 for still ends. Keys are hashed into shards, and time is cut into spans. A release belongs to the span it
 starts in; a check goes to every span from which a release may still wait for it, so all that decides a
-release meets in one group of shard and span, and a key with most of the rows is split by time. A group's
-state holds the releases that are open and the checks that may still be overtaken by a late one.
+release meets in one group of shard and span, and a key with most of the rows is split by time.
+
+A group's state is a map from minutes to the rows of that minute. A batch writes the minutes its rows lie in,
+and drops those that no open release can see any more; what is merely open is not written again. Nothing needs
+to be marked as answered: the time at which a release is decided follows from its rows, and each look answers
+those decided since the last one.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from statloom.plans.watch import decided
 RELEASE, CHECK, CLOCK = "release", "check", "clock"
 TAGGED = "kind string, key string, id bigint, ts timestamp, updated boolean, due_date date"
 
+_MINUTE = 60_000_000
 _DECIDED = "release_id bigint, release_dt timestamp, due_date date, found timestamp, updated boolean"
 _BATCH = pa.schema([
     ("kind", pa.string()), ("key", pa.string()), ("id", pa.int64()), ("ts", pa.timestamp("us")),
@@ -54,22 +59,14 @@ def next_checks(rows: pd.DataFrame) -> pd.DataFrame:
     ]
 
 
-def settle(rows: pd.DataFrame, now: pd.Timestamp, window: pd.Timedelta):
-    """What is decided when nothing before ``now`` can arrive any more: ``decided, kept, wake``.
+def decisions(rows: pd.DataFrame, window: pd.Timedelta) -> pd.DataFrame:
+    """The releases with their next deciding check, and ``decided``: the time from which nothing can change that.
 
-    A release is decided once its first deciding check, or the end of its window, lies before
-    ``now``. Older checks then matter to no release, open or to come. ``wake`` is when to look again.
+    That is just behind the check, or the end of the window, whichever comes first.
     """
     found = next_checks(rows)
     ends = found["release_dt"] + window
-    over = (ends <= now) | (found["found"] < now)
-    is_open = rows["id"].isin(found.loc[~over, "release_id"])
-    kept = rows[((rows["kind"] == RELEASE) & is_open) | ((rows["kind"] == CHECK) & (rows["ts"] >= now))]
-    if not len(kept):
-        return found[over], kept, None
-    tick = pd.Timedelta(milliseconds=1)
-    first = pd.concat([ends[~over], found.loc[~over, "found"] + tick]).min()
-    return found[over], kept, kept["ts"].max() + tick if pd.isna(first) else first
+    return found.assign(decided=(found["found"] + pd.Timedelta(microseconds=1)).fillna(ends).where(lambda d: d < ends, ends))
 
 
 class _Watch(StatefulProcessor):
@@ -78,27 +75,51 @@ class _Watch(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.rows = handle.getValueState("rows", "batch binary")
-
-    def _step(self, parts: list[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        if self.rows.exists():
-            parts.append(_unpacked(self.rows.get()[0]))
-        now = pd.Timestamp(timer_values.getCurrentWatermarkInMs(), unit="ms")
-        decided_rows, kept, wake = settle(pd.concat(parts, ignore_index=True), now, self.window)
-        if wake is None:
-            self.rows.clear()
-        else:
-            self.rows.update((_packed(kept),))
+        self.minutes = handle.getMapState("minutes", "minute bigint", "batch binary")
+        self.seen = handle.getValueState("seen", "ms bigint")
+
+    def _take(self, rows: pd.DataFrame) -> None:
+        for minute, part in rows.groupby(rows["ts"].astype("datetime64[us]").astype("int64") // _MINUTE):
+            key = (int(minute),)
+            if self.minutes.containsKey(key):
+                part = pd.concat([_unpacked(self.minutes.getValue(key)[0]), part], ignore_index=True)
+            self.minutes.updateValue(key, (_packed(part),))
+
+    def _step(self, rows: pd.DataFrame, timer_values) -> Iterator[pd.DataFrame]:
+        ms = timer_values.getCurrentWatermarkInMs()
+        before = self.seen.get()[0] if self.seen.exists() else None
+        if before == ms and not len(rows):
+            return  # an older timer of this look
+        now = pd.Timestamp(ms, unit="ms")
+        if len(rows):
+            self._take(rows)
+        held = {key[0]: _unpacked(value[0]) for key, value in self.minutes.iterator()}
+        if not held:
+            self.seen.clear()
+            return
+        found = decisions(pd.concat(held.values(), ignore_index=True), self.window)
+        due = found["decided"] <= now
+        if before is not None:
+            due &= found["decided"] > pd.Timestamp(before, unit="ms")
+        ends = {minute: pd.Timestamp((minute + 1) * _MINUTE, unit="us") + self.window for minute in held}
+        for minute in [m for m, end in ends.items() if end <= now]:
+            self.minutes.removeKey((minute,))
+            del ends[minute]
+        if ends:
+            self.seen.update((ms,))
+            wake = min([*found.loc[found["decided"] > now, "decided"], *ends.values()])
             self.handle.registerTimer(-(-wake.value // 1_000_000))
-        if len(decided_rows):
-            yield decided_rows
+        else:
+            self.seen.clear()
+        if due.any():
+            yield found.loc[due].drop(columns="decided")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")
-        return self._step([batch.loc[batch["ts"] >= now, _BATCH.names] for batch in rows], timerValues)
+        return self._step(pd.concat([b.loc[b["ts"] >= now, _BATCH.names] for b in rows], ignore_index=True), timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return self._step([], timerValues) if self.rows.exists() else iter(())
+        return self._step(pd.DataFrame(columns=_BATCH.names), timerValues)
 
     def close(self) -> None:
         pass
@@ -142,17 +163,21 @@ def watch_stream(tagged: DataFrame, lateness: str = "0 minutes", minutes: int =
     )
 
 
+def tag_checks(checks: DataFrame) -> DataFrame:
+    """Checks (``key, check_id, ts, updated``) as rows of the stream."""
+    return checks.selectExpr(
+        f"'{CHECK}' kind", "cast(key as string) key", "cast(check_id as bigint) id",
+        "cast(ts as timestamp) ts", "updated", "cast(null as date) due_date",
+    )
+
+
 def tag_rows(releases: DataFrame, checks: DataFrame) -> DataFrame:
     """One table of releases and checks, as ``watch_stream`` reads it."""
     starts = releases.selectExpr(
         f"'{RELEASE}' kind", "cast(key as string) key", "cast(release_id as bigint) id",
         "cast(release_dt as timestamp) ts", "cast(null as boolean) updated", "due_date",
     )
-    marks = checks.selectExpr(
-        f"'{CHECK}' kind", "cast(key as string) key", "cast(check_id as bigint) id",
-        "cast(ts as timestamp) ts", "updated", "cast(null as date) due_date",
-    )
-    return starts.unionByName(marks)
+    return starts.unionByName(tag_checks(checks))
 
 
 def clock_row(tagged: DataFrame, minutes: int) -> DataFrame:

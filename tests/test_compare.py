@@ -121,3 +121,31 @@ def test_occurrences(spark):
     wanted = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "uid string, day int")
     found = history.single_occurrence(events, "uid", F.col("d"), "iid", wanted).collect()
     assert {(r.uid, r.action, r.iid) for r in found} == {("a", "cancel", "x"), ("b", "ambiguous", None), ("c", "none", None)}
+
+
+def test_fingerprints(spark):
+    rows = [("a", None, ["x", None], 1.0), ("a", "x", [None], 1.0), ("a", None, ["x", None], 1.0), ("a", "", ["y"], None)]
+    kinds = "k string, s string, labels array<string>, v double"
+
+    def printed(rows):
+        made = compare.fingerprints(spark.createDataFrame(rows, kinds).repartition(3), ["k"], ["s", "labels", "v"]).collect()
+        return [(r.rows, r.prints) for r in made]
+
+    assert printed(rows) == printed(rows[::-1])
+    for k, other in enumerate([("a", "x", ["x", None], 1.0), ("a", None, [None], 1.0), ("a", None, [None, "x"], 1.0), ("a", None, ["x", ""], 1.0),
+                               ("a", None, ["x"], 1.0), ("a", None, None, 1.0), ("a", None, ["x", None], None), ("a", "x", [None], 1.0)]):
+        assert printed([other, *rows[1:]]) != printed(rows), k
+
+
+def test_equal_copies_are_settled_by_their_fingerprints(spark, monkeypatch):
+    api = spark.range(500).selectExpr("concat('d', id % 5) dataset", "date'2021-01-31' Period", "cast(id as string) Label1",
+                                      "cast(id as double) Value", "'F' Status")
+    grid = api.select("dataset", "Period", F.array("Label1").alias("labels"), "Value", "Status")
+    manifest = spark.range(6).selectExpr("concat('n', id) name", "concat('d', id, '.csv') api_fname", "concat('d', id) grid_fname")
+    made = reconcile.reconcile(manifest, api, grid)
+    assert "Union" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.name: r.equivalent for r in made.collect()} == {**{f"n{k}": True for k in range(5)}, "n5": None}
+    moved = grid.withColumn("Value", F.when(F.col("Value") == 3, 4.0).otherwise(F.col("Value")))
+    twice = moved.unionByName(moved.where("dataset = 'd4'").limit(1))
+    made = reconcile.reconcile(manifest, api, twice)
+    assert {r.name: r.equivalent for r in made.collect()} == {"n0": True, "n1": True, "n2": True, "n3": False, "n4": False, "n5": None}

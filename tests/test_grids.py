@@ -101,6 +101,36 @@ def test_long_files_without_rows_or_names(spark, tmp_path, split_bytes):
             read_long_mixed(spark, str(tmp_path)).collect()
 
 
+QUOTED = ('id,Period,Label1,Value\r\n1,2021-05-31,"two\r\nlines",1\r\n2,2021-05-31,"a, ""b""\n\n,c,\n""",2\r\n'
+          '3,2021-05-31,plain,3\r\n4,2021-05-31,"\n2021M01,x\nid,Period,Label1,Value\n",4\r\n')
+
+
+@pytest.mark.parametrize("split_bytes", [1 << 20, 64, 16, 7], indirect=True)
+def test_line_breaks_in_cells(spark, tmp_path, split_bytes):
+    """Files with and without them, with lines inside cells that look like header and body lines."""
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q/a.csv").write_bytes(QUOTED.encode())
+    (tmp_path / "q/b.csv").write_text("id,Label1\n7,x\n8,y\n")
+    rows = read_long_mixed(spark, str(tmp_path / "q")).select("dataset", "id", "Label1", "Value").collect()
+    assert {tuple(r) for r in rows} == {
+        ("a", "1", "two\nlines", 1.0), ("a", "2", 'a, "b"\n\n,c,\n"', 2.0), ("a", "3", "plain", 3.0),
+        ("a", "4", "\n2021M01,x\nid,Period,Label1,Value\n", 4.0), ("b", "7", "x", None), ("b", "8", "y", None)} and len(rows) == 6
+    one = read_long(spark, str(tmp_path / "q/a.csv")).select("id", "Label1", "Value").collect()
+    assert {tuple(r) for r in one} == {(r.id, r.Label1, r.Value) for r in rows if r.dataset == "a"} and len(one) == 4
+    (tmp_path / "g").mkdir()
+    (tmp_path / "g/a.csv").write_text(GRID.replace('"Trade, retail"', '"Trade,\n2021M07,retail"').replace("12 C", '"1\n2 C"'))
+    cells = {(r.period, r.labels[1], r.cell) for r in read_grids(spark, str(tmp_path / "g")).collect() if r.labels[0] == "Male"}
+    assert cells == {("2021M05", "Trade,\n2021M07,retail", "1,234 P"), ("2021M06", "Trade,\n2021M07,retail", "1,300"),
+                     ("2021M05", "Mining", ".."), ("2021M06", "Mining", "1\n2 C")}
+
+
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+def test_stray_quotes_do_not_swallow_lines(spark, tmp_path, split_bytes):
+    (tmp_path / "a.csv").write_text(',a\n2021,5" x\n2022,6" y\n')
+    with pytest.raises(PySparkException, match="quote not closed"):
+        read_grids(spark, str(tmp_path)).collect()
+
+
 def test_published_only(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",a,b,c\n2021,1,..,.. C\n")
     long = long_from_cells(read_grids(spark, str(tmp_path)), published_only=True)

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from statloom.plans import releases
-from statloom.sources.calendar import read_ics
+from statloom.operators import history, recurrence
+from statloom.sources.calendar import read_ics, read_ics_series
 from statloom.sources.html import css_path, element_text, has_element, html_tables, page_xml
+from statloom.sources.selectors import find_all
 
 RULES = "rule_id string, url string, text_template string, date_str string, selector_kind string, selector string"
 PAGE = '<html><body><h2 id=a>News<p class="x big">Data to <b>August 2021</b><p>other<br>line</body>'
@@ -162,9 +164,107 @@ def test_calendar_escapes_and_zones(spark, tmp_path):
     assert rows["3"].begin is None and rows["3"].error == "not a time: 2021"
 
 
+SELECTORS = [
+    "//li[2]/a", "//ul/li[last()]", "//li[position() > 1][1]", "//article/p[2]", "//article//p[last()]",
+    "//*[@href='/b']/..", "//a[text()='two']/../..//b[@class='k m']", "//h2[text() = 'News']/../p[@class='x']", "//p[b]", "//p[not(b)]",
+    "//p[contains(., 'August')]", "//p[starts-with(normalize-space(.), 'x y')]", "//li[a/@href='/c']/preceding-sibling::li[1]",
+    "//li/following-sibling::li", "//b/ancestor::div[1]", "//b/ancestor-or-self::*[2]", "//section/descendant::p[2]", "//p/following::b[1]",
+    "//b/preceding::p[1]", "//p | //h1", "//nothing | //li", "//div[count(p) = 2]", "//div[p and not(ul)]", "//div[p or ul]/p[1]",
+    "//p[string-length(.) > 12]", "//a[substring(@href, 2, 1) = 'c']", "//a[substring-after(@href, '/') = 'b']", "//a[concat('/', 'b') = @href]",
+    "//p[@class != 'x']", "//p[@class]", "//li[a = 'two']", "//li[2]/self::li", "//li/self::p", "//ul[li[3]]", "//ul[count(li) >= 3]/li[3]",
+    "//*[name() = 'h2']", "//li[(1 + 1)]", "//p[number('2')]", "//li[. = 'three']", "//li[translate(., 'th', 'TH') = 'THree']", "//div//ul//a",
+    "//p[2]", "//section//p[2]", "//br/..", "//li[position() = last() - 1]", "//div/*[1]", "//div/*[2]/..", "//p[true()]", "//p[false()]", "//p[@id='']",
+]
+
+
+def test_selectors_find_what_xpath_finds(spark):
+    """Every selector against Spark's XPath functions, which take one constant path each."""
+    page = ("<html><body><h1>Top</h1><div id=d><section><p class=x>Data to <b>August 2021</b> now<p>second<br>line<p class='y z'> x  y  z"
+            "</section><div><h2>News</h2><p class=x>in news</p><p id=''>one</p></div><ul><li><a href='/a'>one</a><li><a href=/b>two</a></li>"
+            "<li><a href='/c'>three</a></ul><p>tail <b class='k m'>bold</b></p></div><article><p>1</p><p>2<p>3 &amp; &lt;4</article>")
+    xml = page_xml(F.lit(page))
+    native = spark.range(1).select(*(F.struct(has_element(xml, s), element_text(xml, s)) for s in SELECTORS)).first()
+    made = find_all(page, [("xpath", s) for s in SELECTORS])
+    assert sum(found for found, _ in made) > 35
+    for text, (found, value), (has, own) in zip(SELECTORS, made, native):
+        assert (found, value) == (has, own if has else None), text
+
+
+@pytest.mark.parametrize("text", ["", "//", "//p[", "//p]", "p//", "//p[foo()]", "//p[contains(.)]", "//p/@class", "//p/text()", "nope::p", "//p[1",
+                                  "//p['a]", "//p[count('a')]", "$x", "//a b", "//p[@*]"])
+def test_unsupported_selectors(text):
+    assert find_all("<p class=x>a</p>", [("xpath", text), ("xpath", "//p")]) == [(None, None), (True, "a")]
+
+
+def test_a_bad_selector_costs_its_own_rule(spark, pages):
+    rules = [("a", "u", "to <date_str>", "August 2021", "xpath", "//p["), ("b", "u", "to <date_str>", "August 2021", "css", "p:hover"),
+             ("c", "u", "to <date_str>", "August 2021", "xpath", "//p"), ("d", "v", "<date_str>", "nothing", "css", "p")]
+    found = {r.rule_id: (r.updated, r.info) for r in releases.check_pages(spark.createDataFrame(rules, RULES), pages).collect()}
+    assert found == {"a": (None, "Not a supported xpath selector: //p["), "b": (None, "Not a supported css selector: p:hover"),
+                     "c": (True, "Data to August 2021"), "d": (True, "nothing")}
+
+
+def test_selectors_of_any_number_are_one_pass(spark, monkeypatch):
+    page = "".join(f"<p id='e{k}'>t{k}</p>" for k in range(500))
+    rules = spark.range(500).select(F.concat(F.lit("r"), "id").alias("rule_id"), F.lit("u").alias("url"), F.lit("<date_str>").alias("text_template"),
+                                    F.concat(F.lit("t"), "id").alias("date_str"), F.lit("css").alias("selector_kind"),
+                                    F.concat(F.lit("#e"), "id").alias("selector"))
+    made = releases.check_pages(rules, spark.createDataFrame([("u", page)], "url string, html string"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "#e1" not in plan
+    assert [r.updated for r in made.collect()] == [True] * 500
+    monkeypatch.setattr(releases, "SELECTORS_AT_ONCE", 60)
+    assert [r.updated for r in releases.check_pages(rules, spark.createDataFrame([("u", page)], "url string, html string")).collect()] == [True] * 500
+
+
 def test_many_selectors(spark):
     rules = spark.createDataFrame([(f"r{k}", "u", "<date_str>", f"t{k}", "css", f"#e{k}") for k in range(60)],
                                   "rule_id string, url string, text_template string, date_str string, selector_kind string, selector string")
     page = "".join(f"<p id='e{k}'>t{k}</p>" for k in range(60))
     found = releases.check_pages(rules, spark.createDataFrame([("u", page)], "url string, html string")).collect()
     assert len(found) == 60 and all(r.updated for r in found)
+
+
+RRULES = [
+    "FREQ=DAILY", "FREQ=DAILY;INTERVAL=3;COUNT=5", "FREQ=DAILY;BYDAY=MO,FR", "FREQ=DAILY;UNTIL=20210920", "FREQ=WEEKLY", "FREQ=WEEKLY;INTERVAL=2",
+    "FREQ=WEEKLY;INTERVAL=3;BYDAY=SU,MO", "FREQ=WEEKLY;BYDAY=TU,TH;COUNT=7", "FREQ=MONTHLY", "FREQ=MONTHLY;BYMONTHDAY=31",
+    "FREQ=MONTHLY;BYMONTHDAY=-1,1", "FREQ=MONTHLY;BYDAY=2TU", "FREQ=MONTHLY;INTERVAL=2;BYDAY=-1FR,1MO", "FREQ=MONTHLY;BYDAY=SU;COUNT=9",
+    "FREQ=YEARLY", "FREQ=YEARLY;BYMONTH=9,10;BYMONTHDAY=15", "FREQ=MONTHLY;BYMONTH=10;BYMONTHDAY=5,6", "FREQ=DAILY;UNTIL=20210927T204500Z",
+]
+
+
+def test_occurrences(spark, tmp_path):
+    """Rules against a library, over a change of the clock; exclusions, moved starts, and rules that say more."""
+    from dateutil.rrule import rrulestr
+    from zoneinfo import ZoneInfo
+
+    zone, starts = ZoneInfo("Pacific/Auckland"), [dt.datetime(2021, 8, 31, 10, 45), dt.datetime(2021, 9, 6, 9, 45), dt.datetime(2020, 2, 29, 0, 0)]
+    since, until = dt.datetime(2021, 9, 1), dt.datetime(2021, 11, 1)
+    lines, expected = [], set()
+    for k, (start, rule) in enumerate((s, r) for s in starts for r in RRULES):
+        lines.append(f"BEGIN:VEVENT\nUID:{k}\nSUMMARY:s\nDTSTART:{start:%Y%m%dT%H%M%S}\nRRULE:{rule}\nEXDATE:20210913T104500,20210913T094500\nEND:VEVENT\n")
+        plain = rule if not rule.endswith("Z") else rule[:-1].replace("20210927T204500", "20210928T094500")
+        plain = plain.replace("UNTIL=20210920", "UNTIL=20210920T235959")
+        for at in rrulestr(plain, dtstart=start).between(dt.datetime(2020, 1, 1), dt.datetime(2021, 12, 1), inc=True):
+            utc = at.replace(tzinfo=zone).astimezone(dt.UTC).replace(tzinfo=None)
+            if (at.date() != dt.date(2021, 9, 13) or not at.hour) and since <= utc < until:
+                expected.add((str(k), "s", utc, None))
+    moved = "BEGIN:VEVENT\nUID:0\nSUMMARY:moved\nDTSTART:20211005T120000\nRECURRENCE-ID:20211004T104500\nEND:VEVENT\n"
+    other = "".join(f"BEGIN:VEVENT\nUID:x{k}\nSUMMARY:o\nDTSTART:{at}\n{rule}END:VEVENT\n" for k, (at, rule) in enumerate([
+        ("20210915T000000Z", ""), ("20210915", ""), ("20200101", ""), ("20210915", "RRULE:FREQ=HOURLY\n"), ("20210915", "RRULE:FREQ=DAILY;BYSETPOS=1\n"),
+        ("2021", "RRULE:FREQ=DAILY\n")]))
+    expected.remove(("0", "s", dt.datetime(2021, 10, 3, 21, 45), None))
+    expected |= {("0", "moved", dt.datetime(2021, 10, 4, 23, 0), None), ("x0", "o", dt.datetime(2021, 9, 15), None),
+                 ("x1", "o", dt.datetime(2021, 9, 14, 12), None), ("x3", "o", None, "rule not supported: FREQ=HOURLY"),
+                 ("x4", "o", None, "rule not supported: FREQ=DAILY;BYSETPOS=1"), ("x5", "o", None, "not a time: 2021")}
+    (tmp_path / "a.ics").write_text("BEGIN:VCALENDAR\n" + "".join(lines) + moved + other + "END:VCALENDAR\n")
+    found = recurrence.occurrences(read_ics_series(spark, str(tmp_path)), F.lit(since), F.lit(until)).collect()
+    assert len(found) == len(set(found)) and set(map(tuple, found)) == expected
+    today = history.single_occurrence(spark.createDataFrame(found, "uid string, name string, begin timestamp_ntz, error string").where("begin is not null"),
+                                      "uid", F.col("begin").cast("date"), "name").where("day = date'2021-10-04'").collect()
+    assert {r.uid for r in today if r.action == "cancel"} >= {"0"}
+
+
+def test_private_use_letters_stay(spark, tmp_path):
+    (tmp_path / "a.ics").write_text("BEGIN:VEVENT\nUID:1\nSUMMARY:\ue000 a\\\\nb\\nc\\\\\\,d\nDTSTART:20210915\nEND:VEVENT\n")
+    assert read_ics(spark, str(tmp_path)).first().name == "\ue000 a\\nb\nc\\,d"

@@ -169,3 +169,32 @@ def test_points(spark):
     rows = selection.expand_points(spark.range(1), points, "id").collect()
     assert len(rows) == 23 and len({r.point for r in rows}) == 15
     assert [(r.meter_no, r.meter) for r in rows if r.point == "LCF20011"] == [(0, "20021"), (1, "20022")]
+
+
+def test_lookup_of_many_references(spark):
+    """Every reference against the lookup of one."""
+    rng = random.Random(8)
+    names = ["Income", "Income, by sex", "Work", "Work and income", "", None, "aaa", "aaaa", "Prices (CPI)", "é"]
+    entries = [(rng.choice(names[:4]), rng.choice(names), rng.choice(names), c, g, d) for c in range(3) for g in range(4) for d in range(4)]
+    categories = {e[3]: e[0] for e in entries}
+    groups = {(e[3], e[4]): e[1] for e in entries}
+    entries = [(categories[c], groups[c, g], name, c, g, d) for _, _, name, c, g, d in entries]
+    frame = spark.createDataFrame(
+        entries, "category string, group string, dataset string, category_pos int, group_pos int, dataset_pos int")
+    texts = ["", "I", "In", "Inc", "income", "Work", "aaa", "aaaa", "aaaaa", "(C", "é", "zz", "ork and i", None]
+    references = [(k, rng.choice(texts), rng.choice(texts), rng.choice(texts)) for k in range(80)] + [(0, "I", "", ""), (99, "Work", "", "In")]
+    made = selection.find_all_in_catalogue(frame, spark.createDataFrame(references, "k int, category string, group string, dataset string"))
+    found = sorted((r.k, r.category, r.group, r.dataset, r.found_category, r.found_group, r.found_dataset) for r in made.collect())
+
+    def first(rows, level, text):
+        hits = [e for e in sorted(rows, key=lambda e: e[level + 3]) if text is not None and e[level] is not None and text in e[level]]
+        return [e for e in rows if hits and e[level + 3] == hits[0][level + 3]]
+
+    expected = []
+    for k, *texts in references:
+        rows = entries
+        for level, text in enumerate(texts):
+            rows = first(rows, level, text)
+        if rows:
+            expected.append((k, *texts, *rows[0][:3]))
+    assert found == sorted(expected) and len(found) > 5

@@ -33,19 +33,18 @@ def latest_per_section(spark, folder):
     return _latest(spark, folder)
 
 
+# A section per order; its documents are the lines, and some orders have none.
 @query("required_sections", """
-    SELECT s_suppkey, l_orderkey,
-           CASE WHEN l_orderkey IS NULL THEN 'section not found: ' || s_suppkey END AS error
-    FROM supplier LEFT JOIN (
-        SELECT l_suppkey, max(l_orderkey) AS l_orderkey FROM lineitem
-        WHERE l_shipdate >= TIMESTAMP '2001-07-15' GROUP BY l_suppkey
-    ) ON l_suppkey = s_suppkey
+    SELECT o_orderkey, l_linenumber, l_partkey,
+           CASE WHEN l_linenumber IS NULL THEN 'section not found: ' || o_orderkey END AS error
+    FROM orders LEFT JOIN (
+        SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC) = 1
+    ) ON l_orderkey = o_orderkey
 """)
 def required_sections(spark, folder):
-    late = table(spark, folder, "lineitem").where(F.col("l_shipdate") >= F.lit("2001-07-15").cast("timestamp_ntz"))
-    documents = late.select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey")
-    latest = history.latest_per_section(documents, ["s_suppkey"], F.col("l_orderkey"))
-    return history.required_sections(table(spark, folder, "supplier").select("s_suppkey"), latest, "s_suppkey")
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
+    latest = history.latest_per_section(lines, ["o_orderkey"], F.struct("l_linenumber", "l_partkey"))
+    return history.required_sections(table(spark, folder, "orders").select("o_orderkey"), latest, "o_orderkey")
 
 
 @query("missing_arrivals", """

@@ -11,11 +11,12 @@ from statloom.functions.events import body_files, body_script, body_url
 from statloom.functions.text import dataset_slug
 from statloom.functions.times import local_time
 from statloom.functions.times import off_schedule as is_off_schedule
+from statloom.operators import recurrence
 from statloom.plans import releases, watch
 from statloom.plans.merge import extract_files, extract_tables
 from statloom.session import scratch_path
 from statloom.sinks.files import next_day_document, next_day_events
-from statloom.sources.calendar import read_ics
+from statloom.sources.calendar import read_ics, read_ics_series
 from statloom.sources.html import html_tables
 from statloom.streaming import cadence, release_watch, runs, snapshots
 from workload import query, table
@@ -136,6 +137,45 @@ def ics_events(spark, folder):
     return read_ics(spark, path).select("uid", "name", "begin")
 
 
+# A series per customer: six forms of rules in local time, a start left out, and one that is moved.
+_RULES = ["FREQ=WEEKLY;INTERVAL=2;BYDAY=MO,WE", "FREQ=MONTHLY;BYDAY=2TU,-1FR", "FREQ=DAILY;INTERVAL=3;COUNT=200",
+          "FREQ=MONTHLY;INTERVAL=2;BYMONTHDAY=15,-1", "FREQ=WEEKLY;UNTIL=19970131", None]
+
+
+@query("ics_occurrences", f"""
+    WITH firsts AS (
+        SELECT c_custkey AS k, c_custkey % 6 AS form, DATE '1995-06-01' + CAST(c_custkey % 700 AS INT) AS first FROM customer
+    ), days AS (
+        SELECT *, CAST(unnest(generate_series(first, DATE '1997-05-02', INTERVAL 1 DAY)) AS DATE) AS d FROM firsts
+    ), hits AS (
+        SELECT *, row_number() OVER (PARTITION BY k ORDER BY d) AS n FROM days WHERE CASE form
+            WHEN 0 THEN isodow(d) IN (1, 3) AND date_diff('day', date_trunc('week', first), date_trunc('week', d)) // 7 % 2 = 0
+            WHEN 1 THEN isodow(d) = 2 AND day(d) BETWEEN 8 AND 14 OR isodow(d) = 5 AND day(d) > day(last_day(d)) - 7
+            WHEN 2 THEN date_diff('day', first, d) % 3 = 0
+            WHEN 3 THEN date_diff('month', first, d) % 2 = 0 AND (day(d) = 15 OR d = last_day(d))
+            WHEN 4 THEN isodow(d) = isodow(first) AND d <= DATE '1997-01-31' ELSE d = first END
+    ), local AS (
+        SELECT k, 'series' AS name, d + INTERVAL 570 MINUTE AS t FROM hits
+        WHERE (form <> 2 OR n <= 200) AND d <> DATE '1997-01-15' AND NOT (k % 7 = 0 AND d = DATE '1997-01-29')
+        UNION ALL SELECT k, 'moved', TIMESTAMP '1997-01-30 12:00:00' FROM firsts WHERE k % 7 = 0
+    ), utc AS (SELECT k, name, t AT TIME ZONE '{DEFAULT_ZONE}' AT TIME ZONE 'UTC' AS begin FROM local)
+    SELECT 'c' || k AS uid, name, begin FROM utc WHERE begin >= TIMESTAMP '1997-01-01' AND begin < TIMESTAMP '1997-05-01'
+""")
+def ics_occurrences(spark, folder):
+    key = F.col("c_custkey")
+    first = F.date_add(F.lit("1995-06-01").cast("date"), (key % 700).cast("int"))
+    rule = F.element_at(F.array(*(F.lit("" if r is None else f"RRULE:{r}\r\n") for r in _RULES)), (key % 6 + 1).cast("int"))
+    event = F.concat(F.lit("BEGIN:VEVENT\r\nUID:c"), key, F.lit("\r\nSUMMARY:series\r\nDTSTART:"), F.date_format(first, "yyyyMMdd'T093000'"),
+                     F.lit("\r\n"), rule, F.lit("EXDATE:19970115T093000\r\nEND:VEVENT\r"))
+    moved = F.concat(F.lit("BEGIN:VEVENT\r\nUID:c"), key, F.lit("\r\nSUMMARY:moved\r\nDTSTART:19970130T120000\r\n"
+                                                               "RECURRENCE-ID:19970129T093000\r\nEND:VEVENT\r"))
+    path = scratch_path(spark, "series")
+    customers = table(spark, folder, "customer")
+    customers.select(event.alias("value")).unionByName(customers.where(key % 7 == 0).select(moved.alias("value"))).write.text(path)
+    since, until = (F.lit(f"1997-{m}-01").cast("timestamp_ntz") for m in ("01", "05"))
+    return recurrence.occurrences(read_ics_series(spark, path), since, until).drop("error")
+
+
 _DUE_DAY = "2024-01-17"
 
 
@@ -214,6 +254,51 @@ def template_check(spark, folder):
     return releases.check_pages(rules, pages.select("url", "html"))
 
 
+# 401 selectors per page, all different from page to page or shared, and one of them not a path.
+_LINKS = 100
+
+
+@query("check_pages_many", f"""
+    WITH menus AS (
+        SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
+                                           '<li><a href="[^"]*">([^<]*)</a>', 1) AS names
+        FROM pages
+    ), asked AS (SELECT *, unnest(range(1, {_LINKS} + 1)) AS k FROM menus),
+    rules AS (
+        SELECT page_id, k, form, names[k] AS found,
+               coalesce(CASE WHEN form = 'next' THEN names[k + 1] ELSE names[k] END, 'none') AS wanted
+        FROM asked, (SELECT unnest(['xpath', 'css', 'up', 'next']) AS form)
+    )
+    SELECT page_id || '/' || form || '/' || k AS rule_id,
+           CASE WHEN found IS NOT NULL THEN contains(found, wanted) END AS updated,
+           coalesce(found, 'Could not find HTML element according to ' || CASE form WHEN 'css' THEN 'css' ELSE 'xpath' END) AS info
+    FROM rules
+    UNION ALL
+    SELECT page_id || '/bad', NULL, 'Not a supported xpath selector: //nav[' || page_id FROM pages
+""")
+def check_pages_many(spark, folder):
+    pages = table(spark, folder, "pages")
+    names = F.regexp_extract_all(F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1), F.lit('<li><a href="[^"]*">([^<]*)</a>'), F.lit(1))
+    menus = pages.select("page_id", "url", names.alias("names"))
+    forms = {"xpath": "//nav/ul/li[{k}]/a", "css": "nav > ul li:nth-child({k}) a", "up": "//nav//a[1]/../../li[position() = {k}]/a",
+             "next": "//li[count(preceding-sibling::li) + 1 = {k}]/a[starts-with(@href, '/')]"}
+    asked = menus.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(_LINKS))))
+
+    def rule(form, path):
+        before, behind = path.split("{k}")
+        place = F.col("k") if form == "next" else F.col("k") - 1
+        return F.struct(
+            F.concat_ws("/", "page_id", F.lit(form), "k").alias("rule_id"), F.coalesce(F.get("names", place), F.lit("none")).alias("date_str"),
+            F.lit("css" if form == "css" else "xpath").alias("selector_kind"),
+            F.concat(F.lit(before), F.col("k").cast("string"), F.lit(behind)).alias("selector"))
+
+    rules = asked.select("url", F.explode(F.array(*(rule(*form) for form in forms.items()))).alias("r")).select("url", "r.*")
+    bad = pages.select("url", F.concat("page_id", F.lit("/bad")).alias("rule_id"), F.lit("x").alias("date_str"),
+                       F.lit("xpath").alias("selector_kind"), F.concat(F.lit("//nav["), "page_id").alias("selector"))
+    rules = rules.unionByName(bad).withColumn("text_template", F.lit("<date_str>"))
+    return releases.check_pages(rules, pages.select("url", "html"))
+
+
 def _table_pages(spark, folder):
     """A page per order: a data table with spanned headers, and a footnote table."""
     data = F.concat(
@@ -398,7 +483,7 @@ def alert_once(spark, folder):
 """)
 def check_cadence(spark, folder):
     path = scratch_path(spark, "checks")
-    checks = release_watch.tag_rows(_releases(spark, folder).limit(0), _checks(spark, folder))
+    checks = release_watch.tag_checks(_checks(spark, folder))
     checks.write.parquet(path)
     release_watch.clock_row(checks, 10).write.mode("append").parquet(path)
     stream = spark.readStream.schema(release_watch.TAGGED).parquet(path).select(
@@ -415,12 +500,29 @@ def check_cadence(spark, folder):
     FROM events QUALIFY generation <= 2
 """)
 def snapshot_stream(spark, folder):
+    store, order = _stored(spark, folder, 4, 2)
+    return snapshots.current_copies(spark, store, ["doc"], order).drop("event_id")
+
+
+# Ten batches, of which the last is brought again; what is shown are the rows that lie in the store.
+@query("snapshot_store", """
+    SELECT CAST(user_id AS VARCHAR) AS doc, event_id, ts AS snapshot_ts, props AS content
+    FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 2
+""")
+def snapshot_store(spark, folder):
+    store, order = _stored(spark, folder, 10, 1)
+    snapshots.take_in(snapshots.stored_rows(spark, store), 9, store, ["doc"], order, keep=1)
+    return snapshots.stored_rows(spark, store)
+
+
+def _stored(spark, folder, files, files_per_batch):
+    """A store of the snapshots that came in so many files, and the order of a document's snapshots."""
     path, store, log = (scratch_path(spark, name) for name in ("snapshots", "copies", "copies-log"))
     table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("doc"), "event_id", F.col("ts").alias("snapshot_ts"),
         F.col("props").alias("content"),
-    ).repartition(4).write.parquet(path)
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    ).repartition(files).write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     order = [F.desc("snapshot_ts"), F.desc("event_id")]
-    snapshots.follow_snapshots(stream, ["doc"], order, store, log)
-    return snapshots.current_copies(spark, store, ["doc"], order).drop("event_id")
+    snapshots.follow_snapshots(stream, ["doc"], order, store, log, buckets=16)
+    return store, order

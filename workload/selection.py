@@ -204,6 +204,39 @@ def catalogue_lookup(spark, folder):
     return selection.find_in_catalogue(_catalogue(spark, folder), "AS", "NATION_1", "1")
 
 
+# A reference per customer, with texts of one letter and more, some of which stand nowhere.
+_REFERENCES_SQL = """
+    SELECT c_custkey, substr('AFRICAMERIASEUROPE', 1 + c_custkey % 17, 1 + c_custkey % 3) AS category,
+           CASE c_custkey % 4 WHEN 0 THEN 'NATION_1' WHEN 1 THEN '_' || c_nationkey WHEN 2 THEN '' ELSE 'N_' || c_custkey % 9 END AS "group",
+           CASE c_custkey % 5 WHEN 0 THEN CAST(c_custkey % 100 AS VARCHAR) WHEN 1 THEN c_name ELSE substr(c_name, 10 + c_custkey % 6) END AS dataset
+    FROM customer
+"""
+
+
+@query("catalogue_lookup_many", f"""
+    WITH entries AS ({_CATALOGUE_SQL}), refs AS ({_REFERENCES_SQL}),
+    c AS (SELECT r.category, min(category_pos) AS cp FROM (SELECT DISTINCT category FROM refs) r
+          JOIN (SELECT DISTINCT category, category_pos FROM entries) e ON contains(e.category, r.category) GROUP BY r.category),
+    g AS (SELECT r."group", cp, min(group_pos) AS gp FROM (SELECT DISTINCT "group", cp FROM refs JOIN c USING (category)) r
+          JOIN (SELECT DISTINCT category_pos, "group", group_pos FROM entries) e ON category_pos = cp AND contains(e."group", r."group")
+          GROUP BY ALL),
+    d AS (SELECT r.dataset, cp, gp, min(dataset_pos) AS dp FROM (SELECT DISTINCT dataset, cp, gp FROM refs JOIN c USING (category) JOIN g USING ("group", cp)) r
+          JOIN entries e ON category_pos = cp AND group_pos = gp AND contains(e.dataset, r.dataset) GROUP BY ALL)
+    SELECT c_custkey, refs.category, refs."group", refs.dataset, e.category AS found_category, e."group" AS found_group, e.dataset AS found_dataset
+    FROM refs JOIN c USING (category) JOIN g USING ("group", cp) JOIN d USING (dataset, cp, gp)
+    JOIN entries e ON category_pos = cp AND group_pos = gp AND dataset_pos = dp
+""")
+def catalogue_lookup_many(spark, folder):
+    key = F.col("c_custkey")
+    references = table(spark, folder, "customer").select(
+        key, F.substring(F.lit("AFRICAMERIASEUROPE"), (1 + key % 17).cast("int"), (1 + key % 3).cast("int")).alias("category"),
+        F.when(key % 4 == 0, "NATION_1").when(key % 4 == 1, F.concat(F.lit("_"), "c_nationkey")).when(key % 4 == 2, "")
+        .otherwise(F.concat(F.lit("N_"), key % 9)).alias("group"),
+        F.when(key % 5 == 0, (key % 100).cast("string")).when(key % 5 == 1, F.col("c_name"))
+        .otherwise(F.substring("c_name", (10 + key % 6).cast("int"), F.lit(1000))).alias("dataset"))
+    return selection.find_all_in_catalogue(_catalogue(spark, folder), references)
+
+
 @query("skip_list", f"""
     WITH entries AS ({_CATALOGUE_SQL})
     SELECT category, "group", dataset FROM entries WHERE "group" IS NULL OR "group" NOT IN ('NATION_3', 'NATION_7')

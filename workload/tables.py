@@ -141,14 +141,15 @@ def set_difference(spark, folder):
     return compare.set_difference(ordered, shipped)
 
 
+# No line has a quantity below one, so the column of credits holds nothing.
 @query("drop_null_columns", """
-    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'x' || o_orderstatus AS note
-    FROM orders
+    SELECT l_orderkey, l_linenumber, l_shipdate, CASE WHEN l_returnflag = 'R' THEN l_quantity END AS returned FROM lineitem
 """)
 def drop_null_columns(spark, folder):
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    orders = table(spark, folder, "orders").withColumn("note", F.concat(F.lit("x"), "o_orderstatus"))
-    return compare.drop_null_columns(orders.join(supplier, F.col("s_suppkey") == -1 - F.col("o_orderkey"), "left"))
+    quantity = F.col("l_quantity")
+    return compare.drop_null_columns(table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", F.when(F.col("l_returnflag") == "R", quantity).alias("returned"),
+        F.when(quantity < 1, quantity).alias("credited")))
 
 
 @query("label_levels", """
@@ -259,11 +260,12 @@ def stack_level(spark, folder):
     return reshape.stack_level(long, ["dataset", "period"], "port", "l_returnflag", FLAGS, "cell")
 
 
-def _write_grids(spark, folder, cells_per_chunk=300, month="%"):
+def _write_grids(spark, folder, cells_per_chunk=300, month="%", labels=None, cell="cell"):
     """Grid files of all suppliers, in chunks, written by Spark from lineitem; of some months, if given."""
     path = scratch_path(spark, "grids")
+    labels = F.array("l_returnflag", "l_linestatus") if labels is None else labels
     long = _quantity_cells(spark, folder).select(
-        "dataset", "period", F.array("l_returnflag", "l_linestatus").alias("labels"), "cell"
+        "dataset", "period", labels.alias("labels"), (F.col(cell) if isinstance(cell, str) else cell).alias("cell")
     ).where(F.col("period").like(month))
     year, number = F.substring("period", 1, 4).cast("bigint"), F.substring("period", 6, 2).cast("bigint")
     lines = files.grid_lines(long, year * 12 + number, year, cells_per_chunk, separator_line=True)
@@ -277,6 +279,22 @@ def grid_read(spark, folder):
     return label_columns(long_from_cells(cells), 2)
 
 
+# Labels and cells over several lines, with quotes and commas inside.
+@query("grid_quoted", f"""
+    WITH {_QUANTITY_SQL}
+    SELECT CAST(dataset AS VARCHAR) AS dataset, strftime(month, '%YM%m') AS period,
+           flag || chr(10) || 'flag, "' || flag || '"' AS label, status,
+           CASE WHEN quantity IS NULL THEN '..' ELSE format('{{:,}}', CAST(quantity AS BIGINT)) || CASE WHEN status = 'O' THEN chr(10) || 'P' ELSE '' END
+           END AS cell
+    FROM dense
+""")
+def grid_quoted(spark, folder):
+    flag = F.concat("l_returnflag", F.lit('\nflag, "'), "l_returnflag", F.lit('"'))
+    path = _write_grids(spark, folder, labels=F.array(flag, F.col("l_linestatus")), cell=F.replace("cell", F.lit(" P"), F.lit("\nP")))
+    cells = read_grids(spark, path, merge.chunk_dataset())
+    return cells.select("dataset", "period", F.get("labels", F.lit(0)).alias("label"), F.get("labels", F.lit(1)).alias("status"), "cell")
+
+
 @query("merge_chunks", f"""
     WITH {_QUANTITY_SQL}, texts AS (
         SELECT CAST(dataset AS VARCHAR) AS dataset, strftime(month, '%YM%m') AS period, flag, status,
