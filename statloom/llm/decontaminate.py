@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.shared import words_of, written
+from statloom.llm.shared import free_name, words_of, written
 
 SIZE = 10
 #: Windows of one broadcast block: some 200 bytes each.
@@ -106,13 +106,15 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     """The documents, with all their columns, in which no window of the benchmark stands.
 
     Rows are told apart by id and a hash of the text: repeated rows are judged alike. Null and empty
-    texts stay.
+    texts stay. All windows count, so there are no ties; texts of any length are scanned whole. Other columns
+    may have any names. An empty table stays one, and an empty benchmark keeps every row.
     """
     key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.col(text_col))]
     keyed = docs.select(F.struct(key[0].alias("a"), key[1].alias("b")).alias("id"), F.col(text_col).alias("text"))
     bad = scan(keyed, benchmark, "id", "text", size=size).where(F.size("items") > 0).select("id").distinct()
-    named = docs.withColumn("_scan_key", F.struct(key[0].alias("a"), key[1].alias("b")))
-    return named.join(bad, named["_scan_key"] == bad["id"], "left_anti").drop("_scan_key")
+    name = free_name(docs, "_scan_key")
+    named = docs.withColumn(name, F.struct(key[0].alias("a"), key[1].alias("b")))
+    return named.join(bad.withColumnRenamed("id", name), name, "left_anti").drop(name)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

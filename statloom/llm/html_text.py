@@ -36,24 +36,37 @@ ELEMENT_ODDS = {"article": 4.0, "main": 3.0, "nav": -9.0, "footer": -9.0, "aside
                 "dialog": -9.0, "fieldset": -6.0, "search": -9.0}
 #: Of these, the ones that may stand around a whole page.
 FORMS = frozenset(("form", "fieldset"))
-#: Words in a class, id or role that say so.
-BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav "
-                      "navigation navbar menu sidebar footer foot masthead topbar header comment comments reply replies "
-                      "disqus respond cookie cookies consent gdpr notice notices notification alert popup modal "
-                      "overlay share sharing social related recommended newsletter subscribe subscription signup login "
-                      "breadcrumb breadcrumbs pagination pager toolbar widget widgets tags toc copyright legal "
-                      "disclaimer complementary contentinfo skip".split())
+#: Words of classes, ids and roles that name boilerplate: wherever they stand, or less surely, since inside an
+#: article such a part can hold some of its text.
+BAD_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navigation "
+                      "navbar menu sidebar masthead topbar comment comments reply replies disqus respond cookie cookies "
+                      "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
+                      "subscription signup login breadcrumb breadcrumbs pagination pager toolbar toc skip complementary "
+                      "contentinfo".split())
+LESS_BAD_WORDS = frozenset("banner footer foot header share sharing social related recommended widget widgets tags "
+                           "copyright legal disclaimer".split())
+#: Words that leave the meaning of the others in a name as it is: "related-posts", but not "related-art".
+NEUTRAL_WORDS = frozenset("a all area article articles aside bar block body bottom box btn button buttons center col column "
+                          "container content desktop div entry fixed global group holder icon icons id inner item items left "
+                          "link links list main mobile module outer page pages panel post posts primary reader reading region "
+                          "right role row secondary section site sticky story text title top ul user wrap wrapper".split())
 GOOD_WORDS = frozenset("article content main post entry story body text".split())
-#: What a bad or a good word says: a bad one no more than the length of a block and its ties can outweigh.
-BAD_ODDS, GOOD_ODDS = -3.0, 2.0
+#: What they say: a bad one no more than the length of a block and its ties can outweigh.
+BAD_ODDS, LESS_BAD_ODDS, GOOD_ODDS = -3.5, -1.0, 2.0
 #: Elements that the end tag of an inline element outside of them does not close.
 BARRIERS = frozenset("td th article body".split())
 #: Weight of the ties between blocks.
 TIE_NEXT, TIE_PARENT = 1.2, 0.8
 
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)(?:>|(?=<)|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_NAME = re.compile(r"[a-z]+")
+# As the standard reads them: a quote opens a value behind "=" only, any other value ends at white space or ">";
+# "<!-->" is a whole comment, and "--!>" ends one too.
+_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
+_MARKUP = re.compile(
+    rf"""<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*>?
+    |<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+{_VALUE}?+)?+|=)*+)(?:>|\Z)""", re.S | re.X)
+_ATTRIBUTE = re.compile(rf"(=?[^\s/>=]++)(?:\s*+=\s*+({_VALUE}?+))?+")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 @dataclass
@@ -71,28 +84,50 @@ class Element:
     parent: int
     depth: int
     hidden: bool
-    words: frozenset[str] = frozenset()  # of class, id and role
+    words: frozenset[str] = frozenset()  # of class and id
     role: frozenset[str] = frozenset()
+    bad: frozenset[str] = frozenset()  # the bad words of all three
     odds: float = 0.0
     size: int = 0  # characters of its own text
 
 
-def _element(name: str, attributes: str, parent: int, elements: list[Element]) -> Element:
+def attributes_of(source: str) -> dict[str, str]:
+    """The attributes of a tag by name, the first of a name; without a value they are empty."""
+    made: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(source):
+        if value[:1] in ("'", '"'):
+            value = value[1:].removesuffix(value[0])
+        made.setdefault(name.lower(), entities.unescape(value) if "&" in value else value)
+    return made
+
+
+def _bad_words(names: str) -> frozenset[str]:
+    """The bad words among class names: those that are a name, or the whole meaning of one."""
+    found = set()
+    for name in names.split():
+        parts = {p.lower() for p in _PART.findall(name)}
+        bad = parts & (BAD_WORDS | LESS_BAD_WORDS)
+        if bad and parts <= bad | NEUTRAL_WORDS:
+            found |= bad
+    return frozenset(found)
+
+
+def _element(name: str, source: str, parent: int, elements: list[Element]) -> Element:
     above = elements[parent]
     made = Element(name, parent, above.depth + 1, above.hidden or name in UNSEEN)
-    if attributes:
-        for key, value in _ATTRIBUTE.findall(attributes):
-            words = frozenset(_NAME.findall(value.lower()))
-            if key.lower() == "role":
-                made.role |= words
-            else:
-                made.words |= words
-        made.hidden |= bool(re.search(r"\shidden(?=[\s=]|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none", attributes, re.I))
+    if source and not source.isspace():
+        given = attributes_of(source)
+        names = f"{given.get('class', '')} {given.get('id', '')}"
+        made.words = frozenset(p.lower() for p in _PART.findall(names))
+        made.role = frozenset(p.lower() for p in _PART.findall(given.get("role", "")))
+        made.bad = _bad_words(f"{names} {given.get('role', '')}")
+        made.hidden |= ("hidden" in given or given.get("aria-hidden", "").strip().lower() == "true"
+                        or bool(_NO_DISPLAY.search(given.get("style", ""))))
     return made
 
 
 def _bad(element: Element) -> bool:
-    return element.name not in ("body", "html", "article", "main") and not BAD_WORDS.isdisjoint(element.words | element.role)
+    return element.name not in ("body", "html", "article", "main") and bool(element.bad)
 
 
 def _wrappers(elements: list[Element]) -> set[int]:
@@ -121,7 +156,7 @@ def _wrappers(elements: list[Element]) -> set[int]:
         if e.name == "main" or "main" in e.role:
             kind = "main"
         elif e.name == "article":
-            kind = "article" if not inner[k] and BAD_WORDS.isdisjoint(e.words) else ""
+            kind = "article" if not inner[k] and not e.bad else ""
         else:
             kind = "word" if e.name in BREAKS and not _bad(e) and not GOOD_WORDS.isdisjoint(e.words) else ""
         if kind and size[k] > size[roots.get(kind, 0)] * (kind in roots):
@@ -152,7 +187,7 @@ def weigh(elements: list[Element]) -> None:
         if k in wrappers:
             odds = max(odds, 0.0) if e.name in FORMS else odds
         elif _bad(e) and not (inside and (e.words | e.role) & {"header", "body"}):
-            odds = min(odds, BAD_ODDS)
+            odds = min(odds, LESS_BAD_ODDS if inside and BAD_WORDS.isdisjoint(e.bad) else BAD_ODDS)
         if e.name not in ("body", "html", "article", "main") and odds == 0.0 and (
                 not GOOD_WORDS.isdisjoint(e.words) and (k in wrappers or not _bad(e)) or "main" in e.role):
             odds = GOOD_ODDS
@@ -265,6 +300,7 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
             pos = end.end() if end else len(page)
     close_block()
     weigh(elements)
+    _share_links(made, elements)
     for block, k in zip(made, around):
         block.odds = elements[k].odds
     return made, elements
@@ -283,6 +319,7 @@ def cost(block: Block) -> float:
 
 
 def _distance(a: int, b: int, elements: list[Element]) -> int:
+    """Steps between two elements in the tree; from 60 on, where a tie is next to nothing, 60."""
     steps = 0
     while a != b and steps < 60:
         if elements[a].depth >= elements[b].depth:
@@ -293,6 +330,18 @@ def _distance(a: int, b: int, elements: list[Element]) -> int:
     return steps
 
 
+def _share_links(found: list[Block], elements: list[Element]) -> None:
+    """The items of a list have the links of the list: one linked item among plain ones is none of a menu."""
+    lists: dict[int, list[Block]] = {}
+    for block in found:
+        if block.tag in ("li", "dd", "dt"):
+            lists.setdefault(elements[block.parent].parent, []).append(block)
+    for items in lists.values():
+        share = sum(b.links * len(b.text) for b in items) / sum(len(b.text) for b in items)
+        for block in items:
+            block.links = min(block.links, share)
+
+
 def ties(found: list[Block], elements: list[Element]) -> list[tuple[int, int, float]]:
     """Edges between blocks that follow each other, and between neighbours below one parent."""
     made, last = [], {}
@@ -338,37 +387,61 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
 
 
 def _max_flow(pull: dict[int, float], edges: list[tuple[int, int, float]]) -> set[int]:
-    """Nodes the source still reaches when no augmenting path is left (shortest paths first)."""
-    source, sink = -1, -2
-    room: dict[int, dict[int, float]] = {k: {} for k in (*pull, source, sink)}
-
-    def tie(a: int, b: int, there: float, back: float):
-        room[a][b] = room[a].get(b, 0.0) + there
-        room[b][a] = room[b].get(a, 0.0) + back
+    """Nodes the source still reaches under a largest flow, by blocking flows along shortest paths."""
+    place = {k: i for i, k in enumerate(pull)}
+    source, sink = len(place), len(place) + 1
+    out: list[list[int]] = [[] for _ in range(len(place) + 2)]  # numbers of arcs; arc ^ 1 goes back
+    head: list[int] = []
+    room: list[float] = []
+
+    def arc(a: int, b: int, there: float, back: float):
+        out[a].append(len(head))
+        out[b].append(len(head) + 1)
+        head.extend((b, a))
+        room.extend((there, back))
 
     for k, p in pull.items():
-        tie(source, k, max(p, 0.0), 0.0)
-        tie(k, sink, max(-p, 0.0), 0.0)
+        if p > 0:
+            arc(source, place[k], p, 0.0)
+        elif p < 0:
+            arc(place[k], sink, -p, 0.0)
     for a, b, w in edges:
-        tie(a, b, w, w)
+        arc(place[a], place[b], w, w)
     while True:
-        came, queue = {source: source}, deque([source])
-        while queue and sink not in came:
+        level = [-1] * len(out)
+        level[source], queue = 0, deque([source])
+        while queue:
             at = queue.popleft()
-            for b, free in room[at].items():
-                if free > 1e-9 and b not in came:
-                    came[b] = at
-                    queue.append(b)
-        if sink not in came:
-            return set(came)
-        path, at = [], sink
-        while at != source:
-            path.append((came[at], at))
-            at = came[at]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] += flow
+            for e in out[at]:
+                if room[e] > 1e-9 and level[head[e]] < 0:
+                    level[head[e]] = level[at] + 1
+                    queue.append(head[e])
+        if level[sink] < 0:
+            return {k for k, i in place.items() if level[i] >= 0}
+        following, path, at = [0] * len(out), [], source
+        while True:  # every arc is given up at most once
+            if at == sink:
+                flow = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= flow
+                    room[e ^ 1] += flow
+                first = next(k for k, e in enumerate(path) if room[e] <= 1e-9)
+                at = head[path[first] ^ 1]
+                del path[first:]
+                continue
+            while following[at] < len(out[at]):
+                e = out[at][following[at]]
+                if room[e] > 1e-9 and level[head[e]] == level[at] + 1:
+                    break
+                following[at] += 1
+            if following[at] < len(out[at]):
+                path.append(e)
+                at = head[e]
+            elif path:
+                level[at] = -1
+                at = head[path.pop() ^ 1]
+            else:
+                break
 
 
 def main_text(page: str | None) -> str:

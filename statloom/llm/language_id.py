@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -22,62 +23,96 @@ UNKNOWN = "und"
 SAMPLE_ROWS = 20_000
 #: Words, and n-grams of each order, that the model keeps of each language: its most frequent ones.
 WORDS, GRAMS, ORDERS = 40_000, 20_000, (4, 3, 2, 1)
-#: Numbers in a table of the model, terms by languages: with more than 20 languages each keeps fewer words.
-CELLS = 16_000_000
 #: Terms of one count go in so many groups, by a hash, where not all of them have room.
 GROUPS = 1024
 #: Each step back to shorter n-grams weighs so much.
 BACKOFF = 0.7
-#: Unknown words whose scores a task keeps.
-KEPT = 100_000
+WEIGHTS = {order: BACKOFF**k for k, order in enumerate(ORDERS)}
+#: Numbers of the scores of unknown words that a task keeps.
+KEPT = 400_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class Terms:
+    """Log frequencies of terms per language, as rows of the languages that have the term.
+
+    A language without a term has the log of half an occurrence, which is the same for all terms: so it is kept
+    once, in ``least``, and a row holds what the others have beyond it. The table grows with the terms that
+    languages have, not with terms times languages.
+    """
+
+    def __init__(self, rows: list, langs: list[str]):
+        place, counts = {lang: k for k, lang in enumerate(langs)}, {}
+        totals = np.zeros(len(langs))
+        for r in rows:
+            counts.setdefault(r["term"], []).append((place[r["lang"]], r["n"]))
+            totals[place[r["lang"]]] += r["n"]
+        self.least = np.log(0.5 / (totals + 0.5 * (len(counts) + 1)))
+        self.row = {term: k for k, term in enumerate(counts)}
+        self.begin, self.lang, self.more = array("q", [0]), array("i"), array("d")
+        for held in counts.values():
+            for lang, n in held:
+                self.lang.append(lang)
+                self.more.append(math.log((n + 0.5) / 0.5))
+            self.begin.append(len(self.lang))
+
+    def add(self, row: int, times: float, total: list[float]) -> None:
+        for k in range(self.begin[row], self.begin[row + 1]):
+            total[self.lang[k]] += times * self.more[k]
+
+
 @dataclass
 class Model:
     langs: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: dict[int, dict[str, int]]
-    gram_logs: dict[int, np.ndarray]
-    met: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def unseen(self, word: str) -> np.ndarray:
-        """What a word says that the model does not know; kept, within bounds, for when it comes again."""
-        logs = self.met.get(word)
-        if logs is None:
-            if len(self.met) >= KEPT:
+    words: Terms
+    grams: dict[int, Terms]
+    met: dict[str, tuple] = field(default_factory=dict)
+
+    def unseen(self, word: str) -> tuple[int, list[tuple[int, float]]]:
+        """What a word says that the model does not know: the order of its n-grams, and the languages that have
+        them. Kept, within bounds, for when it comes again."""
+        said = self.met.get(word)
+        if said is None:
+            if len(self.met) * (4 + len(self.langs)) >= KEPT:
                 self.met.clear()
-            logs = self.met[word] = self._backed_off(word)
-        return logs
+            said = self.met[word] = self._backed_off(word)
+        return said
 
-    def _backed_off(self, word: str) -> np.ndarray:
-        padded, weight = f"^{word}$", 1.0
+    def _backed_off(self, word: str) -> tuple[int, list[tuple[int, float]]]:
+        padded = f"^{word}$"
         for order in ORDERS:
             known = self.grams[order]
-            at = [known[g] for i in range(len(padded) - order + 1) if (g := padded[i:i + order]) in known]
+            at = [known.row[g] for i in range(len(padded) - order + 1) if (g := padded[i:i + order]) in known.row]
             if at:
-                return weight * self.gram_logs[order][at].mean(axis=0)
-            weight *= BACKOFF
-        return np.zeros(len(self.langs))
+                total = [0.0] * len(self.langs)
+                for row in at:
+                    known.add(row, 1.0 / len(at), total)
+                return order, [(k, x) for k, x in enumerate(total) if x]
+        return 0, []
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = Counter(_LETTERS.findall((text or "").lower()))
         # The pattern also takes numerals such as a half: they are no letters.
         if not self.langs or not any(c.isalpha() for word in found for c in word):
             return UNKNOWN, 0.0
-        at, times, total = [], [], np.zeros(len(self.langs))
+        total, known, backed = [0.0] * len(self.langs), 0, dict.fromkeys(ORDERS, 0)
+        row, add = self.words.row, self.words.add
         for word, n in found.items():
-            k = self.words.get(word)
-            if k is None:
-                total += n * self.unseen(word)
-            else:
-                at.append(k)
-                times.append(n)
-        if at:
-            total += np.array(times, float) @ self.word_logs[at]
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+            k = row.get(word)
+            if k is not None:
+                known += n
+                add(k, n, total)
+                continue
+            order, said = self.unseen(word)
+            if order:
+                backed[order] += n
+                for lang, more in said:
+                    total[lang] += n * WEIGHTS[order] * more
+        score = np.array(total) + known * self.words.least
+        for order, n in backed.items():
+            score += n * WEIGHTS[order] * self.grams[order].least
+        best = int(score.argmax())
+        return self.langs[best], float(1 / np.exp(score - score[best]).sum())
 
 
 def _looked_up(values: dict, key: Column, kind: str) -> Column:
@@ -119,17 +154,6 @@ def _most_frequent(counted: DataFrame, most: dict[int, int]) -> Column:
     return (F.col("n") > bound) | ((F.col("n") == bound) & (part <= F.coalesce(_looked_up(last, key, "long"), F.lit(-1))))
 
 
-def _logs(rows: list, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Log frequencies, centred over the languages so that a rare word says no more than a common one."""
-    place = {lang: k for k, lang in enumerate(langs)}
-    names: dict[str, int] = {}
-    counts = np.zeros((len({r["term"] for r in rows}), len(langs)))
-    for r in rows:
-        counts[names.setdefault(r["term"], len(names)), place[r["lang"]]] += r["n"]
-    share = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * (len(names) + 1)))
-    return names, share - share.mean(axis=1, keepdims=True) if len(langs) else share
-
-
 def _quota(counts: dict[str, int], most: int) -> float:
     """How many rows of a language may be taken, so that all together are ``most``: small ones give all."""
     left, rest = most, sorted(counts.values())
@@ -156,7 +180,8 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     each language.
 
     Counting is distributed; the driver gets the most frequent terms only, ``WORDS`` and ``GRAMS`` of each
-    language (ties by a hash of the term). Without labelled rows the model knows no language.
+    language (ties by a hash of the term), of those that occur more than once in the sample. So the model is
+    bounded by the sample, whatever the number of languages. Without labelled rows it knows no language.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = _sample(rows, id_col, text_col, lang_col, sample_rows)
@@ -174,7 +199,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 for order in ORDERS:
                     for i in range(len(padded) - order + 1):
                         grams[order, padded[i:i + order]] += n
-            made += [(lang, 0, w, n) for w, n in found.items() if len(w) <= 40]
+            made += [(lang, 0, w, n) for w, n in found.items()]
             made += [(lang, order, g, n) for (order, g), n in grams.items()]
         return dict(zip(("lang", "kind", "term", "n"), map(list, zip(*made)))) if made else {
             "lang": [], "kind": [], "term": [], "n": []}
@@ -184,17 +209,15 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         .groupBy("kind", "term", "lang").agg(F.sum("n").alias("n")), "terms")
     # Each language gives its most frequent terms, so that a rare language keeps its own.
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
-    room = max(1, CELLS // max(1, len(langs)) ** 2)
     often = counted.groupBy("kind", "term").agg(F.sum("n").alias("total")).where("total > 1").drop("total")
     counted = written(counted.join(often, ["kind", "term"]), "terms")
-    chosen = _most_frequent(counted, {kind: min(room, GRAMS if kind else WORDS) for kind in (0, *ORDERS)})
+    chosen = _most_frequent(counted, {kind: GRAMS if kind else WORDS for kind in (0, *ORDERS)})
     tables = {}
     for kind in (0, *ORDERS):
         own = counted.where(F.col("kind") == kind)
         top = own.where(chosen).select("term").distinct()
-        tables[kind] = _logs(own.join(top, "term").select("term", "lang", "n").collect(), langs)
-    words, word_logs = tables.pop(0)
-    return Model(langs, words, word_logs, {k: t[0] for k, t in tables.items()}, {k: t[1] for k, t in tables.items()})
+        tables[kind] = Terms(own.join(top, "term").select("term", "lang", "n").collect(), langs)
+    return Model(langs, tables.pop(0), tables)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,7 +239,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text has a language: those predicted ``und`` go."""
+    """The rows, with all their columns, whose text has a language: those predicted ``und`` go.
+
+    These are null and empty texts and those without a letter, or all when nothing was learned. Repeated rows
+    are judged alike, ties and long texts as by ``predict``; only ``text_col`` is looked at, whatever the names
+    of the others. An empty table stays one.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

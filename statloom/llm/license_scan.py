@@ -21,7 +21,8 @@ from statloom.llm.shared import WORD_BYTES, map_pieces
 
 #: Share of a template's distinct words that a block has to hold.
 THRESHOLD = 0.8
-#: Words of one block: longer paragraphs are read in windows that overlap by half.
+#: Least words of one block. Longer paragraphs are read in windows that overlap by half; a window is at least
+#: twice as long as the template looked for, so a copy of it stands whole in one window wherever it begins.
 BLOCK_WORDS = 240
 
 # Phrases and their labels.
@@ -115,6 +116,15 @@ class Index:
         return found
 
 
+def indexes(templates: dict[str, str], counts: dict[bytes, int], threshold: float) -> dict[int, Index]:
+    """An index per length of window, of the templates that are looked for in windows of that length."""
+    groups: dict[int, dict[str, str]] = {}
+    for name, text in templates.items():
+        groups.setdefault(max(BLOCK_WORDS, 2 * len(words(text.encode()))), {})[name] = text
+    return {most: Index(some, {t: counts[t] for held in template_tokens(some).values() for t in held}, threshold)
+            for most, some in groups.items()}
+
+
 def blocks(text: bytes, most: int = BLOCK_WORDS):
     """The words of each paragraph (blank lines part them); long ones in windows overlapping by half."""
     for _, held in placed_blocks(text, most):
@@ -165,13 +175,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """Per row: n_words, places (first word and label of each phrase), matches (template and best share held),
     blocks (template, first and last word and share held of every block that meets the threshold).
 
-    Null and empty texts have no words and no finds. Texts are read whole, in one pass of one task;
+    A copy of a template is found wherever it stands in a paragraph, however long both are. Null and empty texts
+    have no words and no finds. Texts are read whole, in one pass of one task for every length of window;
     repeated rows are read each; templates of equal words are all found; other columns are left out.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
     kind = docs.schema[id_col].dataType.simpleString()
     counts = token_documents(docs, text_col, set().union(*template_tokens(templates).values()))
-    index = Index(templates, counts, threshold)
+    by_window = indexes(templates, counts, threshold)
     starts = {p.encode().split(b" ")[0] for p in phrases}
 
     def work(columns: dict[str, list]) -> dict:
@@ -184,9 +195,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             places.append([{"word": at, "label": label} for at, label in phrase_places(held, phrases)]
                           if own & starts else [])
             met: list[tuple[str, int, int, float]] = []
-            if own & index.prefix and index.matches(own):
-                met = joined([(name, at, at + len(block) - 1, share) for at, block in placed_blocks(raw)
-                              for name, share in index.matches(set(block)).items()])
+            for most, index in by_window.items():
+                if own & index.prefix and index.matches(own):
+                    met += [(name, at, at + len(block) - 1, share) for at, block in placed_blocks(raw, most)
+                            for name, share in index.matches(set(block)).items()]
+            met = joined(met)
             best: dict[str, float] = {}
             for name, _, _, share in met:
                 best[name] = max(share, best.get(name, 0.0))

@@ -241,22 +241,21 @@ def _undecided(forest: DataFrame, label: DataFrame, sets: DataFrame) -> tuple[Da
     ties = rows.where("component <> low").select(F.col("component").alias("x"), F.col("low").alias("y"))
     family = components(ties).select(F.col("node").alias("component"), F.col("label").alias("family"))
     members = rows.groupBy("set", "component").agg(F.collect_list("region").alias("regions"))  # one per tree at most
-    members = members.join(sets.select("set", "n"), "set").join(family, "component")
+    members = written(members.join(sets.select("set", "n"), "set"), "undecided")
 
     def cuts(count: str, weight: str):
         return F.greatest(F.ceil(F.col(count) / BLOCK), F.ceil(F.col(weight) / BLOCK_SHINGLES)).cast("long")
 
-    sizes = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight"))
-    large = cuts("rows", "weight") > 1
-    small = sizes.where(~large).groupBy("family").agg(F.sum("rows").alias("rows"), F.sum("weight").alias("weight"))
-    sizes = sizes.select("component", large.alias("large"), cuts("rows", "weight").alias("own")).join(
-        members.select("component", "family").distinct().join(small.select("family", cuts("rows", "weight").alias("all")), "family", "left"),
-        "component")
+    # What is known of a component is put together first, one row each: a large one then meets it once, in a
+    # join that Spark may split.
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight")).join(family, "component")
+    sizes = sizes.withColumn("own", cuts("rows", "weight")).withColumn("large", F.col("own") > 1)
+    small = sizes.where(~F.col("large")).groupBy("family").agg(F.sum("rows").alias("rows"), F.sum("weight").alias("weight"))
+    sizes = sizes.drop("rows", "weight").join(small.select("family", cuts("rows", "weight").alias("all")), "family", "left")
     block = F.when(F.col("large"), F.xxhash64("component", F.lit(1), F.pmod(F.xxhash64("set"), F.col("own")))).otherwise(
-        F.xxhash64("family", F.lit(2), F.pmod(F.xxhash64("component"), F.coalesce("all", F.lit(1)))))
-    members = members.join(sizes.select("component", "large", "own", "all"), "component").select(
-        "set", "component", "regions", block.alias("block"),
-        F.when(F.col("large"), F.col("component")).alias("only"))
+        F.xxhash64("family", F.lit(2), F.pmod(F.xxhash64("component"), F.col("all"))))
+    members = members.join(written(sizes, "sizes"), "component").select(
+        "set", "component", "regions", block.alias("block"), F.when(F.col("large"), F.col("component")).alias("only"))
     members = written(members, "members")
     met = members.select(F.explode("regions").alias("region"), "block", "only").distinct()
     other = met.select("region", F.col("block").alias("other"), F.col("only").alias("other_only"))

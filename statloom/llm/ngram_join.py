@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.shared import PIECE, written
+from statloom.llm.shared import PIECE, free_name, written
 
 WORDS, THRESHOLD = 5, 0.8
 #: Share of the pairs at the threshold that shall meet in a band, and the hashes that may be spent on it.
@@ -290,10 +290,16 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS,
              threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows, with all their columns, of which each class of near duplicates keeps one: the smallest id
-    (null last; of equal ids one text, of equal rows one)."""
+    (null last; of equal ids one text, of equal rows one).
+
+    Null and empty texts, and texts without words, are near equal texts only. Texts of any length are read whole.
+    Other columns may have any names; of rows equal in id and text, those of any one stay. An empty table stays
+    one.
+    """
     found = _classes(docs, id_col, text_col, size, threshold, recall)
     chosen = found.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "a", "b")).alias("one"))
-    chosen = chosen.select(F.col("one.a").alias("_keep_a"), F.col("one.b").alias("_keep_b"))
+    a, b = free_name(docs, "_keep_a"), free_name(docs, "_keep_b")
+    chosen = chosen.select(F.col("one.a").alias(a), F.col("one.b").alias(b))
     ident, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumn("_keep_a", F.coalesce(ident, F.lit(-(1 << 63)))).withColumn("_keep_b", F.xxhash64(text))
-    return rows.join(chosen, ["_keep_a", "_keep_b"], "left_semi").dropDuplicates(["_keep_a", "_keep_b"]).drop("_keep_a", "_keep_b")
+    rows = docs.withColumn(a, F.coalesce(ident, F.lit(-(1 << 63)))).withColumn(b, F.xxhash64(text))
+    return rows.join(chosen, [a, b], "left_semi").dropDuplicates([a, b]).drop(a, b)

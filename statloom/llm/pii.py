@@ -11,6 +11,7 @@ out. The threshold of a kind is the lowest that keeps the wanted precision on ex
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 import zlib
@@ -377,20 +378,29 @@ def find(text: str, judges: Judges) -> list[tuple[str, int, int, bool]]:
     An added address may enclose one of the patterns, which end at a letter beyond ASCII.
     """
     base = base_spans(text)
-    spans = [(*s, True) for s in base]
+    spans, known = [(*s, True) for s in base], set(base)
     more: dict[str, list] = {}
     for c in candidates(text) if judges.by_kind else []:
-        if c not in base and c[0] in judges.by_kind:
+        if c not in known and c[0] in judges.by_kind:
             more.setdefault(c[0], []).append(c)
     judged = []
     for kind, some in more.items():
         trees, least = judges.by_kind[kind]
         chance = trees.chance(np.array([features(text, *c) for c in some]))
         judged += [(p, c) for p, c in zip(chance, some) if p >= least]
-    taken = list(base)
+    # Places that are taken, and the addresses of the patterns, in order and apart from each other.
+    mails = sorted((a, b) for kind, a, b in base if kind == "email")
+    ends, taken = [b for _, b in mails], bytearray(len(text)) if judged else b""
+    for kind, a, b in base:
+        if kind != "email" and judged:
+            taken[a:b] = b"\x01" * (b - a)
     for _, (kind, start, end) in sorted(judged, key=lambda r: (-r[0], r[1][1], -r[1][2], r[1][0])):
-        if all(end <= a or b <= start or kind == k == "email" and (k, a, b) in base and start <= a and b <= end for k, a, b in taken):
-            taken.append((kind, start, end))
+        at, free = bisect.bisect_right(ends, start), 1 not in taken[start:end]
+        while free and at < len(mails) and mails[at][0] < end:
+            free = kind == "email" and start <= mails[at][0] and mails[at][1] <= end
+            at += 1
+        if free:
+            taken[start:end] = b"\x01" * (end - start)
             spans.append((kind, start, end, False))
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
@@ -399,7 +409,8 @@ def scan(docs: DataFrame, trees: Judges, id_col: str = "doc_id", text_col: str =
     """(``id_col``, spans) per row; spans hold kind, start, end (code points, end exclusive), base.
 
     Null and empty texts have no spans. Overlapping spans of different kinds are all listed when they
-    come from the patterns; added ones overlap none, but for an address that goes on beyond the pattern's. Long texts are read whole, in linear time;
+    come from the patterns; added ones overlap none, but for an address that goes on beyond the pattern's. Long
+    texts are read whole; the work grows with the text and its candidates;
     repeated rows are read each; other columns are left out.
     """
     held = docs.sparkSession.sparkContext.broadcast(trees)
@@ -426,7 +437,13 @@ def redacted(text: str, spans: list[tuple]) -> str:
 
 
 def redact(docs: DataFrame, trees: Judges, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
-    """The rows, with all their columns, with spans replaced; ``size_col`` then tells the new length."""
+    """The rows, with all their columns, with spans replaced; ``size_col``, if it is there and holds whole
+    numbers, then tells the new length.
+
+    Null and empty texts stay as they are, as do texts without spans. Texts of any length are read whole; repeated
+    rows are treated alike; spans that overlap go together. Other columns may have any names and kinds. An empty
+    table stays one.
+    """
     held = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
@@ -439,7 +456,7 @@ def redact(docs: DataFrame, trees: Judges, text_col: str = "text", size_col: str
             columns = list(batch.columns)
             columns[at] = pa.array(made, batch.schema.field(at).type)
             size = batch.schema.get_field_index(size_col) if size_col else -1
-            if size >= 0:
+            if size >= 0 and pa.types.is_integer(batch.schema.field(size).type):
                 sizes = [n if t is m else len(m) for n, t, m in zip(columns[size].to_pylist(), texts, made)]
                 columns[size] = pa.array(sizes, batch.schema.field(size).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)

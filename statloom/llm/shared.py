@@ -49,6 +49,14 @@ def kept_in_worker(key: tuple, build: Callable[[], object]):
     return store[key]
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """A name that no column of the table has, whatever the case of its letters."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def words_of(text: Column) -> Column:
     """The lower-cased words of a text as an array; none for null."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
