@@ -15,27 +15,44 @@ from statloom.llm.shared import written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; a null text, or one without a letter, has none."""
+    """Documents in a language; a null or empty text, or one without a letter, has none.
+
+    Repeated rows are judged alike, long texts read whole, ties go to the language that sorts first. Columns
+    beside doc_id, text and lang may have any names. Without labelled rows no document has a language; an
+    empty table stays one. So it is in all stages but for what they say.
+    """
     return language_id.keep_known(docs, language_id.learn(docs.where(~held_out())))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id."""
+    """One document of each group of near duplicates, that of the smallest id, null ids last.
+
+    Of rows equal in id and text one stays. Null texts count as empty; empty texts are one group.
+    """
     return ngram_join.keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no passage of the benchmark stands."""
+    """Documents in which no passage of the benchmark stands; null and empty texts have none.
+
+    All rows stay where the benchmark is empty. Rows equal in id and text go or stay together.
+    """
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by the name of its kind."""
+    """All documents, with personal data replaced by the name of its kind; null texts stay null.
+
+    Spans that overlap are replaced together, under the kind of the first and longest.
+    """
     return pii.redact(docs, pii.learn(docs))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, and digests of them and of the text they stand for."""
+    """The ids of each document, and the digest of the text they stand for.
+
+    A null or empty text has no ids. Every row gives one, repeated rows alike.
+    """
     made = bpe.encode(docs, word_bpe())
     return made.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
