@@ -1,9 +1,10 @@
 """Finds and removes passages of a benchmark in documents. Column expressions only.
 
-A window is ``size`` consecutive words of an item, or all words of a shorter item. The windows are a
-hash set that every executor holds; each place of a document is looked up in it by one 64-bit hash, and
-a hit counts only if its words are those of the window. The set is split by hash into blocks of at most
-about ``BLOCK_WINDOWS`` windows, so that what is broadcast has a bound however large the benchmark is.
+A window is ``size`` consecutive words of an item, or all words of a shorter item. The 64-bit hashes of the
+windows are a set that every executor holds; each place of a document is looked up in it. What is met there is
+a hit only if its words are those of a window, which a join of the hits, few as they are, with the windows
+tells. The set is split into blocks of about ``BLOCK_WINDOWS`` hashes, so what is broadcast has a bound in
+bytes, however large the benchmark, its words and the number of items that share a window are.
 """
 
 from __future__ import annotations
@@ -14,41 +15,36 @@ from pyspark.sql import functions as F
 from statloom.llm.shared import free_name, words_of, written
 
 SIZE = 10
-#: Windows of one broadcast block: some 200 bytes each.
-BLOCK_WINDOWS = 500_000
+#: Hashes of one broadcast block: some 64 bytes each in a hash set of Spark's.
+BLOCK_WINDOWS = 1_000_000
 
 
 def windows(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Every distinct window: hash, length, words as one string, the items it stands in."""
+    """A row per distinct window and item: hash, length, words as one string, item."""
     words = (benchmark.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("words"))
              .where(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(size))))
     places = words.withColumn("at", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("length") + 1)))
     grams = places.select("item", "length", F.slice("words", F.col("at"), F.col("length")).alias("gram"))
-    return (
-        grams.groupBy("length", "gram").agg(F.collect_set("item").alias("items"))
-        .select(F.xxhash64("gram").alias("hash"), "length", F.array_join("gram", " ").alias("gram"), "items")
-    )
+    return grams.select(F.xxhash64("gram").alias("hash"), "length", F.array_join("gram", " ").alias("gram"), "item").distinct()
 
 
-def _hits(docs: DataFrame, block: DataFrame, lengths: list[int]) -> DataFrame:
-    """A row per place of a document where a window of the block stands, and one with none per document."""
-    kinds = len(lengths)
-    rows = docs.withColumn("n_words", F.size("words")).withColumn(
-        "i", F.explode(F.sequence(F.lit(-1), F.size("words") * kinds - 1)))
+def _met(docs: DataFrame, block: DataFrame, lengths: list[int], with_rows: bool) -> DataFrame:
+    """A row per place of a document whose hash is in the block; and, ``with_rows``, one at -1 per document."""
+    kinds, low = len(lengths), -1 if with_rows else 0
+    rows = docs.withColumn("n_words", F.size("words")).where((F.lit(low) < 0) | (F.col("n_words") > 0)).withColumn(
+        "i", F.explode(F.sequence(F.lit(low), F.size("words") * kinds - 1)))
     at = F.floor(F.col("i") / kinds).cast("int") if kinds > 1 else F.col("i")
     length = (F.element_at(F.array(*map(F.lit, lengths)), F.pmod(F.col("i"), F.lit(kinds)) + 1)
               if kinds > 1 else F.lit(lengths[0]))
     rows = rows.withColumn("at", at).withColumn("span", length)
     fits = (F.col("i") >= 0) & (F.col("at") + F.col("span") <= F.col("n_words"))
-    rows = rows.where((F.col("i") < 0) | fits).withColumn(
-        "probe", F.when(fits, F.xxhash64(F.slice("words", F.greatest(F.col("at") + 1, F.lit(1)), F.col("span")))))
+    gram = F.slice("words", F.greatest(F.col("at") + 1, F.lit(1)), F.col("span"))
+    rows = rows.where((F.col("i") < 0) | fits).withColumn("probe", F.when(fits, F.xxhash64(gram)))
     found = rows.join(F.broadcast(block), F.col("probe") == F.col("hash"), "left")
-    same = (F.col("span") == F.col("length")) & (
-        F.array_join(F.slice("words", F.greatest(F.col("at") + 1, F.lit(1)), F.col("span")), " ") == F.col("gram"))
-    hit = F.when(F.col("hash").isNull(), F.lit(False)).otherwise(same)
-    return found.where((F.col("i") < 0) | hit).select(
-        "row", "id", "n_words", F.when(hit, F.struct(F.col("at").alias("start"), (F.col("at") + F.col("span")).alias("end"))).alias("place"),
-        F.when(hit, F.col("items")).alias("items"))
+    met = F.col("hash").isNotNull()
+    return found.where((F.col("i") < 0) | met).select(
+        "k1", "k2", F.when(~met, F.col("id")).alias("id"), "n_words", F.when(met, F.col("at")).alias("start"),
+        F.when(met, F.col("span")).alias("length"), "hash", F.when(met, F.array_join(gram, " ")).alias("gram"))
 
 
 def _merged(places: Column) -> Column:
@@ -71,30 +67,40 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     """Per document: ``id_col``, n_words, spans (disjoint word spans from 0 that windows cover), items.
 
     A null or empty text has no words, no spans and no items; so has every text when the benchmark is
-    empty. Each input row gives one row, also when ids repeat or are null. Other columns are left out,
-    so their names cannot clash. Ties cannot arise: all windows count. Long texts are scanned whole; a
-    document is one row of the shuffle, with its hits.
+    empty. Each input row gives one row, also when ids repeat or are null: rows are known by two hashes of id
+    and text, and equal ones are counted. Other columns are left out, so their names cannot clash. Ties cannot
+    arise: all windows count. Long texts are scanned whole; a document is one row of the shuffle, with its hits.
     """
     grams = written(windows(benchmark, item_col, item_text, size), "windows")
-    facts = grams.groupBy("length").count().collect()  # at most ``size`` rows
-    lengths, total = sorted(r["length"] for r in facts), sum(r["count"] for r in facts)
-    base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
+    facts = grams.groupBy("length").agg(F.approx_count_distinct("hash").alias("n")).collect()  # at most ``size`` rows
+    lengths, total = sorted(r["length"] for r in facts) or [size], sum(r["n"] for r in facts)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    known = [F.col(id_col), F.isnull(id_col), text]
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(*known).alias("k1"), F.xxhash64(F.lit(1), *known).alias("k2"),
                        words_of(F.col(text_col)).alias("words"))
-    kind = "array<struct<start:int,end:int>>"
-    if not total:
-        return base.select(F.col("id").alias(id_col), F.size("words").cast("long").alias("n_words"),
-                           F.array().cast(kind).alias("spans"), F.array().cast("array<string>").alias("items"))
-    blocks = -(-total // BLOCK_WINDOWS)
-    hits = None
+    blocks, met = max(1, -(-total // BLOCK_WINDOWS)), None
     for k in range(blocks):
-        part = grams if blocks == 1 else grams.where(F.pmod(F.col("hash"), F.lit(blocks)) == k)
-        more = _hits(base, part, lengths)
-        hits = more if hits is None else hits.unionByName(more)
-    by_doc = hits.groupBy("row", "id").agg(
-        F.max("n_words").alias("n_words"), F.collect_list("place").alias("places"), F.collect_list("items").alias("items"))
-    return by_doc.select(
-        F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), _merged(F.col("places")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
+        part = grams.select("hash").distinct()
+        part = part if blocks == 1 else part.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == k)
+        more = _met(base, part, lengths, k == 0)
+        met = more if met is None else met.unionByName(more)
+    met, key = written(met, "met"), ["k1", "k2"]
+    rows = met.where("hash is null").groupBy(*key).agg(
+        F.first("id").alias("id"), F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("copies"))
+    gram = ["hash", "length", "gram"]
+    # Copies of a document share their places, so each place counts once.
+    hits = met.where("hash is not null").select(*key, "start", *gram).distinct().join(grams.select(gram).distinct(), gram)
+    hits = written(hits, "hits")
+    place = F.struct("start", (F.col("start") + F.col("length")).alias("end"))
+    spans = hits.groupBy(*key).agg(F.collect_list(place).alias("places"))
+    items = hits.select(*key, *gram).distinct().join(grams, gram).select(*key, "item").distinct()
+    items = items.groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    made = rows.join(spans, key, "left").join(items, key, "left").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return made.select(
+        F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), _merged(F.coalesce("places", none)).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def words_hit(spans: Column) -> Column:

@@ -278,7 +278,7 @@ def test_features_do_not_depend_on_neighbours(documents):
     texts = [t.encode() for _, t in pairs(documents)[:40]]
     together = fingerprints.features(texts)
     assert together == [fingerprints.features([t])[0] for t in texts]
-    assert all(together[k] for k in range(40) if texts[k])
+    assert all(any(together[k]) for k in range(40) if texts[k])
 
 
 def test_fingerprints(spark, documents, odd):
@@ -286,7 +286,7 @@ def test_fingerprints(spark, documents, odd):
     frame = spark.createDataFrame(random.Random(2).sample(rows, len(rows)), "doc_id long, text string")
     made = Counter((r["doc_id"], r["n_chars"], sha(r["edited"]), r["fingerprint"], round(r["near_next"], 9), round(r["near_edited"], 9))
                    for r in fingerprints.compare_neighbours(frame).collect())
-    wanted, chain = [], lambda t: fingerprints.filters(fingerprints.features([t.encode()])[0])
+    wanted, chain = [], lambda t: fingerprints.chain(fingerprints.features([t.encode()])[0])
     for k, (name, text) in enumerate(rows):
         text, after = text or "", rows[(k + 1) % len(rows)][1] or ""
         half = len(text) // 2
@@ -300,6 +300,49 @@ def test_fingerprints(spark, documents, odd):
     assert fingerprints.compare_neighbours(odd.limit(0)).collect() == []
 
 
+def test_features_of_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(7)
+    text = " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "omega", "1234567", "(x)"], k=60_000)).encode()
+    whole = fingerprints.features([text, text[:5000]])
+    monkeypatch.setattr(fingerprints, "_CHUNK", 1000)
+    assert fingerprints.features([text, text[:5000]]) == whole and len(whole[0][0]) > 1000
+
+
+@pytest.mark.parametrize("size, least", [(120, 0.7), (250, 0.8), (700, 0.8), (1500, 0.8), (4000, 0.8)])
+def test_a_changed_letter_leaves_texts_alike(documents, size, least):
+    """Short texts too; the README gives these means."""
+    rng, score = random.Random(size), []
+    for _, text in [r for r in pairs(documents) if r[1] and len(r[1]) > size][:60]:
+        text = text[:size]
+        at = rng.randrange(size)
+        chains = [fingerprints.chain(f) for f in fingerprints.features([text.encode(), (text[:at] + "#" + text[at + 1:]).encode()])]
+        score.append(fingerprints.likeness(*chains))
+    assert sum(score) / len(score) >= least
+
+
+def test_many_rows_of_one_id(spark):
+    """They are cut into ranges by a hash of the text, and each meets the row after it."""
+    keys = [5] * 2000 + list(range(40)) + [None] * 500
+    rows = [(key, f"{k:05d}-" * 2) for k, key in enumerate(keys)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    parts, _ = fingerprints.ranges(frame.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63)))), 8)
+    sizes = [r["count"] for r in parts.groupBy("to").count().collect()]
+    assert max(sizes) < 600 and sum(sizes) == len(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        made = fingerprints.compare_neighbours(frame).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # The halves of an edited text name its row and the next one: all rows are one ring, in the order of ids.
+    after = {int(r["edited"][:5]): int(r["edited"][6:11]) for r in made}
+    assert len(made) == len(after) == len(rows)
+    start = next(k for k, n in after.items() if keys[k] == 39)
+    ring = [after[start]]
+    while ring[-1] != start:
+        ring.append(after[ring[-1]])
+    assert len(ring) == len(rows) and [keys[k] for k in ring] == sorted(keys, key=lambda k: -1 if k is None else k)
+
+
 def test_edited_is_nearer_than_next(spark):
     means = queries.op4_fingerprints(spark, FOLDER).agg(F.avg("near_edited"), F.avg("near_next")).first()
     assert means[0] > 0.25 and means[1] < 0.1
@@ -704,3 +747,24 @@ def test_many_candidates_of_one_text():
     begun = time.process_time()
     assert len(pii.find(text, pii.Judges())) == 8000
     assert time.process_time() - begun < 5
+
+
+def test_windows_shared_by_many_items(spark, monkeypatch):
+    """A preamble that all items share, words of any length, repeated documents, and several blocks of hashes."""
+    preamble = "this is the common beginning of every single question that stands in here"
+    items = [(f"i{k}", f"{preamble} question {k} asks what the {'x' * (k * 50)} is") for k in range(60)] + [(None, "one two")]
+    docs = [(1, f"before it {preamble} and behind it"), (1, f"before it {preamble} and behind it"), (None, "nothing here"), (2, items[7][1].upper()),
+            (3, "one, two"), (4, None)]
+    bench, frame = spark.createDataFrame(items, "item_id string, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+
+    def found():
+        return sorted(((r["doc_id"], r["n_words"], decontaminate_hit(r), r["items"]) for r in decontaminate.scan(frame, bench).collect()), key=str)
+
+    def decontaminate_hit(r):
+        return sum(s["end"] - s["start"] for s in r["spans"])
+
+    expected = sorted(((i, *brute.contaminated(t, [(n, x) for n, x in items if n])) for i, t in docs), key=str)
+    made = found()
+    assert [r for r in made if r[0] != 3] == [r for r in expected if r[0] != 3] and [r[2] for r in made if r[0] == 3] == [2]
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 100)
+    assert found() == made
