@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _both_sides(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
@@ -84,6 +85,34 @@ def drop_null_columns(table: DataFrame) -> DataFrame:
     return table.select(*[name for name in table.columns if used[name] > 0])
 
 
+def file_column_uses(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``column_uses`` of Parquet files: of plain columns from the files' footers, without reading a value; of
+    nested ones, whose footers tell of their elements, by a scan of these columns alone.
+
+    Files without the number of NULLs in their footers end the job.
+    """
+    # A session of its own, since only the newer reader hands counts down and the caller's settings stay.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.useV1SourceList", "")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    paths = [path] if isinstance(path, str) else path
+    table = apart.read.parquet(*paths)
+    nested = [f.name for f in table.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    plain = column_uses(table.drop(*nested))
+    if not nested:
+        return plain
+    scanned = column_uses(spark.read.parquet(*paths).select(*nested))
+    one = F.lit(1).alias("_one")  # one row on either side
+    return plain.select("*", one).join(scanned.select("*", one), "_one").select(table.columns)
+
+
+def read_used_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Parquet files without the columns that hold no value at all, as ``file_column_uses`` tells."""
+    used = file_column_uses(spark, path).first()
+    table = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    return table.select(*[name for name in table.columns if used[name] > 0])
+
+
 def label_levels(table: DataFrame, keys: list[str]) -> DataFrame:
     """Number of ``Label*`` columns that hold a value, per key."""
     labels = [name for name in table.columns if name.startswith("Label") and name[5:].isdigit()]

@@ -14,11 +14,12 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], spread: list[str]
            how: str = "inner", salts: int | None = None) -> DataFrame:
     """Join ``facts`` (few rows per key) to ``rows``, where one key may hold most of the rows.
 
-    The rows of a key are spread over ``salts`` partitions (a quarter of a shuffle's, else) by the
-    columns in ``spread``, and the facts are repeated that often. Facts that Spark finds small are
-    broadcast all the same.
+    Spark broadcasts facts that it finds small, and splits the rows of a key that makes one partition much larger
+    than the others. Where it cannot, because what follows needs the rows by key, ask for ``salts``: the rows of
+    a key are spread over so many partitions by the columns in ``spread``, and the facts repeated that often.
     """
-    salts = salts or max(2, shuffle_partitions(rows) // 4)
+    if salts is None:
+        return rows.join(facts, keys, how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(salted, keys + ["_salt"], how).drop("_salt")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from html import escape, unescape
 from html.parser import HTMLParser
+from itertools import islice
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -216,49 +219,103 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|rowspan|colspan)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
+#: The most rows or columns that a cell may span, as browsers have it.
+MOST_SPAN = 65_534
+#: Cells that are handed on together.
+CELLS_AT_ONCE = 10_000
+
+
+class _Span(NamedTuple):
+    """Columns of a row that a cell takes, and how many more rows it takes them in."""
+
+    first: int
+    end: int
+    rows: int
+    text: str
+
+
+def _apart(spans: list[_Span]) -> list[_Span]:
+    """Spans in the order of their columns; where some overlap, the column goes to the one given first."""
+    found = sorted(spans, key=lambda s: s.first)
+    if all(a.end <= b.first for a, b in zip(found, found[1:])):
+        return found
+    made: list[_Span] = []
+    for span in spans:
+        at = span.first
+        for other in made[bisect_right(made, span.first, key=lambda s: s.end):]:
+            if other.first >= span.end:
+                break
+            if at < other.first:
+                insort(made, span._replace(first=at, end=other.first), key=lambda s: s.first)
+            at = max(at, other.end)
+        if at < span.end:
+            insort(made, span._replace(first=at), key=lambda s: s.first)
+    return made
+
+
 class _Table:
-    """A table that is being read; a spanned cell is repeated over its span."""
+    """A table that is being read; a spanned cell is repeated over its span, row by row as the rows come.
+
+    Kept are the spans that go on below the row, not the cells they will make.
+    """
 
     def __init__(self, number: int | None):
         self.number = number
         self.row = -1
         self.text: list[str] | None = None
         self.span = (1, 1)
-        self.taken: set[tuple[int, int]] = set()
-        self.cells: list[tuple[int, int, int, str]] = []
-
-    def open_cell(self, attributes: dict[str, str]) -> None:
-        self.end_cell()
-        self.row = max(self.row, 0)
+        self.spans: list[_Span] = []  # that go on below, in the order they were opened
+        self.taken: list[_Span] = []  # columns of this row that spans from above take
+        self.at = self.column = 0
+
+    def _cells(self, first: int, end: int, text: str) -> Iterator[tuple[int, int, int, str]]:
+        return ((self.number, self.row, column, text) for column in range(first, end))
+
+    def open_row(self) -> Iterator[tuple[int, int, int, str]]:
+        yield from self.end_cell()
+        self.row += 1
+        self.taken, self.at, self.column = _apart(self.spans), 0, 0
+        self.spans = [s._replace(rows=s.rows - 1) for s in self.spans if s.rows > 1]
+        for span in self.taken:
+            yield from self._cells(span.first, span.end, span.text)
+
+    def open_cell(self, attributes: dict[str, str]) -> Iterator[tuple[int, int, int, str]]:
+        yield from self.end_cell()
+        if self.row < 0:
+            yield from self.open_row()
         self.text = []
-        down, right = (attributes.get(name, "") for name in ("rowspan", "colspan"))
-        self.span = tuple(max(int(size), 1) if size.isdecimal() else 1 for size in (down, right))
+        sizes = (attributes.get(name, "") for name in ("rowspan", "colspan"))
+        self.span = tuple(min(max(int(size), 1), MOST_SPAN) if size.isdecimal() and len(size) < 20 else 1 for size in sizes)
 
-    def end_cell(self) -> None:
+    def end_cell(self) -> Iterator[tuple[int, int, int, str]]:
         if self.text is None:
             return
         text = " ".join(unescape("".join(self.text)).split())
         self.text = None
-        column = 0
-        while (self.row, column) in self.taken:
-            column += 1
-        for row in range(self.row, self.row + self.span[0]):
-            for col in range(column, column + self.span[1]):
-                if (row, col) not in self.taken:
-                    self.taken.add((row, col))
-                    self.cells.append((self.number, row, col, text))
-
-
-def _table_cells(html: str, class_name: str | None) -> list[tuple[int, int, int, str]]:
+        rows, columns = self.span
+        while self.at < len(self.taken) and self.taken[self.at].first <= self.column:
+            self.column = max(self.column, self.taken[self.at].end)
+            self.at += 1
+        first, end = self.column, self.column + columns
+        if rows > 1:
+            self.spans.append(_Span(first, end, rows - 1, text))
+        while self.at < len(self.taken) and self.taken[self.at].first < end:
+            yield from self._cells(first, self.taken[self.at].first, text)
+            first = max(first, self.taken[self.at].end)
+            self.at += 1
+        yield from self._cells(first, end, text)
+        self.column = max(first, end)
+
+    def end(self) -> Iterator[tuple[int, int, int, str]]:
+        """What is left: cells may span rows that are not there."""
+        yield from self.end_cell()
+        while self.spans:
+            yield from self.open_row()
+
+
+def _table_cells(html: str, class_name: str | None) -> Iterator[tuple[int, int, int, str]]:
     """``table_no, row, col, text`` of all tables of a class, numbered in page order."""
-    count, stack, cells = 0, [], []
-
-    def end_table():
-        table = stack.pop()
-        table.end_cell()
-        if table.number is not None:
-            cells.extend(table.cells)
-
+    count, stack = 0, []
     for token in _TOKEN.finditer(html):
         tag, text = token["tag"], token["text"]
         if text is not None:
@@ -267,7 +324,7 @@ def _table_cells(html: str, class_name: str | None) -> list[tuple[int, int, int,
             continue
         if tag is None:
             continue
-        tag = tag.lower()
+        tag, made = tag.lower(), ()
         if tag == "table" and not token["end"]:
             attributes = _attributes(token["attrs"])
             wanted = class_name is None or attributes.get("class") == class_name
@@ -276,20 +333,25 @@ def _table_cells(html: str, class_name: str | None) -> list[tuple[int, int, int,
         elif not stack:
             continue
         elif tag == "table":
-            end_table()
+            made = stack[-1].end()
         elif tag == "br":
             if stack[-1].text is not None:
                 stack[-1].text.append(" ")
         elif token["end"]:
-            stack[-1].end_cell()
+            made = stack[-1].end_cell()
         elif tag == "tr":
-            stack[-1].end_cell()
-            stack[-1].row += 1
+            made = stack[-1].open_row()
+        else:
+            made = stack[-1].open_cell(_attributes(token["attrs"]))
+        if stack[-1].number is not None:
+            yield from made
         else:
-            stack[-1].open_cell(_attributes(token["attrs"]))
-    while stack:
-        end_table()
-    return cells
+            stack[-1].text = [] if stack[-1].text is not None else None  # a table nobody asked for is not built
+        if tag == "table" and token["end"]:
+            stack.pop()
+    for table in reversed(stack):
+        if table.number is not None:
+            yield from table.end()
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -299,15 +361,19 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def html_tables(pages: DataFrame, key: str, html: str, class_name: str | None = None) -> DataFrame:
-    """``key, table_no, row, col, text`` for every table cell, optionally of tables of one class."""
+    """``key, table_no, row, col, text`` for every table cell, optionally of tables of one class.
+
+    A spanned cell is repeated over its span, of ``MOST_SPAN`` rows and columns at most, and in no column that an
+    earlier cell takes. Cells leave the task as they are made.
+    """
     key_type = pages.schema[key].dataType.simpleString()
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [key, "table_no", "row", "col", "text"]
         for batch in batches:
-            found = []
-            for page, text in zip(batch[key], batch[html]):
-                found.extend((page, *cell) for cell in _table_cells(text or "", class_name))
-            yield pd.DataFrame(found, columns=[key, "table_no", "row", "col", "text"])
+            found = ((page, *cell) for page, text in zip(batch[key], batch[html]) for cell in _table_cells(text or "", class_name))
+            while part := list(islice(found, CELLS_AT_ONCE)):
+                yield pd.DataFrame(part, columns=names)
 
     return spread(pages.select(key, html), key).mapInPandas(
         cells, f"`{key}` {key_type}, table_no int, row int, col int, text string"

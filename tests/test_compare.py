@@ -149,3 +149,13 @@ def test_equal_copies_are_settled_by_their_fingerprints(spark, monkeypatch):
     twice = moved.unionByName(moved.where("dataset = 'd4'").limit(1))
     made = reconcile.reconcile(manifest, api, twice)
     assert {r.name: r.equivalent for r in made.collect()} == {"n0": True, "n1": True, "n2": True, "n3": False, "n4": False, "n5": None}
+
+
+def test_used_columns_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "cast(null as string) a", "if(id = 70, 'x', null) b", "cast(null as date) c",
+                                "array(cast(null as int)) d").repartition(4).write.parquet(path)
+    plan = compare.file_column_uses(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(id)" in plan
+    assert tuple(compare.file_column_uses(spark, path).first()) == (100, 0, 1, 0, 100)
+    assert compare.read_used_columns(spark, path).columns == ["id", "b", "d"]

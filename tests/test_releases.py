@@ -268,3 +268,12 @@ def test_occurrences(spark, tmp_path):
 def test_private_use_letters_stay(spark, tmp_path):
     (tmp_path / "a.ics").write_text("BEGIN:VEVENT\nUID:1\nSUMMARY:\ue000 a\\\\nb\\nc\\\\\\,d\nDTSTART:20210915\nEND:VEVENT\n")
     assert read_ics(spark, str(tmp_path)).first().name == "\ue000 a\\nb\nc\\,d"
+
+
+def test_spans_without_bound(spark):
+    """Large spans leave the task as they are made; a cell takes no column that an earlier one has."""
+    pages = spark.createDataFrame([(1, "<table><tr><td rowspan=300 colspan=400>x<tr><td>y</table>"), (2, "<table><tr><td rowspan=99999999999999>z</table>")],
+                                  "id int, html string")
+    found = html_tables(pages.where("id = 1"), "id", "html")
+    assert found.count() == 300 * 400 + 1 and found.where("text = 'y'").select("row", "col").first() == (1, 400)
+    assert html_tables(pages.where("id = 2"), "id", "html").count() == 65_534

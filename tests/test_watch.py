@@ -334,3 +334,29 @@ def test_scratch_folder(spark, monkeypatch):
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(spark, "x")
+
+
+def test_first_decisions_of_a_plain_log(spark, tmp_path):
+    """Checks out of order within the lateness, over several batches."""
+    releases, checks = random_log(11, size=120)
+    expected = {r[:3] for r in brute_force(releases, checks) if r[1] != "ROLLED"}
+    starts = spark.createDataFrame(releases, RELEASES)
+    log = spark.createDataFrame(checks, CHECKS).withColumn("ts", F.col("ts").cast("timestamp"))
+    source, last = str(tmp_path / "in"), dt.datetime(2100, 1, 1)
+    log.where("false").write.parquet(source)
+    stream = spark.readStream.schema(log.schema).parquet(source)
+    found = cadence.first_decisions(stream, cadence.clock(starts.select("release_id", "key", "release_dt"), last), late_minutes=15)
+    query = (found.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "log")).start())
+    try:
+        for first in range(-100, 3300, 700):
+            # Every third check comes up to 15 minutes before its turn.
+            at = F.col("ts") - F.when(F.col("check_id") % 3 == 0, F.expr("interval 15 minutes")).otherwise(F.expr("interval 0 minutes"))
+            log.where((at >= F.lit(minute(first))) & (at < F.lit(minute(first + 700)))).write.mode("append").parquet(source)
+            query.processAllAvailable()
+        cadence.clock(log, last).where(F.col("key") == cadence.CLOCK_KEY).write.mode("append").parquet(source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {tuple(r) for r in rows} == expected and len(rows) == len(expected) > 10

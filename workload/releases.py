@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -474,6 +475,50 @@ def alert_once(spark, folder):
     return watch.watch_alerts(_watched(spark, folder, 1440), details)
 
 
+# The checks come in batches of eight days; releases without a check in time are not asked about.
+@query("first_decisions_stream", f"""
+    SELECT release_id, outcome, "at" FROM ({_watch_sql(30)}) WHERE outcome <> 'ROLLED'
+""")
+def first_decisions_stream(spark, folder):
+    path, releases, checks = scratch_path(spark, "checks"), _releases(spark, folder), _checks(spark, folder)
+    releases = releases.select("release_id", F.col("key").cast("string").alias("key"), "release_dt")
+    checks = checks.select(F.col("key").cast("string").alias("key"), "check_id", F.col("ts").cast("timestamp").alias("ts"), "updated")
+    start, end = checks.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    last = dt.datetime(2100, 1, 1)
+    checks.where("false").write.parquet(path)
+
+    def arrive(since, until):
+        checks.where(F.unix_micros("ts").between(since, until - 1)).write.mode("append").parquet(path)
+
+    def finish():
+        cadence.clock(checks, last).where(F.col("key") == cadence.CLOCK_KEY).write.mode("append").parquet(path)
+
+    step = 8 * 86_400_000_000
+    arrivals = [] if start is None else [partial(arrive, since, since + step) for since in range(start, end + 1, step)]
+    stream = spark.readStream.schema(checks.schema).parquet(path)
+    return runs.run_batches(spark, cadence.first_decisions(stream, cadence.clock(releases, last)), [*arrivals, finish], "decisions")
+
+
+# Every alert is delivered twice, the second time in a batch of its own.
+@query("alerts_delivered_twice", "SELECT event_id, CAST(user_id AS VARCHAR) AS key, ts FROM events WHERE event_type = 'error'")
+def alerts_delivered_twice(spark, folder):
+    path = scratch_path(spark, "alerts")
+    alerts = table(spark, folder, "events").where(F.col("event_type") == "error").select(
+        "event_id", F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"))
+    bounds = alerts.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    alerts.where("false").write.parquet(path)
+
+    def arrive(since, until):
+        alerts.where(F.unix_micros("ts").between(since, until - 1)).write.mode("append").parquet(path)
+
+    step = 10 * 86_400_000_000
+    spans = [] if bounds[0] is None else [(since, since + step) for since in range(bounds[0], bounds[1] + 1, step)]
+    arrivals = [partial(arrive, *span) for span in spans for _ in range(2)]
+    stream = spark.readStream.schema(alerts.schema).parquet(path)
+    found = runs.run_batches(spark, cadence.first_alerts(stream, "event_id", "ts", "20 days"), arrivals, "alerts-once")
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("check_cadence", """
     SELECT CAST(user_id AS VARCHAR) AS key, time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '2000-01-01') AS start,
            arg_max(event_id, (ts, event_id)) AS check_id,

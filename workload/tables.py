@@ -8,7 +8,7 @@ from statloom.functions.periods import reformat_month
 from statloom.functions.values import is_published
 from statloom.operators import compare, reshape, series
 from statloom.plans import merge, reconcile
-from statloom.session import scratch_path
+from statloom.session import scratch_path, written
 from statloom.sinks import files
 from statloom.sources.grids import label_columns, long_from_cells, read_grids
 from statloom.sources.long_tables import read_long, read_long_mixed
@@ -152,6 +152,17 @@ def drop_null_columns(spark, folder):
         F.when(quantity < 1, quantity).alias("credited")))
 
 
+@query("used_columns_of_files", """
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN l_quantity END AS returned FROM lineitem
+""")
+def used_columns_of_files(spark, folder):
+    path, quantity = scratch_path(spark, "uses"), F.col("l_quantity")
+    table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", quantity).alias("returned"),
+        F.when(quantity < 1, quantity).alias("credited"), F.when(quantity < 1, F.col("l_shipdate")).alias("credit_day")).write.parquet(path)
+    return compare.read_used_columns(spark, path)
+
+
 @query("label_levels", """
     SELECT l_suppkey, CAST(1 + max(CASE WHEN l_discount = 0 THEN 1 ELSE 0 END)
                            + max(CASE WHEN l_quantity = 50 AND l_tax = 0.08 THEN 1 ELSE 0 END) AS INT) AS levels
