@@ -55,11 +55,14 @@ def extract_files(datasets: DataFrame, pages: DataFrame, key: str, html: str, cl
     """Bulk extraction as files below ``path``: the catalogue, a grid and a footnote file per dataset.
 
     ``datasets``: ``key, category, group, dataset``; ``pages``: ``key, html``. Grids lie in
-    ``grids/name=<slug>``, footnotes in ``notes/name=<slug>__meta``. Slugs should be unique; a page
+    ``grids/name=<slug>``, footnotes in ``notes/name=<slug>__meta``. Two datasets of one slug end the job; a page
     without footnotes has no such file, a dataset without page only its line in the catalogue.
     """
     files.write_csv(datasets.select("category", "group", "dataset"), f"{path}/catalogue")
     names = datasets.select(key, dataset_slug(F.col("category"), F.col("group"), F.col("dataset")).alias("name"))
+    often = names.groupBy("name").agg(F.count(F.lit(1)).alias("datasets"))
+    twice = F.raise_error(F.concat(F.lit("two datasets of one name: "), F.col("name")))
+    names = names.join(often, "name").select(key, F.when(F.col("datasets") > 1, twice).otherwise(F.col("name")).alias("name"))
     data, notes = extract_tables(pages, key, html, class_name)
     files.write_tables(files.table_lines(data.join(names, key), "name"), "name", f"{path}/grids")
     # The text writer ends every row with a line break, which the footnote has already.

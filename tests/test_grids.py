@@ -213,6 +213,14 @@ def test_page_table_to_grid(spark, tmp_path):
     assert {r.footnote for r in notes.collect()} == {"Note\nx\n"}
 
 
+def test_datasets_of_one_name_are_not_mixed(spark, tmp_path):
+    datasets = spark.createDataFrame([("p1", "A b", "c", "d"), ("p2", "A b", "c", "d")], "id string, category string, group string, dataset string")
+    pages = spark.createDataFrame([(k, "<table class=px><tr><td>1</table>") for k in ("p1", "p2")], "id string, html string")
+    with pytest.raises(PySparkException, match="two datasets of one name"):
+        merge.extract_files(datasets, pages, "id", "html", "px", str(tmp_path / "out"))
+    merge.extract_files(datasets.where("id = 'p1'"), pages, "id", "html", "px", str(tmp_path / "one"))
+
+
 def verdict_of(spark, tmp_path, api, grid):
     for name, content in (("api", api), ("grid", grid)):
         (tmp_path / name).mkdir(exist_ok=True)
