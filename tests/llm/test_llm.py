@@ -259,6 +259,26 @@ def test_every_block_of_a_template_is_told(spark):
         ("a", 0, 9, 0.9), ("b", 3, 4, 0.7), ("a", 10, 12, 0.8)]
 
 
+def test_license_query_against_all_places(spark, documents):
+    found = {r["doc_id"]: r for r in queries.op3_license_scan(spark, FOLDER).collect()}
+    sets = {name: set(brute.words(text)) for name, text in license_scan.TEMPLATES.items()}
+    for name, text in pairs(documents):
+        held, r = brute.words(text), found[name]
+        places = [(k, label) for phrase, label in license_scan.PHRASES.items() for k in range(len(held))
+                  if held[k:k + len(phrase.split())] == phrase.split()]
+        base = {label for _, label in places}
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (len(held), len(places), ",".join(sorted(base)))
+        assert (r["first_word"], r["last_word"]) == (min(places)[0], max(places)[0]) if places else (None, None)
+        # Paragraphs of this table are no longer than a window: a block is a paragraph.
+        parts = [set(brute.words(p)) for p in re.split(r"\n[\x20\t\r]*\n", text or "")]
+        if max(len(brute.words(p)) for p in re.split(r"\n[\x20\t\r]*\n", text or "")) <= license_scan.BLOCK_WORDS // 2:
+            share = {t: max(len(own & p) / len(own) for p in parts) for t, own in sets.items()}
+            held_by = {t for t, x in share.items() if x >= license_scan.THRESHOLD}
+            assert r["labels"] == ",".join(sorted(base | held_by))
+            assert r["score"] == pytest.approx(1.0 if base else max((share[t] for t in held_by), default=0.0))
+    assert sum(bool(r["labels"]) for r in found.values()) > 2
+
+
 def test_license_query(spark):
     rows = queries.op3_license_scan(spark, FOLDER).collect()
     assert all(0 <= r["score"] <= 1 and (r["first_word"] is None) == (r["n_base"] == 0) for r in rows)
