@@ -56,21 +56,22 @@ def fingerprints(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFr
     """``keys, rows, prints`` per key: the number of its rows and sums of hashes of them, whatever their order.
 
     Aggregated where the rows lie, so the shuffle gets one row per task and key. Rows that are the same have the
-    same 128 bits, NULL equal to NULL; sums of the four parts are exact. Keys with the same rows, each as often,
-    have the same fingerprint; others with the probability of 128 random bits.
+    same 128 bits, NULL equal to NULL; sums of their four parts are exact, for up to two billion rows of a key (more
+    end the job). Keys with the same rows, each as often, have the same fingerprint; others with the probability of
+    128 random bits.
     """
     def exact(name):
-        if name in arrays:
-            return [F.size(name), F.transform(name, F.isnull), F.transform(name, lambda x: F.coalesce(x, F.lit("")))]
+        if name in arrays:  # the hash of an array passes over its NULLs, the joined text tells where they are
+            return [F.size(name), F.col(name), F.array_join(name, "\x1f", "\x00")]
         return [F.isnull(name), F.col(name)]
 
     kinds = dict(rows.dtypes)
     arrays = [name for name in columns if kinds[name] == "array<string>"]
     values = [value for name in columns for value in exact(name)]
     one, two = F.xxhash64(*values), F.xxhash64(F.lit(1), *reversed(values))
-    parts = [F.sum(part.cast("decimal(10,0)")) for h in (one, two)
-             for part in (h.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(h, 32))]
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.array(*parts).alias("prints"))
+    parts = [F.sum(part) for h in ("_one", "_two") for part in (F.col(h).bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(h, 32))]
+    hashed = rows.select(*keys, one.alias("_one"), two.alias("_two"))
+    return hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.array(*parts).alias("prints"))
 
 
 def column_uses(table: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -88,7 +88,9 @@ _VERDICT_SQL = f"""
 
 @query("reconcile_verdict", _VERDICT_SQL)
 def reconcile_verdict(spark, folder):
-    return reconcile.reconcile(_manifest(spark, folder), _api_copy(spark, folder), _grid_copy(spark, folder))
+    # The copies are tables of their own, which a verdict may read twice.
+    api, grid = written(_api_copy(spark, folder), "api-copy"), written(_grid_copy(spark, folder), "grid-copy")
+    return reconcile.reconcile(_manifest(spark, folder), api, grid)
 
 
 @query("verdict_json", f"""
