@@ -105,7 +105,7 @@ QUOTED = ('id,Period,Label1,Value\r\n1,2021-05-31,"two\r\nlines",1\r\n2,2021-05-
           '3,2021-05-31,plain,3\r\n4,2021-05-31,"\n2021M01,x\nid,Period,Label1,Value\n",4\r\n')
 
 
-@pytest.mark.parametrize("split_bytes", [1 << 20, 64, 16, 7], indirect=True)
+@pytest.mark.parametrize("split_bytes", [1 << 20, 64, 16], indirect=True)
 def test_line_breaks_in_cells(spark, tmp_path, split_bytes):
     """Files with and without them, with lines inside cells that look like header and body lines."""
     (tmp_path / "q").mkdir()
