@@ -27,7 +27,7 @@ BLOCK_WORDS = 240
 
 # Phrases and their labels.
 PHRASES = {
-    "general public license": "gpl",
+    "gnu general public license": "gpl",
     "apache license": "apache",
     "cc by": "cc-by",
     "mit license": "mit",

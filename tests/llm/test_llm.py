@@ -259,6 +259,16 @@ def test_every_block_of_a_template_is_told(spark):
         ("a", 0, 9, 0.9), ("b", 3, 4, 0.7), ("a", 10, 12, 0.8)]
 
 
+def test_license_phrases_of_the_contract(spark, tmp_path):
+    """The phrase of the GPL has four words: without its first one it is no base place."""
+    texts = ["the General Public License", "the GNU General Public License", "GNU gnu general-public LICENSE, mit license", None]
+    rows = [(k, text) for k, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op3_license_scan(spark, str(tmp_path)).orderBy("doc_id")
+    assert [tuple(r) for r in found.select("n_words", "n_base", "first_word", "last_word", "base_labels").collect()] == [
+        (4, 0, None, None, ""), (5, 1, 1, 1, "gpl"), (7, 2, 1, 5, "gpl,mit"), (0, 0, None, None, "")]
+
+
 def test_license_query_against_all_places(spark, documents):
     found = {r["doc_id"]: r for r in queries.op3_license_scan(spark, FOLDER).collect()}
     sets = {name: set(brute.words(text)) for name, text in license_scan.TEMPLATES.items()}
