@@ -2,6 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,18 +136,69 @@ def merged_lines(cells: DataFrame, lines_per_file: int = LINES_PER_FILE, separat
     return _with_top(body, chunks, heads, separator_line)
 
 
+#: The folder of rows without a key, and the characters that no folder name has, both as Spark has them.
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+_NOT_IN_NAMES = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def _local_folder(table: DataFrame, path: str) -> str | None:
+    """The folder's path, if it lies in a file system of the machines and not in a store."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    settings = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    local = "://" not in path and settings.get("fs.defaultFS", "file:///").startswith("file:")
+    return os.path.abspath(path) if local else None
+
+
+def _write_folders(lines: DataFrame, keys: list[str], order: list[str], folder: str, header: str | None = None) -> None:
+    """The column ``line`` as text files, in a folder ``key=value`` for each value of the keys, lines in ``order``.
+
+    For many small files of a local file system, for each of which Spark's own writer starts processes. A task makes
+    one file of a folder, named by its number, and puts it there whole; run again, it puts the same file there.
+    """
+    os.makedirs(folder)  # a folder that is there already is an error, as to Spark
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, made = f"part-{TaskContext.get().partitionId():05d}.{'txt' if header is None else 'csv'}", 0
+
+        def placed():
+            for batch in batches:
+                *values, texts = (column.to_pylist() for column in batch.columns)
+                yield from zip(zip(*values), texts)
+
+        for values, rows in groupby(placed(), key=itemgetter(0)):
+            below = (f"{key}=" + _NOT_IN_NAMES.sub(lambda c: f"%{ord(c[0]):02X}", value) for key, value in zip(keys, values))
+            where = os.path.join(folder, *below)
+            os.makedirs(where, exist_ok=True)
+            unfinished = os.path.join(where, f".{name}-{uuid.uuid4().hex}")
+            with open(unfinished, "w", encoding="utf-8", newline="") as out:
+                if header is not None:
+                    out.write(header + "\n")
+                out.writelines((text or "") + "\n" for _, text in rows)
+            os.replace(unfinished, os.path.join(where, name))
+            made += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([made], pa.int64())})
+
+    named = [F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit(_NO_KEY)).alias(key) for key in keys]
+    sorted_lines = lines.select(*named, *order, "line").sortWithinPartitions(*keys, *order).select(*keys, "line")
+    sorted_lines.mapInArrow(save, "files long").write.format("noop").mode("overwrite").save()
+    open(os.path.join(folder, "_SUCCESS"), "w").close()
+
+
+def _write_lines(lines: DataFrame, keys: list[str], order: list[str], path: str) -> None:
+    local = _local_folder(lines, path)
+    if local:
+        _write_folders(lines, keys, order, local)
+    else:
+        lines.sortWithinPartitions(*keys, *order).select(*keys, "line").write.partitionBy(*keys).text(path)
+
+
 def write_grids(lines: DataFrame, path: str) -> None:
     """One file per dataset and chunk, label lines first, without a header of column names.
 
     A chunk is bounded by its cell budget, so each file is the work of one task of known size.
     """
-    (
-        lines.repartition("dataset", "chunk")
-        .sortWithinPartitions("dataset", "chunk", "section", "place")
-        .select("dataset", "chunk", "line")
-        .write.partitionBy("dataset", "chunk")
-        .text(path)
-    )
+    _write_lines(lines.repartition("dataset", "chunk"), ["dataset", "chunk"], ["section", "place"], path)
 
 
 def table_lines(cells: DataFrame, key: str) -> DataFrame:
@@ -150,15 +210,19 @@ def table_lines(cells: DataFrame, key: str) -> DataFrame:
 
 def write_tables(lines: DataFrame, key: str, path: str) -> None:
     """One file per page table, lines in row order. A table is part of a page, so it fits a task."""
-    (
-        lines.repartition(key).sortWithinPartitions(key, "row")
-        .select(key, "line").write.partitionBy(key).text(path)
-    )
+    _write_lines(lines.repartition(key), [key], ["row"], path)
 
 
 def write_by_key(table: DataFrame, key: str, path: str, fmt: str = "csv") -> None:
     """One folder per key, in one pass. A key with many rows is split over several tasks and files."""
-    balanced = table.hint("rebalance", key)
+    balanced, local = table.hint("rebalance", key), _local_folder(table, path)
+    if fmt == "csv" and local:
+        names = [c for c in table.columns if c.lower() != key.lower()]
+        # Spark writes the names in quotes where they need them, as it does the cells.
+        header = table.sparkSession.range(1).select(F.to_csv(F.struct(*map(F.lit, names)))).first()[0]
+        cells = F.to_csv(F.struct(*(F.col(f"`{c}`") for c in names)))
+        _write_folders(balanced.select(key, cells.alias("line")), [key], [], local, header)
+        return
     writer = balanced.write.partitionBy(key)
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -177,7 +241,7 @@ def long_copy_name(file: Column) -> Column:
 def write_text(table: DataFrame, text: str, path: str, key: str | None = None) -> None:
     """Text files, one folder per key when one is given."""
     if key:
-        table.hint("rebalance", key).select(key, text).write.partitionBy(key).text(path)
+        _write_lines(table.hint("rebalance", key).select(key, F.col(text).alias("line")), [key], [], path)
     else:
         table.select(text).write.text(path)
 

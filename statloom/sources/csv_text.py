@@ -1,8 +1,9 @@
 """CSV files of any width, several in one job, read as records that know their file's header lines.
 
-Files of every size are read in splits, by one path. A first scan looks at each split once, when the reader is
-called: its lines up to the first body line, and whether its quotes are even. A second one reads the body and
-is joined with what the header of its file says.
+Files of every size are read in splits, by one path, and once: opening a small file costs more than reading it, so
+the lines are kept in the shared folder, with their files and places. A first scan looks at each split, when the
+reader is called: its lines up to the first body line, and whether its quotes are even. A second one takes the body
+and is joined with what the header of its file says.
 
 A quoted cell may hold line breaks. Where a file has a line with an odd number of quotes, the quotes of the
 splits before a split tell whether it begins inside a cell, and those of the lines before a line whether that
@@ -63,20 +64,20 @@ def _lines(spark: SparkSession, paths: list[str], dataset: Column | None) -> Dat
 
 
 def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines (file, block, line, body, odd), the lines of a split one after the other, to one row per split:
+    """Lines (file, block, id, line, body, odd), in order, to one row per split, or piece of one in a task:
 
-    its lines before its own first body line, that line, and the number of lines with an odd number of quotes.
-    What lies behind is counted, not kept.
+    its place, its lines before its own first body line, that line, and the number of lines with an odd number of
+    quotes. What lies behind is counted, not kept.
     """
-    names = ["file", "block", "top", "first_line", "odd"]
-    kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int64()]
-    split, top, first, odd = None, [], None, 0
+    names = ["file", "block", "id", "top", "first_line", "odd"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int64()]
+    split, place, top, first, odd = None, None, [], None, 0
 
     def told():
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*split, top, first, odd), kinds)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*split, place, top, first, odd), kinds)], names=names)
 
     for batch in batches:
-        file, block, line, body, odds = batch.columns
+        file, block, ids, line, body, odds = batch.columns
         file = file.dictionary_encode()
         code, block = file.indices.to_numpy(), block.to_numpy()
         cuts = np.flatnonzero((code[1:] != code[:-1]) | (block[1:] != block[:-1])) + 1 if len(code) else []
@@ -88,7 +89,7 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if here != split:
                 if split is not None:
                     yield told()
-                split, top, first, odd = here, [], None, 0
+                split, place, top, first, odd = here, ids[begin].as_py(), [], None, 0
             odd += int(odds[begin:end].sum())
             if first is None:
                 found = np.flatnonzero(bodies[begin:end])
@@ -100,11 +101,11 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _splits(lines: DataFrame, is_body: Callable[[Column], Column]) -> DataFrame:
-    """``file, block, top, first_line, odd`` per split, written once."""
+    """``file, block, id, top, first_line, odd`` per split or piece of one, written once."""
     body = is_body(F.col("line"))
     shown = F.when(body, F.substring("line", 1, FIRST_CHARACTERS)).otherwise(F.col("line"))
-    looked = lines.select("file", F.col("row_pos.block").alias("block"), shown.alias("line"), body.alias("body"), _odd(F.col("line")).alias("odd"))
-    return written(looked.mapInArrow(_tops, "file string, block long, top array<string>, first_line string, odd long"), "splits")
+    looked = lines.select("file", F.col("row_pos.block").alias("block"), F.col("row_pos.line").alias("id"), shown.alias("line"), body.alias("body"), _odd(F.col("line")).alias("odd"))
+    return written(looked.mapInArrow(_tops, "file string, block long, id long, top array<string>, first_line string, odd long"), "splits")
 
 
 def _no_body(file: Column) -> Column:
@@ -116,12 +117,13 @@ def _file_facts(splits: DataFrame, facts: dict[str, Column], body_required: bool
 
     Only splits up to the first body line of their file are looked at, so a header may be longer than a split.
     """
-    # One row per split of a file.
-    begin = F.min(F.when(F.col("first_line").isNotNull(), F.col("block"))).over(Window.partitionBy("file"))
-    heads = splits.withColumn("begin", begin).where(F.col("begin").isNull() | (F.col("block") <= F.col("begin")))
+    # One row per split of a file, or piece of one.
+    place = F.struct("block", "id")
+    begin = F.min(F.when(F.col("first_line").isNotNull(), place)).over(Window.partitionBy("file"))
+    heads = splits.withColumn("begin", begin).where(F.col("begin").isNull() | (place <= F.col("begin")))
     heads = heads.groupBy("file").agg(
         F.max("first_line").alias("first_line"),
-        F.array_sort(F.collect_list(F.when(F.col("begin").isNotNull(), F.struct("block", "top")))).alias("tops"))
+        F.array_sort(F.collect_list(F.when(F.col("begin").isNotNull(), F.struct("block", "id", "top")))).alias("tops"))
     heads = heads.withColumn("_top", F.flatten(F.transform("tops", lambda t: t["top"])))
     none = F.isnull(_no_body(F.col("file"))) if body_required else F.lit(False)
     return heads.where(F.when(F.col("first_line").isNull(), none).otherwise(True)).select(
@@ -142,6 +144,7 @@ def _quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """The records of files in which a line has an odd number of quotes, as lines with line breaks inside."""
     every = Window.partitionBy("file")
     before = every.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.groupBy("file", "block").agg(F.sum("odd").alias("odd"))
     splits = splits.withColumn("quoted", F.max("odd").over(every) > 0).where("quoted").select(
         "file", "block", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("open"))
     place = ["file", "block"]
@@ -184,7 +187,7 @@ def read_csv_lines(
     file and split; a quote that is not closed is an error. ``row_pos`` tells the records of a file apart.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = _lines(spark, paths, dataset)
+    raw = written(_lines(spark, paths, dataset), "lines")
     lines, splits = raw.where(F.col("line") != ""), _splits(raw.where(F.col("line") != ""), is_body)
     quoted = splits.where("odd > 0").select("file").distinct()
     if quoted.isEmpty():

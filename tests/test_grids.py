@@ -261,3 +261,49 @@ def test_lines_end_alike_at_every_size(spark, tmp_path, split_bytes, end):
     rows = sorted(tuple(r) for r in found.orderBy("file", "row_pos").select("dataset", "header", "line").collect())
     heads = {str(k): [f",x{k},y", *[f",{i} long label {i}" for i in range(9)]] for k in (1, 2)}
     assert rows == sorted((k, heads[k], line) for k in heads for line in ("2021M01,1,2", "note", "2021M02,3,4"))
+
+
+def test_folders_are_those_of_sparks_writer(spark, tmp_path):
+    """Many small files cost one write each: no other files lie beside them. Names and contents are as Spark has them."""
+    rows = [(f"{name}", k, f'say "{k}", x' if k % 2 else None, dt.date(2021, 1, 1 + k), k / 4, "" if k == 3 else "line\nbreak \\")
+            for name in ("a b", "a/b=c%", "é", "", "[x]") for k in range(5)] + [(None, 9, "z", None, None, "q")]
+    table = spark.createDataFrame(rows, "file string, id bigint, label string, day date, value double, note string")
+    files.write_by_key(table, "file", str(tmp_path / "mine"))
+    table.repartition(1).write.partitionBy("file").option("header", True).csv(str(tmp_path / "spark"))
+
+    def content(name):
+        parts = [p for p in (tmp_path / name).rglob("*") if p.is_file() and p.name != "_SUCCESS"]
+        assert name == "spark" or all(p.name.startswith("part-") for p in parts)
+        made = {}
+        for part in parts:
+            if part.name.startswith("part-"):
+                made.setdefault(part.parent.name, []).append(part.read_text())
+        return {folder: sorted("".join(texts).splitlines()) for folder, texts in made.items()}
+
+    assert content("mine") == content("spark")
+    with pytest.raises(FileExistsError):
+        files.write_by_key(table, "file", str(tmp_path / "mine"))
+    spark.createDataFrame([("a", 0, 0, 0, ",x"), ("a", 0, 1, 5, None), ("a", 0, 1, 4, "2020,1"), ("a", 1, 1, 0, "2021,2")],
+                          "dataset string, chunk bigint, section int, place bigint, line string").transform(
+        lambda lines: files.write_grids(lines, str(tmp_path / "grids")) or lines)
+    grids = {str(p.relative_to(tmp_path / "grids").parent): p.read_text() for p in (tmp_path / "grids").rglob("part-*")}
+    assert grids == {"dataset=a/chunk=0": ",x\n2020,1\n\n", "dataset=a/chunk=1": "2021,2\n"}
+
+
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+def test_files_are_read_once(spark, tmp_path, split_bytes):
+    """The files may go when the reader has been called: nothing opens them again."""
+    path = tmp_path / "a.csv"
+    path.write_text(GRID)
+    cells = label_columns(long_from_cells(read_grids(spark, str(tmp_path))), 2)
+    path.write_text("")
+    assert set(map(tuple, cells.drop("dataset").collect())) == LONG
+
+
+def test_listing_takes_few_tasks(spark, tmp_path):
+    for k in range(60):
+        (tmp_path / f"dataset={k}").mkdir()
+        (tmp_path / f"dataset={k}/a.csv").write_text(GRID)
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) == 4 * spark.sparkContext.defaultParallelism
+    text = spark.read.text(str(tmp_path))
+    assert text.count() == 60 * 5 and text.rdd.getNumPartitions() <= 8
