@@ -5,8 +5,9 @@ for still ends. Keys are hashed into shards, and time is cut into spans. A relea
 starts in; a check goes to every span from which a release may still wait for it, so all that decides a
 release meets in one group of shard and span, and a key with most of the rows is split by time.
 
-A group's state is a map from minutes to the rows of that minute. A batch writes the minutes its rows lie in,
-and drops those that no open release can see any more; what is merely open is not written again. Nothing needs
+A group's state is a map from short pieces of time, a thirtieth of the watch, to the rows of that piece. A batch
+writes the pieces its rows lie in, and drops those that no open release can see any more; what is merely open is not
+written again. However long the watch, a look handles some sixty pieces and makes one table of them. Nothing needs
 to be marked as answered: the time at which a release is decided follows from its rows, and each look answers
 those decided since the last one.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,8 @@ RELEASE, CHECK, CLOCK = "release", "check", "clock"
 TAGGED = "kind string, key string, id bigint, ts timestamp, updated boolean, due_date date"
 
 _MINUTE = 60_000_000
+# Pieces of a watch.
+_PIECES = 30
 _DECIDED = "release_id bigint, release_dt timestamp, due_date date, found timestamp, updated boolean"
 _BATCH = pa.schema([
     ("kind", pa.string()), ("key", pa.string()), ("id", pa.int64()), ("ts", pa.timestamp("us")),
@@ -35,16 +39,15 @@ _BATCH = pa.schema([
 ])
 
 
-def _packed(batch: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(batch[_BATCH.names], schema=_BATCH, preserve_index=False)
+def _packed(batches: list[pa.RecordBatch]) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, _BATCH) as writer:
-        writer.write_table(table)
+        writer.write_table(pa.Table.from_batches(batches, _BATCH).combine_chunks())
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(packed: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(packed).read_all().to_pandas()
+def _unpacked(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
 
 
 def next_checks(rows: pd.DataFrame) -> pd.DataFrame:
@@ -72,18 +75,23 @@ def decisions(rows: pd.DataFrame, window: pd.Timedelta) -> pd.DataFrame:
 class _Watch(StatefulProcessor):
     def __init__(self, minutes: int):
         self.window = pd.Timedelta(minutes=minutes)
+        self.piece = max(1, minutes // _PIECES) * _MINUTE
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.minutes = handle.getMapState("minutes", "minute bigint", "batch binary")
+        self.pieces = handle.getMapState("pieces", "piece bigint", "batch binary")
         self.seen = handle.getValueState("seen", "ms bigint")
 
     def _take(self, rows: pd.DataFrame) -> None:
-        for minute, part in rows.groupby(rows["ts"].astype("datetime64[us]").astype("int64") // _MINUTE):
-            key = (int(minute),)
-            if self.minutes.containsKey(key):
-                part = pd.concat([_unpacked(self.minutes.getValue(key)[0]), part], ignore_index=True)
-            self.minutes.updateValue(key, (_packed(part),))
+        pieces = (rows["ts"].astype("datetime64[us]").astype("int64") // self.piece).to_numpy()
+        order = np.argsort(pieces, kind="stable")
+        pieces, batch = pieces[order], pa.RecordBatch.from_pandas(rows[_BATCH.names].iloc[order], schema=_BATCH, preserve_index=False)
+        cuts = np.flatnonzero(np.diff(pieces)) + 1
+        for begin, end in zip([0, *cuts], [*cuts, len(pieces)]):
+            key, parts = (int(pieces[begin]),), [batch.slice(begin, end - begin)]
+            if self.pieces.containsKey(key):
+                parts = _unpacked(self.pieces.getValue(key)[0]).to_batches() + parts
+            self.pieces.updateValue(key, (_packed(parts),))
 
     def _step(self, rows: pd.DataFrame, timer_values) -> Iterator[pd.DataFrame]:
         ms = timer_values.getCurrentWatermarkInMs()
@@ -93,18 +101,18 @@ class _Watch(StatefulProcessor):
         now = pd.Timestamp(ms, unit="ms")
         if len(rows):
             self._take(rows)
-        held = {key[0]: _unpacked(value[0]) for key, value in self.minutes.iterator()}
+        held = {key[0]: _unpacked(value[0]) for key, value in self.pieces.iterator()}
         if not held:
             self.seen.clear()
             return
-        found = decisions(pd.concat(held.values(), ignore_index=True), self.window)
+        found = decisions(pa.concat_tables(held.values()).to_pandas(), self.window)
         due = found["decided"] <= now
         if before is not None:
             due &= found["decided"] > pd.Timestamp(before, unit="ms")
-        ends = {minute: pd.Timestamp((minute + 1) * _MINUTE, unit="us") + self.window for minute in held}
-        for minute in [m for m, end in ends.items() if end <= now]:
-            self.minutes.removeKey((minute,))
-            del ends[minute]
+        ends = {piece: pd.Timestamp((piece + 1) * self.piece, unit="us") + self.window for piece in held}
+        for piece in [p for p, end in ends.items() if end <= now]:
+            self.pieces.removeKey((piece,))
+            del ends[piece]
         if ends:
             self.seen.update((ms,))
             wake = min([*found.loc[found["decided"] > now, "decided"], *ends.values()])

@@ -183,6 +183,17 @@ def test_state_that_is_written_grows_with_the_batch():
     assert sorted(answered) == list(range(3600)) and not state
 
 
+def test_a_watch_of_a_day_holds_few_pieces():
+    """A day's watch over rows of every minute: a look handles some sixty pieces, whatever it waits for."""
+    watched, state = release_watch._Watch(1440), _State()
+    watched.init(state)
+    rows = [("release" if m % 7 else "check", m, m, None if m % 7 else m % 2 == 0) for m in range(2880)]
+    answered = step(watched, -1, *rows[:1000]) + step(watched, -1, *rows[1000:])
+    assert answered == [] and len(state) <= 62
+    found = step(watched, 5000)
+    assert sorted(found) == [m for m in range(2880) if m % 7] and not state
+
+
 def test_alerts(spark):
     outcomes = spark.createDataFrame([(1, "RELEASED"), (2, "ERROR"), (3, "ROLLED")], "release_id bigint, outcome string")
     details = spark.createDataFrame(
