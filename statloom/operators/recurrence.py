@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.session import written
+
 DAYS = ("MO", "TU", "WE", "TH", "FR", "SA", "SU")
 _KEYS = ("FREQ", "INTERVAL", "COUNT", "UNTIL", "BYDAY", "BYMONTHDAY", "BYMONTH", "WKST")
 
@@ -17,6 +19,15 @@ def _listed(rule: Column, key: str) -> Column:
     return F.split(_part(rule, key), ",")
 
 
+def _days(rule: Column) -> Column:
+    """The days of the week of a rule, each with its number in the month, if it has one."""
+    def day(x):
+        nth = F.regexp_extract(x, "^([+-]?[0-9]+)", 1)
+        return F.struct(F.when(nth != "", nth).cast("int").alias("number"), F.right(x, F.lit(2)).alias("code"))
+
+    return F.transform(_listed(rule, "BYDAY"), day)
+
+
 def _unsupported(rule: Column) -> Column:
     """Whether a rule says something beyond days: other keys, frequencies within a day, places in a year."""
     freq, keys = _part(rule, "FREQ"), F.transform(F.split(rule, ";"), lambda x: F.split_part(x, F.lit("="), F.lit(1)))
@@ -47,10 +58,9 @@ def _on(day: Column, first: Column, rule: dict[str, Column]) -> Column:
     code = F.element_at(F.array(*map(F.lit, DAYS)), F.weekday(day) + 1)
 
     def named(x):
-        nth = F.regexp_extract(x, "^([+-]?[0-9]+)", 1)
-        number = F.when(nth != "", nth).cast("int")
+        number = x["number"]
         here = F.when(number > 0, F.ceil(place / 7) == number).otherwise(F.floor((last - place) / 7) + 1 == -number)
-        return F.endswith(x, code) & F.coalesce(here, F.lit(True))
+        return (x["code"] == code) & F.coalesce(here, F.lit(True))
 
     by_day = F.exists(rule["days"], named)
     by_place = F.exists(rule["places"], lambda x: (x.cast("int") == place) | (x.cast("int") == place - last - 1))
@@ -74,14 +84,16 @@ def occurrences(events: DataFrame, since: Column, until: Column) -> DataFrame:
     excluded starts, and those that another event of the same uid replaces; that one comes in its own place. A
     rule that says more, or a start that cannot be read, gives one row without ``begin`` and with ``error``.
 
-    Each event is expanded by itself: a rule with a count from its first day, any other within the span only.
+    Each event is expanded by itself: a rule with a count from its first day, any other within the span only. The
+    events are read once and kept in the shared folder, since they are looked at in four ways.
     """
+    events = written(events, "events")
     rule = F.col("rule")
     known = events.withColumn("error", F.coalesce("error", F.when(
         rule.isNotNull() & _unsupported(rule), F.concat(F.lit("rule not supported: "), rule))))
     parts = {
         "freq": _part(rule, "FREQ"), "interval": F.coalesce(_part(rule, "INTERVAL").cast("int"), F.lit(1)),
-        "days": _listed(rule, "BYDAY"), "places": _listed(rule, "BYMONTHDAY"), "months": _listed(rule, "BYMONTH"),
+        "days": _days(rule), "places": _listed(rule, "BYMONTHDAY"), "months": _listed(rule, "BYMONTH"),
     }
     end = _part(rule, "UNTIL")
     zone, day = F.col("zone"), F.col("local").cast("date")

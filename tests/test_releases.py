@@ -277,3 +277,14 @@ def test_spans_without_bound(spark):
     found = html_tables(pages.where("id = 1"), "id", "html")
     assert found.count() == 300 * 400 + 1 and found.where("text = 'y'").select("row", "col").first() == (1, 400)
     assert html_tables(pages.where("id = 2"), "id", "html").count() == 65_534
+
+
+def test_a_calendar_is_read_once(spark, tmp_path):
+    """The file may go when the occurrences have been asked for; days with a sign and without a number hold as they did."""
+    path = tmp_path / "a.ics"
+    path.write_text("BEGIN:VEVENT\r\nUID:a\r\nSUMMARY:s\r\nDTSTART:20240101T120000Z\r\nRRULE:FREQ=MONTHLY;BYDAY=+1MO,-1FR,3SU\r\nEND:VEVENT\r\n")
+    since, until = (F.lit(dt.datetime(2024, m, 1)) for m in (1, 3))
+    found = recurrence.occurrences(read_ics_series(spark, str(tmp_path)), since, until)
+    path.write_text("")
+    assert sorted(r.begin.date().isoformat() for r in found.collect()) == [
+        "2024-01-01", "2024-01-21", "2024-01-26", "2024-02-05", "2024-02-18", "2024-02-23"]
