@@ -15,15 +15,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statloom.llm import bpe
-from statloom.llm.shared import by_path, map_pieces, open_folder, shared_folder, write_file, written
+from statloom.llm.shared import PIECE, batches_of, by_path, map_pieces, open_folder, shared_folder, write_file, written
 
 #: The longest code; ids of one block; blocks of one segment.
 MAX_BITS, BLOCK, BLOCKS = 18, 512, 1024
 END_ID = 1
 _MAGIC = b"IDHUF001"
 _NO_ID = -(1 << 63)
+#: Bytes of an Arrow batch while texts and ids go to Python: the JVM and the worker each hold it whole.
+BATCH_BYTES = 4 << 20
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -69,20 +72,20 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 def encode_segment(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, bytes]:
     """The first bit of each block, and the bits, filled up to whole 64-bit words plus one spare."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    size = lengths[ids].astype(np.int32)
+    ends = np.cumsum(size, dtype=np.int32)
     starts = ends - size
     total = int(ends[-1]) if len(ids) else 0
     word, room = starts >> 6, 64 - (starts & 63) - size
     code = codes[ids]
+    over = np.flatnonzero(room < 0)
     # Codes are disjoint in bits, so the sum of those in a word is the word.
-    here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64),
-                    code >> np.maximum(-room, 0).astype(np.uint64))
+    here = code << np.maximum(room, 0).astype(np.uint64)
+    here[over] = code[over] >> (-room[over]).astype(np.uint64)
     packed = np.zeros((total >> 6) + 2, np.uint64)
     if len(ids):
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         packed[word[first]] = np.add.reduceat(here, first)
-        over = np.flatnonzero(room < 0)
         packed[word[over] + 1] += code[over] << (64 + room[over]).astype(np.uint64)
     return starts[::BLOCK].astype("<u4"), packed.astype(">u8").tobytes()
 
@@ -197,8 +200,9 @@ def id_counts(ids: DataFrame, kind: str, vocab: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(vocab, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                total += np.bincount(np.frombuffer(blob.as_buffer() or b"", kind), minlength=vocab)
+            for at in range(0, batch.num_rows, PIECE):
+                blobs = batch.column(0).slice(at, PIECE).to_pylist()
+                total += np.bincount(np.frombuffer(b"".join(b or b"" for b in blobs), kind), minlength=vocab)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["token", "n"])
 
@@ -219,8 +223,9 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     length may span segments, and files are as large as the partitions of the sort.
     """
     spark = docs.sparkSession
-    ids, kind, vocab = id_table(docs, path, id_col, text_col, end_id)
-    lengths = code_lengths(id_counts(ids, kind, vocab), max_bits)
+    with batches_of(spark, BATCH_BYTES):
+        ids, kind, vocab = id_table(docs, path, id_col, text_col, end_id)
+        lengths = code_lengths(id_counts(ids, kind, vocab), max_bits)
     folder = shared_folder(spark, "token-files")
     blob = lengths.tobytes()
 
@@ -230,11 +235,12 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         def rows():
             nonlocal docs_n, total
             for batch in batches:
-                for name, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if not first:
-                        first.append(name)
-                    docs_n, total = docs_n + 1, total + len(ids) // np.dtype(kind).itemsize
-                    yield name, ids
+                for at in range(0, batch.num_rows, PIECE):
+                    for name, ids in zip(*(c.to_pylist() for c in batch.slice(at, PIECE).columns)):
+                        if not first:
+                            first.append(name)
+                        docs_n, total = docs_n + 1, total + len(ids) // np.dtype(kind).itemsize
+                        yield name, ids
 
         made, ahead = rows(), []
         for row in made:
@@ -249,14 +255,18 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 schema=pa.schema([("path", "string"), ("first_id", "int64"), ("docs", "int64"), ("n_ids", "int64")]))
 
     ordered = ids.repartitionByRange("id").sortWithinPartitions("id", "ids")
-    listed = written(ordered.mapInArrow(save, "path string, first_id long, docs long, n_ids long"), "token-list")
+    with batches_of(spark, BATCH_BYTES):
+        listed = written(ordered.mapInArrow(save, "path string, first_id long, docs long, n_ids long"), "token-list")
     # One row per file: the only table that is ever brought together.
     before = Window.orderBy(F.asc_nulls_first("first_id"), "path").rowsBetween(Window.unboundedPreceding, -1)
     return listed.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
 
 
-def read(files: DataFrame) -> DataFrame:
-    """The documents of the files: doc_id, start, ids (array<int>); a file is read by one task, in segments."""
+def read(files: DataFrame, packed: bool = False) -> DataFrame:
+    """The documents of the files: doc_id, start, ids; a file is read by one task, in segments.
+
+    ``ids`` is array<int>, or with ``packed`` the binary of the ids as little-endian 32-bit numbers.
+    """
     system_of = open_folder
 
     def run(batches):
@@ -271,30 +281,32 @@ def read(files: DataFrame) -> DataFrame:
                         blobs.append(ids.astype("<u4").tobytes())
                         start, held = start + len(ids), held + len(ids)
                         if held >= 1 << 20:
-                            yield _batch(names, starts, blobs)
+                            yield _batch(names, starts, blobs, packed)
                             names, starts, blobs, held = [], [], [], 0
                 if names:
-                    yield _batch(names, starts, blobs)
+                    yield _batch(names, starts, blobs, packed)
 
     spread = by_path(files.select("path", "start"))
-    return spread.mapInArrow(run, "doc_id long, start long, ids array<int>")
+    return spread.mapInArrow(run, f"doc_id long, start long, ids {'binary' if packed else 'array<int>'}")
 
 
-def _batch(names: list, starts: list, blobs: list) -> pa.RecordBatch:
+def _batch(names: list, starts: list, blobs: list, packed: bool) -> pa.RecordBatch:
+    ids = pa.array(blobs, pa.binary()) if packed else bpe.id_lists(blobs)
     return pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.int64()), pa.array(starts, pa.int64()), bpe.id_lists(blobs)], names=["doc_id", "start", "ids"])
+        [pa.array(names, pa.int64()), pa.array(starts, pa.int64()), ids], names=["doc_id", "start", "ids"])
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and the crc32 of the ids as little-endian 32-bit numbers."""
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(2)
-            ends = ids.offsets.to_numpy()
-            flat = memoryview(ids.values.to_numpy(zero_copy_only=False).astype("<u4")).cast("B")
-            crc = [zlib.crc32(flat[4 * a:4 * b]) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """doc_id, start, n_tokens and the crc32 of the ids as little-endian 32-bit numbers.
+
+    Columns of Spark's: the ids don't go to Python again, so a task has one worker, that of ``read``.
+    ``ids`` may be packed or not; packed ones are digested as they are.
+    """
+    if rows.schema["ids"].dataType != T.BinaryType():
+        def swapped(x):
+            high_first = F.lpad(F.hex(x), 8, "0")
+            return F.concat(*[F.substring(high_first, at, 2) for at in (7, 5, 3, 1)])
+
+        rows = rows.withColumn("ids", F.unhex(F.array_join(F.transform("ids", swapped), "")))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return rows.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))

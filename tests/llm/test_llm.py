@@ -515,6 +515,31 @@ def test_token_files_of_odd_rows(spark, odd):
     assert token_files.read(token_files.write(odd.limit(0), WORD_BPE)).collect() == []
 
 
+def test_token_files_use_one_worker_a_task_and_small_batches(spark, odd, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, keep = spark.conf.get(key), token_files.written
+    monkeypatch.setattr(token_files, "written", lambda *a: seen.append(int(spark.conf.get(key))) or keep(*a))
+    made = queries.op7_token_files(spark, FOLDER)
+    # The ids read back stay in Spark: reading the files is the only step in Python.
+    assert made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("MapInArrow") == 1
+    assert len(seen) == 2 and max(seen) <= 8 << 20
+    assert spark.conf.get(key) == before
+    files = token_files.write(odd, WORD_BPE)
+    lists = sorted((r["start"], r["ids"]) for r in token_files.read(files).collect())
+    for packed in (True, False):
+        rows = token_files.digests(token_files.read(files, packed)).collect()
+        crcs = sorted((r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows)
+        assert crcs == [(at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for at, ids in lists]
+
+
+def test_id_counts_of_many_rows(spark):
+    rng = np.random.default_rng(6)
+    lists = [rng.integers(0, 300, n).astype("<u2") for n in (0, 1, 5, *rng.integers(0, 40, 900))]
+    rows = spark.createDataFrame([(bytearray(x.tobytes()),) for x in lists] + [(None,)], "ids binary").coalesce(1)
+    counts = token_files.id_counts(rows, "<u2", 400)
+    assert (counts == np.bincount(np.concatenate(lists), minlength=400)).all()
+
+
 # ---- 8 BPE
 
 def strange(n, seed, alphabet):
