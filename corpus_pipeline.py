@@ -2,18 +2,37 @@
 
 Each stage takes (spark, docs, sf_dir) and gives the documents it keeps, with their columns; the last one
 gives ids. ``run`` writes every stage to the shared folder and reads it again for the next one.
+
+A stage sets the session's batches for Python to ``BATCH_BYTES``, and they stay so until its rows are made, which
+is after the stage has returned; ``run`` puts the former value back.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm import bpe, decontaminate, language_id, ngram_join, pii
 from statloom.llm.queries import held_out, table, word_bpe
-from statloom.llm.shared import written
+from statloom.llm.shared import BATCH_SETTING, batches_of, written
+
+#: Bytes of texts that go to Python at once, or one larger row. An executor holds such a batch several times for
+#: each of its tasks, as vectors beside the heap and as vectors and texts in Python, and keeps the memory.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(stage):
+    @wraps(stage)
+    def made(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return made
 
 
+@in_small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; a null or empty text, or one without a letter, has none.
 
@@ -24,6 +43,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.keep_known(docs, language_id.learn(docs.where(~held_out())))
 
 
+@in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id, null ids last.
 
@@ -32,6 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return ngram_join.keep_one(docs)
 
 
+@in_small_batches
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage of the benchmark stands; null and empty texts have none.
 
@@ -40,6 +61,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by the name of its kind; null texts stay null.
 
@@ -48,6 +70,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pii.redact(docs, pii.learn(docs))
 
 
+@in_small_batches
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and the digest of the text they stand for.
 
@@ -73,6 +96,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with batches_of(spark, BATCH_BYTES):
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

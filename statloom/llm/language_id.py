@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.shared import map_pieces, written
+from statloom.llm.shared import drop_kept, map_pieces, pieces, written
 
 UNKNOWN = "und"
 #: Labelled rows the model learns from: at most about so many, chosen by a hash of the id and the text.
@@ -188,6 +188,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
 
     def count(columns: dict[str, list]) -> dict:
+        drop_kept()
         words: dict[str, Counter] = {}
         for text, lang in zip(columns["text"], columns["lang"]):
             words.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
@@ -250,9 +251,10 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            yield batch.filter(pa.array([held.value.predict(t)[0] != UNKNOWN for t in texts], pa.bool_()))
+        drop_kept()
+        for piece in (p for batch in batches for p in pieces(batch)):
+            texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()
+            yield piece.filter(pa.array([held.value.predict(t)[0] != UNKNOWN for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.shared import map_pieces, sample_of, written
+from statloom.llm.shared import map_pieces, pieces, sample_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose candidates the trees learn from, and the precision their threshold keeps.
@@ -449,16 +449,16 @@ def redact(docs: DataFrame, trees: Judges, text_col: str = "text", size_col: str
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            texts = batch.column(at).to_pylist()
+        for piece in (p for batch in batches for p in pieces(batch)):
+            at = piece.schema.get_field_index(text_col)
+            texts = piece.column(at).to_pylist()
             made = [t if t is None or not (s := find(t, held.value)) else redacted(t, s) for t in texts]
-            columns = list(batch.columns)
-            columns[at] = pa.array(made, batch.schema.field(at).type)
-            size = batch.schema.get_field_index(size_col) if size_col else -1
-            if size >= 0 and pa.types.is_integer(batch.schema.field(size).type):
+            columns = list(piece.columns)
+            columns[at] = pa.array(made, piece.schema.field(at).type)
+            size = piece.schema.get_field_index(size_col) if size_col else -1
+            if size >= 0 and pa.types.is_integer(piece.schema.field(size).type):
                 sizes = [n if t is m else len(m) for n, t, m in zip(columns[size].to_pylist(), texts, made)]
-                columns[size] = pa.array(sizes, batch.schema.field(size).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                columns[size] = pa.array(sizes, piece.schema.field(size).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=piece.schema)
 
     return docs.mapInArrow(run, docs.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from statloom.llm import (
-    bpe, decontaminate, fingerprints, html_text, language_id, license_scan, ngram_join, pii, queries, token_files, warc,
+    bpe, decontaminate, fingerprints, html_text, language_id, license_scan, ngram_join, pii, queries, shared, token_files, warc,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -753,6 +753,53 @@ def test_stages_keep_the_columns(spark, odd):
     assert docs.count()
 
 
+@pytest.mark.parametrize("name", ["language", "near duplicates", "benchmark", "personal data", "token ids"])
+def test_stages_send_small_batches(spark, name):
+    """Rows made after the stage has returned reach Python a few MB at a time."""
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(64 << 20))
+    try:
+        docs = spark.range(0, 24, 1, 1).selectExpr("id as doc_id", "repeat(concat('some ', id, ' words '), 80000) as text", "'en' as lang")
+        dict(corpus_pipeline.STAGES)[name](spark, docs.limit(0), FOLDER)
+        sizes = docs.mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+        assert len(sizes) > 4 and max(r["n"] for r in sizes) < 8 << 20
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_the_pipeline_puts_the_batches_back(spark, monkeypatch):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-1:])
+    assert corpus_pipeline.run(spark, FOLDER).count() and spark.conf.get(key) == before
+
+
+def test_texts_are_taken_a_piece_at_a_time(spark, monkeypatch):
+    """Rows kept by language and redacted ones come back in pieces, however large Spark's batches are."""
+    rows = [(k, f"some words of text {k}, mail a{k}@example.org", "en", 0) for k in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").coalesce(1)
+    runs, made = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a: runs.append(f) or made(self, f, *a))
+    kept = language_id.keep_known(docs, language_id.learn(docs))
+    clean = pii.redact(docs, pii.Judges())
+    monkeypatch.undo()
+    import pyarrow as pa
+
+    whole = pa.RecordBatch.from_pylist([dict(zip(docs.columns, r)) for r in rows])
+    shared.kept_in_worker(("test",), list)
+    for run in runs[-2:]:
+        sizes = [b.num_rows for b in run(iter([whole]))]
+        assert max(sizes) <= 256 and sum(sizes) == 700
+    assert shared.kept_in_worker(("test",), tuple) == ()  # a worker that judges languages gave up what it kept
+    assert pairs(kept) == [r[:2] for r in rows]
+    assert pairs(clean) == [(k, f"some words of text {k}, mail [EMAIL]") for k in range(700)]
+
+
 # ---- nothing is lost for its size, its place or its names
 
 def test_a_long_template_is_found_at_every_offset(spark):
