@@ -18,7 +18,7 @@ from statloom.functions.times import iso_local
 from statloom.fixed_values import CELLS_PER_REQUEST, MISSING_CELL
 from statloom.operators.chunks import assign_chunks
 from statloom.operators.keys import attach, numbered
-from statloom.session import written
+from statloom.session import local_path, written
 
 
 def csv_cell(text: Column) -> Column:
@@ -141,15 +141,6 @@ _NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 _NOT_IN_NAMES = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
-def _local_folder(table: DataFrame, path: str) -> str | None:
-    """The folder's path, if it lies in a file system of the machines and not in a store."""
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    settings = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    local = "://" not in path and settings.get("fs.defaultFS", "file:///").startswith("file:")
-    return os.path.abspath(path) if local else None
-
-
 def _write_folders(lines: DataFrame, keys: list[str], order: list[str], folder: str, header: str | None = None) -> None:
     """The column ``line`` as text files, in a folder ``key=value`` for each value of the keys, lines in ``order``.
 
@@ -186,7 +177,7 @@ def _write_folders(lines: DataFrame, keys: list[str], order: list[str], folder:
 
 
 def _write_lines(lines: DataFrame, keys: list[str], order: list[str], path: str) -> None:
-    local = _local_folder(lines, path)
+    local = local_path(lines.sparkSession, path)
     if local:
         _write_folders(lines, keys, order, local)
     else:
@@ -215,7 +206,7 @@ def write_tables(lines: DataFrame, key: str, path: str) -> None:
 
 def write_by_key(table: DataFrame, key: str, path: str, fmt: str = "csv") -> None:
     """One folder per key, in one pass. A key with many rows is split over several tasks and files."""
-    balanced, local = table.hint("rebalance", key), _local_folder(table, path)
+    balanced, local = table.hint("rebalance", key), local_path(table.sparkSession, path)
     if fmt == "csv" and local:
         names = [c for c in table.columns if c.lower() != key.lower()]
         # Spark writes the names in quotes where they need them, as it does the cells.

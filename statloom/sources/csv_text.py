@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.session import written
+from statloom.sources.small_files import file_lines
 
 # Characters of a body line that its file's facts may look at.
 FIRST_CHARACTERS = 200
@@ -57,9 +58,8 @@ def _unquoted(field: Column) -> Column:
 def _lines(spark: SparkSession, paths: list[str], dataset: Column | None) -> DataFrame:
     file = F.col("_metadata.file_name")
     name = F.regexp_replace(file, r"\.(csv|txt)$", "") if dataset is None else dataset
-    return spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), name.alias("dataset"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("row_pos"),
+    return file_lines(spark, paths, F.col("_metadata.file_path").alias("file"), name.alias("dataset")).select(
+        "file", "dataset", F.struct("block", F.monotonically_increasing_id().alias("line")).alias("row_pos"),
         F.regexp_replace("value", "^\uFEFF|\r$", "").alias("line"))
 
 

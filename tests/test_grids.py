@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +9,9 @@ from statloom.plans import merge, reconcile
 from statloom.sinks import files
 from statloom.sources.grids import label_columns, long_from_cells, read_grids
 from statloom.sources.long_tables import read_long, read_long_mixed
+from statloom.sources import csv_text
 from statloom.sources.csv_text import read_csv_lines
+from statloom.sources.small_files import file_lines
 
 GRID = ',Male,Male,Female\n,"Trade, retail",Mining,Mining\n,,,\n2021M05,"1,234 P",..,7\n2021M06,"1,300",12 C,\n'
 MAY, JUNE = dt.date(2021, 5, 31), dt.date(2021, 6, 30)
@@ -307,3 +310,57 @@ def test_listing_takes_few_tasks(spark, tmp_path):
     assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) == 4 * spark.sparkContext.defaultParallelism
     text = spark.read.text(str(tmp_path))
     assert text.count() == 60 * 5 and text.rdd.getNumPartitions() <= 8
+
+
+@pytest.mark.parametrize("split_bytes", [1 << 20, 16], indirect=True)
+@pytest.mark.parametrize("key", ["k=", ""])
+def test_lines_are_those_of_sparks_reader(spark, tmp_path, split_bytes, key):
+    """Names, places and texts of files that tasks list and read, and which files count."""
+    names = ("a b", "a%2Fb%3D", "é ", "[x]", "+&;,@!~'()^`|<>", "_h", ".h", "plain")
+    contents = {"p 1%20.txt": b"one\rtwo\r\n\n\xc3\xa9", "_f": b"x", ".f": b"x", "_f=1": b"\xef\xbb\xbfy\n", "f._COPYING_": b"x",
+                "#;.csv": b"", "long.csv": b"a line\n" * 9, "z.csv.gz": gzip.compress(b"packed\nlines"), "[l]{o}ng?*.csv": b"line\r\n" * 9}
+    for name in names:
+        (tmp_path / f"{key}{name}").mkdir()
+        for file, content in contents.items():
+            (tmp_path / f"{key}{name}" / file).write_bytes(content)
+            if name == "plain":
+                (tmp_path / f"_{file}" if key else tmp_path / file).write_bytes(content)
+    whole = [F.col(f"_metadata.{part}") for part in ("file_path", "file_name", "file_size", "file_modification_time")]
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        mine = file_lines(spark, [path], *whole)
+        text = spark.read.text(path).select(*whole, F.col("_metadata.file_block_start").alias("block"), "value")
+        drop = () if split_bytes == 16 else ("block",)
+        assert sorted(map(tuple, mine.drop(*drop).collect())) == sorted(map(tuple, text.drop(*drop).collect()))
+    files_of = [str(p) for p in tmp_path.rglob("p 1%20.txt")]
+    assert sorted(r.value for r in file_lines(spark, [f for f in files_of if "[" not in f]).collect()) == sorted(
+        ["one", "two", "", "é"] * sum("[" not in f for f in files_of))
+
+
+def test_folders_that_are_no_table_are_read_as_spark_does(spark, tmp_path):
+    for folder in ("", "sub", "a=1", "a=1/b=2"):
+        (tmp_path / folder).mkdir(exist_ok=True)
+    for file in ("x.csv", "sub/y.csv"):
+        (tmp_path / file).write_text("1\n")
+    assert [r.value for r in file_lines(spark, [str(tmp_path)]).collect()] == ["1"]
+    (tmp_path / "a=1/z.csv").write_text("2\n")
+    (tmp_path / "a=1/b=2/z.csv").write_text("3\n")
+    with pytest.raises(PySparkException, match="(?i)conflicting"):
+        file_lines(spark, [str(tmp_path)]).collect()
+    with pytest.raises(PySparkException, match="PATH_NOT_FOUND"):
+        file_lines(spark, [str(tmp_path / "none")])
+    (tmp_path / "empty").mkdir()
+    assert file_lines(spark, [str(tmp_path / "empty")]).count() == 0
+
+
+@pytest.fixture
+def many_files(tmp_path):
+    """Files whose long header packs well."""
+    for k in range(60):
+        (tmp_path / f"dataset={k}").mkdir()
+        (tmp_path / f"dataset={k}/a.csv").write_text("," + ",".join(["a long label"] * 200) + "\n2021" + f",{k}" * 200 + "\n")
+    return str(tmp_path)
+
+
+def test_the_driver_lists_no_small_files(spark, many_files):
+    lines = csv_text._lines(spark, [many_files], None)
+    assert lines.count() == 120 and not [f for f in lines.inputFiles() if f.endswith(".csv")]
