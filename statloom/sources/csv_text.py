@@ -131,16 +131,26 @@ def _file_facts(splits: DataFrame, facts: dict[str, Column], body_required: bool
     ).select("file", "_top", *[value.alias(name) for name, value in facts.items()])
 
 
-def _body(records: DataFrame, splits: DataFrame, facts: dict[str, Column], body_required: bool) -> DataFrame:
+def _fact_bytes() -> Column:
+    """About the bytes of what a split says of its file: a label of a column takes many times its text."""
+    return F.length("file") + 16 * F.length(F.array_join("top", "")) + 200
+
+
+def _of_size(table: DataFrame, small: bool) -> DataFrame:
+    """A table of files for a join. Spark takes the packed bytes of its file for its size, tens of times too few."""
+    return table if small else table.hint("merge")
+
+
+def _body(records: DataFrame, splits: DataFrame, facts: dict[str, Column], body_required: bool, small: bool) -> DataFrame:
     # A file with most of the lines is split by adaptive execution; facts that are small are broadcast.
-    joined = records.join(_file_facts(splits, facts, body_required), "file")
+    joined = records.join(_of_size(_file_facts(splits, facts, body_required), small), "file")
     header = F.array_contains("_top", F.col("line"))
     # Header lines are NULL before they go: what is asked of the cells later may be asked in the join.
     return joined.withColumn("line", F.when(~header, F.col("line"))).where(~header).select(
         "file", "dataset", *facts, "row_pos", "line")
 
 
-def _quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+def _quoted_records(lines: DataFrame, splits: DataFrame, small: bool) -> DataFrame:
     """The records of files in which a line has an odd number of quotes, as lines with line breaks inside."""
     every = Window.partitionBy("file")
     before = every.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -151,7 +161,7 @@ def _quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     above = Window.partitionBy(*place).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy(*place).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.select("file", "dataset", F.col("row_pos.block").alias("block"), F.col("row_pos.line").alias("id"), "line")
-    marked = marked.join(splits, place).withColumn(
+    marked = marked.join(_of_size(splits, small), place).withColumn(
         "inside", (F.col("open") + F.coalesce(F.sum(_odd(F.col("line")).cast("long")).over(above), F.lit(0))) % 2 == 1)
     marked = written(marked.withColumn("number", F.sum(F.when(F.col("inside"), 0).otherwise(1)).over(upto)), "quoted-lines")
     # The lines that end a record begun in an earlier split belong to the last record begun there.
@@ -160,7 +170,7 @@ def _quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     begun = begun.select(*place, carried.alias("carried"))
     record = F.when(F.col("number") > 0, F.struct("block", "number")).otherwise(F.col("carried"))
     part = F.struct("block", "id", "line")
-    records = marked.join(begun, place).groupBy("file", "dataset", record.alias("record")).agg(
+    records = marked.join(_of_size(begun, small), place).groupBy("file", "dataset", record.alias("record")).agg(
         F.array_sort(F.collect_list(part)).alias("parts"))
     line = F.array_join(F.transform("parts", lambda x: x["line"]), "\n")
     stray = F.contains(F.regexp_replace(F.concat(F.lit(","), line), _QUOTED_FIELD, ","), F.lit("\n"))
@@ -189,13 +199,15 @@ def read_csv_lines(
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = written(_lines(spark, paths, dataset), "lines")
     lines, splits = raw.where(F.col("line") != ""), _splits(raw.where(F.col("line") != ""), is_body)
-    quoted = splits.where("odd > 0").select("file").distinct()
-    if quoted.isEmpty():
-        return _body(lines, splits, facts, body_required)
-    plain = _body(lines.join(quoted, "file", "left_anti"), splits.join(quoted, "file", "left_anti"), facts, body_required)
-    records = _quoted_records(raw, splits)
+    told = splits.agg(F.max("odd").alias("odd"), F.sum(_fact_bytes()).alias("bytes")).first()
+    small = (told.bytes or 0) <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if not told.odd:
+        return _body(lines, splits, facts, body_required, small)
+    quoted = _of_size(splits.where("odd > 0").select("file").distinct(), small)
+    plain = _body(lines.join(quoted, "file", "left_anti"), splits.join(quoted, "file", "left_anti"), facts, body_required, small)
+    records = _quoted_records(raw, splits, small)
     sorted_records = records.repartition("file", "row_pos.block").sortWithinPartitions("file", "row_pos")
-    return plain.unionByName(_body(records, _splits(sorted_records, is_body), facts, body_required))
+    return plain.unionByName(_body(records, _splits(sorted_records, is_body), facts, body_required, small))
 
 
 def has_line_breaks(spark: SparkSession, paths: str | list[str]) -> bool:

@@ -364,3 +364,16 @@ def many_files(tmp_path):
 def test_the_driver_lists_no_small_files(spark, many_files):
     lines = csv_text._lines(spark, [many_files], None)
     assert lines.count() == 120 and not [f for f in lines.inputFiles() if f.endswith(".csv")]
+
+
+def test_facts_of_many_files_go_by_their_true_size(spark, many_files):
+    """Packed, the headers of the files are below the limit of a broadcast; as rows they are far above it."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "150000")
+    try:
+        cells = read_grids(spark, many_files, merge.chunk_dataset())
+        assert "Broadcast" not in cells._jdf.queryExecution().executedPlan().toString()
+        rows = cells.groupBy("dataset").agg(F.count("*"), F.min("cell"), F.max("cell"), F.min(F.get("labels", F.lit(0)))).collect()
+        assert {tuple(r) for r in rows} == {(str(k), 200, str(k), str(k), "a long label") for k in range(60)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
